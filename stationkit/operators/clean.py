@@ -43,7 +43,7 @@ def sort_columns(df: DataFrame) -> DataFrame:
 
 def parse_date(c: str | Column, fmt: str = "dd.MM.yyyy") -> Column:
     """Text date to DATE; unparsable text gives null instead of an error."""
-    return F.try_to_date(F.col(c) if isinstance(c, str) else c, F.lit(fmt))
+    return F.try_to_date(F.col(c) if isinstance(c, str) else c, fmt)
 
 
 def format_date(c: str | Column, fmt: str = "dd.MM.yyyy") -> Column:

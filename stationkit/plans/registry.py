@@ -2,17 +2,25 @@
 
 Each builder takes ``(spark, sf_dir)`` and returns a DataFrame computed from
 the driver tables (through the station stand-in of ``sources/fixtures``).
-Doubles are rounded to 6 places on both sides.
+Doubles are rounded on both sides (6 places unless stated).
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..config import DEFAULT as C
+from ..config import CUTOFF_DATE, DEFAULT as C, HIST_BINS, STRIDE, TRAIN_FRACTION, Config
 from ..functions.rounding import round_doubles
+from ..operators import clean as CL
+from ..operators import impute as IM
+from ..operators import joins as J
+from ..operators import rows as RW
+from ..operators import shift as SH
+from ..operators import stats as ST
 from ..sources.fixtures import station_obs
 from . import sqltext as Q
 from .supervised import supervised_table
@@ -21,6 +29,10 @@ Builder = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Builder] = {}
 ORACLES: dict[str, str] = {}
 
+M = list(C.measures)
+GOALS = C.goal_columns()
+FEATS = C.feature_columns()
+
 
 def register(name: str, oracle: str | None = None):
     def deco(fn: Builder) -> Builder:
@@ -31,6 +43,380 @@ def register(name: str, oracle: str | None = None):
     return deco
 
 
+def _clean(spark: SparkSession, sf: str, many: bool = False) -> DataFrame:
+    return CL.sentinel_to_null(station_obs(spark, sf, many), M, C.sentinel)
+
+
+def _sup(spark: SparkSession, sf: str) -> DataFrame:
+    return supervised_table(station_obs(spark, sf), C)
+
+
+def _sup_rowid(spark: SparkSession, sf: str) -> DataFrame:
+    return RW.add_row_id(_sup(spark, sf), ["obs_date"])
+
+
+W_SERIES = "WINDOW w AS (PARTITION BY series_id ORDER BY obs_date)"
+
+# ---------------------------------------------------------------------------
+# flagship and projections
+# ---------------------------------------------------------------------------
+
+
 @register("supervised_table", Q.supervised_sql())
-def q_supervised_table(spark: SparkSession, sf: str) -> DataFrame:
-    return round_doubles(supervised_table(station_obs(spark, sf), C))
+def q_supervised_table(spark, sf):
+    return round_doubles(_sup(spark, sf))
+
+
+@register("supervised_projection", Q.supervised_sql(complete=False))
+def q_supervised_projection(spark, sf):
+    return round_doubles(supervised_table(station_obs(spark, sf), C, complete=False))
+
+
+# ---------------------------------------------------------------------------
+# sources, cleaning, filters
+# ---------------------------------------------------------------------------
+
+
+@register("sentinel_to_null", Q.with_ctes(Q.clean_cte()) + f"SELECT {Q.sel(['series_id', 'obs_date'] + M)} FROM clean")
+def q_sentinel_to_null(spark, sf):
+    return round_doubles(_clean(spark, sf))
+
+
+@register("cutoff_filter", Q.with_ctes(Q.clean_cte()) +
+          f"SELECT {Q.sel(['series_id', 'obs_date'] + M)} FROM clean WHERE obs_date >= DATE '{CUTOFF_DATE}'")
+def q_cutoff_filter(spark, sf):
+    return round_doubles(CL.cutoff_filter(_clean(spark, sf), "obs_date", CUTOFF_DATE))
+
+
+@register("complete_rows", Q.with_ctes(Q.clean_cte()) +
+          f"SELECT {Q.sel(['series_id', 'obs_date'] + M)} FROM clean WHERE " +
+          " AND ".join(f"{m} IS NOT NULL" for m in M))
+def q_complete_rows(spark, sf):
+    return round_doubles(CL.complete_rows(_clean(spark, sf)))
+
+
+@register("date_roundtrip", Q.with_ctes(Q.clean_cte()) +
+          "SELECT series_id, obs_date, strftime(obs_date, '%d.%m.%Y') AS date_text, "
+          "CAST(strptime(strftime(obs_date, '%d.%m.%Y'), '%d.%m.%Y') AS DATE) AS parsed_date FROM clean")
+def q_date_roundtrip(spark, sf):
+    x = _clean(spark, sf).select("series_id", "obs_date", CL.format_date("obs_date").alias("date_text"))
+    return x.withColumn("parsed_date", CL.parse_date("date_text"))
+
+
+@register("missing_profile", Q.with_ctes(Q.clean_cte()) + " UNION ALL ".join(
+    f"SELECT series_id, CAST(COUNT(*) AS BIGINT) AS n_rows, '{m}' AS column_name, "
+    f"CAST(SUM(CASE WHEN {m} IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_missing FROM clean GROUP BY series_id"
+    for m in M))
+def q_missing_profile(spark, sf):
+    return CL.missing_profile(_clean(spark, sf), ["series_id"], M).withColumn(
+        "n_missing", F.col("n_missing").cast("long"))
+
+
+_WIDE_COLS = [f"{s}_{m}" for s in ("R", "N", "A") for m in M]
+_WIDE_SQL = ("wide3 AS (SELECT r.obs_date AS obs_date, " +
+             ", ".join(f"{a}.{m} AS {s}_{m}" for s, a in (("R", "r"), ("N", "n"), ("A", "a")) for m in M) +
+             " FROM (SELECT * FROM clean WHERE series_id = 'R') r"
+             " JOIN (SELECT * FROM clean WHERE series_id = 'N') n ON r.obs_date = n.obs_date"
+             " JOIN (SELECT * FROM clean WHERE series_id = 'A') a ON r.obs_date = a.obs_date)")
+
+
+def _wide3(spark, sf):
+    return J.join_series(_clean(spark, sf), "series_id", "obs_date", ["R", "N", "A"], "inner", cols=M)
+
+
+@register("sparse_column_report", Q.with_ctes(Q.clean_cte(), _WIDE_SQL) + " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, CAST(SUM(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_missing, "
+    f"CAST(COUNT(*) AS BIGINT) AS n_rows, "
+    f"ROUND(CAST(SUM(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS DOUBLE) / COUNT(*), 6) AS missing_share "
+    f"FROM wide3" for c in _WIDE_COLS))
+def q_sparse_column_report(spark, sf):
+    return round_doubles(CL.missing_share(_wide3(spark, sf), _WIDE_COLS))
+
+
+@register("row_audit", Q.with_ctes(*Q.supervised_ctes()) +
+          "SELECT 'before_join_' || series_id AS stage, CAST(COUNT(*) AS BIGINT) AS n_rows FROM clean GROUP BY series_id"
+          " UNION ALL SELECT 'after_join', CAST(COUNT(*) AS BIGINT) FROM wide"
+          " UNION ALL SELECT 'after_dropna', CAST(COUNT(*) AS BIGINT) FROM sup")
+def q_row_audit(spark, sf):
+    obs = station_obs(spark, sf)
+    before = obs.groupBy("series_id").agg(F.count(F.lit(1)).alias("n_rows")) \
+        .select(F.concat(F.lit("before_join_"), F.col("series_id")).alias("stage"), "n_rows")
+    wide = supervised_table(obs, C, complete=False)
+    after = wide.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit("after_join").alias("stage"), "n_rows")
+    final = CL.complete_rows(wide).agg(F.count(F.lit(1)).alias("n_rows")) \
+        .select(F.lit("after_dropna").alias("stage"), "n_rows")
+    return before.unionByName(after).unionByName(final)
+
+
+# ---------------------------------------------------------------------------
+# joins and column naming
+# ---------------------------------------------------------------------------
+
+
+@register("station_inner_join", Q.with_ctes(Q.clean_cte(), _WIDE_SQL) +
+          f"SELECT {Q.sel(['obs_date'] + _WIDE_COLS)} FROM wide3")
+def q_station_inner_join(spark, sf):
+    return round_doubles(_wide3(spark, sf))
+
+
+@register("prefixed_wide", Q.with_ctes(Q.clean_cte()) +
+          "SELECT obs_date, " + ", ".join(f"ROUND({m}, 6) AS R_{m}" for m in M) +
+          " FROM clean WHERE series_id = 'R'")
+def q_prefixed_wide(spark, sf):
+    x = _clean(spark, sf).where(F.col("series_id") == "R").drop("series_id")
+    return round_doubles(CL.prefix_columns(x, "R_", keep=("obs_date",)))
+
+
+_LAG_COLS = [f"{s}_{m}" for s in ("R", "A", "N") for m in M]
+
+
+@register("lagged_left_join", Q.with_ctes(Q.clean_cte()) +
+          "SELECT r.obs_date AS obs_date, " +
+          ", ".join(f"ROUND({a}.{m}, 6) AS {s}_{m}" for s, a in (("R", "r"), ("A", "a"), ("N", "n")) for m in M) +
+          " FROM (SELECT * FROM clean WHERE series_id = 'R') r"
+          " LEFT JOIN (SELECT CAST(obs_date + INTERVAL 3 DAY AS DATE) AS d3, * FROM clean WHERE series_id = 'A') a"
+          " ON r.obs_date = a.d3"
+          " LEFT JOIN (SELECT CAST(obs_date + INTERVAL 3 DAY AS DATE) AS d3, * FROM clean WHERE series_id = 'N') n"
+          " ON r.obs_date = n.d3")
+def q_lagged_left_join(spark, sf):
+    x = J.join_series(_clean(spark, sf), "series_id", "obs_date", ["R", "A", "N"], "left",
+                      cols=M, offsets={"A": 3, "N": 3})
+    return round_doubles(x)
+
+
+_SUFFIX_COLS = ([f"{m}_sch" for m in M] + [f"{m}_arb" for m in M] + M)
+
+
+@register("suffix_join", Q.with_ctes(Q.clean_cte()) +
+          "SELECT s.obs_date AS obs_date, " +
+          ", ".join([f"ROUND(s.{m}, 6) AS {m}_sch" for m in M] + [f"ROUND(a.{m}, 6) AS {m}_arb" for m in M] +
+                    [f"ROUND(r.{m}, 6) AS {m}" for m in M]) +
+          " FROM (SELECT * FROM clean WHERE series_id = 'N') s"
+          " JOIN (SELECT * FROM clean WHERE series_id = 'A') a ON s.obs_date = a.obs_date"
+          " JOIN (SELECT * FROM clean WHERE series_id = 'R') r ON s.obs_date = r.obs_date")
+def q_suffix_join(spark, sf):
+    c = _clean(spark, sf)
+    part = {s: c.where(F.col("series_id") == s).drop("series_id") for s in ("N", "A", "R")}
+    x = J.suffix_join(part["N"], part["A"], "obs_date", ("_sch", "_arb"))
+    x = J.suffix_join(x, part["R"], "obs_date", ("_x", "_y"))
+    return round_doubles(x)
+
+
+# ---------------------------------------------------------------------------
+# shifts and fills (per series)
+# ---------------------------------------------------------------------------
+
+_FUT = [f"{t}_future_{k}Day" for k in range(1, C.horizons + 1) for t in C.targets]
+
+
+@register("future_targets", Q.with_ctes(Q.clean_cte(), Q.future_cte("clean", "f")) +
+          f"SELECT {Q.sel(['series_id', 'obs_date'] + M + _FUT)} FROM f")
+def q_future_targets(spark, sf):
+    return round_doubles(SH.future_targets(_clean(spark, sf), C))
+
+
+_CP2 = Config(past_days=2)
+_PAST = [f"{f}_past_{k}Day" for k in range(1, 3) for f in C.features]
+
+
+@register("past_features", Q.with_ctes(Q.clean_cte()) +
+          "SELECT " + Q.sel(["series_id", "obs_date"] + M) + ", " +
+          ", ".join(f"ROUND(LAG({f}, {k}) OVER w, 6) AS {f}_past_{k}Day" for k in range(1, 3) for f in C.features) +
+          f" FROM clean {W_SERIES}")
+def q_past_features(spark, sf):
+    return round_doubles(SH.past_features(_clean(spark, sf), _CP2))
+
+
+@register("tail_trim", Q.with_ctes(Q.clean_cte()) +
+          f"SELECT {Q.sel(['series_id', 'obs_date'] + M)} FROM (SELECT *, ROW_NUMBER() OVER "
+          "(PARTITION BY series_id ORDER BY obs_date DESC) AS rr FROM clean) t WHERE rr > 3")
+def q_tail_trim(spark, sf):
+    return round_doubles(SH.tail_trim(_clean(spark, sf), C.horizons, SH.ordering(C)))
+
+
+_IP = ["air_temp", "precip", "vapor_pressure"]
+
+
+def _interp_sql(many: bool = False) -> str:
+    ctes = [Q.clean_cte()]
+    src = "clean"
+    for i, c in enumerate(_IP):
+        others = ["series_id", "obs_date"] + [m for m in M if m != c]
+        ctes.append(Q.interp_cte(src, f"ip{i}", c, others))
+        src = f"ip{i}"
+    return Q.with_ctes(*ctes, many=many) + f"SELECT {Q.sel(['series_id', 'obs_date'] + M)} FROM {src}"
+
+
+@register("interpolate_linear", _interp_sql())
+def q_interpolate_linear(spark, sf):
+    return round_doubles(IM.interpolate_linear(_clean(spark, sf), _IP, SH.ordering(C)))
+
+
+@register("interpolate_many", _interp_sql(many=True))
+def q_interpolate_many(spark, sf):
+    return round_doubles(IM.interpolate_linear(_clean(spark, sf, many=True), _IP, SH.ordering(C)))
+
+
+@register("future_targets_many", Q.with_ctes(Q.clean_cte(), Q.future_cte("clean", "f"), many=True) +
+          f"SELECT {Q.sel(['series_id', 'obs_date'] + M + _FUT)} FROM f")
+def q_future_targets_many(spark, sf):
+    return round_doubles(SH.future_targets(_clean(spark, sf, many=True), C))
+
+
+def _lw_sql() -> str:
+    cols = ["air_temp", "precip"]
+    parts = []
+    for c in cols:
+        num, den = "0.0", "0.0"
+        for k in range(-5, 6):
+            if k == 0:
+                continue
+            v = f"LAG({c}, {-k}) OVER w" if k < 0 else f"LEAD({c}, {k}) OVER w"
+            w = repr(math.exp(-0.1 * abs(k)))
+            num = f"({num} + COALESCE({v} * {w}, 0.0))"
+            den = f"({den} + CASE WHEN {v} IS NOT NULL THEN {w} ELSE 0.0 END)"
+        parts.append(f"ROUND(CASE WHEN {c} IS NOT NULL THEN {c} WHEN {den} > 0 THEN {num} / {den} END, 6) AS {c}")
+    rest = [m for m in M if m not in cols]
+    return (Q.with_ctes(Q.clean_cte()) + "SELECT series_id, obs_date, " + ", ".join(parts) + ", " +
+            Q.sel(rest) + f" FROM clean {W_SERIES}")
+
+
+@register("local_weighted_fill", _lw_sql())
+def q_local_weighted_fill(spark, sf):
+    return round_doubles(IM.local_weighted_fill(_clean(spark, sf), ["air_temp", "precip"], SH.ordering(C)))
+
+
+@register("mean_impute", Q.with_ctes(Q.clean_cte()) + "SELECT series_id, obs_date, " +
+          ", ".join(f"ROUND(COALESCE({m}, AVG({m}) OVER (PARTITION BY series_id)), 6) AS {m}" for m in M) +
+          " FROM clean")
+def q_mean_impute(spark, sf):
+    return round_doubles(IM.mean_impute(_clean(spark, sf), M, by=["series_id"]))
+
+
+@register("sentinel_mean_impute", Q.with_ctes("mn AS (SELECT " + ", ".join(
+    f"AVG(CASE WHEN {m} <> -999 THEN {m} END) AS m_{m}" for m in M) + " FROM obs)") +
+    "SELECT series_id, obs_date, " + ", ".join(
+    f"ROUND(CASE WHEN {m} = -999 THEN m_{m} ELSE {m} END, 6) AS {m}" for m in M) + " FROM obs, mn")
+def q_sentinel_mean_impute(spark, sf):
+    return round_doubles(IM.sentinel_mean_impute(station_obs(spark, sf), M, C.sentinel))
+
+
+@register("minmax_scale", Q.with_ctes(Q.clean_cte(), "mm AS (SELECT " + ", ".join(
+    f"MIN({m}) AS lo_{m}, MAX({m}) AS hi_{m}" for m in M) + " FROM clean)") +
+    "SELECT series_id, obs_date, " + ", ".join(
+    f"ROUND(CASE WHEN hi_{m} = lo_{m} THEN CASE WHEN {m} IS NOT NULL THEN 0.0 END "
+    f"ELSE ({m} - lo_{m}) / (hi_{m} - lo_{m}) END, 6) AS {m}" for m in M) + " FROM clean, mm")
+def q_minmax_scale(spark, sf):
+    return round_doubles(IM.minmax_scale(_clean(spark, sf), M))
+
+
+# ---------------------------------------------------------------------------
+# rows: order, sample, splits
+# ---------------------------------------------------------------------------
+
+_SUP_ROWID = Q.with_ctes(*Q.supervised_ctes(), Q.sup_rowid_cte())
+
+
+@register("sorted_rows", _SUP_ROWID + f"SELECT row_id, {Q.sel(['obs_date'] + GOALS)} FROM supr")
+def q_sorted_rows(spark, sf):
+    return round_doubles(_sup_rowid(spark, sf).select("row_id", "obs_date", *GOALS))
+
+
+@register("stride_sample", _SUP_ROWID + f"SELECT row_id, {Q.sel(['obs_date'] + GOALS)} FROM supr "
+          f"WHERE row_id % {STRIDE} = 0")
+def q_stride_sample(spark, sf):
+    x = RW.stride_sample(_sup_rowid(spark, sf), "row_id", STRIDE)
+    return round_doubles(x.select("row_id", "obs_date", *GOALS))
+
+
+@register("holdout_split", _SUP_ROWID +
+          f"SELECT row_id, obs_date, CASE WHEN ROW_NUMBER() OVER (ORDER BY {Q.hash_sql(0, 'row_id')}, row_id) "
+          "<= CEIL(CAST(0.2 AS DOUBLE) * COUNT(*) OVER ()) THEN 'test' ELSE 'train' END AS split FROM supr")
+def q_holdout_split(spark, sf):
+    x = _sup_rowid(spark, sf).select("row_id", "obs_date")
+    return RW.holdout_split(x, "row_id", 0.2, seed=0)
+
+
+@register("chronological_split", _SUP_ROWID +
+          f"SELECT row_id, obs_date, CASE WHEN row_id < FLOOR(CAST({TRAIN_FRACTION} AS DOUBLE) * COUNT(*) OVER ()) "
+          "THEN 'train' ELSE 'test' END AS split FROM supr")
+def q_chronological_split(spark, sf):
+    x = _sup_rowid(spark, sf).select("row_id", "obs_date")
+    return RW.chronological_split(x, "row_id", TRAIN_FRACTION)
+
+
+@register("forecast_dates", _SUP_ROWID + "SELECT row_id, obs_date, " + ", ".join(
+    f"LEAD(obs_date, {k}) OVER (ORDER BY row_id) AS date_day{k}" for k in range(1, 4)) + " FROM supr")
+def q_forecast_dates(spark, sf):
+    x = _sup_rowid(spark, sf).select("row_id", "obs_date")
+    from ..operators.series_window import Ordering
+    o = Ordering(partition=(), order=("row_id",), mode="chunked")
+    return SH.forecast_dates(x, "obs_date", C.horizons, o)
+
+
+@register("preview_rows", Q.with_ctes(*Q.supervised_ctes()) +
+          f"SELECT {Q.sel(['obs_date'] + GOALS)} FROM sup ORDER BY obs_date LIMIT 5")
+def q_preview_rows(spark, sf):
+    return round_doubles(CL.preview(_sup(spark, sf).select("obs_date", *GOALS), ["obs_date"], 5))
+
+
+# ---------------------------------------------------------------------------
+# statistics
+# ---------------------------------------------------------------------------
+
+
+def _corr_sql(a: str, b: str) -> str:
+    a2 = f"CASE WHEN {b} IS NOT NULL THEN {a} END"
+    b2 = f"CASE WHEN {a} IS NOT NULL THEN {b} END"
+    den = f"SQRT(VAR_POP({a2}) * VAR_POP({b2}))"
+    return (f"SELECT '{a}' AS col_a, '{b}' AS col_b, "
+            f"ROUND(COVAR_POP({a}, {b}) / CASE WHEN {den} > 0 THEN {den} END, 6) AS corr, "
+            f"CAST(SUM(CASE WHEN {a} IS NOT NULL AND {b} IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_pairs")
+
+
+@register("corr_matrix", Q.with_ctes(Q.clean_cte(), _WIDE_SQL) + " UNION ALL ".join(
+    _corr_sql(a, b) + " FROM wide3" for i, a in enumerate(_WIDE_COLS) for b in _WIDE_COLS[i:]))
+def q_corr_matrix(spark, sf):
+    return round_doubles(ST.corr_long(_wide3(spark, sf), _WIDE_COLS))
+
+
+@register("corr_to_targets", Q.with_ctes(*Q.supervised_ctes()) + " UNION ALL ".join(
+    _corr_sql(a, b) + " FROM sup" for a in FEATS + GOALS for b in GOALS))
+def q_corr_to_targets(spark, sf):
+    return round_doubles(ST.corr_long(_sup(spark, sf), FEATS + GOALS, GOALS))
+
+
+_HIST_COLS = ["R_air_temp", "R_precip"]
+
+
+def _hist_sql() -> str:
+    parts = []
+    for c in _HIST_COLS:
+        parts.append(
+            f"SELECT '{c}' AS column_name, CAST(CASE WHEN hi = lo THEN 0 ELSE LEAST(FLOOR(({c} - lo) / ((hi - lo) / 100.0)), "
+            f"{HIST_BINS - 1}) END AS INTEGER) AS bin FROM sup, (SELECT MIN({c}) AS lo, MAX({c}) AS hi FROM sup) b "
+            f"WHERE {c} IS NOT NULL")
+    bounds = " UNION ALL ".join(f"SELECT '{c}' AS column_name, MIN({c}) AS lo, MAX({c}) AS hi FROM sup"
+                                for c in _HIST_COLS)
+    return (Q.with_ctes(*Q.supervised_ctes(), "hb AS (" + " UNION ALL ".join(parts) + ")",
+                        "bd AS (" + bounds + ")") +
+            "SELECT g.column_name, CAST(g.bin AS INTEGER) AS bin, "
+            "ROUND(bd.lo + g.bin * ((bd.hi - bd.lo) / 100.0), 6) AS lo, "
+            "ROUND(bd.lo + (g.bin + 1) * ((bd.hi - bd.lo) / 100.0), 6) AS hi, "
+            "CAST(COALESCE(c.n, 0) AS BIGINT) AS n "
+            f"FROM (SELECT column_name, CAST(b AS INTEGER) AS bin FROM bd, range(0, {HIST_BINS}) t(b)) g "
+            "JOIN bd ON g.column_name = bd.column_name "
+            "LEFT JOIN (SELECT column_name, bin, COUNT(*) AS n FROM hb GROUP BY 1, 2) c "
+            "ON g.column_name = c.column_name AND g.bin = c.bin")
+
+
+@register("histogram_100", _hist_sql())
+def q_histogram_100(spark, sf):
+    return round_doubles(ST.histogram(_sup(spark, sf), _HIST_COLS, HIST_BINS))
+
+
+@register("goal_series_long", Q.with_ctes(*Q.supervised_ctes()) + " UNION ALL ".join(
+    f"SELECT obs_date, '{g}' AS goal, '{t}' AS target, {k} AS horizon, ROUND({g}, 6) AS value FROM sup"
+    for t in C.targets for k in range(1, C.horizons + 1) for g in [C.goal_name(t, k)]))
+def q_goal_series_long(spark, sf):
+    return round_doubles(ST.goal_series_long(_sup(spark, sf), "obs_date", GOALS))

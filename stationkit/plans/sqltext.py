@@ -54,29 +54,53 @@ def with_ctes(*ctes: str, many: bool = False) -> str:
     return "WITH " + obs_ctes(many) + ",\n" + ",\n".join(ctes) + "\n"
 
 
-def supervised_sql() -> str:
+def sel(cols, src: str = "", places: int = 6, keep=("series_id", "obs_date")) -> str:
+    """Select list rounding every measure-like column."""
+    out = []
+    for c in cols:
+        ref = f"{src}.{c}" if src else c
+        out.append(ref if c in keep else r6(ref, c).replace(", 6)", f", {places})"))
+    return ", ".join(out)
+
+
+def supervised_ctes() -> list[str]:
     goals = [f"{t}_future_{k}Day" for t in C.targets for k in range(1, C.horizons + 1)]
     others = [m for m in MEASURES if m != "air_temp"]
     tgt_cols = ["series_id", "obs_date"] + others + goals
     oth_cols = ["series_id", "obs_date"] + others
-    ctes = [
+    alias = {"R": "r", "N": "n", "A": "a"}
+    body = []
+    for s in C.series:
+        for f in C.features:
+            body.append(f"{alias[s]}.{f} AS {s}_{f}")
+    for g in goals:
+        body.append(f"r.{g} AS R_{g}")
+    body.append("r.obs_date AS obs_date")
+    return [
         clean_cte(),
         future_cte("(SELECT * FROM clean WHERE series_id = 'R')", "tgt_f"),
         interp_cte("tgt_f", "tgt", "air_temp", tgt_cols),
         interp_cte("(SELECT * FROM clean WHERE series_id <> 'R')", "oth", "air_temp", oth_cols),
+        "wide AS (SELECT " + ", ".join(body) +
+        " FROM tgt r JOIN (SELECT * FROM oth WHERE series_id = 'N') n ON r.obs_date = n.obs_date"
+        " JOIN (SELECT * FROM oth WHERE series_id = 'A') a ON r.obs_date = a.obs_date)",
+        "sup AS (SELECT * FROM wide WHERE " +
+        " AND ".join(f"{c} IS NOT NULL" for c in C.feature_columns() + C.goal_columns()) + ")",
     ]
-    sel = []
-    alias = {"R": "r", "N": "n", "A": "a"}
-    for s in C.series:
-        for f in C.features:
-            sel.append(r6(f"{alias[s]}.{f}", f"{s}_{f}"))
-    for g in goals:
-        sel.append(r6(f"r.{g}", f"R_{g}"))
-    sel.append("r.obs_date AS obs_date")
-    conds = [f"{alias[s]}.{f} IS NOT NULL" for s in C.series for f in C.features] + \
-            [f"r.{g} IS NOT NULL" for g in goals]
-    return (with_ctes(*ctes) +
-            "SELECT " + ", ".join(sel) +
-            " FROM tgt r JOIN (SELECT * FROM oth WHERE series_id = 'N') n ON r.obs_date = n.obs_date"
-            " JOIN (SELECT * FROM oth WHERE series_id = 'A') a ON r.obs_date = a.obs_date"
-            " WHERE " + " AND ".join(conds))
+
+
+SUP_COLS = C.feature_columns() + C.goal_columns()
+
+
+def supervised_sql(complete: bool = True) -> str:
+    src = "sup" if complete else "wide"
+    return with_ctes(*supervised_ctes()) + f"SELECT {sel(SUP_COLS + ['obs_date'])} FROM {src}"
+
+
+def sup_rowid_cte() -> str:
+    """Supervised table with its 0-based position by date."""
+    return "supr AS (SELECT *, ROW_NUMBER() OVER (ORDER BY obs_date) - 1 AS row_id FROM sup)"
+
+
+def hash_sql(seed, key: str) -> str:
+    return f"CAST('0x' || substr(md5('{seed}:' || CAST({key} AS VARCHAR)), 1, 8) AS BIGINT)"

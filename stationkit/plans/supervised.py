@@ -38,7 +38,8 @@ def prepared_long(obs: DataFrame, cfg: Config, mode: str = "auto") -> DataFrame:
     return tgt, others
 
 
-def supervised_table(obs: DataFrame, cfg: Config, mode: str = "auto") -> DataFrame:
+def supervised_table(obs: DataFrame, cfg: Config, mode: str = "auto",
+                     complete: bool = True) -> DataFrame:
     """Features (series x feature x past), goals (target x horizon), date."""
     tgt, others = prepared_long(obs, cfg, mode)
     feat_cols = list(cfg.features) + [cfg.past_name(f, k) for f in cfg.features
@@ -55,4 +56,5 @@ def supervised_table(obs: DataFrame, cfg: Config, mode: str = "auto") -> DataFra
             wide = wide.join(join_series(others, cfg.series_col, cfg.date_col, [s], "inner",
                                          cols=feat_cols), cfg.date_col, "inner")
     proj = cfg.feature_columns() + cfg.goal_columns() + [cfg.date_col]
-    return complete_rows(wide.select(*proj))
+    out = wide.select(*proj)
+    return complete_rows(out) if complete else out
