@@ -226,17 +226,26 @@ def ols_models(df: DataFrame, features: list[str], goals: dict[str, str],
     ``fit_filter`` restricts the fitting rows (e.g. the train split)."""
     fit_rows = df.where(fit_filter) if fit_filter is not None else df
     goal_cols = list(goals.values())
-    g = fit_rows.agg(*gram_aggs(features, goal_cols, None)).withColumn("_grp", F.lit(0))
+    # centre on the fitting rows' means (scalar subquery), carried along in
+    # the Gram row so the intercept can be moved back
+    centre = scalar_aggs(fit_rows, {t: F.avg(F.col(t).cast("double")) for t in features + goal_cols})
+    g = fit_rows.agg(*gram_aggs(features, goal_cols, centre)) \
+        .select("*", *[centre[t].alias(f"_c{i}") for i, t in enumerate(features + goal_cols)]) \
+        .withColumn("_grp", F.lit(0))
     p, nt = len(features), 1 + len(features) + len(goal_cols)
     keys = list(goals.keys())
     feats = list(features)
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        G = unpack(pdf.iloc[0], nt)
+        row = pdf.iloc[0]
+        G = unpack(row, nt)
+        cx = np.array([row[f"_c{i}"] for i in range(p)], dtype=float)
         out = []
         for k, mk in enumerate(keys):
             w = solve(G, p, k)
-            out.append((mk, "intercept", float(w[0])))
+            cy = float(row[f"_c{p + k}"])
+            a = float(w[0]) + cy - float(cx @ w[1:])
+            out.append((mk, "intercept", a))
             for t, c in zip(feats, w[1:]):
                 out.append((mk, t, float(c)))
         return pd.DataFrame(out, columns=["model_key", "term", "coef"])

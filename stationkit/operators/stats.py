@@ -3,8 +3,8 @@
 Correlations are one aggregate pass over all column pairs (partial
 aggregation on every executor, a single small row at the end), unpivoted to
 long form.  Histograms use scalar-subquery bounds and one grouped count.
-The exact quantile sorts once across the cluster and reads back only the
-per-partition counts and the two values around the wanted rank.
+The exact quantile narrows equal-width bucket counts to the wanted rank, so
+neither one task nor the driver ever holds all values.
 """
 
 from __future__ import annotations
@@ -83,31 +83,54 @@ def histogram(df: DataFrame, cols: list[str], bins: int = 100) -> DataFrame:
                       F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("n"))
 
 
-def exact_quantile(df: DataFrame, col: str, q: float, partitions: int | None = None) -> float | None:
-    """Linear-interpolated quantile (like ``percentile``/``quantile_cont``)
-    without one task holding all values: range-partition + sort once, count
-    rows per partition, then fetch the two rows around rank ``q*(n-1)``."""
+def _kth_value(x: DataFrame, k: int, lo: float, hi: float, below: int,
+               buckets: int, small: int) -> float:
+    """Value of 0-based rank ``k`` among the non-null ``v`` of ``x``.
+
+    Each pass counts rows per equal-width bucket of the current range
+    (one grouped aggregate, at most ``buckets`` rows back) and narrows the
+    range to the bucket holding rank ``k``.  A bucket whose min equals its
+    max answers at once (a value repeated by a third of all rows costs one
+    pass); a bucket of at most ``small`` rows is read back and sorted."""
+    v = F.col("v")
+    while True:
+        if lo == hi:
+            return lo
+        width = (hi - lo) / buckets
+        b = F.least(F.floor((v - F.lit(lo)) / F.lit(width)), F.lit(buckets - 1)).cast("long")
+        part = x.where((v >= F.lit(lo)) & (v <= F.lit(hi)))
+        counts = sorted(tuple(r) for r in part.groupBy(b.alias("b")).agg(
+            F.count(F.lit(1)), F.min("v"), F.max("v")).collect())
+        cum = below
+        for _, c, mn, mx in counts:
+            if cum + c > k:
+                if mn == mx:
+                    return mn
+                if c <= small:
+                    vals = sorted(r[0] for r in x.where((v >= F.lit(mn)) & (v <= F.lit(mx))).select("v").collect())
+                    return vals[k - cum]
+                lo, hi, below = mn, mx, cum
+                break
+            cum += c
+        else:  # pragma: no cover - ranks are always inside the counted rows
+            raise ValueError("rank outside the data")
+
+
+def exact_quantile(df: DataFrame, col: str, q: float, buckets: int = 1 << 16,
+                   small: int = 100_000) -> float | None:
+    """Linear-interpolated quantile (like ``percentile`` /
+    ``quantile_cont``) computed exactly without one task or the driver
+    holding all values: bucket-count refinement (see ``_kth_value``).
+    Deterministic, so recomputation after a lost executor gives the same."""
     x = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull())
-    n_parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    x = x.repartitionByRange(n_parts, "v").sortWithinPartitions("v")
-    x = x.withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id())
-    stats = sorted((r[0], r[1], r[2]) for r in
-                   x.groupBy("_pid").agg(F.count(F.lit(1)), F.min("_mid")).collect())
-    n = sum(s[1] for s in stats)
-    if n == 0:
+    st = x.agg(F.count(F.lit(1)), F.min("v"), F.max("v")).collect()[0]
+    n, lo, hi = st[0], st[1], st[2]
+    if not n:
         return None
     r = q * (n - 1)
     lo_r, hi_r = int(math.floor(r)), int(math.ceil(r))
-    want = {}
-    off = 0
-    for pid, cnt, mid0 in stats:
-        for rank in (lo_r, hi_r):
-            if off <= rank < off + cnt:
-                want[rank] = mid0 + (rank - off)
-        off += cnt
-    vals = {int(m): v for m, v in x.where(F.col("_mid").isin(list(set(want.values()))))
-            .select("_mid", "v").collect()}
-    lo_v, hi_v = vals[want[lo_r]], vals[want[hi_r]]
+    lo_v = _kth_value(x, lo_r, lo, hi, 0, buckets, small)
+    hi_v = lo_v if hi_r == lo_r else _kth_value(x, hi_r, lo, hi, 0, buckets, small)
     return lo_v + (hi_v - lo_v) * (r - lo_r)
 
 

@@ -420,3 +420,323 @@ def q_histogram_100(spark, sf):
     for t in C.targets for k in range(1, C.horizons + 1) for g in [C.goal_name(t, k)]))
 def q_goal_series_long(spark, sf):
     return round_doubles(ST.goal_series_long(_sup(spark, sf), "obs_date", GOALS))
+
+
+# ---------------------------------------------------------------------------
+# sources and sinks (files written under the shared checkpoint folder)
+# ---------------------------------------------------------------------------
+
+from ..operators import linear as LN  # noqa: E402
+from ..operators import metrics as MT  # noqa: E402
+from ..operators import models as MD  # noqa: E402
+from ..session import ensure_checkpoint_dir, scratch_path  # noqa: E402
+from ..sources import stations as SS  # noqa: E402
+from .network import TARGETS as NN_TARGETS, network_features, network_table  # noqa: E402
+
+
+@register("read_stations", Q.with_ctes() .rstrip().rstrip(",") + "\n" +
+          f"SELECT {Q.sel(['series_id', 'obs_date'] + M)} FROM obs")
+def q_read_stations(spark, sf):
+    path = scratch_path(spark, "stations")
+    SS.write_station_files(station_obs(spark, sf), path)
+    return round_doubles(SS.read_station_files(spark, path))
+
+
+def _model_tables(spark, sf, shuffled: bool):
+    sup = _sup_rowid(spark, sf)
+    if shuffled:
+        sup = RW.shuffled_order(sup.withColumnRenamed("row_id", "sorted_id"), "sorted_id", 7, "row_id") \
+            .drop("sorted_id")
+    paths = SS.write_model_tables(sup, scratch_path(spark, "model_tables"), FEATS, GOALS, "obs_date")
+    return SS.read_model_tables(spark, paths)
+
+
+def _zip3(t):
+    return J.zip_tables(J.zip_tables(t["features"], t["goals"]), t["timings"])
+
+
+_SUP_ALL = ["row_id"] + FEATS + GOALS + ["obs_date"]
+
+
+@register("model_tables_sorted", _SUP_ROWID + f"SELECT {Q.sel(_SUP_ALL, keep=('row_id', 'obs_date'))} FROM supr")
+def q_model_tables_sorted(spark, sf):
+    return round_doubles(_zip3(_model_tables(spark, sf, False)))
+
+
+@register("model_tables_shuffled", _SUP_ROWID + "SELECT " +
+          Q.sel(FEATS + GOALS + ["obs_date"]) +
+          f", ROW_NUMBER() OVER (ORDER BY {Q.hash_sql(7, 'row_id')}, row_id) - 1 AS row_id FROM supr")
+def q_model_tables_shuffled(spark, sf):
+    return round_doubles(_zip3(_model_tables(spark, sf, True)))
+
+
+@register("zip_model_tables", _SUP_ROWID + f"SELECT row_id, {Q.sel(['obs_date'] + GOALS)} FROM supr")
+def q_zip_model_tables(spark, sf):
+    t = _model_tables(spark, sf, True)
+    y = J.zip_tables(t["goals"], t["timings"])  # J3: align on the shared row id
+    y = y.withColumnRenamed("row_id", "shuffled_id")
+    y = RW.add_row_id(y, ["obs_date", "shuffled_id"], "row_id")  # J4: reorder by the dates
+    return round_doubles(y.select("row_id", "obs_date", *GOALS))
+
+
+# ---------------------------------------------------------------------------
+# least squares
+# ---------------------------------------------------------------------------
+
+_GRAM_TERMS = ["1"] + FEATS + GOALS
+
+
+def _gram_sql() -> str:
+    parts = []
+    for i, a in enumerate(_GRAM_TERMS):
+        for b in _GRAM_TERMS[i:]:
+            ea = "1.0" if a == "1" else a
+            eb = "1.0" if b == "1" else b
+            parts.append(f"SELECT '{a}' AS term_a, '{b}' AS term_b, ROUND(SUM({ea} * {eb}), 2) AS value FROM sup")
+    return Q.with_ctes(*Q.supervised_ctes()) + " UNION ALL ".join(parts)
+
+
+@register("gram_sums", _gram_sql())
+def q_gram_sums(spark, sf):
+    g = LN.gram_long(_sup(spark, sf), FEATS, GOALS)
+    return g.withColumn("value", F.round("value", 2))
+
+
+def _ols1_sql() -> str:
+    parts = []
+    for t in C.targets:
+        for k in range(1, C.horizons + 1):
+            g = C.goal_name(t, k)
+            mk = f"model_lag{k}_{t}"
+            parts.append(f"SELECT '{mk}' AS model_key, 'intercept' AS term, ROUND(REGR_INTERCEPT({g}, R_{t}), 6) AS coef FROM sup")
+            parts.append(f"SELECT '{mk}' AS model_key, 'R_{t}' AS term, ROUND(REGR_SLOPE({g}, R_{t}), 6) AS coef FROM sup")
+    return Q.with_ctes(*Q.supervised_ctes()) + " UNION ALL ".join(parts)
+
+
+@register("ols_one_feature", _ols1_sql())
+def q_ols_one_feature(spark, sf):
+    sup = _sup(spark, sf).checkpoint()
+    out = None
+    for t in C.targets:
+        goals = {f"model_lag{k}_{t}": C.goal_name(t, k) for k in range(1, C.horizons + 1)}
+        m = LN.ols_models(sup, [f"R_{t}"], goals)
+        out = m if out is None else out.unionByName(m)
+    return round_doubles(out)
+
+
+def _split_sup(spark, sf):
+    ensure_checkpoint_dir(spark)
+    sup = RW.holdout_split(_sup_rowid(spark, sf), "row_id", 0.2, seed=0)
+    return sup.checkpoint()
+
+
+_MODEL_GOALS = {f"model_lag{k}_{t}": C.goal_name(t, k) for t in C.targets for k in range(1, C.horizons + 1)}
+
+
+@register("ols_models")
+def q_ols_models(spark, sf):
+    sup = _split_sup(spark, sf)
+    return LN.ols_models(sup, FEATS, _MODEL_GOALS, fit_filter=F.col("split") == "train")
+
+
+def _ols_predictions(spark, sf):
+    sup = _split_sup(spark, sf)
+    models = LN.ols_models(sup, FEATS, _MODEL_GOALS, fit_filter=F.col("split") == "train").checkpoint()
+    parts = [sup.select("row_id", "split", F.lit(mk).alias("model_key"), F.col(goal).alias("y"),
+                        LN.predict(sup, models, FEATS, mk).alias("p"))
+             for mk, goal in _MODEL_GOALS.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@register("ols_predictions")
+def q_ols_predictions(spark, sf):
+    return _ols_predictions(spark, sf)
+
+
+@register("ols_metrics")
+def q_ols_metrics(spark, sf):
+    return MT.regression_metrics(_ols_predictions(spark, sf), ["model_key", "split"], "y", "p")
+
+
+_SWEEP_GOALS = [(k, t, C.goal_name(t, k)) for k in range(1, C.horizons + 1) for t in C.targets]
+
+
+def _sweep(spark, sf):
+    from ..config import SWEEP_ITERATIONS, SWEEP_TEST_SIZES
+    ensure_checkpoint_dir(spark)
+    sup = _sup_rowid(spark, sf).checkpoint()
+    return LN.split_sweep(sup, "row_id", FEATS, _SWEEP_GOALS, SWEEP_ITERATIONS, list(SWEEP_TEST_SIZES))
+
+
+@register("split_sweep")
+def q_split_sweep(spark, sf):
+    return _sweep(spark, sf)
+
+
+@register("sweep_summary")
+def q_sweep_summary(spark, sf):
+    return ST.group_mean(_sweep(spark, sf), ["test_size", "target"], {"mse_avg": "mse_test"})
+
+
+@register("sweep_by_iteration")
+def q_sweep_by_iteration(spark, sf):
+    return ST.group_mean(_sweep(spark, sf), ["target", "iteration", "test_size"],
+                         {"mse_test": "mse_test", "r2_test": "r2_test"})
+
+
+@register("best_test_size")
+def q_best_test_size(spark, sf):
+    s = ST.group_mean(_sweep(spark, sf), ["test_size", "target"], {"mse_avg": "mse_test"})
+    overall = ST.arg_min(s, "mse_avg", "test_size", ["test_size", "target"]).withColumn("target", F.lit("*"))
+    per_target = s.groupBy("target").agg(
+        F.min_by("test_size", F.struct("mse_avg", "test_size")).alias("test_size"),
+        F.min("mse_avg").alias("mse_avg"))
+    return overall.unionByName(per_target)
+
+
+# ---------------------------------------------------------------------------
+# polynomial terms and other model families
+# ---------------------------------------------------------------------------
+
+
+
+def _poly_sql() -> str:
+    from itertools import combinations_with_replacement
+    cols = ["CAST(1.0 AS DOUBLE) AS t_bias"]
+    for d in (1, 2):
+        for combo in combinations_with_replacement(range(len(FEATS)), d):
+            expr = " * ".join(f"CAST({FEATS[i]} AS DOUBLE)" if j == 0 else FEATS[i] for j, i in enumerate(combo))
+            cols.append(f"ROUND({expr}, 6) AS t_{'_'.join(str(i) for i in combo)}")
+    return _SUP_ROWID + "SELECT row_id, " + ", ".join(cols) + " FROM supr"
+
+
+@register("poly_expand", _poly_sql())
+def q_poly_expand(spark, sf):
+    return round_doubles(MD.poly_expand(_sup_rowid(spark, sf), FEATS, 2, ["row_id"]))
+
+
+@register("poly_ols")
+def q_poly_ols(spark, sf):
+    return MD.fit_family(_split_sup(spark, sf), "split", FEATS, _MODEL_GOALS, "ols", degree=2)
+
+
+@register("degree_sweep")
+def q_degree_sweep(spark, sf):
+    sup = _split_sup(spark, sf)
+    out = None
+    for d in (1, 2, 3):
+        m = MD.fit_family(sup, "split", FEATS, _MODEL_GOALS, "ols", degree=d)
+        out = m if out is None else out.unionByName(m)
+    return out
+
+
+@register("tree_models")
+def q_tree_models(spark, sf):
+    sup = _split_sup(spark, sf)
+    out = None
+    for kind in ("tree", "forest", "gbt"):
+        m = MD.fit_family(sup, "split", FEATS, _MODEL_GOALS, kind, seed=42)
+        out = m if out is None else out.unionByName(m)
+    return out
+
+
+@register("ridge_lasso")
+def q_ridge_lasso(spark, sf):
+    sup = _split_sup(spark, sf)
+    a = MD.fit_family(sup, "split", FEATS, _MODEL_GOALS, "regularised", reg=0.1, elastic=0.0) \
+        .withColumn("family", F.lit("ridge"))
+    b = MD.fit_family(sup, "split", FEATS, _MODEL_GOALS, "regularised", reg=0.1, elastic=1.0) \
+        .withColumn("family", F.lit("lasso"))
+    return a.unionByName(b)
+
+
+def _nn(spark, sf):
+    ensure_checkpoint_dir(spark)
+    return network_table(station_obs(spark, sf), C).checkpoint()
+
+
+@register("multi_horizon")
+def q_multi_horizon(spark, sf):
+    t = _nn(spark, sf)
+    feats = network_features(t, C)
+    goals = {f"horizon_{k}": c for k, c in enumerate(NN_TARGETS, start=1)}
+    models = LN.ols_models(t, feats, goals, fit_filter=F.col("split") == "train").checkpoint()
+    parts = [t.select("split", F.lit(mk).alias("model_key"), F.col(g).alias("y"),
+                      LN.predict(t, models, feats, mk).alias("p")) for mk, g in goals.items()]
+    pred = parts[0]
+    for p in parts[1:]:
+        pred = pred.unionByName(p)
+    return MT.regression_metrics(pred, ["model_key", "split"], "y", "p")
+
+
+@register("dense_score")
+def q_dense_score(spark, sf):
+    from ..config import DENSE_LAYERS
+    t = _nn(spark, sf)
+    feats = network_features(t, C)
+    w = MD.dense_weights(len(feats), DENSE_LAYERS, seed=0)
+    return MD.dense_score(t, feats, ["row_id", "obs_date", "split"], w,
+                          [f"pred_day{k}" for k in range(1, 4)])
+
+
+# ---------------------------------------------------------------------------
+# evaluation on the prediction stand-in (orders: y = price / 1000)
+# ---------------------------------------------------------------------------
+
+_PRED_SQL = ("pred AS (SELECT o_orderkey, o_orderstatus, o_totalprice / 1000.0 AS y, "
+             "o_totalprice / 1000.0 + (o_orderkey % 21) - 10 + (o_orderkey % 13) / 13.0 AS p FROM orders)")
+
+
+def _pred(spark, sf):
+    o = spark.read.parquet(f"{sf}/orders.parquet")
+    y = F.col("o_totalprice") / F.lit(1000.0)
+    p = y + (F.col("o_orderkey") % 21) - 10 + (F.col("o_orderkey") % 13) / F.lit(13.0)
+    return o.select("o_orderkey", "o_orderstatus", y.alias("y"), p.alias("p"))
+
+
+def _pred_with(body: str) -> str:
+    return "WITH " + _PRED_SQL + "\n" + body
+
+
+@register("regression_metrics", _pred_with(
+    "SELECT o_orderstatus, CAST(COUNT(*) AS BIGINT) AS n, ROUND(AVG(POW(y - p, 2)), 6) AS mse, "
+    "ROUND(SQRT(AVG(POW(y - p, 2))), 6) AS rmse, "
+    "ROUND(CASE WHEN COUNT(y) * VAR_POP(y) = 0 THEN CASE WHEN SUM(POW(y - p, 2)) = 0 THEN 1.0 ELSE 0.0 END "
+    "ELSE 1.0 - SUM(POW(y - p, 2)) / (COUNT(y) * VAR_POP(y)) END, 6) AS r2 FROM pred GROUP BY o_orderstatus"))
+def q_regression_metrics(spark, sf):
+    return round_doubles(MT.regression_metrics(_pred(spark, sf), ["o_orderstatus"], "y", "p"))
+
+
+@register("penalised_mse", _pred_with(
+    "SELECT o_orderstatus, ROUND(AVG(CASE WHEN p < 0 THEN 10.0 * POW(y - p, 2) ELSE POW(y - p, 2) END), 6) "
+    "AS penalised_mse, ROUND(AVG(POW(y - p, 2)), 6) AS mse, "
+    "CAST(SUM(CASE WHEN p < 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_negative FROM pred GROUP BY o_orderstatus"))
+def q_penalised_mse(spark, sf):
+    from ..config import NEGATIVE_PENALTY
+    return round_doubles(MT.penalised_mse(_pred(spark, sf), ["o_orderstatus"], "y", "p", NEGATIVE_PENALTY))
+
+
+@register("error_outliers", _pred_with(
+    "SELECT o_orderkey, o_orderstatus, ROUND(y, 6) AS y, ROUND(p, 6) AS p, ROUND(ABS(p - y), 6) AS abs_error, "
+    "ROUND(t, 6) AS threshold FROM pred, (SELECT QUANTILE_CONT(ABS(p - y), 0.95) AS t FROM pred) q "
+    "WHERE ABS(p - y) > t"))
+def q_error_outliers(spark, sf):
+    return round_doubles(MT.error_outliers(_pred(spark, sf), "y", "p", 0.95))
+
+
+@register("actual_vs_predicted", _pred_with(
+    "SELECT o_orderkey, ROUND(y, 6) AS y, ROUND(p, 6) AS p, "
+    "(y BETWEEN -10 AND 25) AND (p BETWEEN -10 AND 25) AS in_range FROM pred"))
+def q_actual_vs_predicted(spark, sf):
+    x = _pred(spark, sf).select("o_orderkey", "y", "p")
+    return round_doubles(MT.actual_vs_predicted(x, "y", "p", (-10.0, 25.0), (-10.0, 25.0)))
+
+
+@register("axis_bound", _pred_with(
+    "SELECT o_orderstatus, ROUND(GREATEST(MAX(y), MAX(p)), 6) AS axis_max FROM pred GROUP BY o_orderstatus"))
+def q_axis_bound(spark, sf):
+    return round_doubles(_pred(spark, sf).groupBy("o_orderstatus").agg(
+        F.greatest(F.max("y"), F.max("p")).alias("axis_max")))
