@@ -23,7 +23,8 @@ def write_station_files(obs: DataFrame, path: str, series_col: str = "series_id"
     out = obs.select(F.col(series_col),
                      F.date_format(F.col(date_col), DATE_TEXT_FORMAT).alias(" " * pad + "DATE"),
                      *[F.col(c).alias(" " * pad + c) for c in cols])
-    out.write.mode("overwrite").partitionBy(series_col).option("header", True).csv(path)
+    out.write.mode("overwrite").partitionBy(series_col).option("header", True) \
+        .option("ignoreLeadingWhiteSpace", False).csv(path)
 
 
 def read_station_files(spark: SparkSession, path: str, series_col: str = "series_id",
