@@ -19,6 +19,7 @@ from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, LinearRe
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .metrics import regression_metrics
 
 
@@ -92,7 +93,7 @@ def fit_family(df: DataFrame, split_col: str, features: list[str], goals: dict[s
                 raise ValueError(kind)
             m = _fit_eval(train, test, est, fcol, goal,
                           {"model_key": key, "family": kind, "degree": degree})
-            m = m.checkpoint(eager=True)  # metrics are tiny; cut lineage before releasing the cache
+            m = cut_lineage(m)  # metrics are tiny; cut lineage before releasing the cache
             out = m if out is None else out.unionByName(m)
         return out
     finally:

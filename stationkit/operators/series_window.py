@@ -83,8 +83,10 @@ def _chunked_base(df: DataFrame, o: Ordering):
     keys = list(o.partition) + [_CHUNK]
     m = df.withColumn(_CHUNK, _chunk_expr(df, o))
     m = m.withColumn(_RN, F.row_number().over(_w(o, (_CHUNK,))))
-    counts = (df.withColumn(_CHUNK, _chunk_expr(df, o))
-              .groupBy(*keys).agg(F.count(F.lit(1)).alias(_CNT)))
+    # counts per chunk from the windowed frame itself: it is already
+    # partitioned by the chunk keys, so this aggregate needs no shuffle and
+    # the input's exchange is reused instead of computing the input twice
+    counts = m.groupBy(*keys).agg(F.max(_RN).cast("long").alias(_CNT))
     wp = Window.partitionBy(*[F.col(c) for c in o.partition]).orderBy(_CHUNK) \
         .rowsBetween(Window.unboundedPreceding, -1)
     offs = counts.withColumn(_OFF, F.coalesce(F.sum(_CNT).over(wp), F.lit(0)).cast("long"))

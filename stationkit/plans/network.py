@@ -18,6 +18,7 @@ from ..operators.impute import mean_impute, sentinel_mean_impute
 from ..operators.joins import join_series
 from ..operators.rows import add_row_id, chronological_split
 from ..operators.series_window import Ordering, shift_rows
+from ..session import cut_lineage
 
 TARGETS = [f"target_day{k}" for k in range(1, HORIZONS + 1)]
 
@@ -31,7 +32,9 @@ def network_table(obs: DataFrame, cfg: Config, target: str = "air_temp", lag_day
     wide = complete_rows(wide)
     num = [c for c in wide.columns if c != cfg.date_col]
     wide = sentinel_mean_impute(wide, num, cfg.sentinel)
-    wide = add_row_id(wide, [cfg.date_col], "row_id")
+    # one row per target day from here on: materialise it once so the
+    # position and shift steps below read it instead of re-running the joins
+    wide = cut_lineage(add_row_id(cut_lineage(wide), [cfg.date_col], "row_id"))
     o = Ordering(partition=(), order=("row_id",), mode="chunked")
     tcol = f"{cfg.target_series}_{target}"
     wide = shift_rows(wide, [(f"target_day{k}", tcol, k) for k in range(1, HORIZONS + 1)], o)

@@ -429,7 +429,7 @@ def q_goal_series_long(spark, sf):
 from ..operators import linear as LN  # noqa: E402
 from ..operators import metrics as MT  # noqa: E402
 from ..operators import models as MD  # noqa: E402
-from ..session import ensure_checkpoint_dir, scratch_path  # noqa: E402
+from ..session import cut_lineage, ensure_checkpoint_dir, scratch_path  # noqa: E402
 from ..sources import stations as SS  # noqa: E402
 from .network import TARGETS as NN_TARGETS, network_features, network_table  # noqa: E402
 
@@ -515,7 +515,7 @@ def _ols1_sql() -> str:
 
 @register("ols_one_feature", _ols1_sql())
 def q_ols_one_feature(spark, sf):
-    sup = _sup(spark, sf).checkpoint()
+    sup = cut_lineage(_sup(spark, sf))
     out = None
     for t in C.targets:
         goals = {f"model_lag{k}_{t}": C.goal_name(t, k) for k in range(1, C.horizons + 1)}
@@ -527,7 +527,7 @@ def q_ols_one_feature(spark, sf):
 def _split_sup(spark, sf):
     ensure_checkpoint_dir(spark)
     sup = RW.holdout_split(_sup_rowid(spark, sf), "row_id", 0.2, seed=0)
-    return sup.checkpoint()
+    return cut_lineage(sup)
 
 
 _MODEL_GOALS = {f"model_lag{k}_{t}": C.goal_name(t, k) for t in C.targets for k in range(1, C.horizons + 1)}
@@ -541,7 +541,7 @@ def q_ols_models(spark, sf):
 
 def _ols_predictions(spark, sf):
     sup = _split_sup(spark, sf)
-    models = LN.ols_models(sup, FEATS, _MODEL_GOALS, fit_filter=F.col("split") == "train").checkpoint()
+    models = cut_lineage(LN.ols_models(sup, FEATS, _MODEL_GOALS, fit_filter=F.col("split") == "train"))
     parts = [sup.select("row_id", "split", F.lit(mk).alias("model_key"), F.col(goal).alias("y"),
                         LN.predict(sup, models, FEATS, mk).alias("p"))
              for mk, goal in _MODEL_GOALS.items()]
@@ -567,7 +567,7 @@ _SWEEP_GOALS = [(k, t, C.goal_name(t, k)) for k in range(1, C.horizons + 1) for
 def _sweep(spark, sf):
     from ..config import SWEEP_ITERATIONS, SWEEP_TEST_SIZES
     ensure_checkpoint_dir(spark)
-    sup = _sup_rowid(spark, sf).checkpoint()
+    sup = cut_lineage(_sup_rowid(spark, sf))
     return LN.split_sweep(sup, "row_id", FEATS, _SWEEP_GOALS, SWEEP_ITERATIONS, list(SWEEP_TEST_SIZES))
 
 
@@ -655,7 +655,7 @@ def q_ridge_lasso(spark, sf):
 
 def _nn(spark, sf):
     ensure_checkpoint_dir(spark)
-    return network_table(station_obs(spark, sf), C).checkpoint()
+    return cut_lineage(network_table(station_obs(spark, sf), C))
 
 
 @register("multi_horizon")
@@ -663,7 +663,7 @@ def q_multi_horizon(spark, sf):
     t = _nn(spark, sf)
     feats = network_features(t, C)
     goals = {f"horizon_{k}": c for k, c in enumerate(NN_TARGETS, start=1)}
-    models = LN.ols_models(t, feats, goals, fit_filter=F.col("split") == "train").checkpoint()
+    models = cut_lineage(LN.ols_models(t, feats, goals, fit_filter=F.col("split") == "train"))
     parts = [t.select("split", F.lit(mk).alias("model_key"), F.col(g).alias("y"),
                       LN.predict(t, models, feats, mk).alias("p")) for mk, g in goals.items()]
     pred = parts[0]

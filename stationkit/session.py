@@ -56,3 +56,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if base.startswith("file:"):
         base = base[len("file:"):]
     return os.path.join(base, "tables", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def cut_lineage(df):
+    """Reliable checkpoint into the shared folder (never a local checkpoint):
+    later jobs read the written data, and a lost executor does not send
+    them back through the whole plan."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
