@@ -89,3 +89,90 @@ def minmax_scale(df: DataFrame, cols: list[str]) -> DataFrame:
         out[c] = F.when(hi == lo, F.when(F.col(c).isNotNull(), F.lit(0.0))).otherwise(
             (F.col(c) - lo) / (hi - lo))
     return df.withColumns(out)
+
+
+# --------------------------------------------------------------------------
+# Head-weighted fill (what the older notebook's cell loop computes)
+# --------------------------------------------------------------------------
+
+def _head_fill_plan(head: list, firsts: list, n_nonmissing: int, n: int, radius: int,
+                    decay: float, sentinel: float):
+    """Fill values of rows 0..2*radius (in order) and of every later row.
+
+    A missing cell at row r takes the first m non-missing values of the
+    column *as filled so far* (earlier rows already filled, later rows
+    original), weights them with exp(-decay*d) for the distances d of the
+    first m slots of its window r-radius..r+radius (clipped to the table), in
+    reversed order, and divides by the weight sum.  From row 2*radius+1 on the
+    first values are always the filled head, so only the window length
+    (shorter near the end) still varies: one value per length."""
+    span = 2 * radius + 1
+    head_n = min(span, n)
+    filled: list[float] = []
+    orig_pos = {p: v for p, v in firsts}
+    for r in range(head_n):
+        v = head[r]
+        if v != sentinel:
+            filled.append(v)
+            continue
+        later = [val for p, val in firsts if p > r]
+        n_later = n_nonmissing - sum(1 for p in orig_pos if p <= r)
+        count = r + n_later if (r > 0 and filled[0] != sentinel) else n_later
+        if count <= 0:
+            filled.append(sentinel)
+            continue
+        cur = [x for x in filled if x != sentinel] + later
+        start, end = max(0, r - radius), min(n, r + radius + 1)
+        d = [abs(i - r) for i in range(start, end)]
+        m = min(len(d), count)
+        w = [math.exp(-decay * x) for x in d[:m]]
+        filled.append(sum(cur[k] * w[m - 1 - k] for k in range(m)) / sum(w))
+    tail = {}
+    if n > span and filled and filled[0] != sentinel:
+        for length in range(radius + 1, span + 1):
+            d = [abs(i - radius) for i in range(span)][:length]
+            w = [math.exp(-decay * x) for x in d]
+            tail[length] = sum(filled[k] * w[length - 1 - k] for k in range(length)) / sum(w)
+    return filled, tail
+
+
+def head_weighted_fill(df: DataFrame, cols: list[str], row_id: str, sentinel: float = -999.0,
+                       radius: int = FILL_RADIUS, decay: float = FILL_DECAY) -> DataFrame:
+    """Fill sentinel cells as the older notebook's in-place loop does.
+
+    ``row_id`` is the 0-based global position.  Per column only the first
+    2*radius+1 rows and the first 2*(2*radius+1) non-missing values are read
+    back (one top-k job for all columns), so the work on the driver is
+    bounded by the column count; the fill itself is a column expression.
+    A column without any non-missing value keeps the sentinel."""
+    from functools import reduce
+
+    span = 2 * radius + 1
+    stats = df.agg(F.count(F.lit(1)).alias("_n"),
+                   *[F.count_if(F.col(c) != F.lit(sentinel)).alias(c) for c in cols]).collect()[0]
+    n = stats["_n"]
+    head_rows = {r[row_id]: r for r in df.where(F.col(row_id) < span).select(row_id, *cols).collect()}
+    tops = reduce(lambda a, b: a.unionByName(b), [
+        df.where(F.col(c) != F.lit(sentinel)).select(F.lit(c).alias("c"), F.col(row_id).alias("p"),
+                                                     F.col(c).cast("double").alias("v"))
+        .orderBy("p").limit(2 * span) for c in cols])
+    firsts: dict[str, list] = {c: [] for c in cols}
+    for r in tops.collect():
+        firsts[r["c"]].append((r["p"], r["v"]))
+    out = {}
+    rid = F.col(row_id)
+    for c in cols:
+        head = [float(head_rows[i][c]) if i in head_rows else sentinel for i in range(min(span, n))]
+        filled, tail = _head_fill_plan(head, sorted(firsts[c]), stats[c], n, radius, decay, sentinel)
+        expr = F.col(c)
+        if filled:
+            arr = F.array(*[F.lit(float(v)) for v in filled])
+            head_val = F.element_at(arr, (rid + 1).cast("int"))
+            length = F.least(F.lit(span), F.lit(n) - rid + radius).cast("int")
+            tail_val = F.lit(None).cast("double")
+            for L, v in tail.items():
+                tail_val = F.when(length == L, F.lit(v)).otherwise(tail_val)
+            fill = F.when(rid < span, head_val).otherwise(F.coalesce(tail_val, F.lit(sentinel)))
+            expr = F.when(F.col(c) == F.lit(sentinel), fill).otherwise(F.col(c))
+        out[c] = expr
+    return df.withColumns(out)

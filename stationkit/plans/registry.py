@@ -740,3 +740,13 @@ def q_actual_vs_predicted(spark, sf):
 def q_axis_bound(spark, sf):
     return round_doubles(_pred(spark, sf).groupBy("o_orderstatus").agg(
         F.greatest(F.max("y"), F.max("p")).alias("axis_max")))
+
+
+@register("head_weighted_fill")
+def q_head_weighted_fill(spark, sf):
+    """W6 on the older notebook's table: the three stations joined on the
+    date with sentinels kept, in date order."""
+    raw = J.join_series(station_obs(spark, sf), "series_id", "obs_date", ["N", "A", "R"], "inner", cols=M)
+    wide = cut_lineage(RW.add_row_id(raw, ["obs_date"]))
+    cols = [c for c in wide.columns if c not in ("obs_date", "row_id")]
+    return round_doubles(IM.head_weighted_fill(wide, cols, "row_id", C.sentinel))
