@@ -1,12 +1,13 @@
 """Least squares from Gram sums (M1-M4, M11 support, E1-E3 from sums).
 
-``X'X``, ``X'y``, ``y'y``, ``sum x``, ``sum y`` and ``n`` are sums, so they are
-computed with partial aggregation on every executor and only one small row
-per group reaches the solve.  Many fits that share X (all goals, all
-iterations and test sizes of the sweep) come out of one scan.  Columns are
-centred by their global means (scalar subqueries) first to limit
-cancellation.  Solves are tiny (features^2) and run in ``applyInPandas``,
-one group per fit family, with a least-norm solve when X is singular.
+``X'X``, ``X'y``, ``y'y``, ``sum x``, ``sum y`` and ``n`` are sums: every task
+adds up its batches (``functions/moments.gram_parts``) and a grouped sum
+combines the tasks, so only terms^2 numbers per group reach the solve.
+Many fits that share X (all goals, all iterations and test sizes of the
+sweep) come out of one scan.  Columns are centred by their means (scalar
+subqueries) first to limit cancellation.  Solves are tiny (features^2) and
+run in ``applyInPandas``, one group per fit family, with a least-norm solve
+when X is singular.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.moments import gram_parts
 from ..functions.scalars import scalar_aggs
 from .rows import hash32
 
@@ -26,57 +28,28 @@ def _terms(features: list[str], goals: list[str]) -> list[str]:
     return ["1"] + list(features) + list(goals)
 
 
-def _pair_name(i: int, j: int) -> str:
-    return f"g_{i}_{j}"
-
-
-def gram_aggs(features: list[str], goals: list[str], centre: dict | None = None):
-    """Aggregate expressions for the upper triangle of [1, x, y]' [1, x, y]."""
-    terms = _terms(features, goals)
-    cols = []
-    for t in terms:
-        if t == "1":
-            cols.append(F.lit(1.0))
-        else:
-            c = F.col(t).cast("double")
-            if centre is not None:
-                c = c - centre[t]
-            cols.append(c)
-    aggs = []
-    for i in range(len(terms)):
-        for j in range(i, len(terms)):
-            aggs.append(F.sum(cols[i] * cols[j]).alias(_pair_name(i, j)))
-    return aggs
-
-
-def gram_table(df: DataFrame, features: list[str], goals: list[str], by: list[str] | None = None,
-               centred: bool = True) -> DataFrame:
-    """One row per group with all Gram sums; ``g_0_0`` is the row count."""
-    centre = scalar_aggs(df, {t: F.avg(F.col(t).cast("double")) for t in features + goals}) \
-        if centred else None
-    if by:
-        return df.groupBy(*by).agg(*gram_aggs(features, goals, centre))
-    return df.agg(*gram_aggs(features, goals, centre))
+def _centred(df: DataFrame, cols: list[str], centre: dict) -> DataFrame:
+    return df.select("*", *[(F.col(c).cast("double") - centre[c]).alias(f"_c_{k}")
+                            for k, c in enumerate(cols)])
 
 
 def gram_long(df: DataFrame, features: list[str], goals: list[str]) -> DataFrame:
     """Uncentred Gram sums in long form ``(term_a, term_b, value)`` (M1 data)."""
-    g = gram_table(df, features, goals, centred=False)
     terms = _terms(features, goals)
-    pairs = [(i, j) for i in range(len(terms)) for j in range(i, len(terms))]
-    return g.select(F.explode(F.array(*[
-        F.struct(F.lit(terms[i]).alias("term_a"), F.lit(terms[j]).alias("term_b"),
-                 F.col(_pair_name(i, j)).alias("value")) for i, j in pairs])).alias("x")) \
-        .select("x.term_a", "x.term_b", "x.value")
+    g = gram_parts(df, features + goals)
+    names = F.array(*[F.lit(t) for t in terms])
+    return g.select(F.element_at(names, F.col("i") + 1).alias("term_a"),
+                    F.element_at(names, F.col("j") + 1).alias("term_b"), "value")
 
 
-def unpack(row, n_terms: int) -> np.ndarray:
+def to_matrix(rows, n_terms: int) -> np.ndarray:
+    """Symmetric Gram matrix from long ``(i, j, value)`` rows (pandas frame)."""
     G = np.zeros((n_terms, n_terms))
-    for i in range(n_terms):
-        for j in range(i, n_terms):
-            v = row[_pair_name(i, j)]
-            v = 0.0 if v is None or (isinstance(v, float) and math.isnan(v)) else float(v)
-            G[i, j] = G[j, i] = v
+    i = rows["i"].to_numpy(int)
+    j = rows["j"].to_numpy(int)
+    v = rows["value"].to_numpy(float)
+    G[i, j] = v
+    G[j, i] = v
     return G
 
 
@@ -124,8 +97,8 @@ SWEEP_SCHEMA = ("iteration int, lag int, target string, test_size double, mse_tr
                 "mse_test double, r2_train double, r2_test double")
 
 
-def _band_thresholds(df: DataFrame, key: str, iterations: int, sizes: list[float], n: int,
-                     bits: int = 16) -> dict:
+def _band_thresholds(df: DataFrame, key: str, iterations: int, sizes: list[float],
+                     bits: int = 16) -> tuple[dict, int]:
     """Threshold key (hash, key) per (iteration, size): the ceil(f*n)-th
     smallest (hash_i, key).  Two jobs for all of them: bucket counts on the
     hash prefix, then a rank inside each boundary bucket only."""
@@ -138,6 +111,7 @@ def _band_thresholds(df: DataFrame, key: str, iterations: int, sizes: list[float
     counts = {}
     for r in exp.groupBy("i", "b").count().collect():
         counts.setdefault(r["i"], []).append((r["b"], r["count"]))
+    n = sum(c for _, c in counts.get(0, []))
     want = []  # (i, f_idx, bucket, need)
     for i in range(iterations):
         cs = sorted(counts.get(i, []))
@@ -150,14 +124,14 @@ def _band_thresholds(df: DataFrame, key: str, iterations: int, sizes: list[float
                     break
                 cum += c
     if not want:
-        return {}
+        return {}, n
     spark = df.sparkSession
     wdf = spark.createDataFrame(want, "i int, fi int, b long, need long")
     from pyspark.sql import Window
     cand = exp.join(F.broadcast(wdf), ["i", "b"])  # want has iterations*sizes rows
     w = Window.partitionBy("i", "fi").orderBy("h", "k")
     hit = cand.withColumn("r", F.row_number().over(w)).where(F.col("r") == F.col("need"))
-    return {(r["i"], r["fi"]): (r["h"], r["k"]) for r in hit.select("i", "fi", "h", "k").collect()}
+    return {(r["i"], r["fi"]): (r["h"], r["k"]) for r in hit.select("i", "fi", "h", "k").collect()}, n
 
 
 def split_sweep(df: DataFrame, key: str, features: list[str], goals: list[tuple[int, str, str]],
@@ -167,33 +141,33 @@ def split_sweep(df: DataFrame, key: str, features: list[str], goals: list[tuple[
 
     ``goals`` is a list of ``(lag, target, column)``.  Test sets of one
     iteration are nested (same hash order, growing threshold), so each row
-    is tagged with the smallest size whose test set holds it ("band"); Gram
-    sums per (iteration, band) then add up to every test Gram, and
-    train = total - test."""
-    n = df.count()
-    thr = _band_thresholds(df, key, iterations, sizes, n)
+    gets one band tag per iteration: the smallest size whose test set holds
+    it.  Gram sums per (iteration, band) then add up to every test Gram,
+    and train = total - test."""
+    thr, n = _band_thresholds(df, key, iterations, sizes)
     goal_cols = [g[2] for g in goals]
-    centre = scalar_aggs(df, {t: F.avg(F.col(t).cast("double")) for t in features + goal_cols})
-    h_cols = {i: hash32(i, key) for i in range(iterations)}
-    rows = []
+    cols = features + goal_cols
+    centre = scalar_aggs(df, {t: F.avg(F.col(t).cast("double")) for t in cols})
+    bands = []
     for i in range(iterations):
+        h = hash32(i, key)
         band = F.lit(len(sizes))
         for fi in reversed(range(len(sizes))):
             if (i, fi) not in thr:
                 continue
             th, tk = thr[(i, fi)]
-            inside = (h_cols[i] < F.lit(th)) | ((h_cols[i] == F.lit(th)) & (F.col(key) <= F.lit(tk)))
+            inside = (h < F.lit(th)) | ((h == F.lit(th)) & (F.col(key) <= F.lit(tk)))
             band = F.when(inside, F.lit(fi)).otherwise(band)
-        rows.append(F.struct(F.lit(i).alias("iteration"), band.alias("band")))
-    x = df.select("*", F.explode(F.array(*rows)).alias("_it")).select("*", "_it.iteration", "_it.band")
-    grams = x.groupBy("iteration", "band").agg(*gram_aggs(features, goal_cols, centre))
-    p, nt = len(features), 1 + len(features) + len(goal_cols)
+        bands.append(band.cast("long").alias(f"_b{i}"))
+    x = _centred(df.select(*cols, *bands), cols, centre)
+    grams = gram_parts(x, [f"_c_{k}" for k in range(len(cols))], tags=[f"_b{i}" for i in range(iterations)])
+    p, nt = len(features), 1 + len(cols)
     sizes_l = list(sizes)
     goals_l = list(goals)
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        it = int(pdf["iteration"].iloc[0])
-        by_band = {int(r["band"]): unpack(r, nt) for _, r in pdf.iterrows()}
+        it = int(pdf["tag"].iloc[0])
+        by_band = {int(b): to_matrix(g, nt) for b, g in pdf.groupby("tag_value")}
         total = sum(by_band.values())
         out = []
         test = np.zeros((nt, nt))
@@ -209,7 +183,7 @@ def split_sweep(df: DataFrame, key: str, features: list[str], goals: list[tuple[
         return pd.DataFrame(out, columns=["iteration", "lag", "target", "test_size", "mse_train",
                                           "mse_test", "r2_train", "r2_test"])
 
-    return grams.groupBy("iteration").applyInPandas(fit, SWEEP_SCHEMA)
+    return grams.groupBy("tag").applyInPandas(fit, SWEEP_SCHEMA)
 
 
 # --------------------------------------------------------------------------
@@ -226,24 +200,29 @@ def ols_models(df: DataFrame, features: list[str], goals: dict[str, str],
     ``fit_filter`` restricts the fitting rows (e.g. the train split)."""
     fit_rows = df.where(fit_filter) if fit_filter is not None else df
     goal_cols = list(goals.values())
-    # centre on the fitting rows' means (scalar subquery), carried along in
-    # the Gram row so the intercept can be moved back
-    centre = scalar_aggs(fit_rows, {t: F.avg(F.col(t).cast("double")) for t in features + goal_cols})
-    g = fit_rows.agg(*gram_aggs(features, goal_cols, centre)) \
-        .select("*", *[centre[t].alias(f"_c{i}") for i, t in enumerate(features + goal_cols)]) \
-        .withColumn("_grp", F.lit(0))
+    cols = list(features) + goal_cols
+    # centre on the fitting rows' means (scalar subquery); the centre values
+    # travel as extra rows (i = -1) so the intercept can be moved back
+    centre = scalar_aggs(fit_rows, {t: F.avg(F.col(t).cast("double")) for t in cols})
+    x = _centred(fit_rows, cols, centre)
+    g = gram_parts(x, [f"_c_{k}" for k in range(len(cols))])
+    cen = fit_rows.sparkSession.range(1).select(F.explode(F.array(*[
+        F.struct(F.lit(-1).alias("i"), F.lit(k).alias("j"), centre[t].alias("value"))
+        for k, t in enumerate(cols)])).alias("c")).select("c.*")
+    g = g.unionByName(cen).withColumn("_grp", F.lit(0))
     p, nt = len(features), 1 + len(features) + len(goal_cols)
     keys = list(goals.keys())
     feats = list(features)
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        row = pdf.iloc[0]
-        G = unpack(row, nt)
-        cx = np.array([row[f"_c{i}"] for i in range(p)], dtype=float)
+        cen_rows = pdf[pdf["i"] < 0].sort_values("j")
+        G = to_matrix(pdf[pdf["i"] >= 0], nt)
+        cvals = cen_rows["value"].to_numpy(float)
+        cx = cvals[:p]
         out = []
         for k, mk in enumerate(keys):
             w = solve(G, p, k)
-            cy = float(row[f"_c{p + k}"])
+            cy = float(cvals[p + k])
             a = float(w[0]) + cy - float(cx @ w[1:])
             out.append((mk, "intercept", a))
             for t, c in zip(feats, w[1:]):

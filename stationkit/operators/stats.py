@@ -1,8 +1,7 @@
 """Statistics.
 
-Correlations are one aggregate pass over all column pairs (partial
-aggregation on every executor, a single small row at the end), unpivoted to
-long form.  Histograms use scalar-subquery bounds and one grouped count.
+Correlations are one pass: per-batch pairwise moment sums, added up by a
+grouped sum (one row per column pair).  Histograms use scalar-subquery bounds and one grouped count.
 The exact quantile narrows equal-width bucket counts to the wanted rank, so
 neither one task nor the driver ever holds all values.
 """
@@ -14,41 +13,37 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.moments import pairwise_moments
 from ..functions.scalars import scalar_aggs
 
 
-def _guarded_corr(a: str, b: str) -> Column:
-    """Pearson r over rows where both are present; null when either side is
-    constant (Spark's ``corr`` raises under ANSI there, pandas gives NaN)."""
-    ca, cb = F.col(a), F.col(b)
-    a2 = F.when(cb.isNotNull(), ca)
-    b2 = F.when(ca.isNotNull(), cb)
-    den = F.sqrt(F.var_pop(a2) * F.var_pop(b2))
-    return F.try_divide(F.covar_pop(ca, cb), F.when(den > 0, den))
-
-
 def corr_long(df: DataFrame, left: list[str], right: list[str] | None = None,
               upper_only: bool = True) -> DataFrame:
-    """A1/A2: pairwise Pearson correlation as ``(col_a, col_b, corr, n_pairs)``.
+    """A1/A2: pairwise Pearson correlation as ``(col_a, col_b, corr, n_pairs)``,
+    each pair over the rows where both are present (pandas' rule).
 
     With ``right=None`` all pairs a <= b of ``left`` (A1); otherwise
-    ``left x right`` (A2, the matrix cut to the goal columns)."""
-    pairs = []
+    ``left x right`` (A2, the matrix cut to the goal columns).  Columns are
+    shifted by their minimum (exact for a constant column, which then gives
+    a null correlation, not an error) and the pairwise moment sums come from
+    per-batch matrix products (``functions/moments``)."""
     if right is None:
-        for i, a in enumerate(left):
-            for b in left[i if upper_only else 0:]:
-                pairs.append((a, b))
+        pairs = [(a, b) for i, a in enumerate(left) for b in left[i if upper_only else 0:]]
     else:
         pairs = [(a, b) for a in left for b in right]
-    aggs = []
-    for i, (a, b) in enumerate(pairs):
-        aggs.append(F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
-                             _guarded_corr(a, b).alias("corr"),
-                             F.count_if(F.col(a).isNotNull() & F.col(b).isNotNull()).alias("n_pairs")
-                             ).alias(f"p{i}"))
-    wide = df.agg(*aggs)
-    return wide.select(F.explode(F.array(*[F.col(f"p{i}") for i in range(len(pairs))])).alias("x")) \
-        .select("x.col_a", "x.col_b", "x.corr", "x.n_pairs")
+    cols = list(dict.fromkeys([c for p in pairs for c in p]))
+    lo = scalar_aggs(df, {c: F.min(F.col(c).cast("double")) for c in cols})
+    x = df.select(*[(F.col(c).cast("double") - lo[c]).alias(c) for c in cols])
+    m = pairwise_moments(x, cols, pairs)
+    n = F.col("n")
+    ma, mb = F.col("sa") / n, F.col("sb") / n
+    va = F.col("saa") / n - ma * ma
+    vb = F.col("sbb") / n - mb * mb
+    cov = F.col("sab") / n - ma * mb
+    # a variance that is only rounding noise of identical values counts as zero
+    ok = (n > 0) & (va > F.lit(1e-12) * F.col("saa") / n) & (vb > F.lit(1e-12) * F.col("sbb") / n)
+    return m.select("col_a", "col_b", F.when(ok, cov / F.sqrt(va * vb)).alias("corr"),
+                    n.cast("long").alias("n_pairs"))
 
 
 def histogram(df: DataFrame, cols: list[str], bins: int = 100) -> DataFrame:
