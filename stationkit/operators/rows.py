@@ -48,15 +48,19 @@ def chronological_split(df: DataFrame, row_id: str, train_fraction: float,
     return df.withColumn(name, F.when(F.col(row_id) < F.lit(cut), F.lit("train")).otherwise(F.lit("test")))
 
 
-def _threshold_key(df: DataFrame, h: str, key: str, k: int, bits: int) -> tuple[int, int] | None:
+def _bucket_counts(df: DataFrame, h: str, bits: int) -> list[tuple[int, int]]:
+    b = F.shiftright(F.col(h), 32 - bits)
+    return sorted((r[0], r[1]) for r in df.groupBy(b.alias("b")).count().collect())
+
+
+def _threshold_key(df: DataFrame, h: str, key: str, k: int, bits: int,
+                   counts: list[tuple[int, int]]) -> tuple[int, int] | None:
     """(h, key) of the k-th smallest row (1-based) by (h, key), found from
     hash-prefix bucket counts (at most 2**bits rows to the driver) and one
     ordered pass over the single boundary bucket."""
     if k <= 0:
         return None
-    shift = 32 - bits
-    b = F.shiftright(F.col(h), shift)
-    counts = sorted((r[0], r[1]) for r in df.groupBy(b.alias("b")).count().collect())
+    b = F.shiftright(F.col(h), 32 - bits)
     cum = 0
     for bucket, c in counts:
         if cum + c >= k:
@@ -69,15 +73,16 @@ def _threshold_key(df: DataFrame, h: str, key: str, k: int, bits: int) -> tuple[
 
 
 def holdout_split(df: DataFrame, key: str, test_fraction: float, seed: int | str = 0,
-                  n: int | None = None, name: str = "split", bits: int = 16) -> DataFrame:
+                  name: str = "split", bits: int = 16) -> DataFrame:
     """Exact random hold-out.  ``ceil(f * n)`` rows with the smallest
     ``(hash(seed, key), key)`` are test, as many as scikit-learn's split
-    takes; the split is a column, so aligned tables share it."""
-    if n is None:
-        n = df.count()
-    n_test = int(math.ceil(test_fraction * n))
+    takes; the split is a column, so aligned tables share it.  Two small
+    jobs find the threshold (the row count comes from the bucket counts)."""
     x = df.withColumn("_hs", hash32(seed, key))
-    thr = _threshold_key(x, "_hs", key, n_test, bits)
+    counts = _bucket_counts(x, "_hs", bits)
+    n = sum(c for _, c in counts)
+    n_test = int(math.ceil(test_fraction * n))
+    thr = _threshold_key(x, "_hs", key, n_test, bits, counts)
     if thr is None:
         return x.withColumn(name, F.lit("train")).drop("_hs")
     th, tk = thr

@@ -52,17 +52,16 @@ def histogram(df: DataFrame, cols: list[str], bins: int = 100) -> DataFrame:
     ``(column_name, bin, lo, hi, n)``."""
     bounds = scalar_aggs(df, {f"{p}_{c}": (F.min(c) if p == "lo" else F.max(c))
                               for c in cols for p in ("lo", "hi")})
-    longs = []
+    # one pass: every row contributes one (column, bin) cell per column
+    cells = []
     for c in cols:
         lo, hi = bounds[f"lo_{c}"], bounds[f"hi_{c}"]
         width = (hi - lo) / F.lit(float(bins))
         b = F.when(hi == lo, F.lit(0)).otherwise(
             F.least(F.floor((F.col(c) - lo) / width), F.lit(bins - 1))).cast("int")
-        longs.append(df.where(F.col(c).isNotNull()).select(F.lit(c).alias("column_name"), b.alias("bin")))
-    counted = longs[0]
-    for x in longs[1:]:
-        counted = counted.unionByName(x)
-    counted = counted.groupBy("column_name", "bin").agg(F.count(F.lit(1)).alias("n"))
+        cells.append(F.when(F.col(c).isNotNull(), F.struct(F.lit(c).alias("column_name"), b.alias("bin"))))
+    counted = (df.select(F.explode(F.array(*cells)).alias("x")).where(F.col("x").isNotNull())
+               .groupBy("x.column_name", "x.bin").agg(F.count(F.lit(1)).alias("n")))
     # all (column, bin) cells, so empty bins appear with n = 0
     grid = df.sparkSession.createDataFrame([(c,) for c in cols], "column_name string") \
         .select("column_name", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))

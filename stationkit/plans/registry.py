@@ -21,6 +21,7 @@ from ..operators import joins as J
 from ..operators import rows as RW
 from ..operators import shift as SH
 from ..operators import stats as ST
+from ..session import cut_lineage
 from ..sources.fixtures import station_obs
 from . import sqltext as Q
 from .supervised import supervised_table
@@ -95,6 +96,15 @@ def q_complete_rows(spark, sf):
     return round_doubles(CL.complete_rows(_clean(spark, sf)))
 
 
+@register("drop_sentinel_rows", Q.with_ctes() .rstrip().rstrip(",") + "\n" +
+          f"SELECT {Q.sel(['series_id', 'obs_date'] + M)} FROM obs WHERE " +
+          " AND ".join(f"{m} <> -999" for m in M))
+def q_drop_sentinel_rows(spark, sf):
+    """rows holding a sentinel anywhere are dropped (sentinel -> null, then
+    complete rows)."""
+    return round_doubles(CL.complete_rows(CL.sentinel_to_null(station_obs(spark, sf), M, C.sentinel)))
+
+
 @register("date_roundtrip", Q.with_ctes(Q.clean_cte()) +
           "SELECT series_id, obs_date, strftime(obs_date, '%d.%m.%Y') AS date_text, "
           "CAST(strptime(strftime(obs_date, '%d.%m.%Y'), '%d.%m.%Y') AS DATE) AS parsed_date FROM clean")
@@ -257,13 +267,50 @@ def q_interpolate_many(spark, sf):
     return round_doubles(IM.interpolate_linear(_clean(spark, sf, many=True), _IP, SH.ordering(C)))
 
 
+# the skew-safe strategy, forced with 30-day chunks, checked against the same SQL
+_CHUNKED = Config(chunk_days=30)
+
+
+@register("interpolate_chunked", _interp_sql())
+def q_interpolate_chunked(spark, sf):
+    o = SH.ordering(_CHUNKED, mode="chunked")
+    return round_doubles(IM.interpolate_linear(_clean(spark, sf), _IP, o))
+
+
+@register("interpolate_many_chunked", _interp_sql(many=True))
+def q_interpolate_many_chunked(spark, sf):
+    o = SH.ordering(_CHUNKED, mode="chunked")
+    return round_doubles(IM.interpolate_linear(_clean(spark, sf, many=True), _IP, o))
+
+
 @register("future_targets_many", Q.with_ctes(Q.clean_cte(), Q.future_cte("clean", "f"), many=True) +
           f"SELECT {Q.sel(['series_id', 'obs_date'] + M + _FUT)} FROM f")
 def q_future_targets_many(spark, sf):
     return round_doubles(SH.future_targets(_clean(spark, sf, many=True), C))
 
 
-def _lw_sql() -> str:
+@register("future_targets_chunked", Q.with_ctes(Q.clean_cte(), Q.future_cte("clean", "f"), many=True) +
+          f"SELECT {Q.sel(['series_id', 'obs_date'] + M + _FUT)} FROM f")
+def q_future_targets_chunked(spark, sf):
+    return round_doubles(SH.future_targets(_clean(spark, sf, many=True), C,
+                                           SH.ordering(_CHUNKED, mode="chunked")))
+
+
+@register("past_features_chunked", Q.with_ctes(Q.clean_cte()) +
+          "SELECT " + Q.sel(["series_id", "obs_date"] + M) + ", " +
+          ", ".join(f"ROUND(LAG({f}, {k}) OVER w, 6) AS {f}_past_{k}Day" for k in range(1, 3) for f in C.features) +
+          f" FROM clean {W_SERIES}")
+def q_past_features_chunked(spark, sf):
+    cfg = Config(past_days=2, chunk_days=30)
+    return round_doubles(SH.past_features(_clean(spark, sf), cfg, SH.ordering(cfg, mode="chunked")))
+
+
+@register("supervised_table_chunked", Q.supervised_sql())
+def q_supervised_table_chunked(spark, sf):
+    return round_doubles(supervised_table(station_obs(spark, sf), _CHUNKED, mode="chunked"))
+
+
+def _lw_sql(many: bool = False) -> str:
     cols = ["air_temp", "precip"]
     parts = []
     for c in cols:
@@ -277,7 +324,7 @@ def _lw_sql() -> str:
             den = f"({den} + CASE WHEN {v} IS NOT NULL THEN {w} ELSE 0.0 END)"
         parts.append(f"ROUND(CASE WHEN {c} IS NOT NULL THEN {c} WHEN {den} > 0 THEN {num} / {den} END, 6) AS {c}")
     rest = [m for m in M if m not in cols]
-    return (Q.with_ctes(Q.clean_cte()) + "SELECT series_id, obs_date, " + ", ".join(parts) + ", " +
+    return (Q.with_ctes(Q.clean_cte(), many=many) + "SELECT series_id, obs_date, " + ", ".join(parts) + ", " +
             Q.sel(rest) + f" FROM clean {W_SERIES}")
 
 
@@ -286,6 +333,23 @@ def q_local_weighted_fill(spark, sf):
     return round_doubles(IM.local_weighted_fill(_clean(spark, sf), ["air_temp", "precip"], SH.ordering(C)))
 
 
+def _lw_many_sql() -> str:
+    return _lw_sql(many=True)
+
+
+@register("local_weighted_fill_many", _lw_sql(many=True))
+def q_local_weighted_fill_many(spark, sf):
+    return round_doubles(IM.local_weighted_fill(_clean(spark, sf, many=True), ["air_temp", "precip"],
+                                                SH.ordering(C)))
+
+
+@register("mean_impute_many", Q.with_ctes(Q.clean_cte(), many=True) + "SELECT series_id, obs_date, " +
+          ", ".join(f"ROUND(COALESCE({m}, AVG({m}) OVER (PARTITION BY series_id)), 6) AS {m}" for m in M) +
+          " FROM clean")
+def q_mean_impute_many(spark, sf):
+    return round_doubles(IM.mean_impute(_clean(spark, sf, many=True), M, by=["series_id"]))
+
+
 @register("mean_impute", Q.with_ctes(Q.clean_cte()) + "SELECT series_id, obs_date, " +
           ", ".join(f"ROUND(COALESCE({m}, AVG({m}) OVER (PARTITION BY series_id)), 6) AS {m}" for m in M) +
           " FROM clean")
@@ -333,7 +397,7 @@ def q_stride_sample(spark, sf):
           f"SELECT row_id, obs_date, CASE WHEN ROW_NUMBER() OVER (ORDER BY {Q.hash_sql(0, 'row_id')}, row_id) "
           "<= CEIL(CAST(0.2 AS DOUBLE) * COUNT(*) OVER ()) THEN 'test' ELSE 'train' END AS split FROM supr")
 def q_holdout_split(spark, sf):
-    x = _sup_rowid(spark, sf).select("row_id", "obs_date")
+    x = cut_lineage(_sup_rowid(spark, sf).select("row_id", "obs_date"))  # read by three jobs
     return RW.holdout_split(x, "row_id", 0.2, seed=0)
 
 
@@ -412,7 +476,8 @@ def _hist_sql() -> str:
 
 @register("histogram_100", _hist_sql())
 def q_histogram_100(spark, sf):
-    return round_doubles(ST.histogram(_sup(spark, sf), _HIST_COLS, HIST_BINS))
+    # bounds and bin counts are two passes over the same input: write it once
+    return round_doubles(ST.histogram(cut_lineage(_sup(spark, sf)), _HIST_COLS, HIST_BINS))
 
 
 @register("goal_series_long", Q.with_ctes(*Q.supervised_ctes()) + " UNION ALL ".join(
@@ -525,8 +590,7 @@ def q_ols_one_feature(spark, sf):
 
 
 def _split_sup(spark, sf):
-    ensure_checkpoint_dir(spark)
-    sup = RW.holdout_split(_sup_rowid(spark, sf), "row_id", 0.2, seed=0)
+    sup = RW.holdout_split(cut_lineage(_sup_rowid(spark, sf)), "row_id", 0.2, seed=0)
     return cut_lineage(sup)
 
 
@@ -587,6 +651,12 @@ def q_sweep_by_iteration(spark, sf):
                          {"mse_test": "mse_test", "r2_test": "r2_test"})
 
 
+@register("sweep_target_filter")
+def q_sweep_target_filter(spark, sf):
+    """the sweep rows of one target."""
+    return _sweep(spark, sf).where(F.col("target") == F.lit("air_temp"))
+
+
 @register("best_test_size")
 def q_best_test_size(spark, sf):
     s = ST.group_mean(_sweep(spark, sf), ["test_size", "target"], {"mse_avg": "mse_test"})
