@@ -49,18 +49,11 @@ def pivot_series(long_df: DataFrame, series_col: str, date_col: str, series: lis
     dates missing from any series are removed, which this does.
     """
     g = long_df.where(F.col(series_col).isin(series)).groupBy(date_col).pivot(series_col, series)
-    wide = g.agg(*[F.first(c, ignorenulls=False).alias(c) for c in cols] +
-                 [F.count(F.lit(1)).alias("_n")])
-    rename = {}
-    for s in series:
-        for c in cols:
-            rename[f"{s}_{c}"] = F.col(f"`{s}_{c}`") if len(cols) > 1 else F.col(f"`{s}`")
-    present = reduce(lambda a, b: a & b, [F.col(f"`{s}__n`").isNotNull() for s in series]) \
-        if len(cols) > 1 else None
-    out = wide
-    if present is not None:
-        out = out.where(present)
-    return out.select(date_col, *[v.alias(k) for k, v in rename.items()])
+    # pivot names each cell "{series}_{alias}"; "_n" counts a series' rows per date
+    wide = g.agg(*[F.first(c).alias(c) for c in cols], F.count(F.lit(1)).alias("_n"))
+    present = reduce(lambda a, b: a & b, [F.col(f"`{s}__n`").isNotNull() for s in series])
+    return wide.where(present).select(date_col, *[F.col(f"`{s}_{c}`").alias(f"{s}_{c}")
+                                                  for s in series for c in cols])
 
 
 def suffix_join(left: DataFrame, right: DataFrame, on: str, suffixes: tuple[str, str],

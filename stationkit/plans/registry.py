@@ -169,6 +169,13 @@ def q_station_inner_join(spark, sf):
     return round_doubles(_wide3(spark, sf))
 
 
+@register("station_pivot_join", Q.with_ctes(Q.clean_cte(), _WIDE_SQL) +
+          f"SELECT {Q.sel(['obs_date'] + _WIDE_COLS)} FROM wide3")
+def q_station_pivot_join(spark, sf):
+    """J1 as one grouped pivot (one shuffle by date for any number of series)."""
+    return round_doubles(J.pivot_series(_clean(spark, sf), "series_id", "obs_date", ["R", "N", "A"], M))
+
+
 @register("prefixed_wide", Q.with_ctes(Q.clean_cte()) +
           "SELECT obs_date, " + ", ".join(f"ROUND({m}, 6) AS R_{m}" for m in M) +
           " FROM clean WHERE series_id = 'R'")
