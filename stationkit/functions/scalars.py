@@ -1,7 +1,10 @@
-"""Whole-table statistics as scalar subqueries.
+"""Whole-table statistics as one scalar subquery.
 
-``df.agg(...).scalar()`` is planned as one subquery that runs once and is
-inlined into the consuming projection: no join, no broadcast of a table.
+``source.agg(struct(...)).scalar()`` is planned as a subquery that runs once
+and is inlined as a value: no join and no broadcast of a table.  It is
+attached to the target frame as ONE struct column, and callers read its
+fields from that column.  Referencing the subquery expression once per
+field would put one copy of the subquery plan into the plan per field.
 """
 
 from __future__ import annotations
@@ -9,10 +12,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+SCALARS = "_sk_scalars"
 
-def scalar_aggs(df: DataFrame, aggs: dict[str, Column]) -> dict[str, Column]:
-    """One scalar subquery computing all ``aggs``; returns a Column per name."""
-    if not aggs:
-        return {}
-    packed = df.agg(F.struct(*[a.alias(n) for n, a in aggs.items()]).alias("s")).scalar()
-    return {n: packed.getField(n) for n in aggs}
+
+def attach_scalars(target: DataFrame, source: DataFrame, aggs: dict[str, Column],
+                   name: str = SCALARS) -> tuple[DataFrame, dict[str, Column]]:
+    """Add column ``name`` = struct of ``aggs`` computed over ``source``;
+    return the frame and a Column per aggregate (fields of that struct).
+    Drop ``name`` when done."""
+    packed = source.agg(F.struct(*[a.alias(n) for n, a in aggs.items()]).alias("s")).scalar()
+    out = target.withColumn(name, packed)
+    return out, {n: F.col(name).getField(n) for n in aggs}
+
+
+def with_scalars(df: DataFrame, aggs: dict[str, Column],
+                 name: str = SCALARS) -> tuple[DataFrame, dict[str, Column]]:
+    """``attach_scalars`` with the statistics taken over ``df`` itself."""
+    return attach_scalars(df, df, aggs, name)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import FILL_DECAY, FILL_RADIUS
-from ..functions.scalars import scalar_aggs
+from ..functions.scalars import SCALARS, with_scalars
 from .series_window import Ordering, neighbours, shift_rows
 
 
@@ -68,27 +68,27 @@ def mean_impute(df: DataFrame, cols: list[str], by: list[str] | None = None) ->
         x = df.join(means, by, "left")
         return x.withColumns({c: F.coalesce(F.col(c), F.col(f"_mean_{c}")) for c in cols}) \
             .drop(*[f"_mean_{c}" for c in cols])
-    means = scalar_aggs(df, {c: F.avg(c) for c in cols})
-    return df.withColumns({c: F.coalesce(F.col(c), means[c]) for c in cols})
+    x, means = with_scalars(df, {c: F.avg(c) for c in cols})
+    return x.withColumns({c: F.coalesce(F.col(c), means[c]) for c in cols}).drop(SCALARS)
 
 
 def sentinel_mean_impute(df: DataFrame, cols: list[str], sentinel: float = -999.0) -> DataFrame:
     """Sentinel -> column mean taken without the sentinels (A8 inside)."""
-    means = scalar_aggs(df, {c: F.avg(F.when(F.col(c) != F.lit(sentinel), F.col(c))) for c in cols})
-    return df.withColumns({c: F.when(F.col(c) == F.lit(sentinel), means[c]).otherwise(F.col(c))
-                           for c in cols})
+    x, means = with_scalars(df, {c: F.avg(F.when(F.col(c) != F.lit(sentinel), F.col(c))) for c in cols})
+    return x.withColumns({c: F.when(F.col(c) == F.lit(sentinel), means[c]).otherwise(F.col(c))
+                          for c in cols}).drop(SCALARS)
 
 
 def minmax_scale(df: DataFrame, cols: list[str]) -> DataFrame:
     """(x - min) / (max - min); a constant column becomes 0."""
-    mm = scalar_aggs(df, {f"{p}_{c}": (F.min(c) if p == "lo" else F.max(c))
-                          for c in cols for p in ("lo", "hi")})
+    x, mm = with_scalars(df, {f"{p}_{c}": (F.min(c) if p == "lo" else F.max(c))
+                              for c in cols for p in ("lo", "hi")})
     out = {}
     for c in cols:
         lo, hi = mm[f"lo_{c}"], mm[f"hi_{c}"]
         out[c] = F.when(hi == lo, F.when(F.col(c).isNotNull(), F.lit(0.0))).otherwise(
             (F.col(c) - lo) / (hi - lo))
-    return df.withColumns(out)
+    return x.withColumns(out).drop(SCALARS)
 
 
 # --------------------------------------------------------------------------

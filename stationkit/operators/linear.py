@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.moments import gram_parts
-from ..functions.scalars import scalar_aggs
+from ..functions.scalars import attach_scalars, with_scalars
 from .rows import hash32
 
 
@@ -147,7 +147,7 @@ def split_sweep(df: DataFrame, key: str, features: list[str], goals: list[tuple[
     thr, n = _band_thresholds(df, key, iterations, sizes)
     goal_cols = [g[2] for g in goals]
     cols = features + goal_cols
-    centre = scalar_aggs(df, {t: F.avg(F.col(t).cast("double")) for t in cols})
+    base, centre = with_scalars(df, {t: F.avg(F.col(t).cast("double")) for t in cols})
     bands = []
     for i in range(iterations):
         h = hash32(i, key)
@@ -159,7 +159,7 @@ def split_sweep(df: DataFrame, key: str, features: list[str], goals: list[tuple[
             inside = (h < F.lit(th)) | ((h == F.lit(th)) & (F.col(key) <= F.lit(tk)))
             band = F.when(inside, F.lit(fi)).otherwise(band)
         bands.append(band.cast("long").alias(f"_b{i}"))
-    x = _centred(df.select(*cols, *bands), cols, centre)
+    x = _centred(base.select(*cols, *bands, "_sk_scalars"), cols, centre)
     grams = gram_parts(x, [f"_c_{k}" for k in range(len(cols))], tags=[f"_b{i}" for i in range(iterations)])
     p, nt = len(features), 1 + len(cols)
     sizes_l = list(sizes)
@@ -203,10 +203,12 @@ def ols_models(df: DataFrame, features: list[str], goals: dict[str, str],
     cols = list(features) + goal_cols
     # centre on the fitting rows' means (scalar subquery); the centre values
     # travel as extra rows (i = -1) so the intercept can be moved back
-    centre = scalar_aggs(fit_rows, {t: F.avg(F.col(t).cast("double")) for t in cols})
-    x = _centred(fit_rows, cols, centre)
+    aggs = {t: F.avg(F.col(t).cast("double")) for t in cols}
+    base, centre = with_scalars(fit_rows, aggs)
+    x = _centred(base, cols, centre)
     g = gram_parts(x, [f"_c_{k}" for k in range(len(cols))])
-    cen = fit_rows.sparkSession.range(1).select(F.explode(F.array(*[
+    one, centre = attach_scalars(fit_rows.sparkSession.range(1), fit_rows, aggs)
+    cen = one.select(F.explode(F.array(*[
         F.struct(F.lit(-1).alias("i"), F.lit(k).alias("j"), centre[t].alias("value"))
         for k, t in enumerate(cols)])).alias("c")).select("c.*")
     g = g.unionByName(cen).withColumn("_grp", F.lit(0))
@@ -232,13 +234,14 @@ def ols_models(df: DataFrame, features: list[str], goals: dict[str, str],
     return g.groupBy("_grp").applyInPandas(fit, MODEL_SCHEMA)
 
 
-def predict(df: DataFrame, models: DataFrame, features: list[str], model_key: str) -> "F.Column":
-    """M2: prediction column for one model: intercept + sum(coef * x).
-    The coefficient row is one scalar subquery per model (features+1 values)."""
+def predict(df: DataFrame, models: DataFrame, features: list[str], model_key: str,
+            out: str = "prediction") -> DataFrame:
+    """M2: add ``out`` = intercept + sum(coef * x) for one model.  The
+    model's coefficient row (features + 1 values) is one scalar subquery."""
     m = models.where(F.col("model_key") == model_key)
-    coefs = scalar_aggs(m, {t: F.max(F.when(F.col("term") == t, F.col("coef")))
-                            for t in ["intercept"] + list(features)})
+    x, coefs = attach_scalars(df, m, {t: F.max(F.when(F.col("term") == t, F.col("coef")))
+                                      for t in ["intercept"] + list(features)}, "_sk_coef")
     pred = coefs["intercept"]
     for t in features:
         pred = pred + coefs[t] * F.col(t)
-    return pred
+    return x.withColumn(out, pred).drop("_sk_coef")

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.moments import pairwise_moments
-from ..functions.scalars import scalar_aggs
+from ..functions.scalars import SCALARS, attach_scalars, with_scalars
 
 
 def corr_long(df: DataFrame, left: list[str], right: list[str] | None = None,
@@ -32,8 +32,8 @@ def corr_long(df: DataFrame, left: list[str], right: list[str] | None = None,
     else:
         pairs = [(a, b) for a in left for b in right]
     cols = list(dict.fromkeys([c for p in pairs for c in p]))
-    lo = scalar_aggs(df, {c: F.min(F.col(c).cast("double")) for c in cols})
-    x = df.select(*[(F.col(c).cast("double") - lo[c]).alias(c) for c in cols])
+    x0, lo = with_scalars(df, {c: F.min(F.col(c).cast("double")) for c in cols})
+    x = x0.select(*[(F.col(c).cast("double") - lo[c]).alias(c) for c in cols])
     m = pairwise_moments(x, cols, pairs)
     n = F.col("n")
     ma, mb = F.col("sa") / n, F.col("sb") / n
@@ -50,8 +50,8 @@ def histogram(df: DataFrame, cols: list[str], bins: int = 100) -> DataFrame:
     """A3: equal-width bins between each column's min and max, the maximum
     in the last bin, empty bins included; long form
     ``(column_name, bin, lo, hi, n)``."""
-    bounds = scalar_aggs(df, {f"{p}_{c}": (F.min(c) if p == "lo" else F.max(c))
-                              for c in cols for p in ("lo", "hi")})
+    aggs = {f"{p}_{c}": (F.min(c) if p == "lo" else F.max(c)) for c in cols for p in ("lo", "hi")}
+    x, bounds = with_scalars(df, aggs)
     # one pass: every row contributes one (column, bin) cell per column
     cells = []
     for c in cols:
@@ -60,12 +60,12 @@ def histogram(df: DataFrame, cols: list[str], bins: int = 100) -> DataFrame:
         b = F.when(hi == lo, F.lit(0)).otherwise(
             F.least(F.floor((F.col(c) - lo) / width), F.lit(bins - 1))).cast("int")
         cells.append(F.when(F.col(c).isNotNull(), F.struct(F.lit(c).alias("column_name"), b.alias("bin"))))
-    counted = (df.select(F.explode(F.array(*cells)).alias("x")).where(F.col("x").isNotNull())
+    counted = (x.select(F.explode(F.array(*cells)).alias("x")).where(F.col("x").isNotNull())
                .groupBy("x.column_name", "x.bin").agg(F.count(F.lit(1)).alias("n")))
     # all (column, bin) cells, so empty bins appear with n = 0
     grid = df.sparkSession.createDataFrame([(c,) for c in cols], "column_name string") \
         .select("column_name", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
-    out = grid.join(counted, ["column_name", "bin"], "left")
+    out, bounds = attach_scalars(grid.join(counted, ["column_name", "bin"], "left"), df, aggs)
     los = F.lit(None).cast("double")
     his = F.lit(None).cast("double")
     for c in cols:

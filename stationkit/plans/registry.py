@@ -53,7 +53,11 @@ def _sup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _sup_rowid(spark: SparkSession, sf: str) -> DataFrame:
-    return RW.add_row_id(_sup(spark, sf), ["obs_date"])
+    """The model table handed from the preparation job to the studies:
+    supervised rows with their position by date, written once to the shared
+    folder (as the reference hands over files) so the studies' several
+    passes read it instead of re-running the preparation."""
+    return cut_lineage(RW.add_row_id(_sup(spark, sf), ["obs_date"]))
 
 
 W_SERIES = "WINDOW w AS (PARTITION BY series_id ORDER BY obs_date)"
@@ -404,7 +408,7 @@ def q_stride_sample(spark, sf):
           f"SELECT row_id, obs_date, CASE WHEN ROW_NUMBER() OVER (ORDER BY {Q.hash_sql(0, 'row_id')}, row_id) "
           "<= CEIL(CAST(0.2 AS DOUBLE) * COUNT(*) OVER ()) THEN 'test' ELSE 'train' END AS split FROM supr")
 def q_holdout_split(spark, sf):
-    x = cut_lineage(_sup_rowid(spark, sf).select("row_id", "obs_date"))  # read by three jobs
+    x = _sup_rowid(spark, sf).select("row_id", "obs_date")
     return RW.holdout_split(x, "row_id", 0.2, seed=0)
 
 
@@ -597,7 +601,7 @@ def q_ols_one_feature(spark, sf):
 
 
 def _split_sup(spark, sf):
-    sup = RW.holdout_split(cut_lineage(_sup_rowid(spark, sf)), "row_id", 0.2, seed=0)
+    sup = RW.holdout_split(_sup_rowid(spark, sf), "row_id", 0.2, seed=0)
     return cut_lineage(sup)
 
 
@@ -613,9 +617,9 @@ def q_ols_models(spark, sf):
 def _ols_predictions(spark, sf):
     sup = _split_sup(spark, sf)
     models = cut_lineage(LN.ols_models(sup, FEATS, _MODEL_GOALS, fit_filter=F.col("split") == "train"))
-    parts = [sup.select("row_id", "split", F.lit(mk).alias("model_key"), F.col(goal).alias("y"),
-                        LN.predict(sup, models, FEATS, mk).alias("p"))
-             for mk, goal in _MODEL_GOALS.items()]
+    parts = [LN.predict(sup, models, FEATS, mk, "p").select(
+        "row_id", "split", F.lit(mk).alias("model_key"), F.col(goal).alias("y"), "p")
+        for mk, goal in _MODEL_GOALS.items()]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -638,7 +642,7 @@ _SWEEP_GOALS = [(k, t, C.goal_name(t, k)) for k in range(1, C.horizons + 1) for
 def _sweep(spark, sf):
     from ..config import SWEEP_ITERATIONS, SWEEP_TEST_SIZES
     ensure_checkpoint_dir(spark)
-    sup = cut_lineage(_sup_rowid(spark, sf))
+    sup = _sup_rowid(spark, sf)
     return LN.split_sweep(sup, "row_id", FEATS, _SWEEP_GOALS, SWEEP_ITERATIONS, list(SWEEP_TEST_SIZES))
 
 
@@ -741,8 +745,8 @@ def q_multi_horizon(spark, sf):
     feats = network_features(t, C)
     goals = {f"horizon_{k}": c for k, c in enumerate(NN_TARGETS, start=1)}
     models = cut_lineage(LN.ols_models(t, feats, goals, fit_filter=F.col("split") == "train"))
-    parts = [t.select("split", F.lit(mk).alias("model_key"), F.col(g).alias("y"),
-                      LN.predict(t, models, feats, mk).alias("p")) for mk, g in goals.items()]
+    parts = [LN.predict(t, models, feats, mk, "p").select(
+        "split", F.lit(mk).alias("model_key"), F.col(g).alias("y"), "p") for mk, g in goals.items()]
     pred = parts[0]
     for p in parts[1:]:
         pred = pred.unionByName(p)

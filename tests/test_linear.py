@@ -40,8 +40,7 @@ def test_ols_matches_numpy(spark):
 def test_collinear_features_give_finite_fit_and_same_predictions(spark):
     df, x, y = _data(spark, collinear=True)
     models = ols_models(df, ["x0", "x1", "x2"], {"m1": "y1"})
-    p = np.array([r.p for r in df.select(predict(df, models, ["x0", "x1", "x2"], "m1").alias("p"))
-                 .orderBy(F.monotonically_increasing_id()).collect()])
+    p = np.array([r.p for r in predict(df, models, ["x0", "x1", "x2"], "m1", "p").orderBy("row_id").collect()])
     assert np.all(np.isfinite(p))
     w = _fit(x[:, :2], y[:, 0])
     ref = np.c_[np.ones(len(x)), x[:, :2]] @ w
