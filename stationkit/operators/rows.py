@@ -27,10 +27,12 @@ def hash32(seed: str | int, key: str | Column) -> Column:
 
 
 def add_row_id(df: DataFrame, order: list[str], name: str = "row_id",
-               chunk_days: int = 366, chunk_width: int = 4096) -> DataFrame:
-    """O1 / 2.11-b: 0-based position in ``order`` over the whole table."""
-    o = Ordering(partition=(), order=tuple(order), chunk_days=chunk_days,
-                 chunk_width=chunk_width, mode="chunked")
+               chunk_days: int = 366, chunk_width: int = 4096, mode: str = "auto",
+               max_rows_per_task: int = 2_000_000) -> DataFrame:
+    """O1 / 2.11-b: 0-based position in ``order`` over the whole table
+    (always chunked; ``auto`` sizes the chunks from the data)."""
+    o = Ordering(partition=(), order=tuple(order), chunk_days=chunk_days, chunk_width=chunk_width,
+                 max_rows_per_task=max_rows_per_task, mode=mode)
     return with_position(df, o, name)
 
 
@@ -94,5 +96,5 @@ def shuffled_order(df: DataFrame, key: str, seed: int | str, name: str = "row_id
     """O2: a repeatable full shuffle: new position in the order of
     ``(hash(seed, key), key)``, computed with the chunked global position."""
     x = df.withColumn("_hs", hash32(seed, key))
-    o = Ordering(partition=(), order=("_hs", key), chunk_width=1 << 16, mode="chunked")
+    o = Ordering(partition=(), order=("_hs", key), mode="auto")
     return with_position(x, o, name).drop("_hs")

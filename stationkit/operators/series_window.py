@@ -16,12 +16,14 @@ Two exact physical strategies share one interface:
   spread over as many tasks as it has chunks.
 
 ``auto`` measures the longest series with one aggregate over the key columns
-and picks ``series`` when it is under ``max_rows_per_task`` rows.
+and picks ``series`` when it is under ``max_rows_per_task`` rows; otherwise
+it sizes the chunk width from that series' row count and key span, so dense
+sub-daily data gets sub-daily chunks.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -39,35 +41,77 @@ class Ordering:
     """Partition keys (may be empty = one global order) and order keys.
 
     ``order[0]`` must be a DATE, TIMESTAMP or integral column: chunks are cut
-    on it.  Further order columns break ties and should make the order total.
+    on it (width ``chunk_days`` for dates, ``chunk_micros`` for timestamps,
+    ``chunk_width`` for integers).  Further order columns break ties and
+    should make the order total.  In ``auto`` mode the widths are sized from
+    the data so that one chunk of the longest series holds about half of
+    ``max_rows_per_task`` rows.
     """
 
     partition: tuple[str, ...]
     order: tuple[str, ...]
     chunk_days: int = 366
     chunk_width: int = 4096  # for an integral first order key
+    chunk_micros: int = 86_400_000_000  # for a timestamp first order key
     max_rows_per_task: int = 2_000_000
     mode: str = "auto"
 
 
+def _key_units(df: DataFrame, c: str) -> Column:
+    """The first order key as a number that grows with it, free of time zones."""
+    dt = df.schema[c].dataType
+    if isinstance(dt, T.DateType):
+        return F.unix_date(F.col(c)).cast("long")
+    if isinstance(dt, T.TimestampNTZType):
+        return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{c}`)")
+    if isinstance(dt, T.TimestampType):
+        return F.unix_micros(F.col(c))
+    return F.col(c).cast("long")
+
+
 def _chunk_expr(df: DataFrame, o: Ordering) -> Column:
     first = o.order[0]
     dt = df.schema[first].dataType
     if isinstance(dt, T.DateType):
-        return F.floor(F.unix_date(F.col(first)) / F.lit(o.chunk_days))
+        width = o.chunk_days
+    elif isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
+        width = o.chunk_micros
+    else:
+        width = o.chunk_width
+    return F.floor(_key_units(df, first) / F.lit(width))
+
+
+def resolve(df: DataFrame, o: Ordering) -> Ordering:
+    """Fix the strategy (and, for ``auto``, the chunk width) from one
+    key-only aggregate: the longest partition's row count and key span."""
+    if o.mode != "auto":
+        return o
+    k = _key_units(df, o.order[0])
+    if o.partition:
+        per = df.groupBy(*o.partition).agg(F.count(F.lit(1)).alias("n"), F.min(k).alias("lo"),
+                                           F.max(k).alias("hi"))
+        top = per.orderBy(F.desc("n")).limit(1).collect()
+    else:
+        top = df.agg(F.count(F.lit(1)).alias("n"), F.min(k).alias("lo"), F.max(k).alias("hi")).collect()
+    if not top or not top[0]["n"]:
+        return replace(o, mode="series" if o.partition else "chunked")
+    n, lo, hi = top[0]["n"], top[0]["lo"], top[0]["hi"]
+    if o.partition and n <= o.max_rows_per_task:
+        return replace(o, mode="series")
+    # chunks of about half the task budget for the longest partition,
+    # assuming its rows spread evenly over its key span
+    pieces = max(1, -(-n // max(1, o.max_rows_per_task // 2)))
+    width = max(1, ((hi - lo) + 1) // pieces) if lo is not None else 1
+    dt = df.schema[o.order[0]].dataType
+    if isinstance(dt, T.DateType):
+        return replace(o, mode="chunked", chunk_days=int(width))
     if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
-        return F.floor(F.unix_seconds(F.col(first).cast("timestamp")) / F.lit(86400 * o.chunk_days))
-    return F.floor(F.col(first) / F.lit(o.chunk_width))
+        return replace(o, mode="chunked", chunk_micros=int(width))
+    return replace(o, mode="chunked", chunk_width=int(width))
 
 
 def resolve_mode(df: DataFrame, o: Ordering) -> str:
-    if o.mode != "auto":
-        return o.mode
-    if not o.partition:
-        return "chunked"  # one global order must never be one task
-    longest = (df.groupBy(*o.partition).count()
-               .agg(F.max("count").alias("m")).collect()[0]["m"])
-    return "series" if (longest or 0) <= o.max_rows_per_task else "chunked"
+    return resolve(df, o).mode
 
 
 def _w(o: Ordering, extra: tuple[str, ...] = ()) -> Window:
@@ -95,8 +139,8 @@ def _chunked_base(df: DataFrame, o: Ordering):
 
 def with_position(df: DataFrame, o: Ordering, name: str = "row_pos") -> DataFrame:
     """0-based position of each row inside its partition, in ``order``."""
-    mode = resolve_mode(df, o)
-    if mode == "series":
+    o = resolve(df, o)
+    if o.mode == "series":
         return df.withColumn(name, F.row_number().over(_w(o)).cast("long") - 1)
     m, offs, keys = _chunked_base(df, o)
     out = m.join(offs.select(*keys, _OFF), keys, "inner")
@@ -116,8 +160,8 @@ def shift_rows(df: DataFrame, specs: list[tuple[str, str, int]], o: Ordering) ->
     """
     if not specs:
         return df
-    mode = resolve_mode(df, o)
-    if mode == "series":
+    o = resolve(df, o)
+    if o.mode == "series":
         w = _w(o)
         return df.select("*", *[
             (F.lead(src, k) if k > 0 else F.lag(src, -k)).over(w).alias(out)
@@ -181,10 +225,10 @@ def neighbours(df: DataFrame, cols: list[str], o: Ordering, pos_name: str = "row
     """Add, per column c: ``c__pv, c__pp`` (last non-missing value and its
     position at or before the row) and ``c__nv, c__np`` (first at or after),
     plus the row position ``pos_name``."""
-    mode = resolve_mode(df, o)
+    o = resolve(df, o)
     wb = _w(o).rowsBetween(Window.unboundedPreceding, 0)
     wf = _w(o).rowsBetween(0, Window.unboundedFollowing)
-    if mode == "series":
+    if o.mode == "series":
         x = df.withColumn(pos_name, F.row_number().over(_w(o)).cast("long") - 1)
         out = []
         for c in cols:

@@ -35,7 +35,7 @@ def network_table(obs: DataFrame, cfg: Config, target: str = "air_temp", lag_day
     # one row per target day from here on: materialise it once so the
     # position and shift steps below read it instead of re-running the joins
     wide = cut_lineage(add_row_id(cut_lineage(wide), [cfg.date_col], "row_id"))
-    o = Ordering(partition=(), order=("row_id",), mode="chunked")
+    o = Ordering(partition=(), order=("row_id",), mode="auto")
     tcol = f"{cfg.target_series}_{target}"
     wide = shift_rows(wide, [(f"target_day{k}", tcol, k) for k in range(1, HORIZONS + 1)], o)
     n = wide.count()

@@ -22,7 +22,7 @@ from ..operators import rows as RW
 from ..operators import shift as SH
 from ..operators import stats as ST
 from ..session import cut_lineage
-from ..sources.fixtures import station_obs
+from ..sources.fixtures import EVENT_SERIES_CTE, event_series, station_obs
 from . import sqltext as Q
 from .supervised import supervised_table
 
@@ -425,7 +425,7 @@ def q_chronological_split(spark, sf):
 def q_forecast_dates(spark, sf):
     x = _sup_rowid(spark, sf).select("row_id", "obs_date")
     from ..operators.series_window import Ordering
-    o = Ordering(partition=(), order=("row_id",), mode="chunked")
+    o = Ordering(partition=(), order=("row_id",), mode="auto")
     return SH.forecast_dates(x, "obs_date", C.horizons, o)
 
 
@@ -831,3 +831,47 @@ def q_head_weighted_fill(spark, sf):
     wide = cut_lineage(RW.add_row_id(raw, ["obs_date"]))
     cols = [c for c in wide.columns if c not in ("obs_date", "row_id")]
     return round_doubles(IM.head_weighted_fill(wide, cols, "row_id", C.sentinel))
+
+
+
+# ---------------------------------------------------------------------------
+# event-level series with one hot key (a third of all rows), timestamp order
+# ---------------------------------------------------------------------------
+
+def _event_ordering():
+    from ..operators.series_window import Ordering
+    # the hot series is far above this per-task bound, so "auto" takes the
+    # chunked path, with a chunk width sized to about 500 of its rows
+    return Ordering(partition=("series_id",), order=("ts", "event_id"),
+                    max_rows_per_task=1000, mode="auto")
+
+
+_EV_W = "(PARTITION BY series_id ORDER BY ts, event_id"
+
+
+@register("event_interpolate_skewed", "WITH " + EVENT_SERIES_CTE + ",\n" +
+          "n AS (SELECT *, ROW_NUMBER() OVER " + _EV_W + ") - 1 AS _pos FROM ev),\n" +
+          "b AS (SELECT *, "
+          "LAST_VALUE(value IGNORE NULLS) OVER " + _EV_W + " ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS _pv, "
+          "LAST_VALUE(CASE WHEN value IS NOT NULL THEN _pos END IGNORE NULLS) OVER " + _EV_W +
+          " ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS _pp, "
+          "FIRST_VALUE(value IGNORE NULLS) OVER " + _EV_W + " ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS _nv, "
+          "FIRST_VALUE(CASE WHEN value IS NOT NULL THEN _pos END IGNORE NULLS) OVER " + _EV_W +
+          " ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS _np FROM n)\n"
+          "SELECT series_id, ts, event_id, ROUND(CASE WHEN value IS NOT NULL THEN value WHEN _pv IS NULL THEN NULL "
+          "WHEN _nv IS NULL THEN _pv ELSE _pv + (_nv - _pv) * CAST(_pos - _pp AS DOUBLE) / CAST(_np - _pp AS DOUBLE) "
+          "END, 6) AS value FROM b")
+def q_event_interpolate_skewed(spark, sf):
+    return round_doubles(IM.interpolate_linear(event_series(spark, sf), ["value"], _event_ordering()))
+
+
+@register("event_future_skewed", "WITH " + EVENT_SERIES_CTE + "\n" +
+          "SELECT series_id, ts, event_id, ROUND(value, 6) AS value, " + ", ".join(
+              f"ROUND(LEAD(value, {k}) OVER {_EV_W}), 6) AS value_next_{k}" for k in (1, 2, 3)) +
+          ", " + ", ".join(f"ROUND(LAG(value, {k}) OVER {_EV_W}), 6) AS value_prev_{k}" for k in (1, 2)) +
+          " FROM ev")
+def q_event_future_skewed(spark, sf):
+    from ..operators.series_window import shift_rows
+    specs = [(f"value_next_{k}", "value", k) for k in (1, 2, 3)] + \
+            [(f"value_prev_{k}", "value", -k) for k in (1, 2)]
+    return round_doubles(shift_rows(event_series(spark, sf), specs, _event_ordering()))

@@ -16,7 +16,7 @@ from ..config import Config
 from ..operators.clean import complete_rows, sentinel_to_null
 from ..operators.impute import interpolate_linear
 from ..operators.joins import join_series
-from ..operators.series_window import resolve_mode
+from ..operators.series_window import resolve
 from ..operators.shift import future_targets, ordering, past_features
 
 
@@ -27,7 +27,7 @@ def prepared_long(obs: DataFrame, cfg: Config, mode: str = "auto") -> DataFrame:
     x = sentinel_to_null(obs.select(*keep), list(cfg.measures), cfg.sentinel)
     x = x.where(F.col(cfg.date_col).isNotNull())
     # pick the window strategy once (one key-only aggregate) for all steps
-    o = ordering(cfg, mode=resolve_mode(x, ordering(cfg, mode=mode)))
+    o = resolve(x, ordering(cfg, mode=mode))
     if cfg.past_days:
         x = past_features(x, cfg, o)
     tgt = x.where(F.col(cfg.series_col) == F.lit(cfg.target_series))

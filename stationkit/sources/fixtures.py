@@ -62,3 +62,19 @@ def station_obs(spark: SparkSession, sf_dir: str, many: bool = False) -> DataFra
     """Long table ``(series_id STRING, obs_date DATE, 5 x DOUBLE)`` with sentinels."""
     register_tables(spark, sf_dir, ("lineitem",))
     return spark.sql("WITH " + obs_ctes(many) + "\nSELECT * FROM obs")
+
+
+# Event-level series with one hot key: every third user's events form the
+# series 'hot' (a third of all rows); every other user is its own short
+# series.  Sub-daily timestamps as the order key, event_id breaks ties,
+# every seventh value is missing.
+EVENT_SERIES_CTE = """ev AS (
+  SELECT CASE WHEN user_id % 3 = 0 THEN 'hot' ELSE CAST(user_id AS STRING) END AS series_id,
+         ts, event_id,
+         CASE WHEN event_id % 7 = 0 THEN NULL ELSE value END AS value
+  FROM events)"""
+
+
+def event_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    register_tables(spark, sf_dir, ("events",))
+    return spark.sql("WITH " + EVENT_SERIES_CTE + "\nSELECT * FROM ev")

@@ -43,5 +43,6 @@ def test_shuffle_is_a_permutation(spark):
 def test_row_id_by_date(spark):
     df = spark.createDataFrame([(d,) for d in (5, 1, 3, 900, 2)], "d int") \
         .select(F.date_add(F.lit("2000-01-01").cast("date"), F.col("d")).alias("obs_date"))
-    out = add_row_id(df, ["obs_date"], chunk_days=2).orderBy("obs_date").collect()
-    assert [r.row_id for r in out] == [0, 1, 2, 3, 4]
+    for kw in ({"chunk_days": 2, "mode": "chunked"}, {"max_rows_per_task": 2}, {}):
+        out = add_row_id(df, ["obs_date"], **kw).orderBy("obs_date").collect()
+        assert [r.row_id for r in out] == [0, 1, 2, 3, 4]

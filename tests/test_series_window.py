@@ -64,3 +64,26 @@ def test_global_position_is_dense(spark):
     o = Ordering(partition=(), order=("obs_date",), chunk_days=7, mode="chunked")
     pos = [r.row_pos for r in with_position(df, o).orderBy("obs_date").collect()]
     assert pos == list(range(len(pos)))
+
+
+def test_auto_sizes_chunks_for_a_hot_series(spark):
+    """One series with most rows, sub-daily timestamps: auto picks the chunked
+    path with sub-day chunks, and the results equal the one-task path."""
+    from pyspark.sql import functions as F
+    from stationkit.operators.series_window import resolve
+    rnd = random.Random(11)
+    rows = [("hot" if i % 3 else f"u{i % 50}", 1_700_000_000 + i * 37 + rnd.randint(0, 30), i,
+             None if i % 7 == 0 else float(i % 13)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "series_id string, t long, event_id long, value double") \
+        .select("series_id", F.timestamp_seconds("t").cast("timestamp_ntz").alias("ts"), "event_id", "value")
+    auto = Ordering(partition=("series_id",), order=("ts", "event_id"), max_rows_per_task=200)
+    r = resolve(df, auto)
+    assert r.mode == "chunked" and r.chunk_micros < 86_400_000_000
+    one = Ordering(partition=("series_id",), order=("ts", "event_id"), mode="series")
+    specs = [("n1", "value", 1), ("n3", "value", 3), ("p2", "value", -2)]
+    a = interpolate_linear(shift_rows(df, specs, auto), ["value"], auto)
+    b = interpolate_linear(shift_rows(df, specs, one), ["value"], one)
+    cols = ["series_id", "event_id", "value", "n1", "n3", "p2"]
+    ra = sorted(tuple(x) for x in a.select(*cols).collect())
+    rb = sorted(tuple(x) for x in b.select(*cols).collect())
+    assert ra == rb
