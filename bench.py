@@ -30,6 +30,7 @@ HEADLINE = [
     "split_sweep",           # M4, 300 least-squares fits
     "holdout_split",         # O4, exact random split
     "histogram_100",         # A3
+    "event_interpolate_skewed",  # W4 with one series holding a third of all rows
 ]
 
 

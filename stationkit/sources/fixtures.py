@@ -53,15 +53,16 @@ def with_obs(sql_body: str, many: bool = False) -> str:
     return "WITH " + obs_ctes(many) + "\n" + body
 
 
-def register_tables(spark: SparkSession, sf_dir: str, names=("lineitem", "orders", "events")) -> None:
-    for n in names:
-        spark.read.parquet(f"{sf_dir}/{n}.parquet").createOrReplaceTempView(n)
+def _sql_over(spark: SparkSession, text: str, sf_dir: str, table: str) -> DataFrame:
+    """Run the shared SQL text in Spark with the table passed as a DataFrame
+    argument (no session-wide view name that another query could replace)."""
+    return spark.sql(text.replace(f"FROM {table}", f"FROM {{{table}}}"),
+                     **{table: spark.read.parquet(f"{sf_dir}/{table}.parquet")})
 
 
 def station_obs(spark: SparkSession, sf_dir: str, many: bool = False) -> DataFrame:
     """Long table ``(series_id STRING, obs_date DATE, 5 x DOUBLE)`` with sentinels."""
-    register_tables(spark, sf_dir, ("lineitem",))
-    return spark.sql("WITH " + obs_ctes(many) + "\nSELECT * FROM obs")
+    return _sql_over(spark, "WITH " + obs_ctes(many) + "\nSELECT * FROM obs", sf_dir, "lineitem")
 
 
 # Event-level series with one hot key: every third user's events form the
@@ -76,5 +77,4 @@ EVENT_SERIES_CTE = """ev AS (
 
 
 def event_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    register_tables(spark, sf_dir, ("events",))
-    return spark.sql("WITH " + EVENT_SERIES_CTE + "\nSELECT * FROM ev")
+    return _sql_over(spark, "WITH " + EVENT_SERIES_CTE + "\nSELECT * FROM ev", sf_dir, "events")
