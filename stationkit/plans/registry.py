@@ -875,3 +875,14 @@ def q_event_future_skewed(spark, sf):
     specs = [(f"value_next_{k}", "value", k) for k in (1, 2, 3)] + \
             [(f"value_prev_{k}", "value", -k) for k in (1, 2)]
     return round_doubles(shift_rows(event_series(spark, sf), specs, _event_ordering()))
+
+
+@register("ols_actual_vs_predicted")
+def q_ols_actual_vs_predicted(spark, sf):
+    """E6 on the six OLS models: the plot box is per target (precipitation
+    x 0..30, y -1..6; temperature -10..25 on both axes)."""
+    pred = _ols_predictions(spark, sf)
+    is_precip = F.col("model_key").endswith("_precip")
+    inside = F.when(is_precip, F.col("y").between(0, 30) & F.col("p").between(-1, 6)) \
+        .otherwise(F.col("y").between(-10, 25) & F.col("p").between(-10, 25))
+    return round_doubles(pred.withColumn("in_range", inside))

@@ -46,3 +46,19 @@ def test_goal_label_parsing(spark):
     df = spark.createDataFrame([(1, 2.0)], "d int, `R_air_temp_future_3Day` double")
     r = goal_series_long(df, "d", ["R_air_temp_future_3Day"]).collect()[0]
     assert (r.target, r.horizon, r.value) == ("air_temp", 3, 2.0)
+
+
+def test_pairwise_correlation_matches_pandas(spark):
+    import pandas as pd
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(400, 4))
+    x[:, 1] = 0.7 * x[:, 0] + 0.3 * x[:, 1]
+    x[:, 3] = 1e4 + 0.001 * x[:, 3]          # large mean, tiny spread
+    x[rng.random(x.shape) < 0.2] = np.nan    # holes everywhere
+    pdf = pd.DataFrame(x, columns=list("abcd"))
+    df = spark.createDataFrame([tuple(None if np.isnan(v) else float(v) for v in row) for row in x],
+                               "a double, b double, c double, d double")
+    got = {(r.col_a, r.col_b): r.corr for r in corr_long(df, list("abcd")).collect()}
+    ref = pdf.corr()
+    for (a, b), v in got.items():
+        assert v == pytest.approx(ref.loc[a, b], abs=1e-9)
