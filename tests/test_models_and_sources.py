@@ -24,12 +24,12 @@ def test_poly_terms_count_and_order(spark):
 
 
 def test_station_files_round_trip(spark):
-    df = spark.createDataFrame([("Arber", "2001-02-03", -999.0, 1.5), ("Straubing", "2001-02-04", 2.0, 3.0)],
+    df = spark.createDataFrame([("Hill", "2001-02-03", -999.0, 1.5), ("Valley", "2001-02-04", 2.0, 3.0)],
                                "series_id string, obs_date string, air_temp double, precip double") \
         .selectExpr("series_id", "CAST(obs_date AS DATE) AS obs_date", "air_temp", "precip")
     path = scratch_path(spark, "test-stations")
     write_station_files(df, path)
-    header = open([p for p in __import__("glob").glob(f"{path}/series_id=Arber/*.csv")][0]).readline()
+    header = open([p for p in __import__("glob").glob(f"{path}/series_id=Hill/*.csv")][0]).readline()
     assert header.startswith("  DATE,  air_temp")  # padded names, as in the station files
     back = read_station_files(spark, path)
     assert sorted(tuple(r) for r in back.collect()) == sorted(tuple(r) for r in df.collect())
