@@ -1,9 +1,10 @@
 """Second-moment sums (Gram matrices, pairwise moments) per Arrow batch.
 
-Each task turns its Arrow batches into a few NumPy matrix products and emits
-one small long row per matrix entry; a grouped ``sum`` then adds the
-partial sums of all tasks.  The work splits with the data and the shuffle
-carries only ``batches x terms^2`` numbers.  The alternative, one SQL
+Each task adds up NumPy matrix products over all of its Arrow batches and
+emits its partial sums once, one small long row per matrix entry (and
+group); a grouped ``sum`` then adds the tasks.  The work splits with the
+data and the shuffle carries only ``tasks x groups x terms^2`` numbers,
+whatever the row count.  The alternative, one SQL
 aggregate per matrix entry, gives plans of hundreds of aggregate functions
 whose compilation dominates the run time.
 """
@@ -43,17 +44,23 @@ def gram_parts(df: DataFrame, cols: list[str], by: list[str] | None = None,
         schema = "tag int, tag_value long, i int, j int, value double"
 
         def run(batches):
+            acc: dict[tuple[int, int], np.ndarray] = {}
             for pdf in batches:
                 if pdf.empty:
                     continue
                 X = np.column_stack([np.ones(len(pdf)), pdf[vcols].to_numpy(np.float64)])
-                out = []
                 for t, tc in enumerate(tags):
                     keys = pdf[tc].to_numpy()
                     for key in np.unique(keys):
                         sub = X[keys == key]
-                        i, j, v = _upper(sub.T @ sub)
-                        out.append(pd.DataFrame({"tag": t, "tag_value": int(key), "i": i, "j": j, "value": v}))
+                        g = sub.T @ sub
+                        k = (t, int(key))
+                        acc[k] = acc[k] + g if k in acc else g
+            out = []
+            for (t, key), g in acc.items():
+                i, j, v = _upper(g)
+                out.append(pd.DataFrame({"tag": t, "tag_value": key, "i": i, "j": j, "value": v}))
+            if out:
                 yield pd.concat(out, ignore_index=True)
 
         parts = x.mapInPandas(run, schema)
@@ -63,19 +70,24 @@ def gram_parts(df: DataFrame, cols: list[str], by: list[str] | None = None,
     schema = ", ".join([f"`{b}` {types[b]}" for b in by] + ["i int", "j int", "value double"])
 
     def run_by(batches):
+        acc: dict[tuple, np.ndarray] = {}
         for pdf in batches:
             if pdf.empty:
                 continue
             groups = pdf.groupby(by, dropna=False, sort=False) if by else [((), pdf)]
-            out = []
             for key, g in groups:
                 X = np.column_stack([np.ones(len(g)), g[vcols].to_numpy(np.float64)])
-                i, j, v = _upper(X.T @ X)
-                part = pd.DataFrame({"i": i, "j": j, "value": v})
                 key = key if isinstance(key, tuple) else (key,)
-                for b, kv in zip(by, key):
-                    part.insert(0, b, kv)
-                out.append(part)
+                m = X.T @ X
+                acc[key] = acc[key] + m if key in acc else m
+        out = []
+        for key, m in acc.items():
+            i, j, v = _upper(m)
+            part = pd.DataFrame({"i": i, "j": j, "value": v})
+            for b, kv in zip(by, key):
+                part.insert(0, b, kv)
+            out.append(part)
+        if out:
             yield pd.concat(out, ignore_index=True)[by + ["i", "j", "value"]]
 
     parts = x.mapInPandas(run_by, schema)
@@ -96,16 +108,24 @@ def pairwise_moments(df: DataFrame, cols: list[str], pairs: list[tuple[str, str]
     schema = "col_a string, col_b string, n double, sa double, sb double, saa double, sbb double, sab double"
 
     def run(batches):
+        p = len(vcols)
+        N = np.zeros((p, p))
+        SA = np.zeros((p, p))
+        SAA = np.zeros((p, p))
+        SAB = np.zeros((p, p))
+        seen = False
         for pdf in batches:
             if pdf.empty:
                 continue
+            seen = True
             X = pdf[vcols].to_numpy(np.float64)
             M = (~np.isnan(X)).astype(np.float64)
             X0 = np.where(M > 0, X, 0.0)
-            N = M.T @ M
-            SA = X0.T @ M          # SA[a, b] = sum of a where both present
-            SAA = (X0 * X0).T @ M
-            SAB = X0.T @ X0
+            N += M.T @ M
+            SA += X0.T @ M          # SA[a, b] = sum of a where both present
+            SAA += (X0 * X0).T @ M
+            SAB += X0.T @ X0
+        if seen:
             yield pd.DataFrame({"col_a": names_a, "col_b": names_b, "n": N[pa, pb],
                                 "sa": SA[pa, pb], "sb": SA[pb, pa], "saa": SAA[pa, pb],
                                 "sbb": SAA[pb, pa], "sab": SAB[pa, pb]})
