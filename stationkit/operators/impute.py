@@ -142,20 +142,24 @@ def head_weighted_fill(df: DataFrame, cols: list[str], row_id: str, sentinel: fl
 
     ``row_id`` is the 0-based global position.  Per column only the first
     2*radius+1 rows and the first 2*(2*radius+1) non-missing values are read
-    back (one top-k job for all columns), so the work on the driver is
+    back (one ranked pass for all columns), so the work on the driver is
     bounded by the column count; the fill itself is a column expression.
     A column without any non-missing value keeps the sentinel."""
-    from functools import reduce
+    from pyspark.sql import Window
 
     span = 2 * radius + 1
     stats = df.agg(F.count(F.lit(1)).alias("_n"),
                    *[F.count_if(F.col(c) != F.lit(sentinel)).alias(c) for c in cols]).collect()[0]
     n = stats["_n"]
     head_rows = {r[row_id]: r for r in df.where(F.col(row_id) < span).select(row_id, *cols).collect()}
-    tops = reduce(lambda a, b: a.unionByName(b), [
-        df.where(F.col(c) != F.lit(sentinel)).select(F.lit(c).alias("c"), F.col(row_id).alias("p"),
-                                                     F.col(c).cast("double").alias("v"))
-        .orderBy("p").limit(2 * span) for c in cols])
+    # first 2*span non-missing cells of every column in one pass: the ranked
+    # filter is planned as a per-partition group limit before the shuffle,
+    # so at most 2*span rows per column and partition move
+    cells = df.select(F.col(row_id).alias("p"), F.explode(F.array(*[
+        F.when(F.col(c) != F.lit(sentinel), F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("v")))
+        for c in cols])).alias("x")).where(F.col("x").isNotNull()).select("p", "x.c", "x.v")
+    ranked = cells.withColumn("_r", F.row_number().over(Window.partitionBy("c").orderBy("p")))
+    tops = ranked.where(F.col("_r") <= 2 * span).drop("_r")
     firsts: dict[str, list] = {c: [] for c in cols}
     for r in tops.collect():
         firsts[r["c"]].append((r["p"], r["v"]))
