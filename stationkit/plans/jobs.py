@@ -69,3 +69,62 @@ def linear_study(spark: SparkSession, tables: dict[str, str], cfg: Config, out_p
     from ..operators.metrics import regression_metrics
     metrics = regression_metrics(preds, ["model_key", "split"], "y", "p")
     return LinearStudy(sweep, summary, best, models, metrics)
+
+
+@dataclass
+class StatisticsReport:
+    goal_series: DataFrame
+    corr_to_goals: DataFrame
+    histograms: DataFrame
+
+
+def statistics_report(spark: SparkSession, tables: dict[str, str], cfg: Config,
+                      hist_cols: list[str] | None = None, bins: int = 100) -> StatisticsReport:
+    """The statistics notebook: goal series by date in long form, the
+    correlation of every feature and goal with the goals, histograms."""
+    t = read_model_tables(spark, tables)
+    data = cut_lineage(zip_tables(zip_tables(t["features"], t["goals"]), t["timings"]))
+    feats, goals = cfg.feature_columns(), cfg.goal_columns()
+    hist_cols = hist_cols or [f"{cfg.target_series}_{m}" for m in cfg.targets]
+    return StatisticsReport(
+        goal_series=ST.goal_series_long(data, cfg.date_col, goals),
+        corr_to_goals=ST.corr_long(data, feats + goals, goals),
+        histograms=ST.histogram(data, hist_cols, bins))
+
+
+@dataclass
+class NetworkStudy:
+    table: DataFrame
+    metrics: DataFrame
+    scores: DataFrame
+
+
+def network_study(spark: SparkSession, stations_path: str, cfg: Config, seed: int = 0) -> NetworkStudy:
+    """The network study re-aimed: the lagged table with a chronological
+    80/20 split, one least-squares model per horizon (shared X, one Gram
+    pass) with train/test metrics, and dense-network scores of every row
+    with given weights, labelled with the dates they forecast."""
+    from ..config import DENSE_LAYERS, HORIZONS
+    from ..operators.metrics import regression_metrics
+    from ..operators.models import dense_score, dense_weights
+    from ..operators.series_window import Ordering
+    from ..operators.shift import forecast_dates
+    from .network import TARGETS, network_features, network_table
+
+    obs = read_station_files(spark, stations_path, cfg.series_col, cfg.date_col)
+    table = cut_lineage(network_table(obs, cfg))
+    feats = network_features(table, cfg)
+    goals = {f"horizon_{k}": c for k, c in enumerate(TARGETS, start=1)}
+    models = cut_lineage(LN.ols_models(table, feats, goals, fit_filter=F.col("split") == "train"))
+    preds = None
+    for mk, g in goals.items():
+        p = LN.predict(table, models, feats, mk, "p").select("split", F.lit(mk).alias("model_key"),
+                                                               F.col(g).alias("y"), "p")
+        preds = p if preds is None else preds.unionByName(p)
+    metrics = regression_metrics(preds, ["model_key", "split"], "y", "p")
+    scores = dense_score(table, feats, ["row_id", cfg.date_col, "split"],
+                         dense_weights(len(feats), DENSE_LAYERS, seed),
+                         [f"pred_day{k}" for k in range(1, HORIZONS + 1)])
+    o = Ordering(partition=(), order=("row_id",))
+    scores = forecast_dates(scores, cfg.date_col, HORIZONS, o)
+    return NetworkStudy(table, metrics, scores)

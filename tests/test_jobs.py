@@ -20,3 +20,18 @@ def test_preparation_and_linear_study_end_to_end(spark):
     assert study.best.count() == 1
     assert study.models.count() == 6 * 16
     assert study.metrics.count() == 12
+
+
+def test_statistics_report_and_network_study(spark):
+    from stationkit.plans.jobs import network_study, statistics_report
+    src = scratch_path(spark, "stations")
+    write_station_files(station_obs(spark, "/root/testdata/sf0.001"), src)
+    paths = preparation_job(spark, src, scratch_path(spark, "prepared"), C)
+    rep = statistics_report(spark, paths["shuffled"], C)
+    assert rep.goal_series.count() == 175 * 6
+    assert rep.corr_to_goals.count() == 21 * 6
+    assert rep.histograms.count() == 200
+    nn = network_study(spark, src, C)
+    assert nn.metrics.count() == 6
+    n = nn.table.count()
+    assert nn.scores.count() == n and set(nn.scores.columns) >= {"pred_day1", "date_day3"}
