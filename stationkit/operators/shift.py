@@ -13,8 +13,13 @@ from ..config import Config
 from .series_window import Ordering, shift_rows, with_position
 
 
-def ordering(cfg: Config, tiebreak: tuple[str, ...] = (), mode: str = "auto") -> Ordering:
-    return Ordering(partition=(cfg.series_col,), order=(cfg.date_col,) + tuple(tiebreak),
+def ordering(cfg: Config, tiebreak: tuple[str, ...] | None = None, mode: str = "auto") -> Ordering:
+    """Per-series order by date.  Rows sharing a date are ordered by their
+    measure values (default ``tiebreak``), so the order is total and a
+    recomputed task (after a lost executor) sees the same row order; fully
+    identical rows are interchangeable."""
+    tiebreak = tuple(cfg.measures) if tiebreak is None else tuple(tiebreak)
+    return Ordering(partition=(cfg.series_col,), order=(cfg.date_col,) + tiebreak,
                     chunk_days=cfg.chunk_days, max_rows_per_task=cfg.max_rows_per_task, mode=mode)
 
 

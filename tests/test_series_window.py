@@ -87,3 +87,17 @@ def test_auto_sizes_chunks_for_a_hot_series(spark):
     ra = sorted(tuple(x) for x in a.select(*cols).collect())
     rb = sorted(tuple(x) for x in b.select(*cols).collect())
     assert ra == rb
+
+
+def test_gap_spanning_several_chunks_and_duplicate_dates(spark):
+    """A missing run crossing several 3-day chunks is interpolated from values
+    chunks away; rows sharing a date get a fixed order from the tiebreak."""
+    vals = [1.0] + [None] * 20 + [22.0, None, None]
+    rows = [("s", i, v) for i, v in enumerate(vals)]
+    df = series_df(spark, rows)
+    out = _vals(interpolate_linear(df, ["v"], _o("chunked", 3)))
+    assert out == pytest.approx([float(i + 1) for i in range(22)] + [22.0, 22.0])
+    dup = series_df(spark, [("s", 0, 3.0), ("s", 0, 1.0), ("s", 1, 2.0)])
+    o = Ordering(partition=("series_id",), order=("obs_date", "v"), chunk_days=1, mode="chunked")
+    got = [(r.v, r.nxt) for r in shift_rows(dup, [("nxt", "v", 1)], o).orderBy("obs_date", "v").collect()]
+    assert got == [(1.0, 3.0), (3.0, 2.0), (2.0, None)]
