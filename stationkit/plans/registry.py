@@ -57,7 +57,9 @@ def _sup_rowid(spark: SparkSession, sf: str) -> DataFrame:
     supervised rows with their position by date, written once to the shared
     folder (as the reference hands over files) so the studies' several
     passes read it instead of re-running the preparation."""
-    return cut_lineage(RW.add_row_id(_sup(spark, sf), ["obs_date"]))
+    # one row per date: yearly chunks hold at most 366 rows, so the global
+    # position needs no sizing pass
+    return cut_lineage(RW.add_row_id(_sup(spark, sf), ["obs_date"], mode="chunked"))
 
 
 W_SERIES = "WINDOW w AS (PARTITION BY series_id ORDER BY obs_date)"

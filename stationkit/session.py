@@ -60,8 +60,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df):
-    """Reliable checkpoint into the shared folder (never a local checkpoint):
-    later jobs read the written data, and a lost executor does not send
-    them back through the whole plan."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` as a Parquet table in the shared folder and read it back.
+
+    Later jobs read the written data, and a lost executor does not send them
+    back through the whole plan.  Unlike an RDD ``checkpoint()``, which runs
+    the plan once for the action and again to write the files unless the
+    frame is cached, this computes the plan once.  The table is columnar, so
+    later filters and projections are pushed into its scan."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "lineage")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
