@@ -118,6 +118,16 @@ def _w(o: Ordering, extra: tuple[str, ...] = ()) -> Window:
     return Window.partitionBy(*[F.col(c) for c in o.partition + extra]).orderBy(*[F.col(c) for c in o.order])
 
 
+def _w_rev(o: Ordering, extra: tuple[str, ...] = ()) -> Window:
+    """The same partition in exactly reversed order (ascending puts nulls
+    first, descending puts them last).  "First non-missing at or after the
+    row" is computed as a running "last non-missing" over this order: Spark
+    evaluates a running frame incrementally, while a frame reaching to
+    UNBOUNDED FOLLOWING is re-aggregated for every row (quadratic)."""
+    return Window.partitionBy(*[F.col(c) for c in o.partition + extra]) \
+        .orderBy(*[F.col(c).desc() for c in o.order])
+
+
 # --------------------------------------------------------------------------
 # chunk bookkeeping
 # --------------------------------------------------------------------------
@@ -227,14 +237,14 @@ def neighbours(df: DataFrame, cols: list[str], o: Ordering, pos_name: str = "row
     plus the row position ``pos_name``."""
     o = resolve(df, o)
     wb = _w(o).rowsBetween(Window.unboundedPreceding, 0)
-    wf = _w(o).rowsBetween(0, Window.unboundedFollowing)
+    wf = _w_rev(o).rowsBetween(Window.unboundedPreceding, 0)
     if o.mode == "series":
         x = df.withColumn(pos_name, F.row_number().over(_w(o)).cast("long") - 1)
         out = []
         for c in cols:
             p = F.when(F.col(c).isNotNull(), F.col(pos_name))
             out += [F.last(c, True).over(wb).alias(f"{c}__pv"), F.last(p, True).over(wb).alias(f"{c}__pp"),
-                    F.first(c, True).over(wf).alias(f"{c}__nv"), F.first(p, True).over(wf).alias(f"{c}__np")]
+                    F.last(c, True).over(wf).alias(f"{c}__nv"), F.last(p, True).over(wf).alias(f"{c}__np")]
         return x.select("*", *out)
 
     m, offs, keys = _chunked_base(df, o)
@@ -242,22 +252,22 @@ def neighbours(df: DataFrame, cols: list[str], o: Ordering, pos_name: str = "row
     m = m.join(offs.select(*keys, _OFF), keys)
     m = m.withColumn(pos_name, (F.col(_OFF) + F.col(_RN) - 1).cast("long"))
     wb = _w(o, (_CHUNK,)).rowsBetween(Window.unboundedPreceding, 0)
-    wf = _w(o, (_CHUNK,)).rowsBetween(0, Window.unboundedFollowing)
+    wf = _w_rev(o, (_CHUNK,)).rowsBetween(Window.unboundedPreceding, 0)
     inner = []
     summ = []
     for c in cols:
         p = F.when(F.col(c).isNotNull(), F.col(pos_name))
         inner += [F.last(c, True).over(wb).alias(f"{c}__pv"), F.last(p, True).over(wb).alias(f"{c}__pp"),
-                  F.first(c, True).over(wf).alias(f"{c}__nv"), F.first(p, True).over(wf).alias(f"{c}__np")]
+                  F.last(c, True).over(wf).alias(f"{c}__nv"), F.last(p, True).over(wf).alias(f"{c}__np")]
         nn = F.when(F.col(c).isNotNull(), F.struct(F.col(pos_name).alias("p"), F.col(c).alias("v")))
         summ += [F.max(nn).alias(f"{c}__lastnn"), F.min(nn).alias(f"{c}__firstnn")]
     # per-chunk summary: last / first non-missing (position, value)
     s = m.groupBy(*keys).agg(*summ)
     wprev = Window.partitionBy(*part).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    wnext = Window.partitionBy(*part).orderBy(_CHUNK).rowsBetween(1, Window.unboundedFollowing)
+    wnext = Window.partitionBy(*part).orderBy(F.col(_CHUNK).desc()).rowsBetween(Window.unboundedPreceding, -1)
     carry = s.select(*keys, *[x for c in cols for x in (
         F.last(f"{c}__lastnn", True).over(wprev).alias(f"{c}__cprev"),
-        F.first(f"{c}__firstnn", True).over(wnext).alias(f"{c}__cnext"))])
+        F.last(f"{c}__firstnn", True).over(wnext).alias(f"{c}__cnext"))])
     x = m.select("*", *inner).join(carry, keys, "left")
     fixed = []
     for c in cols:
