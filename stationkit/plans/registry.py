@@ -102,7 +102,7 @@ def q_complete_rows(spark, sf):
     return round_doubles(CL.complete_rows(_clean(spark, sf)))
 
 
-@register("drop_sentinel_rows", Q.with_ctes() .rstrip().rstrip(",") + "\n" +
+@register("drop_sentinel_rows", Q.obs_only() +
           f"SELECT {Q.sel(['series_id', 'obs_date'] + M)} FROM obs WHERE " +
           " AND ".join(f"{m} <> -999" for m in M))
 def q_drop_sentinel_rows(spark, sf):
@@ -512,7 +512,7 @@ from ..sources import stations as SS  # noqa: E402
 from .network import TARGETS as NN_TARGETS, network_features, network_table  # noqa: E402
 
 
-@register("read_stations", Q.with_ctes() .rstrip().rstrip(",") + "\n" +
+@register("read_stations", Q.obs_only() +
           f"SELECT {Q.sel(['series_id', 'obs_date'] + M)} FROM obs")
 def q_read_stations(spark, sf):
     path = scratch_path(spark, "stations")

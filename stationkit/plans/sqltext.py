@@ -50,6 +50,11 @@ def interp_cte(src: str, name: str, col: str, other_cols: list[str]) -> str:
     return inner + ",\n" + outer
 
 
+def obs_only(many: bool = False) -> str:
+    """WITH clause defining only the station stand-in ``obs``."""
+    return "WITH " + obs_ctes(many) + "\n"
+
+
 def with_ctes(*ctes: str, many: bool = False) -> str:
     return "WITH " + obs_ctes(many) + ",\n" + ",\n".join(ctes) + "\n"
 
