@@ -763,8 +763,8 @@ def q_dense_score(spark, sf):
     t = _nn(spark, sf)
     feats = network_features(t, C)
     w = MD.dense_weights(len(feats), DENSE_LAYERS, seed=0)
-    return MD.dense_score(t, feats, ["row_id", "obs_date", "split"], w,
-                          [f"pred_day{k}" for k in range(1, 4)])
+    return round_doubles(MD.dense_score(t, feats, ["row_id", "obs_date", "split"], w,
+                                        [f"pred_day{k}" for k in range(1, 4)]))
 
 
 # ---------------------------------------------------------------------------
@@ -890,3 +890,70 @@ def q_ols_actual_vs_predicted(spark, sf):
     inside = F.when(is_precip, F.col("y").between(0, 30) & F.col("p").between(-1, 6)) \
         .otherwise(F.col("y").between(-10, 25) & F.col("p").between(-10, 25))
     return round_doubles(pred.withColumn("in_range", inside))
+
+
+# ---------------------------------------------------------------------------
+# the network study's table and dense scoring, with SQL oracles
+# ---------------------------------------------------------------------------
+
+_NN_ORDER = ["R", "A", "N"]
+_NN_COLS = [f"{s}_{m}" for s in _NN_ORDER for m in M]
+
+
+def _nn_sql_ctes() -> list[str]:
+    mi = ("mi AS (SELECT series_id, obs_date, " + ", ".join(
+        f"COALESCE({m}, AVG({m}) OVER (PARTITION BY series_id)) AS {m}" for m in M) + " FROM obs)")
+    sl = []
+    for s in _NN_ORDER:
+        shift = "obs_date" if s == "R" else "CAST(obs_date + INTERVAL 3 DAY AS DATE)"
+        sl.append(f"s_{s} AS (SELECT {shift} AS d, " + ", ".join(f"{m} AS {s}_{m}" for m in M) +
+                  f" FROM mi WHERE series_id = '{s}')")
+    w = ("w AS (SELECT s_R.d AS obs_date, " + ", ".join(_NN_COLS) +
+         " FROM s_R LEFT JOIN s_A ON s_R.d = s_A.d LEFT JOIN s_N ON s_R.d = s_N.d)")
+    c = "c AS (SELECT * FROM w WHERE " + " AND ".join(f"{x} IS NOT NULL" for x in _NN_COLS) + ")"
+    mn = "mn AS (SELECT " + ", ".join(f"AVG(CASE WHEN {x} <> -999 THEN {x} END) AS m_{x}" for x in _NN_COLS) + " FROM c)"
+    f = ("f AS (SELECT obs_date, " + ", ".join(f"CASE WHEN {x} = -999 THEN m_{x} ELSE {x} END AS {x}"
+                                               for x in _NN_COLS) + " FROM c, mn)")
+    t = ("t AS (SELECT *, " + ", ".join(f"LEAD(R_air_temp, {k}) OVER (ORDER BY row_id) AS target_day{k}"
+                                         for k in (1, 2, 3)) +
+         ", COUNT(*) OVER () AS n_all FROM (SELECT *, ROW_NUMBER() OVER (ORDER BY obs_date) - 1 AS row_id FROM f) r)")
+    nn = ("nn AS (SELECT *, CASE WHEN row_id < FLOOR(CAST(0.8 AS DOUBLE) * (n_all - 3)) THEN 'train' ELSE 'test' END"
+          " AS split FROM t WHERE row_id < n_all - 3)")
+    return [mi] + sl + [w, c, mn, f, t, nn]
+
+
+_NN_OUT = ["obs_date", "row_id"] + _NN_COLS + [f"target_day{k}" for k in (1, 2, 3)] + ["split"]
+
+
+@register("network_table", Q.obs_only().rstrip() + ",\n" + ",\n".join(_nn_sql_ctes()) + "\n" +
+          "SELECT " + Q.sel(_NN_OUT, keep=("obs_date", "row_id", "split")) + " FROM nn")
+def q_network_table(spark, sf):
+    return round_doubles(_nn(spark, sf).select(*_NN_OUT))
+
+
+def _dense_sql() -> str:
+    from ..config import DENSE_LAYERS
+    feats = [c for c in _NN_COLS if c != "R_air_temp"]
+    weights = MD.dense_weights(len(feats), DENSE_LAYERS, seed=0)
+    ctes = []
+    prev, src = feats, "nn"
+    for li, (w, b, act) in enumerate(weights):
+        zs = []
+        for j in range(w.shape[1]):
+            terms = " + ".join(f"{p} * {repr(float(w[i, j]))}" for i, p in enumerate(prev))
+            zs.append(f"({terms}) + {repr(float(b[j]))} AS z{j}")
+        ctes.append(f"z{li} AS (SELECT row_id, obs_date, split, " + ", ".join(zs) + f" FROM {src})")
+        if act == "relu":
+            hs = [f"GREATEST(z{j}, 0.0) AS h{li}_{j}" for j in range(w.shape[1])]
+        elif act == "elu":
+            hs = [f"CASE WHEN z{j} > 0 THEN z{j} ELSE EXP(z{j}) - 1 END AS h{li}_{j}" for j in range(w.shape[1])]
+        else:
+            hs = [f"z{j} AS h{li}_{j}" for j in range(w.shape[1])]
+        ctes.append(f"h{li} AS (SELECT row_id, obs_date, split, " + ", ".join(hs) + f" FROM z{li})")
+        prev, src = [f"h{li}_{j}" for j in range(w.shape[1])], f"h{li}"
+    outs = ", ".join(f"ROUND({p}, 6) AS pred_day{k}" for k, p in enumerate(prev, start=1))
+    return (Q.obs_only().rstrip() + ",\n" + ",\n".join(_nn_sql_ctes() + ctes) + "\n" +
+            f"SELECT row_id, obs_date, split, {outs} FROM {src}")
+
+
+ORACLES["dense_score"] = _dense_sql()
