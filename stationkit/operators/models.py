@@ -11,7 +11,6 @@ from __future__ import annotations
 from itertools import combinations_with_replacement
 
 import numpy as np
-import pandas as pd
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import PolynomialExpansion, VectorAssembler
 from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, LinearRegression,

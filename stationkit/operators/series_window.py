@@ -29,7 +29,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_POS = "_sk_pos"
 _CHUNK = "_sk_chunk"
 _RN = "_sk_rn"
 _CNT = "_sk_cnt"

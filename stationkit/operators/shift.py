@@ -1,4 +1,4 @@
-"""Time shifts.
+"""Time shifts (W1-W3, E7; the calendar shift P8 is ``clean.shift_dates``).
 
 Row shifts go through :mod:`series_window`, so they are exact per series and
 never cross a series boundary; date shifts are plain column arithmetic.
@@ -6,7 +6,7 @@ never cross a series boundary; date shifts are plain column arithmetic.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import Config
@@ -52,12 +52,3 @@ def tail_trim(df: DataFrame, k: int, o: Ordering) -> DataFrame:
 def forecast_dates(df: DataFrame, date_col: str, horizons: int, o: Ordering) -> DataFrame:
     """The date a k-step forecast refers to = the date k rows later."""
     return shift_rows(df, [(f"date_day{k}", date_col, k) for k in range(1, horizons + 1)], o)
-
-
-def date_shifted(df: DataFrame, date_col: str, days: int) -> DataFrame:
-    """Move every observation ``days`` calendar days later."""
-    return df.withColumn(date_col, F.date_add(F.col(date_col), days))
-
-
-def series_window(cfg: Config) -> Window:
-    return Window.partitionBy(cfg.series_col).orderBy(cfg.date_col)

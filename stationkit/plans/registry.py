@@ -190,9 +190,6 @@ def q_prefixed_wide(spark, sf):
     return round_doubles(CL.prefix_columns(x, "R_", keep=("obs_date",)))
 
 
-_LAG_COLS = [f"{s}_{m}" for s in ("R", "A", "N") for m in M]
-
-
 @register("lagged_left_join", Q.with_ctes(Q.clean_cte()) +
           "SELECT r.obs_date AS obs_date, " +
           ", ".join(f"ROUND({a}.{m}, 6) AS {s}_{m}" for s, a in (("R", "r"), ("A", "a"), ("N", "n")) for m in M) +

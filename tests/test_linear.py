@@ -3,7 +3,6 @@ import math
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from stationkit.operators.linear import ols_models, predict, split_sweep
 

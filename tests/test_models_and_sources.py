@@ -1,5 +1,4 @@
 import numpy as np
-import pytest
 
 from stationkit.config import DENSE_LAYERS
 from stationkit.operators.models import dense_forward, dense_score, dense_weights, poly_terms

@@ -2,7 +2,6 @@ import random
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from stationkit.operators.stats import arg_min, corr_long, exact_quantile, goal_series_long, histogram
 
