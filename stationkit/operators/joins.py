@@ -50,7 +50,8 @@ def pivot_series(long_df: DataFrame, series_col: str, date_col: str, series: lis
     """
     g = long_df.where(F.col(series_col).isin(series)).groupBy(date_col).pivot(series_col, series)
     # pivot names each cell "{series}_{alias}"; "_n" counts a series' rows per date
-    wide = g.agg(*[F.first(c).alias(c) for c in cols], F.count(F.lit(1)).alias("_n"))
+    # max is deterministic (first is not); with one row per cell they agree
+    wide = g.agg(*[F.max(c).alias(c) for c in cols], F.count(F.lit(1)).alias("_n"))
     present = reduce(lambda a, b: a & b, [F.col(f"`{s}__n`").isNotNull() for s in series])
     return wide.where(present).select(date_col, *[F.col(f"`{s}_{c}`").alias(f"{s}_{c}")
                                                   for s in series for c in cols])

@@ -178,8 +178,9 @@ def split_sweep(df: DataFrame, key: str, features: list[str], goals: list[tuple[
                 w = solve(train, p, k)
                 e_tr, t_tr, n_tr = sse_sst(train, p, k, w)
                 e_te, t_te, n_te = sse_sst(test, p, k, w)
-                out.append((it, lag, target, f, e_tr / n_tr, e_te / n_te if n_te else float("nan"),
-                            r2_from(e_tr, t_tr), r2_from(e_te, t_te)))
+                nan = float("nan")
+                out.append((it, lag, target, f, e_tr / n_tr if n_tr else nan, e_te / n_te if n_te else nan,
+                            r2_from(e_tr, t_tr) if n_tr else nan, r2_from(e_te, t_te) if n_te else nan))
         return pd.DataFrame(out, columns=["iteration", "lag", "target", "test_size", "mse_train",
                                           "mse_test", "r2_train", "r2_test"])
 
