@@ -954,3 +954,47 @@ def _dense_sql() -> str:
 
 
 ORACLES["dense_score"] = _dense_sql()
+
+
+# ---------------------------------------------------------------------------
+# the older linear notebook's table: cut-off, suffix joins, leads over the
+# joined table's date order, last rows trimmed (raw values, sentinels kept)
+# ---------------------------------------------------------------------------
+
+_OLD_LEADS = [f"{t}_future_{k}Day" for k in (1, 2, 3) for t in ("precip", "air_temp")]
+_OLD_COLS = ["obs_date"] + _SUFFIX_COLS + _OLD_LEADS
+
+
+def _older_table(spark, sf):
+    from ..operators.series_window import Ordering, shift_rows
+    raw = CL.cutoff_filter(station_obs(spark, sf), "obs_date", CUTOFF_DATE)
+    part = {s: raw.where(F.col("series_id") == s).drop("series_id") for s in ("N", "A", "R")}
+    x = J.suffix_join(J.suffix_join(part["N"], part["A"], "obs_date", ("_sch", "_arb")),
+                      part["R"], "obs_date", ("_x", "_y"))
+    o = Ordering(partition=(), order=("obs_date",))
+    x = shift_rows(x, [(f"{t}_future_{k}Day", t, k) for k in (1, 2, 3) for t in ("precip", "air_temp")], o)
+    return SH.tail_trim(x, 3, o)
+
+
+@register("older_notebook_table", Q.obs_only().rstrip() + ",\n" +
+          f"c AS (SELECT * FROM obs WHERE obs_date >= DATE '{CUTOFF_DATE}'),\n" +
+          "j AS (SELECT s.obs_date AS obs_date, " +
+          ", ".join([f"s.{m} AS {m}_sch" for m in M] + [f"a.{m} AS {m}_arb" for m in M] + [f"r.{m} AS {m}" for m in M]) +
+          " FROM (SELECT * FROM c WHERE series_id = 'N') s"
+          " JOIN (SELECT * FROM c WHERE series_id = 'A') a ON s.obs_date = a.obs_date"
+          " JOIN (SELECT * FROM c WHERE series_id = 'R') r ON s.obs_date = r.obs_date),\n" +
+          "l AS (SELECT *, " + ", ".join(f"LEAD({t}, {k}) OVER (ORDER BY obs_date) AS {t}_future_{k}Day"
+                                         for k in (1, 2, 3) for t in ("precip", "air_temp")) +
+          ", ROW_NUMBER() OVER (ORDER BY obs_date DESC) AS rr FROM j)\n" +
+          f"SELECT {Q.sel(_OLD_COLS)} FROM l WHERE rr > 3")
+def q_older_notebook_table(spark, sf):
+    return round_doubles(_older_table(spark, sf).select(*_OLD_COLS))
+
+
+@register("older_notebook_filled")
+def q_older_notebook_filled(spark, sf):
+    """W6 over every measure and lead column of the older notebook's table,
+    in date order, as its cell loop fills them."""
+    t = cut_lineage(RW.add_row_id(_older_table(spark, sf), ["obs_date"]))
+    cols = [c for c in t.columns if c not in ("obs_date", "row_id")]
+    return round_doubles(IM.head_weighted_fill(t, cols, "row_id", C.sentinel))
