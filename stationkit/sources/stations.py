@@ -59,3 +59,13 @@ def write_model_tables(sup: DataFrame, path: str, features: list[str], goals: li
 def read_model_tables(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFrame]:
     """S3: the three tables back."""
     return {k: spark.read.parquet(v) for k, v in paths.items()}
+
+
+def write_bucketed_long_table(df: DataFrame, name: str, path: str, buckets: int,
+                              series_col: str = "series_id", date_col: str = "obs_date") -> DataFrame:
+    """Store a long table bucketed and sorted by series, as an external table
+    at ``path`` (the shared folder).  Per-series windows on it then need no
+    shuffle: the scan already delivers each series in one bucket."""
+    (df.write.mode("overwrite").bucketBy(buckets, series_col).sortBy(series_col, date_col)
+     .option("path", path).saveAsTable(name))
+    return df.sparkSession.table(name)

@@ -38,3 +38,15 @@ def test_supervised_table_is_python_free(spark):
     plan = _plan(supervised_table(_long_table(spark), C, mode="series"))
     assert "ArrowEvalPython" not in plan and "BatchEvalPython" not in plan
     assert "Window" in plan
+
+
+def test_bucketed_long_table_needs_no_shuffle_for_series_windows(spark):
+    import uuid
+
+    from stationkit.operators.shift import future_targets, ordering
+    from stationkit.sources.stations import write_bucketed_long_table
+    name = f"obs_long_{uuid.uuid4().hex[:8]}"
+    t = write_bucketed_long_table(station_obs(spark, "/root/testdata/sf0.001", many=True), name,
+                                  scratch_path(spark, name), 8)
+    plan = _plan(future_targets(t, C, ordering(C, mode="series")))
+    assert "Window" in plan and "Exchange" not in plan
