@@ -5,6 +5,12 @@ planted sentinels is derived in SQL.  The same text runs in Spark SQL and in
 DuckDB, which lets every query start from identical input on both sides.
 ``l_returnflag`` (A, N, R) plays three stations, R is the target; the
 many-series variant uses ``l_suppkey``.
+
+Every ``lineitem`` row is aggregated into the daily table.  The modulo
+expressions on the day number do not sample anything for cost: they plant
+the -999 sentinels (isolated, in runs, at both ends) and remove about one
+day in 29 so that calendar gaps make row shifts differ from date shifts,
+which the reference's operators must handle.
 """
 
 from __future__ import annotations
