@@ -3,6 +3,10 @@
 Runs each query once to warm up, then ``BENCH_RUNS`` (default 3) timed runs,
 and prints ONE JSON line with the median seconds per query and their sum.
 Each run executes the whole plan with the ``noop`` sink (no collect).
+The station stand-ins are derived from the driver tables once per
+application and stored as Parquet (as a deployment stores its long station
+table); the warm-up run writes them, and the timings cover the operators
+reading them.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
 BENCH_RUNS, BENCH_QUERIES (comma list to override the headline set).
