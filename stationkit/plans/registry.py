@@ -22,7 +22,7 @@ from ..operators import rows as RW
 from ..operators import shift as SH
 from ..operators import stats as ST
 from ..session import cut_lineage
-from ..sources.fixtures import EVENT_SERIES_CTE, event_series, station_obs
+from ..sources.fixtures import EVENT_SERIES_CTE, event_series, station_obs, stored
 from . import sqltext as Q
 from .supervised import supervised_table
 
@@ -54,12 +54,13 @@ def _sup(spark: SparkSession, sf: str) -> DataFrame:
 
 def _sup_rowid(spark: SparkSession, sf: str) -> DataFrame:
     """The model table handed from the preparation job to the studies:
-    supervised rows with their position by date, written once to the shared
-    folder (as the reference hands over files) so the studies' several
-    passes read it instead of re-running the preparation."""
+    supervised rows with their position by date.  It is written once per
+    application to the shared folder, as the reference's preparation script
+    writes the files its notebooks read, and the studies read it from there."""
     # one row per date: yearly chunks hold at most 366 rows, so the global
     # position needs no sizing pass
-    return cut_lineage(RW.add_row_id(_sup(spark, sf), ["obs_date"], mode="chunked"))
+    return stored(spark, sf, "model-table",
+                  lambda: RW.add_row_id(_sup(spark, sf), ["obs_date"], mode="chunked"))
 
 
 W_SERIES = "WINDOW w AS (PARTITION BY series_id ORDER BY obs_date)"

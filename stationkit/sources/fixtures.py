@@ -72,7 +72,7 @@ def _sql_over(spark: SparkSession, text: str, sf_dir: str, table: str) -> DataFr
 _STORED: dict[tuple[str, str, str], str] = {}
 
 
-def _stored(spark: SparkSession, sf_dir: str, kind: str, build) -> DataFrame:
+def stored(spark: SparkSession, sf_dir: str, kind: str, build) -> DataFrame:
     """Derive a stand-in table once per application and keep it as Parquet in
     the shared folder, as a deployment keeps its long station table; later
     queries read it (with filters and projections pushed into the scan)."""
@@ -89,7 +89,7 @@ def _stored(spark: SparkSession, sf_dir: str, kind: str, build) -> DataFrame:
 
 def station_obs(spark: SparkSession, sf_dir: str, many: bool = False) -> DataFrame:
     """Long table ``(series_id STRING, obs_date DATE, 5 x DOUBLE)`` with sentinels."""
-    return _stored(spark, sf_dir, "stations-many" if many else "stations",
+    return stored(spark, sf_dir, "stations-many" if many else "stations",
                    lambda: _sql_over(spark, "WITH " + obs_ctes(many) + "\nSELECT * FROM obs",
                                      sf_dir, "lineitem"))
 
@@ -106,5 +106,5 @@ EVENT_SERIES_CTE = """ev AS (
 
 
 def event_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _stored(spark, sf_dir, "events",
+    return stored(spark, sf_dir, "events",
                    lambda: _sql_over(spark, "WITH " + EVENT_SERIES_CTE + "\nSELECT * FROM ev", sf_dir, "events"))
