@@ -432,7 +432,7 @@ def q_forecast_dates(spark, sf):
 @register("preview_rows", Q.with_ctes(*Q.supervised_ctes()) +
           f"SELECT {Q.sel(['obs_date'] + GOALS)} FROM sup ORDER BY obs_date LIMIT 5")
 def q_preview_rows(spark, sf):
-    return round_doubles(CL.preview(_sup(spark, sf).select("obs_date", *GOALS), ["obs_date"], 5))
+    return round_doubles(CL.preview(_sup_rowid(spark, sf).select("obs_date", *GOALS), ["obs_date"], 5))
 
 
 # ---------------------------------------------------------------------------
@@ -458,7 +458,7 @@ def q_corr_matrix(spark, sf):
 @register("corr_to_targets", Q.with_ctes(*Q.supervised_ctes()) + " UNION ALL ".join(
     _corr_sql(a, b) + " FROM sup" for a in FEATS + GOALS for b in GOALS))
 def q_corr_to_targets(spark, sf):
-    return round_doubles(ST.corr_long(_sup(spark, sf), FEATS + GOALS, GOALS))
+    return round_doubles(ST.corr_long(_sup_rowid(spark, sf), FEATS + GOALS, GOALS))
 
 
 _HIST_COLS = ["R_air_temp", "R_precip"]
@@ -487,15 +487,15 @@ def _hist_sql() -> str:
 
 @register("histogram_100", _hist_sql())
 def q_histogram_100(spark, sf):
-    # bounds and bin counts are two passes over the same input: write it once
-    return round_doubles(ST.histogram(cut_lineage(_sup(spark, sf)), _HIST_COLS, HIST_BINS))
+    # bounds and bin counts are two passes over the written model table
+    return round_doubles(ST.histogram(_sup_rowid(spark, sf), _HIST_COLS, HIST_BINS))
 
 
 @register("goal_series_long", Q.with_ctes(*Q.supervised_ctes()) + " UNION ALL ".join(
     f"SELECT obs_date, '{g}' AS goal, '{t}' AS target, {k} AS horizon, ROUND({g}, 6) AS value FROM sup"
     for t in C.targets for k in range(1, C.horizons + 1) for g in [C.goal_name(t, k)]))
 def q_goal_series_long(spark, sf):
-    return round_doubles(ST.goal_series_long(_sup(spark, sf), "obs_date", GOALS))
+    return round_doubles(ST.goal_series_long(_sup_rowid(spark, sf), "obs_date", GOALS))
 
 
 # ---------------------------------------------------------------------------
@@ -574,7 +574,7 @@ def _gram_sql() -> str:
 
 @register("gram_sums", _gram_sql())
 def q_gram_sums(spark, sf):
-    g = LN.gram_long(_sup(spark, sf), FEATS, GOALS)
+    g = LN.gram_long(_sup_rowid(spark, sf), FEATS, GOALS)
     return g.withColumn("value", F.round("value", 2))
 
 
@@ -591,7 +591,7 @@ def _ols1_sql() -> str:
 
 @register("ols_one_feature", _ols1_sql())
 def q_ols_one_feature(spark, sf):
-    sup = cut_lineage(_sup(spark, sf))
+    sup = _sup_rowid(spark, sf)
     out = None
     for t in C.targets:
         goals = {f"model_lag{k}_{t}": C.goal_name(t, k) for k in range(1, C.horizons + 1)}
