@@ -21,3 +21,15 @@ def test_suffix_only_colliding(spark):
     a = spark.createDataFrame([(1, 1.0, 5.0)], "k int, x double, only_a double")
     b = spark.createDataFrame([(1, 2.0)], "k int, x double")
     assert sorted(suffix_join(a, b, "k", ("_l", "_r")).columns) == ["k", "only_a", "x_l", "x_r"]
+
+
+def test_pivot_layout_equals_inner_join_on_unique_cells(spark):
+    from stationkit.operators.joins import pivot_series
+    df = series_df(spark, [("a", 1, 1.0), ("b", 1, 2.0), ("a", 2, 3.0), ("b", 3, 4.0), ("a", 3, None)])
+    piv = {(r.obs_date.day, r.a_v, r.b_v) for r in pivot_series(df, "series_id", "obs_date", ["a", "b"], ["v"]).collect()}
+    joined = {(r.obs_date.day, r.a_v, r.b_v) for r in
+              join_series(df, "series_id", "obs_date", ["a", "b"], "inner", cols=["v"]).collect()}
+    assert piv == joined == {(2, 1.0, 2.0), (4, None, 4.0)}
+    dup = series_df(spark, [("a", 1, 1.0), ("a", 1, 5.0), ("b", 1, 2.0)])
+    rows = pivot_series(dup, "series_id", "obs_date", ["a", "b"], ["v"]).collect()
+    assert [(r.a_v, r.b_v) for r in rows] == [(5.0, 2.0)]  # deterministic on duplicates
