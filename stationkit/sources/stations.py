@@ -28,14 +28,16 @@ def write_station_files(obs: DataFrame, path: str, series_col: str = "series_id"
 
 
 def read_station_files(spark: SparkSession, path: str, series_col: str = "series_id",
-                       date_col: str = "obs_date") -> DataFrame:
-    """S1 + S2 + S6: read every station file at once.
+                       date_col: str = "obs_date", series: list[str] | None = None) -> DataFrame:
+    """S1 + S2 + S6: read the station files at once (all of them, or only the
+    folders of ``series``, so unrequested stations are never listed or read).
 
     No schema inference pass: values come in as text, names are stripped
     (S6), the date is parsed (S2/P7) and measures are cast with ``try_cast``
     so dirty cells become null instead of failing the job."""
+    paths = [f"{path.rstrip('/')}/{series_col}={s}" for s in series] if series else [path]
     raw = (spark.read.option("header", True).option("recursiveFileLookup", True)
-           .option("ignoreLeadingWhiteSpace", True).csv(path))
+           .option("ignoreLeadingWhiteSpace", True).csv(paths))
     raw = raw.toDF(*[c.strip() for c in raw.columns])
     series = F.regexp_extract(F.col("_metadata.file_path"), f"{series_col}=([^/]+)/", 1)
     measures = [c for c in raw.columns if c != "DATE"]

@@ -32,3 +32,19 @@ def test_station_files_round_trip(spark):
     assert header.startswith("  DATE,  air_temp")  # padded names, as in the station files
     back = read_station_files(spark, path)
     assert sorted(tuple(r) for r in back.collect()) == sorted(tuple(r) for r in df.collect())
+
+
+def test_station_files_read_only_requested_stations(spark):
+    import glob
+
+    from pyspark.sql import functions as F
+    df = spark.createDataFrame([(s, "2001-02-03", 1.0) for s in ("S1", "S2", "S3")],
+                               "series_id string, obs_date string, air_temp double") \
+        .withColumn("obs_date", F.col("obs_date").cast("date"))
+    path = scratch_path(spark, "test-stations-subset")
+    write_station_files(df, path)
+    back = read_station_files(spark, path, series=["S1", "S3"])
+    files = {f.split("/")[-2] for f in back.inputFiles()}
+    assert files == {"series_id=S1", "series_id=S3"}
+    assert sorted(r.series_id for r in back.collect()) == ["S1", "S3"]
+    assert len(glob.glob(f"{path}/series_id=*")) == 3
