@@ -28,7 +28,7 @@ from .supervised import supervised_table
 def preparation_job(spark: SparkSession, stations_path: str, out_path: str, cfg: Config,
                     shuffle_seed: int = 0) -> dict[str, dict[str, str]]:
     """Returns the paths of the sorted and the shuffled model tables."""
-    obs = read_station_files(spark, stations_path, cfg.series_col, cfg.date_col)
+    obs = read_station_files(spark, stations_path, cfg.series_col, cfg.date_col, series=list(cfg.series))
     sup = cut_lineage(RW.add_row_id(supervised_table(obs, cfg), [cfg.date_col]))
     feats, goals = cfg.feature_columns(), cfg.goal_columns()
     out = {"sorted": write_model_tables(sup, f"{out_path}/sorted", feats, goals, cfg.date_col)}
@@ -111,7 +111,7 @@ def network_study(spark: SparkSession, stations_path: str, cfg: Config, seed: in
     from ..operators.shift import forecast_dates
     from .network import TARGETS, network_features, network_table
 
-    obs = read_station_files(spark, stations_path, cfg.series_col, cfg.date_col)
+    obs = read_station_files(spark, stations_path, cfg.series_col, cfg.date_col, series=list(cfg.series))
     table = cut_lineage(network_table(obs, cfg))
     feats = network_features(table, cfg)
     goals = {f"horizon_{k}": c for k, c in enumerate(TARGETS, start=1)}
