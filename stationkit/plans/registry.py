@@ -825,7 +825,22 @@ def q_axis_bound(spark, sf):
         F.greatest(F.max("y"), F.max("p")).alias("axis_max")))
 
 
-@register("head_weighted_fill")
+def _head_fill_oracle(src_ctes: list[str], cols: list[str]) -> str:
+    ctes, select = Q.head_fill_sql("src", cols, ["obs_date", "row_id"])
+    return ("WITH RECURSIVE " + Q.obs_only()[len("WITH "):].rstrip() + ",\n" +
+            ",\n".join(src_ctes + ctes) + "\n" + select)
+
+
+_HW_COLS = [f"{s}_{m}" for s in ("N", "A", "R") for m in M]
+_HW_SRC = ["j3 AS (SELECT n.obs_date AS obs_date, " +
+           ", ".join(f"{a}.{m} AS {s}_{m}" for s, a in (("N", "n"), ("A", "a"), ("R", "r")) for m in M) +
+           " FROM (SELECT * FROM obs WHERE series_id = 'N') n"
+           " JOIN (SELECT * FROM obs WHERE series_id = 'A') a ON n.obs_date = a.obs_date"
+           " JOIN (SELECT * FROM obs WHERE series_id = 'R') r ON n.obs_date = r.obs_date)",
+           "src AS (SELECT *, ROW_NUMBER() OVER (ORDER BY obs_date) - 1 AS row_id FROM j3)"]
+
+
+@register("head_weighted_fill", _head_fill_oracle(_HW_SRC, _HW_COLS))
 def q_head_weighted_fill(spark, sf):
     """W6 on the older notebook's table: the three stations joined on the
     date with sentinels kept, in date order."""
@@ -977,22 +992,29 @@ def _older_table(spark, sf):
     return SH.tail_trim(x, 3, o)
 
 
-@register("older_notebook_table", Q.obs_only().rstrip() + ",\n" +
-          f"c AS (SELECT * FROM obs WHERE obs_date >= DATE '{CUTOFF_DATE}'),\n" +
-          "j AS (SELECT s.obs_date AS obs_date, " +
-          ", ".join([f"s.{m} AS {m}_sch" for m in M] + [f"a.{m} AS {m}_arb" for m in M] + [f"r.{m} AS {m}" for m in M]) +
-          " FROM (SELECT * FROM c WHERE series_id = 'N') s"
-          " JOIN (SELECT * FROM c WHERE series_id = 'A') a ON s.obs_date = a.obs_date"
-          " JOIN (SELECT * FROM c WHERE series_id = 'R') r ON s.obs_date = r.obs_date),\n" +
-          "l AS (SELECT *, " + ", ".join(f"LEAD({t}, {k}) OVER (ORDER BY obs_date) AS {t}_future_{k}Day"
-                                         for k in (1, 2, 3) for t in ("precip", "air_temp")) +
-          ", ROW_NUMBER() OVER (ORDER BY obs_date DESC) AS rr FROM j)\n" +
-          f"SELECT {Q.sel(_OLD_COLS)} FROM l WHERE rr > 3")
+_OLD_CTES = [
+    f"c AS (SELECT * FROM obs WHERE obs_date >= DATE '{CUTOFF_DATE}')",
+    "j AS (SELECT s.obs_date AS obs_date, " +
+    ", ".join([f"s.{m} AS {m}_sch" for m in M] + [f"a.{m} AS {m}_arb" for m in M] + [f"r.{m} AS {m}" for m in M]) +
+    " FROM (SELECT * FROM c WHERE series_id = 'N') s"
+    " JOIN (SELECT * FROM c WHERE series_id = 'A') a ON s.obs_date = a.obs_date"
+    " JOIN (SELECT * FROM c WHERE series_id = 'R') r ON s.obs_date = r.obs_date)",
+    "l AS (SELECT *, " + ", ".join(f"LEAD({t}, {k}) OVER (ORDER BY obs_date) AS {t}_future_{k}Day"
+                                   for k in (1, 2, 3) for t in ("precip", "air_temp")) +
+    ", ROW_NUMBER() OVER (ORDER BY obs_date DESC) AS rr FROM j)",
+    "old AS (SELECT " + ", ".join(_OLD_COLS) + " FROM l WHERE rr > 3)",
+]
+
+
+@register("older_notebook_table", Q.obs_only().rstrip() + ",\n" + ",\n".join(_OLD_CTES) + "\n" +
+          f"SELECT {Q.sel(_OLD_COLS)} FROM old")
 def q_older_notebook_table(spark, sf):
     return round_doubles(_older_table(spark, sf).select(*_OLD_COLS))
 
 
-@register("older_notebook_filled")
+@register("older_notebook_filled", _head_fill_oracle(
+    _OLD_CTES + ["src AS (SELECT *, ROW_NUMBER() OVER (ORDER BY obs_date) - 1 AS row_id FROM old)"],
+    _SUFFIX_COLS + _OLD_LEADS))
 def q_older_notebook_filled(spark, sf):
     """W6 over every measure and lead column of the older notebook's table,
     in date order, as its cell loop fills them."""

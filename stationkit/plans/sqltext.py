@@ -109,3 +109,50 @@ def sup_rowid_cte() -> str:
 
 def hash_sql(seed, key: str) -> str:
     return f"CAST('0x' || substr(md5('{seed}:' || CAST({key} AS VARCHAR)), 1, 8) AS BIGINT)"
+
+
+def head_fill_sql(src: str, cols: list[str], keep: list[str], radius: int = 5, decay: float = 0.1,
+                  sentinel: float = -999.0) -> tuple[list[str], str]:
+    """CTEs and the final SELECT of the head-weighted fill over ``src``
+    (which has a 0-based ``row_id``).  Per column: a recursive CTE fills the
+    first 2*radius+1 rows in order from the first 2*(2*radius+1) non-missing
+    values; every later missing row takes the value for its window length."""
+    span = 2 * radius + 1
+    s = repr(float(sentinel))
+    dfull = "[" + ", ".join(str(abs(i - radius)) for i in range(span)) + "]"
+    ctes = []
+    for i, c in enumerate(cols):
+        ctes += [
+            f"st{i} AS (SELECT COUNT(*) AS n, CAST(SUM(CASE WHEN {c} <> {s} THEN 1 ELSE 0 END) AS BIGINT) AS nnm "
+            f"FROM {src})",
+            f"hd{i} AS (SELECT list({c} ORDER BY row_id) AS h FROM {src} WHERE row_id < {span})",
+            f"fs{i} AS (SELECT COALESCE(list(row_id ORDER BY row_id), []::BIGINT[]) AS fp, "
+            f"COALESCE(list({c} ORDER BY row_id), []::DOUBLE[]) AS fv FROM "
+            f"(SELECT row_id, {c} FROM {src} WHERE {c} <> {s} ORDER BY row_id LIMIT {2 * span}) q)",
+            f"rc{i}(r, filled) AS (SELECT 0, []::DOUBLE[] UNION ALL "
+            f"SELECT r + 1, list_append(filled, CASE WHEN hv <> {s} THEN hv WHEN cnt <= 0 THEN {s} ELSE "
+            f"list_sum(list_transform(range(m), lambda k: cur[k + 1] * exp(-{decay} * d[m - k]))) / "
+            f"list_sum(list_transform(range(m), lambda k: exp(-{decay} * d[k + 1]))) END) FROM ("
+            f"SELECT r, filled, hv, cur, d, CAST(LEAST(len(d), cnt) AS BIGINT) AS m, cnt FROM ("
+            f"SELECT r, filled, h[r + 1] AS hv, "
+            f"list_concat(list_filter(filled, lambda x: x <> {s}), "
+            f"list_transform(list_filter(range(len(fp)), lambda j: fp[j + 1] > r), lambda j: fv[j + 1])) AS cur, "
+            f"list_transform(range(GREATEST(0, r - {radius}), LEAST(n, r + {radius + 1})), lambda x: abs(x - r)) AS d, "
+            f"(CASE WHEN len(filled) > 0 AND filled[1] <> {s} THEN r ELSE 0 END) + "
+            f"(nnm - len(list_filter(fp, lambda p: p <= r))) AS cnt "
+            f"FROM rc{i}, hd{i}, fs{i}, st{i} WHERE r < LEAST(n, {span})) a) b)",
+            f"fin{i} AS (SELECT filled AS f FROM rc{i} ORDER BY r DESC LIMIT 1)",
+            f"tl{i} AS (SELECT list_transform(range({radius + 1}, {span + 1}), lambda L: "
+            f"list_sum(list_transform(range(L), lambda k: f[k + 1] * exp(-{decay} * {dfull}[L - k]))) / "
+            f"list_sum(list_transform(range(L), lambda k: exp(-{decay} * {dfull}[k + 1])))) AS t FROM fin{i})",
+        ]
+    outs = []
+    for i, c in enumerate(cols):
+        L = f"LEAST({span}, st{i}.n - {src}.row_id + {radius})"
+        outs.append(f"ROUND(CASE WHEN {src}.{c} <> {s} THEN {src}.{c} "
+                    f"WHEN {src}.row_id < {span} THEN fin{i}.f[{src}.row_id + 1] "
+                    f"WHEN fin{i}.f[1] = {s} OR st{i}.n <= {span} THEN {s} "
+                    f"ELSE tl{i}.t[{L} - {radius}] END, 6) AS {c}")
+    froms = ", ".join([src] + [f"st{i}, fin{i}, tl{i}" for i in range(len(cols))])
+    select = "SELECT " + ", ".join([f"{src}.{k} AS {k}" for k in keep] + outs) + " FROM " + froms
+    return ctes, select
