@@ -608,10 +608,29 @@ def _split_sup(spark, sf):
 _MODEL_GOALS = {f"model_lag{k}_{t}": C.goal_name(t, k) for t in C.targets for k in range(1, C.horizons + 1)}
 
 
-@register("ols_models")
+def _split_sql_ctes() -> list[str]:
+    """Model table with the exact 80/20 hash hold-out (seed 0), as in _split_sup."""
+    return list(Q.supervised_ctes()) + [Q.sup_rowid_cte(),
+        f"spl AS (SELECT *, CASE WHEN ROW_NUMBER() OVER (ORDER BY {Q.hash_sql(0, 'row_id')}, row_id) "
+        "<= CEIL(CAST(0.2 AS DOUBLE) * COUNT(*) OVER ()) THEN 'test' ELSE 'train' END AS split FROM supr)",
+        "trn AS (SELECT * FROM spl WHERE split = 'train')"]
+
+
+def _ols_oracle_ctes() -> tuple[list[str], str]:
+    ctes, coef = Q.ols_sql("trn", FEATS, _MODEL_GOALS)
+    return _split_sql_ctes() + ctes, coef
+
+
+def _ols_models_sql() -> str:
+    ctes, coef = _ols_oracle_ctes()
+    return ("WITH RECURSIVE " + Q.obs_only()[len("WITH "):].rstrip() + ",\n" + ",\n".join(ctes) + "\n" +
+            f"SELECT model_key, term, ROUND(coef, 6) AS coef FROM {coef}")
+
+
+@register("ols_models", _ols_models_sql())
 def q_ols_models(spark, sf):
     sup = _split_sup(spark, sf)
-    return LN.ols_models(sup, FEATS, _MODEL_GOALS, fit_filter=F.col("split") == "train")
+    return round_doubles(LN.ols_models(sup, FEATS, _MODEL_GOALS, fit_filter=F.col("split") == "train"))
 
 
 def _ols_predictions(spark, sf):
@@ -626,14 +645,40 @@ def _ols_predictions(spark, sf):
     return out
 
 
-@register("ols_predictions")
+def _pred_sql_ctes() -> list[str]:
+    """Oracle predictions of every model on every row (train and test)."""
+    ctes, _ = _ols_oracle_ctes()
+    p = len(FEATS)
+    parts = []
+    for k, (mk, goal) in enumerate(_MODEL_GOALS.items()):
+        col = p + k + 1
+        icpt = f"m_{p + k} - (" + " + ".join(f"a[{j + 1}][{col}] * m_{j}" for j in range(p)) + ")"
+        pred = icpt + " + " + " + ".join(f"a[{j + 1}][{col}] * {f}" for j, f in enumerate(FEATS))
+        parts.append(f"SELECT row_id, split, '{mk}' AS model_key, {goal} AS y, {pred} AS p FROM spl, osol, omu")
+    return ctes + ["prd AS (" + " UNION ALL ".join(parts) + ")"]
+
+
+def _with_pred(select: str) -> str:
+    return ("WITH RECURSIVE " + Q.obs_only()[len("WITH "):].rstrip() + ",\n" + ",\n".join(_pred_sql_ctes()) +
+            "\n" + select)
+
+
+@register("ols_predictions", _with_pred(
+    "SELECT row_id, split, model_key, ROUND(y, 6) AS y, ROUND(p, 6) AS p FROM prd"))
 def q_ols_predictions(spark, sf):
-    return _ols_predictions(spark, sf)
+    return round_doubles(_ols_predictions(spark, sf))
+
+
+_METRICS_SELECT = (
+    "SELECT model_key, split, CAST(COUNT(*) AS BIGINT) AS n, ROUND(AVG(POW(y - p, 2)), 6) AS mse, "
+    "ROUND(SQRT(AVG(POW(y - p, 2))), 6) AS rmse, "
+    "ROUND(CASE WHEN COUNT(y) * VAR_POP(y) = 0 THEN CASE WHEN SUM(POW(y - p, 2)) = 0 THEN 1.0 ELSE 0.0 END "
+    "ELSE 1.0 - SUM(POW(y - p, 2)) / (COUNT(y) * VAR_POP(y)) END, 6) AS r2 FROM prd GROUP BY model_key, split")
 
 
-@register("ols_metrics")
+@register("ols_metrics", _with_pred(_METRICS_SELECT))
 def q_ols_metrics(spark, sf):
-    return MT.regression_metrics(_ols_predictions(spark, sf), ["model_key", "split"], "y", "p")
+    return round_doubles(MT.regression_metrics(_ols_predictions(spark, sf), ["model_key", "split"], "y", "p"))
 
 
 _SWEEP_GOALS = [(k, t, C.goal_name(t, k)) for k in range(1, C.horizons + 1) for t in C.targets]
@@ -646,26 +691,26 @@ def _sweep(spark, sf):
     return LN.split_sweep(sup, "row_id", FEATS, _SWEEP_GOALS, SWEEP_ITERATIONS, list(SWEEP_TEST_SIZES))
 
 
-@register("split_sweep")
+@register("split_sweep")  # oracle registered at the end of the module
 def q_split_sweep(spark, sf):
-    return _sweep(spark, sf)
+    return round_doubles(_sweep(spark, sf))
 
 
 @register("sweep_summary")
 def q_sweep_summary(spark, sf):
-    return ST.group_mean(_sweep(spark, sf), ["test_size", "target"], {"mse_avg": "mse_test"})
+    return round_doubles(ST.group_mean(_sweep(spark, sf), ["test_size", "target"], {"mse_avg": "mse_test"}))
 
 
 @register("sweep_by_iteration")
 def q_sweep_by_iteration(spark, sf):
-    return ST.group_mean(_sweep(spark, sf), ["target", "iteration", "test_size"],
-                         {"mse_test": "mse_test", "r2_test": "r2_test"})
+    return round_doubles(ST.group_mean(_sweep(spark, sf), ["target", "iteration", "test_size"],
+                                       {"mse_test": "mse_test", "r2_test": "r2_test"}))
 
 
 @register("sweep_target_filter")
 def q_sweep_target_filter(spark, sf):
     """the sweep rows of one target."""
-    return _sweep(spark, sf).where(F.col("target") == F.lit("air_temp"))
+    return round_doubles(_sweep(spark, sf).where(F.col("target") == F.lit("air_temp")))
 
 
 @register("best_test_size")
@@ -675,7 +720,7 @@ def q_best_test_size(spark, sf):
     per_target = s.groupBy("target").agg(
         F.min_by("test_size", F.struct("mse_avg", "test_size")).alias("test_size"),
         F.min("mse_avg").alias("mse_avg"))
-    return overall.unionByName(per_target)
+    return round_doubles(overall.unionByName(per_target))
 
 
 # ---------------------------------------------------------------------------
@@ -741,7 +786,24 @@ def _nn(spark, sf):
     return cut_lineage(network_table(station_obs(spark, sf), C))
 
 
-@register("multi_horizon")
+def _multi_horizon_sql() -> str:
+    feats = [c for c in _NN_COLS if c != "R_air_temp"]
+    goals = {f"horizon_{k}": f"target_day{k}" for k in (1, 2, 3)}
+    ctes, _ = Q.ols_sql("nntr", feats, goals, prefix="h")
+    p = len(feats)
+    parts = []
+    for k, (mk, goal) in enumerate(goals.items()):
+        col = p + k + 1
+        icpt = f"m_{p + k} - (" + " + ".join(f"a[{j + 1}][{col}] * m_{j}" for j in range(p)) + ")"
+        pred = icpt + " + " + " + ".join(f"a[{j + 1}][{col}] * {f}" for j, f in enumerate(feats))
+        parts.append(f"SELECT split, '{mk}' AS model_key, {goal} AS y, {pred} AS p FROM nn, hsol, hmu")
+    all_ctes = _nn_sql_ctes() + ["nntr AS (SELECT * FROM nn WHERE split = 'train')"] + ctes + \
+        ["prd AS (" + " UNION ALL ".join(parts) + ")"]
+    return ("WITH RECURSIVE " + Q.obs_only()[len("WITH "):].rstrip() + ",\n" + ",\n".join(all_ctes) + "\n" +
+            _METRICS_SELECT)
+
+
+@register("multi_horizon")  # oracle registered at the end (needs the network-table SQL)
 def q_multi_horizon(spark, sf):
     t = _nn(spark, sf)
     feats = network_features(t, C)
@@ -752,7 +814,7 @@ def q_multi_horizon(spark, sf):
     pred = parts[0]
     for p in parts[1:]:
         pred = pred.unionByName(p)
-    return MT.regression_metrics(pred, ["model_key", "split"], "y", "p")
+    return round_doubles(MT.regression_metrics(pred, ["model_key", "split"], "y", "p"))
 
 
 @register("dense_score")
@@ -894,7 +956,10 @@ def q_event_future_skewed(spark, sf):
     return round_doubles(shift_rows(event_series(spark, sf), specs, _event_ordering()))
 
 
-@register("ols_actual_vs_predicted")
+@register("ols_actual_vs_predicted", _with_pred(
+    "SELECT row_id, split, model_key, ROUND(y, 6) AS y, ROUND(p, 6) AS p, "
+    "CASE WHEN model_key LIKE '%\\_precip' ESCAPE '\\' THEN (y BETWEEN 0 AND 30) AND (p BETWEEN -1 AND 6) "
+    "ELSE (y BETWEEN -10 AND 25) AND (p BETWEEN -10 AND 25) END AS in_range FROM prd"))
 def q_ols_actual_vs_predicted(spark, sf):
     """E6 on the six OLS models: the plot box is per target (precipitation
     x 0..30, y -1..6; temperature -10..25 on both axes)."""
@@ -1021,3 +1086,85 @@ def q_older_notebook_filled(spark, sf):
     t = cut_lineage(RW.add_row_id(_older_table(spark, sf), ["obs_date"]))
     cols = [c for c in t.columns if c not in ("obs_date", "row_id")]
     return round_doubles(IM.head_weighted_fill(t, cols, "row_id", C.sentinel))
+
+
+ORACLES["multi_horizon"] = _multi_horizon_sql()
+
+
+# ---------------------------------------------------------------------------
+# SQL oracle of the split-size sweep: 10 seeded hash splits x 5 sizes, one
+# centred normal-equation system per (iteration, size), solved by a
+# recursive Gauss-Jordan elimination over all 50 systems at once, then
+# row-wise metrics per split
+# ---------------------------------------------------------------------------
+
+def _sweep_sql_ctes() -> list[str]:
+    from ..config import SWEEP_ITERATIONS, SWEEP_TEST_SIZES
+    feats, goals = FEATS, [g for _, _, g in _SWEEP_GOALS]
+    cols = feats + goals
+    p, q = len(feats), len(goals)
+    sizes = ", ".join(f"({i}, CAST({f} AS DOUBLE))" for i, f in enumerate(SWEEP_TEST_SIZES))
+    h = "CAST('0x' || substr(md5(CAST(it AS VARCHAR) || ':' || CAST(row_id AS VARCHAR)), 1, 8) AS BIGINT)"
+    ctes = list(Q.supervised_ctes()) + [Q.sup_rowid_cte(),
+        f"its AS (SELECT CAST(range AS INTEGER) AS it FROM range({SWEEP_ITERATIONS}))",
+        f"szs AS (SELECT * FROM (VALUES {sizes}) s(fi, f))",
+        f"rk AS (SELECT supr.*, it, ROW_NUMBER() OVER (PARTITION BY it ORDER BY {h}, row_id) AS rnk, "
+        "COUNT(*) OVER (PARTITION BY it) AS n_all FROM supr, its)",
+        "sp AS (SELECT rk.*, fi, f, CASE WHEN rnk <= CEIL(f * n_all) THEN 'test' ELSE 'train' END AS split "
+        "FROM rk, szs)",
+        "smu AS (SELECT it, fi, " + ", ".join(f"AVG(CAST({c} AS DOUBLE)) AS m_{i}" for i, c in enumerate(cols)) +
+        " FROM sp WHERE split = 'train' GROUP BY it, fi)",
+        "scx AS (SELECT sp.it, sp.fi, " + ", ".join(f"CAST({c} AS DOUBLE) - m_{i} AS v{i}" for i, c in enumerate(cols)) +
+        " FROM sp JOIN smu ON sp.it = smu.it AND sp.fi = smu.fi WHERE split = 'train')",
+        "sgm AS (SELECT it, fi, [" + ", ".join(
+            "[" + ", ".join([f"SUM(v{i} * v{j})" for j in range(p)] + [f"SUM(v{i} * v{p + k})" for k in range(q)]) + "]"
+            for i in range(p)) + "] AS a FROM scx GROUP BY it, fi)",
+        "sge(it, fi, t, a) AS (SELECT it, fi, 0, a FROM sgm UNION ALL SELECT it, fi, t + 1, "
+        "list_transform(range(len(a)), lambda i: CASE WHEN i = t "
+        "THEN list_transform(a[t + 1], lambda x: x / a[t + 1][t + 1]) "
+        "ELSE list_transform(range(len(a[i + 1])), lambda j: a[i + 1][j + 1] - a[i + 1][t + 1] * a[t + 1][j + 1] "
+        f"/ a[t + 1][t + 1]) END) FROM sge WHERE t < {p})",
+        f"ssol AS (SELECT sge.it, sge.fi, a, smu.* EXCLUDE (it, fi) FROM sge JOIN smu ON sge.it = smu.it "
+        f"AND sge.fi = smu.fi WHERE t = {p})",
+    ]
+    parts = []
+    for k, (lag, target, goal) in enumerate(_SWEEP_GOALS):
+        col = p + k + 1
+        icpt = f"m_{p + k} - (" + " + ".join(f"a[{j + 1}][{col}] * m_{j}" for j in range(p)) + ")"
+        pred = icpt + " + " + " + ".join(f"a[{j + 1}][{col}] * sp.{f}" for j, f in enumerate(feats))
+        parts.append(f"SELECT sp.it, sp.f, sp.split, {lag} AS lag, '{target}' AS target, sp.{goal} AS y, "
+                     f"{pred} AS p FROM sp JOIN ssol ON sp.it = ssol.it AND sp.fi = ssol.fi")
+    ctes.append("spr AS (" + " UNION ALL ".join(parts) + ")")
+    ctes.append(
+        "smet AS (SELECT it, f, lag, target, split, AVG(POW(y - p, 2)) AS mse, "
+        "CASE WHEN COUNT(y) * VAR_POP(y) = 0 THEN CASE WHEN SUM(POW(y - p, 2)) = 0 THEN 1.0 ELSE 0.0 END "
+        "ELSE 1.0 - SUM(POW(y - p, 2)) / (COUNT(y) * VAR_POP(y)) END AS r2 FROM spr GROUP BY ALL)")
+    ctes.append(
+        "sweep AS (SELECT a.it AS iteration, a.lag AS lag, a.target AS target, a.f AS test_size, "
+        "a.mse AS mse_train, b.mse AS mse_test, a.r2 AS r2_train, b.r2 AS r2_test "
+        "FROM smet a JOIN smet b ON a.it = b.it AND a.f = b.f AND a.lag = b.lag AND a.target = b.target "
+        "AND a.split = 'train' AND b.split = 'test')")
+    return ctes
+
+
+def _with_sweep(select: str) -> str:
+    return ("WITH RECURSIVE " + Q.obs_only()[len("WITH "):].rstrip() + ",\n" + ",\n".join(_sweep_sql_ctes()) +
+            "\n" + select)
+
+
+_SWEEP_OUT = ("SELECT iteration, lag, target, test_size, ROUND(mse_train, 6) AS mse_train, "
+              "ROUND(mse_test, 6) AS mse_test, ROUND(r2_train, 6) AS r2_train, ROUND(r2_test, 6) AS r2_test FROM sweep")
+ORACLES["split_sweep"] = _with_sweep(_SWEEP_OUT)
+ORACLES["sweep_summary"] = _with_sweep(
+    "SELECT test_size, target, ROUND(AVG(mse_test), 6) AS mse_avg FROM sweep GROUP BY test_size, target")
+ORACLES["sweep_by_iteration"] = _with_sweep(
+    "SELECT target, iteration, test_size, ROUND(AVG(mse_test), 6) AS mse_test, ROUND(AVG(r2_test), 6) AS r2_test "
+    "FROM sweep GROUP BY target, iteration, test_size")
+ORACLES["sweep_target_filter"] = _with_sweep(_SWEEP_OUT + " WHERE target = 'air_temp'")
+ORACLES["best_test_size"] = _with_sweep(
+    "SELECT test_size, ROUND(mse_avg, 6) AS mse_avg, target FROM ("
+    "SELECT test_size, mse_avg, '*' AS target FROM (SELECT test_size, target, AVG(mse_test) AS mse_avg "
+    "FROM sweep GROUP BY 1, 2) g ORDER BY mse_avg, test_size, target LIMIT 1) o "
+    "UNION ALL SELECT test_size, ROUND(mse_avg, 6), target FROM ("
+    "SELECT test_size, target, mse_avg, ROW_NUMBER() OVER (PARTITION BY target ORDER BY mse_avg, test_size) AS r "
+    "FROM (SELECT test_size, target, AVG(mse_test) AS mse_avg FROM sweep GROUP BY 1, 2) g) t WHERE r = 1")

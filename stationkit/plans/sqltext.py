@@ -156,3 +156,38 @@ def head_fill_sql(src: str, cols: list[str], keep: list[str], radius: int = 5, d
     froms = ", ".join([src] + [f"st{i}, fin{i}, tl{i}" for i in range(len(cols))])
     select = "SELECT " + ", ".join([f"{src}.{k} AS {k}" for k in keep] + outs) + " FROM " + froms
     return ctes, select
+
+
+def ols_sql(train: str, feats: list[str], goals: dict[str, str], prefix: str = "o") -> tuple[list[str], str]:
+    """CTEs solving ordinary least squares with intercept for every goal on
+    the rows of ``train``: the normal equations of the mean-centred columns,
+    solved by Gauss-Jordan elimination in a recursive CTE (one augmented
+    matrix for all goals).  Returns the CTEs and the name of a CTE with
+    ``(model_key, term, coef)``."""
+    gcols = list(goals.values())
+    cols = list(feats) + gcols
+    p, q = len(feats), len(gcols)
+    ctes = [
+        f"{prefix}mu AS (SELECT " + ", ".join(f"AVG(CAST({c} AS DOUBLE)) AS m_{i}" for i, c in enumerate(cols)) +
+        f" FROM {train})",
+        f"{prefix}cx AS (SELECT " + ", ".join(f"CAST({c} AS DOUBLE) - m_{i} AS v{i}" for i, c in enumerate(cols)) +
+        f" FROM {train}, {prefix}mu)",
+        f"{prefix}gm AS (SELECT [" + ", ".join(
+            "[" + ", ".join([f"SUM(v{i} * v{j})" for j in range(p)] + [f"SUM(v{i} * v{p + k})" for k in range(q)]) + "]"
+            for i in range(p)) + f"] AS a FROM {prefix}cx)",
+        f"{prefix}ge(t, a) AS (SELECT 0, a FROM {prefix}gm UNION ALL SELECT t + 1, "
+        "list_transform(range(len(a)), lambda i: CASE WHEN i = t "
+        "THEN list_transform(a[t + 1], lambda x: x / a[t + 1][t + 1]) "
+        "ELSE list_transform(range(len(a[i + 1])), lambda j: a[i + 1][j + 1] - a[i + 1][t + 1] * a[t + 1][j + 1] "
+        f"/ a[t + 1][t + 1]) END) FROM {prefix}ge WHERE t < {p})",
+        f"{prefix}sol AS (SELECT a FROM {prefix}ge WHERE t = {p})",
+    ]
+    parts = []
+    for k, mk in enumerate(goals):
+        col = p + k + 1
+        icpt = f"m_{p + k} - (" + " + ".join(f"a[{j + 1}][{col}] * m_{j}" for j in range(p)) + ")"
+        parts.append(f"SELECT '{mk}' AS model_key, 'intercept' AS term, {icpt} AS coef FROM {prefix}sol, {prefix}mu")
+        for j, f in enumerate(feats):
+            parts.append(f"SELECT '{mk}' AS model_key, '{f}' AS term, a[{j + 1}][{col}] AS coef FROM {prefix}sol")
+    ctes.append(f"{prefix}coef AS (" + " UNION ALL ".join(parts) + ")")
+    return ctes, f"{prefix}coef"
