@@ -1120,10 +1120,10 @@ def _sweep_sql_ctes() -> list[str]:
             "[" + ", ".join([f"SUM(v{i} * v{j})" for j in range(p)] + [f"SUM(v{i} * v{p + k})" for k in range(q)]) + "]"
             for i in range(p)) + "] AS a FROM scx GROUP BY it, fi)",
         "sge(it, fi, t, a) AS (SELECT it, fi, 0, a FROM sgm UNION ALL SELECT it, fi, t + 1, "
-        "list_transform(range(len(a)), lambda i: CASE WHEN i = t "
+        "CASE WHEN a[t + 1][t + 1] = 0 THEN a ELSE list_transform(range(len(a)), lambda i: CASE WHEN i = t "
         "THEN list_transform(a[t + 1], lambda x: x / a[t + 1][t + 1]) "
         "ELSE list_transform(range(len(a[i + 1])), lambda j: a[i + 1][j + 1] - a[i + 1][t + 1] * a[t + 1][j + 1] "
-        f"/ a[t + 1][t + 1]) END) FROM sge WHERE t < {p})",
+        f"/ a[t + 1][t + 1]) END) END FROM sge WHERE t < {p})",
         f"ssol AS (SELECT sge.it, sge.fi, a, smu.* EXCLUDE (it, fi) FROM sge JOIN smu ON sge.it = smu.it "
         f"AND sge.fi = smu.fi WHERE t = {p})",
     ]

@@ -162,7 +162,9 @@ def ols_sql(train: str, feats: list[str], goals: dict[str, str], prefix: str = "
     """CTEs solving ordinary least squares with intercept for every goal on
     the rows of ``train``: the normal equations of the mean-centred columns,
     solved by Gauss-Jordan elimination in a recursive CTE (one augmented
-    matrix for all goals).  Returns the CTEs and the name of a CTE with
+    matrix for all goals).  A zero pivot (a column constant on the fitting
+    rows, whose centred row and column are exactly zero) is skipped, which
+    gives it coefficient 0, as the least-norm solution does.  Returns the CTEs and the name of a CTE with
     ``(model_key, term, coef)``."""
     gcols = list(goals.values())
     cols = list(feats) + gcols
@@ -176,10 +178,10 @@ def ols_sql(train: str, feats: list[str], goals: dict[str, str], prefix: str = "
             "[" + ", ".join([f"SUM(v{i} * v{j})" for j in range(p)] + [f"SUM(v{i} * v{p + k})" for k in range(q)]) + "]"
             for i in range(p)) + f"] AS a FROM {prefix}cx)",
         f"{prefix}ge(t, a) AS (SELECT 0, a FROM {prefix}gm UNION ALL SELECT t + 1, "
-        "list_transform(range(len(a)), lambda i: CASE WHEN i = t "
+        "CASE WHEN a[t + 1][t + 1] = 0 THEN a ELSE list_transform(range(len(a)), lambda i: CASE WHEN i = t "
         "THEN list_transform(a[t + 1], lambda x: x / a[t + 1][t + 1]) "
         "ELSE list_transform(range(len(a[i + 1])), lambda j: a[i + 1][j + 1] - a[i + 1][t + 1] * a[t + 1][j + 1] "
-        f"/ a[t + 1][t + 1]) END) FROM {prefix}ge WHERE t < {p})",
+        f"/ a[t + 1][t + 1]) END) END FROM {prefix}ge WHERE t < {p})",
         f"{prefix}sol AS (SELECT a FROM {prefix}ge WHERE t = {p})",
     ]
     parts = []
