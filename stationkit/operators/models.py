@@ -56,12 +56,15 @@ def _fit_eval(train: DataFrame, test: DataFrame, est, features_col: str, label:
 
 def fit_family(df: DataFrame, split_col: str, features: list[str], goals: dict[str, str],
                kind: str, degree: int = 1, seed: int = 0, reg: float = 0.0,
-               elastic: float = 0.0) -> DataFrame:
+               elastic: float = 0.0, parallelism: int = 4) -> DataFrame:
     """Fit one estimator per goal on the train rows, report metrics on train
     and test: (model_key, family, degree, split, n, mse, rmse, r2).
 
     The assembled (and expanded) feature table is cached once and shared
-    by all goals, like the reference's single X for six targets."""
+    by all goals, like the reference's single X for six targets.  The goals'
+    fits are independent, so up to ``parallelism`` of them are submitted at
+    once from driver threads (as Spark ML's tuning classes do), which keeps
+    the executors busy when one fit's jobs are small."""
     asm = VectorAssembler(inputCols=features, outputCol="_x", handleInvalid="error")
     stages = [asm]
     fcol = "_x"
@@ -73,8 +76,7 @@ def fit_family(df: DataFrame, split_col: str, features: list[str], goals: dict[s
     try:
         train = data.where(F.col(split_col) == "train")
         test = data.where(F.col(split_col) == "test")
-        out = None
-        for key, goal in goals.items():
+        def one(key: str, goal: str) -> DataFrame:
             if kind == "ols":
                 est = LinearRegression(featuresCol=fcol, labelCol=goal, solver="normal",
                                        regParam=reg, elasticNetParam=elastic, standardization=False)
@@ -92,8 +94,14 @@ def fit_family(df: DataFrame, split_col: str, features: list[str], goals: dict[s
                 raise ValueError(kind)
             m = _fit_eval(train, test, est, fcol, goal,
                           {"model_key": key, "family": kind, "degree": degree})
-            m = cut_lineage(m)  # metrics are tiny; cut lineage before releasing the cache
-            out = m if out is None else out.unionByName(m)
+            return cut_lineage(m)  # metrics are tiny; cut lineage before releasing the cache
+
+        from concurrent.futures import ThreadPoolExecutor
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            parts = list(pool.map(lambda kv: one(*kv), goals.items()))
+        out = parts[0]
+        for m in parts[1:]:
+            out = out.unionByName(m)
         return out
     finally:
         data.unpersist()
