@@ -31,6 +31,7 @@ HEADLINE = [
     "interpolate_many",      # W4, one series per supplier
     "future_targets_many",   # W1, one series per supplier
     "corr_matrix",           # A1, 120 column pairs in one pass
+    "corr_measures_many",    # A1 over the long table of one series per supplier
     "split_sweep",           # M4, 300 least-squares fits
     "holdout_split",         # O4, exact random split
     "histogram_100",         # A3

@@ -455,6 +455,14 @@ def q_corr_matrix(spark, sf):
     return round_doubles(ST.corr_long(_wide3(spark, sf), _WIDE_COLS))
 
 
+@register("corr_measures_many", Q.with_ctes(Q.clean_cte(), many=True) + " UNION ALL ".join(
+    _corr_sql(a, b) + " FROM clean" for i, a in enumerate(M) for b in M[i:]))
+def q_corr_measures_many(spark, sf):
+    """A1 on the long many-series table: the measures' pairwise correlation
+    over every series-day (pairwise deletion of missing values)."""
+    return round_doubles(ST.corr_long(_clean(spark, sf, many=True), M))
+
+
 @register("corr_to_targets", Q.with_ctes(*Q.supervised_ctes()) + " UNION ALL ".join(
     _corr_sql(a, b) + " FROM sup" for a in FEATS + GOALS for b in GOALS))
 def q_corr_to_targets(spark, sf):
