@@ -75,6 +75,17 @@ def q_supervised_table(spark, sf):
     return round_doubles(_sup(spark, sf))
 
 
+_MANY_CFG = Config(series=("2", "3", "1"), target_series="1")
+
+
+@register("supervised_table_many", Q.supervised_sql_for(_MANY_CFG, many=True))
+def q_supervised_table_many(spark, sf):
+    """The preparation job on the 1,000-series table: supplier 1 as the
+    target, suppliers 2 and 3 as neighbours.  The series filters of the
+    slices are pushed below the per-series windows."""
+    return round_doubles(supervised_table(station_obs(spark, sf, many=True), _MANY_CFG))
+
+
 @register("supervised_projection", Q.supervised_sql(complete=False))
 def q_supervised_projection(spark, sf):
     return round_doubles(supervised_table(station_obs(spark, sf), C, complete=False))

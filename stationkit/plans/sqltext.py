@@ -68,32 +68,41 @@ def sel(cols, src: str = "", places: int = 6, keep=("series_id", "obs_date")) ->
     return ", ".join(out)
 
 
-def supervised_ctes() -> list[str]:
-    goals = [f"{t}_future_{k}Day" for t in C.targets for k in range(1, C.horizons + 1)]
+def supervised_ctes(cfg=C) -> list[str]:
+    """The preparation job in SQL for the stations of ``cfg`` (target first).
+    Output names are quoted: station ids may start with a digit."""
+    T = cfg.target_series
+    goals = [f"{t}_future_{k}Day" for t in cfg.targets for k in range(1, cfg.horizons + 1)]
     others = [m for m in MEASURES if m != "air_temp"]
     tgt_cols = ["series_id", "obs_date"] + others + goals
     oth_cols = ["series_id", "obs_date"] + others
-    alias = {"R": "r", "N": "n", "A": "a"}
+    alias = {s: f"s{i}" for i, s in enumerate(cfg.series)}
     body = []
-    for s in C.series:
-        for f in C.features:
-            body.append(f"{alias[s]}.{f} AS {s}_{f}")
+    for s in cfg.series:
+        for f in cfg.features:
+            body.append(f'{alias[s]}.{f} AS "{s}_{f}"')
     for g in goals:
-        body.append(f"r.{g} AS R_{g}")
-    body.append("r.obs_date AS obs_date")
+        body.append(f'{alias[T]}.{g} AS "{T}_{g}"')
+    body.append(f"{alias[T]}.obs_date AS obs_date")
+    joins = "".join(f" JOIN (SELECT * FROM oth WHERE series_id = '{s}') {alias[s]} ON {alias[T]}.obs_date = "
+                    f"{alias[s]}.obs_date" for s in cfg.series if s != T)
     return [
         clean_cte(),
-        future_cte("(SELECT * FROM clean WHERE series_id = 'R')", "tgt_f"),
+        future_cte(f"(SELECT * FROM clean WHERE series_id = '{T}')", "tgt_f"),
         interp_cte("tgt_f", "tgt", "air_temp", tgt_cols),
-        interp_cte("(SELECT * FROM clean WHERE series_id <> 'R')", "oth", "air_temp", oth_cols),
-        "wide AS (SELECT " + ", ".join(body) +
-        " FROM tgt r JOIN (SELECT * FROM oth WHERE series_id = 'N') n ON r.obs_date = n.obs_date"
-        " JOIN (SELECT * FROM oth WHERE series_id = 'A') a ON r.obs_date = a.obs_date)",
+        interp_cte(f"(SELECT * FROM clean WHERE series_id <> '{T}')", "oth", "air_temp", oth_cols),
+        "wide AS (SELECT " + ", ".join(body) + f" FROM tgt {alias[T]}" + joins + ")",
         "sup AS (SELECT * FROM wide WHERE " +
-        " AND ".join(f"{c} IS NOT NULL" for c in C.feature_columns() + C.goal_columns()) + ")",
+        " AND ".join(f'"{c}" IS NOT NULL' for c in cfg.feature_columns() + cfg.goal_columns()) + ")",
     ]
 
 
+def supervised_sql_for(cfg, many: bool = False) -> str:
+    cols = cfg.feature_columns() + cfg.goal_columns()
+    sel = ", ".join([f'ROUND("{c}", 6) AS "{c}"' for c in cols] + ["obs_date"])
+    return with_ctes(*supervised_ctes(cfg), many=many) + f"SELECT {sel} FROM sup"
+
+
 SUP_COLS = C.feature_columns() + C.goal_columns()
 
 
