@@ -5,9 +5,9 @@ Two exact physical strategies share one interface:
 
 * ``series``  -- ``Window.partitionBy(series).orderBy(date)``: one shuffle,
   one task per series.  Right when every series fits one task.
-* ``chunked`` -- the series is cut into date chunks
-  (``floor(unix_date / chunk_days)``) and the window runs per
-  ``(series, chunk)``.  Whatever crosses a chunk boundary (the next/previous
+* ``chunked`` -- the series is cut into chunks of its first order key
+  (``floor(key / width)`` with the key in days, microseconds or integer
+  units) and the window runs per ``(series, chunk)``.  Whatever crosses a chunk boundary (the next/previous
   K rows, the nearest non-missing value) is taken from small per-chunk tables
   (a few rows per chunk) joined back on ``(series, chunk)``.  The big side is
   already hash-partitioned on exactly those keys by the window's exchange,
