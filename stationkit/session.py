@@ -32,6 +32,9 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
         b = b.config(k, v)
     b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     b = b.config("spark.driver.memory", memory)
+    # catalog tables of local runs carry an explicit path in the shared
+    # folder; keep the default database folder out of the working directory
+    b = b.config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="stationkit-warehouse-"))
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
