@@ -1,13 +1,12 @@
 """Session helpers: building a local session for tests and finding the shared
 folder for checkpoints and written tables.
 
-On a cluster the shared folder comes from ``spark.checkpoint.dir``; a local
-temporary folder is created only when that setting is absent (tests, bench).
+On a cluster the shared folder comes from ``spark.checkpoint.dir``; without that
+setting it is an error there, and a temporary folder in local mode.
 """
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -41,28 +40,68 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a local one only if unset."""
+def _is_local(spark: SparkSession) -> bool:
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the driver and every executor see, as a URI or path.
+
+    The cluster names it in ``spark.checkpoint.dir`` (or a checkpoint folder
+    was set on the context).  A temporary folder of this machine is made only
+    in local mode, where all tasks run here; elsewhere its absence is an error."""
     sc = spark.sparkContext
-    current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
+    conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if conf:
+        return conf
+    current = sc.getCheckpointDir()
     if current:
         return current
-    conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    if not conf:
-        conf = tempfile.mkdtemp(prefix="stationkit-ckpt-")
-    sc.setCheckpointDir(conf)
-    return sc.getCheckpointDir() or conf
+    if not _is_local(spark):
+        raise RuntimeError(
+            "spark.checkpoint.dir is not set: on a cluster, intermediate tables need a folder "
+            "shared by the driver and all executors")
+    made = tempfile.mkdtemp(prefix="stationkit-ckpt-")
+    spark.conf.set("spark.checkpoint.dir", made)
+    return made
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Set the context's checkpoint folder to the shared one, if it has none."""
+    folder = shared_folder(spark)
+    sc = spark.sparkContext
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(folder)
+    return folder
+
+
+# tables written by this application: (application id, path)
+_WRITTEN: list[tuple[str, str]] = []
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path inside the shared folder for written intermediate tables."""
-    base = ensure_checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    return os.path.join(base, "tables", f"{name}-{uuid.uuid4().hex[:12]}")
+    path = f"{shared_folder(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex[:12]}"
+    _WRITTEN.append((spark.sparkContext.applicationId, path))
+    return path
+
+
+def drop_written_tables(spark: SparkSession) -> int:
+    """Delete the intermediate tables that this application wrote, and return
+    how many there were.  Frames that still read one of them end with it, so
+    call this after the results are written."""
+    app = spark.sparkContext.applicationId
+    mine = [p for a, p in _WRITTEN if a == app]
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for p in mine:
+        hp = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p)
+        hp.getFileSystem(conf).delete(hp, True)
+    _WRITTEN[:] = [(a, p) for a, p in _WRITTEN if a != app]
+    return len(mine)
 
 
-def cut_lineage(df):
+def cut_lineage(df, name: str = "lineage"):
     """Write ``df`` as a Parquet table in the shared folder and read it back.
 
     Later jobs read the written data, and a lost executor does not send them
@@ -71,6 +110,6 @@ def cut_lineage(df):
     frame is cached, this computes the plan once.  The table is columnar, so
     later filters and projections are pushed into its scan."""
     spark = df.sparkSession
-    path = scratch_path(spark, "lineage")
+    path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

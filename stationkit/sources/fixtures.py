@@ -15,8 +15,6 @@ which the reference's operators must handle.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -68,8 +66,28 @@ def _sql_over(spark: SparkSession, text: str, sf_dir: str, table: str) -> DataFr
                      **{table: spark.read.parquet(f"{sf_dir}/{table}.parquet")})
 
 
-# derived tables already written in this application: (app id, dir, kind) -> path
-_STORED: dict[tuple[str, str, str], str] = {}
+# derived tables already written in this application:
+# (app id, dir, kind) -> (version of the input, path)
+_STORED: dict[tuple[str, str, str], tuple[str, str]] = {}
+_INPUTS = ("lineitem", "events")
+
+
+def _version(spark: SparkSession, sf_dir: str) -> str:
+    """Sizes and modification times of the input files, so that a derived
+    table is made anew when its input has changed."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    seen = []
+    for table in _INPUTS:
+        p = jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{table}.parquet")
+        fs = p.getFileSystem(conf)
+        if fs.exists(p):
+            seen += [f"{f.getPath()}:{f.getLen()}:{f.getModificationTime()}" for f in fs.listStatus(p)]
+    return "|".join(sorted(seen))
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
 def stored(spark: SparkSession, sf_dir: str, kind: str, build) -> DataFrame:
@@ -78,13 +96,14 @@ def stored(spark: SparkSession, sf_dir: str, kind: str, build) -> DataFrame:
     queries read it (with filters and projections pushed into the scan)."""
     from ..session import scratch_path
 
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), kind)
-    path = _STORED.get(key)
-    if path is None:
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip('/'), kind)
+    version = _version(spark, sf_dir)
+    known = _STORED.get(key)
+    if known is None or known[0] != version or not _exists(spark, known[1]):
         path = scratch_path(spark, f"standin-{kind}")
         build().write.mode("overwrite").parquet(path)
-        _STORED[key] = path
-    return spark.read.parquet(path)
+        known = _STORED[key] = (version, path)
+    return spark.read.parquet(known[1])
 
 
 def station_obs(spark: SparkSession, sf_dir: str, many: bool = False) -> DataFrame:
