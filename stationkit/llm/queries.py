@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash
-from .common import read_table
+from . import langid, packing, simhash
+from .common import id_hash_bucket, read_table
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -22,3 +22,19 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """3-word shingles, links at 2 or fewer differing bits."""
     out = simhash.near_duplicate_groups(read_table(spark, sf_dir, "documents"))
     return out.select("doc_id", simhash.fingerprint_text(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+@register
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sequences of at most 4096 tokens of ``word_bpe_49k.json``, end id 1."""
+    return packing.pack_documents(read_table(spark, sf_dir, "documents"), capacity=4096, end_id=1)
+
+
+@register
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learns from rows with crc32(doc_id) mod 4 other than 2; scores all rows."""
+    docs = read_table(spark, sf_dir, "documents")
+    held = F.coalesce(id_hash_bucket(F.col("doc_id"), 4) == 2, F.lit(False))
+    model = langid.train(docs.where(~held))
+    return (langid.predict(docs, model)
+            .select("doc_id", held.alias("held_out"), "lang_pred", "score", "accepted"))
