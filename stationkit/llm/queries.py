@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, packing, simhash
+from . import langid, packing, simhash, topk
 from .common import id_hash_bucket, read_table
 
 QUERIES: dict = {}
@@ -38,3 +38,25 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = langid.train(docs.where(~held))
     return (langid.predict(docs, model)
             .select("doc_id", held.alias("held_out"), "lang_pred", "score", "accepted"))
+
+
+@register
+def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five best of every vector whose id is divisible by 50, against all others."""
+    return topk.search(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+ORACLES["op10_exact_topk"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS ints
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND list_count(embedding) = len(embedding)
+    AND len(list_filter(embedding, lambda x: NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+    CAST(list_sum(list_transform(list_zip(q.ints, c.ints), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v q, v c WHERE q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
+r AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+    vec_id, score FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5"""
