@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, packing, simhash, topk
+from . import html_blocks, langid, packing, simhash, topk
 from .common import id_hash_bucket, read_table
 
 QUERIES: dict = {}
@@ -24,6 +24,12 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", simhash.fingerprint_text(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+@register
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Article text of every page."""
+    return html_blocks.extract(read_table(spark, sf_dir, "pages"))
+
+
 @register
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sequences of at most 4096 tokens of ``word_bpe_49k.json``, end id 1."""
