@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_blocks, langid, packing, simhash, topk
+from . import html_blocks, langid, packing, secrets, simhash, topk
 from .common import id_hash_bucket, read_table
 
 QUERIES: dict = {}
@@ -36,6 +36,12 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf_dir, "documents"), capacity=4096, end_id=1)
 
 
+@register
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fixed formats and values of at least 10^10 guesses."""
+    return secrets.find_secrets(read_table(spark, sf_dir, "documents"))
+
+
 @register
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Learns from rows with crc32(doc_id) mod 4 other than 2; scores all rows."""
