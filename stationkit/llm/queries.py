@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_blocks, langid, packing, secrets, simhash, topk
+from . import html_blocks, langid, packing, quality, secrets, simhash, topk
 from .common import id_hash_bucket, read_table
 
 QUERIES: dict = {}
@@ -30,6 +30,17 @@ def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_blocks.extract(read_table(spark, sf_dir, "pages"))
 
 
+@register
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learns from labels with crc32(doc_id) mod 5 other than 0; scores all rows."""
+    docs = read_table(spark, sf_dir, "documents")
+    held = F.coalesce(id_hash_bucket(F.col("doc_id"), 5) == 0, F.lit(False))
+    labels = read_table(spark, sf_dir, "labels").where(~held).select("doc_id", F.col("quality").alias("label"))
+    scored = quality.score(docs, quality.train(docs, labels, cut=0.3))
+    return scored.select("doc_id", held.alias("held_out"), "score",
+                         (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 @register
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sequences of at most 4096 tokens of ``word_bpe_49k.json``, end id 1."""
