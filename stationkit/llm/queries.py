@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_blocks, langid, packing, quality, secrets, simhash, topk
+from . import bottomk, html_blocks, langid, packing, quality, secrets, simhash, topk
 from .common import id_hash_bucket, read_table
 
 QUERIES: dict = {}
@@ -53,6 +53,19 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(read_table(spark, sf_dir, "documents"))
 
 
+@register
+def op8_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bottom-64 sketches of 5-word shingles of each text, edited and next."""
+    rows = bottomk.edited_and_next(read_table(spark, sf_dir, "documents"))
+    return rows.select(
+        "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2(F.col("edited"), 256).alias("edited_sha256"),
+        bottomk.sketch_text(F.col("sketch")).alias("fingerprint"),
+        bottomk.sketch_text(F.col("edited_sketch")).alias("edited_fingerprint"),
+        bottomk.resemblance(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
+        bottomk.resemblance(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
+        bottomk.distinct_shingles(F.col("sketch")).alias("shingles"))
+
+
 @register
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Learns from rows with crc32(doc_id) mod 4 other than 2; scores all rows."""
