@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bottomk, html_blocks, langid, packing, quality, secrets, simhash, topk
+from . import bottomk, html_blocks, langid, packing, pii, quality, secrets, simhash, topk
 from .common import id_hash_bucket, read_table
 
 QUERIES: dict = {}
@@ -30,6 +30,12 @@ def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_blocks.extract(read_table(spark, sf_dir, "pages"))
 
 
+@register
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E-mail, IP, card and phone spans, and the boosted trees' additions."""
+    return pii.find_personal_data(read_table(spark, sf_dir, "documents"))
+
+
 @register
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Learns from labels with crc32(doc_id) mod 5 other than 0; scores all rows."""
