@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bottomk, html_blocks, langid, packing, pii, quality, secrets, simhash, topk
+from . import bottomk, html_blocks, langid, mixing, packing, pii, quality, secrets, simhash, topk
 from .common import id_hash_bucket, read_table
 
 QUERIES: dict = {}
@@ -59,6 +59,26 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(read_table(spark, sf_dir, "documents"))
 
 
+#: shares of the tokens after mixing, by domain of the ``labels`` table
+MIX_WEIGHTS = {"clean": 0.97, "low": 0.02, "toxic": 0.01}
+
+
+def label_domains(labels: DataFrame) -> DataFrame:
+    """``doc_id, domain`` of the labelled documents."""
+    return labels.where("quality is not null and toxic is not null").select("doc_id", F.expr(
+        "CASE WHEN toxic = 1 THEN 'toxic' WHEN quality = 1 THEN 'clean' ELSE 'low' END").alias("domain"))
+
+
+@register
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rates that bring clean, low and toxic text to 97, 2 and 1 percent of the
+    tokens, clean text keeping its tokens."""
+    table, domains = mixing.mix(read_table(spark, sf_dir, "documents"),
+                                label_domains(read_table(spark, sf_dir, "labels")), MIX_WEIGHTS, "clean")
+    return table.select("doc_id", "tokens", *[F.col("p")[k].alias(f"p_{d}") for k, d in enumerate(domains)],
+                        "rate", (F.col("tokens") * F.col("rate")).alias("expected_tokens"))
+
+
 @register
 def op8_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bottom-64 sketches of 5-word shingles of each text, edited and next."""
