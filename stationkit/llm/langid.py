@@ -207,3 +207,19 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
     kind = rows.schema[0].dataType.simpleString()
     return rows.mapInArrow(each, f"doc_id {kind}, lang_pred string, score double, accepted boolean")
+
+
+def accepted(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose language is accepted, with their columns."""
+    spark = docs.sparkSession
+    bounded_batches(spark)
+    at = docs.columns.index(text_col)
+    shared = spark.sparkContext.broadcast(model)
+
+    def each(batches):
+        m = shared.value
+        for b in batches:
+            found = [m.predict(t) for t in b.column(at).to_pylist()]
+            yield b.filter(pa.array([x != UNKNOWN and s >= m.threshold for x, s in found], pa.bool_()))
+
+    return docs.mapInArrow(each, docs.schema)

@@ -60,7 +60,7 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: shares of the tokens after mixing, by domain of the ``labels`` table
-MIX_WEIGHTS = {"clean": 0.97, "low": 0.02, "toxic": 0.01}
+MIX_WEIGHTS = {"clean": 0.94, "low": 0.02, "toxic": 0.04}
 
 
 def label_domains(labels: DataFrame) -> DataFrame:
@@ -71,7 +71,7 @@ def label_domains(labels: DataFrame) -> DataFrame:
 
 @register
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rates that bring clean, low and toxic text to 97, 2 and 1 percent of the
+    """Rates that bring clean, low and toxic text to 94, 2 and 4 percent of the
     tokens, clean text keeping its tokens."""
     table, domains = mixing.mix(read_table(spark, sf_dir, "documents"),
                                 label_domains(read_table(spark, sf_dir, "labels")), MIX_WEIGHTS, "clean")

@@ -53,8 +53,9 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import bounded_batches, text_of, written
 
@@ -220,18 +221,51 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
             .unionByName(edges.select(F.col("u").alias("node"), F.col("u").alias("root"))).distinct())
 
 
-def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                          shingle: int = 3, max_bits: int = 2, bucket_pairs: int = 64) -> DataFrame:
-    """One row per input row: ``doc_id``, ``fp`` (signed long) and
-    ``component_id``, the smallest id of the document's group."""
-    prints = written(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
+def groups(prints: DataFrame, max_bits: int = 2, bucket_pairs: int = 64) -> DataFrame:
+    """``doc_id, fp, component_id, root`` for every row of ``prints``
+    (``doc_id, fp``; a written table, it is read several times).  ``root`` is
+    the group's smallest fingerprint."""
     nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("least_id"))
     roots = components(links(nodes.select("fp"), max_bits, bucket_pairs))
     rooted = (nodes.join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left")
               .withColumn("root", F.coalesce("root", "fp")))
     least = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    groups = rooted.join(least, "root").select("fp", "component_id")
-    return prints.join(groups, "fp").select("doc_id", "fp", "component_id")
+    found = rooted.join(least, "root").select("fp", "component_id", "root")
+    return prints.select("doc_id", "fp").join(found, "fp").select("doc_id", "fp", "component_id", "root")
+
+
+def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                          shingle: int = 3, max_bits: int = 2, bucket_pairs: int = 64) -> DataFrame:
+    """One row per input row: ``doc_id``, ``fp`` (signed long) and
+    ``component_id``, the smallest id of the document's group."""
+    prints = written(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
+    return groups(prints, max_bits, bucket_pairs).select("doc_id", "fp", "component_id")
+
+
+def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                  shingle: int = 3, max_bits: int = 2, bucket_pairs: int = 64) -> DataFrame:
+    """The rows of ``docs``, one of each group: the one with the group's
+    smallest id (a null id only if the group has no other), of rows that share
+    that id and fingerprint the one with the first text."""
+    bounded_batches(docs.sparkSession)
+    at = docs.columns.index(text_col)
+    fp = "_fp"
+    while fp in docs.columns:
+        fp += "_"
+
+    def each(batches):
+        for b in batches:
+            yield b.append_column(fp, pa.array([fingerprint(t, shingle) for t in text_of(b, at)], pa.int64()))
+
+    schema = T.StructType(docs.schema.fields + [T.StructField(fp, T.LongType())])
+    rows = written(docs.mapInArrow(each, schema), "with-fingerprints")
+    keepers = (groups(rows.select(F.col(id_col).alias("doc_id"), F.col(fp).alias("fp")), max_bits, bucket_pairs)
+               .groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "fp")).alias("k"))
+               .select("k.doc_id", "k.fp"))
+    first = Window.partitionBy(id_col, fp).orderBy(text_col)
+    n = fp + "n"
+    return (rows.join(keepers, rows[id_col].eqNullSafe(keepers["doc_id"]) & (rows[fp] == keepers["fp"]), "left_semi")
+            .withColumn(n, F.row_number().over(first)).where(F.col(n) == 1).select(*docs.columns))
 
 
 def fingerprint_text(fp: Column) -> Column:
