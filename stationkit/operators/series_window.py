@@ -1,24 +1,32 @@
 """Row-ordered operations inside each series: position, row shifts, and
 carrying the nearest non-missing value forward/backward.
 
-Two exact physical strategies share one interface:
+Two exact physical strategies share one interface and give the same rows and
+columns for every input:
 
 * ``series``  -- ``Window.partitionBy(series).orderBy(date)``: one shuffle,
   one task per series.  Right when every series fits one task.
-* ``chunked`` -- the series is cut into chunks of its first order key
-  (``floor(key / width)`` with the key in days, microseconds or integer
-  units) and the window runs per ``(series, chunk)``.  Whatever crosses a chunk boundary (the next/previous
-  K rows, the nearest non-missing value) is taken from small per-chunk tables
-  (a few rows per chunk) joined back on ``(series, chunk)``.  The big side is
-  already hash-partitioned on exactly those keys by the window's exchange,
-  so only the small side moves; AQE broadcasts it when its runtime size is
-  under the broadcast threshold.  A series holding a third of all rows is
-  spread over as many tasks as it has chunks.
-
-``auto`` measures the longest series with one aggregate over the key columns
-and picks ``series`` when it is under ``max_rows_per_task`` rows; otherwise
-it sizes the chunk width from that series' row count and key span, so dense
-sub-daily data gets sub-daily chunks.
+* ``chunked`` -- every series is cut into chunks along its whole order key and
+  the window runs per ``(series, chunk)``.  Whatever crosses a chunk boundary
+  (the next/previous K rows, the nearest non-missing value) is taken from
+  small per-chunk tables (a few rows per chunk) joined back on ``(series,
+  chunk)``.  The big side is already hash-partitioned on exactly those keys by
+  the window's exchange, so only the small side moves.  A series holding a
+  third of all rows is spread over as many tasks as it has chunks.
+
+``auto`` counts the rows of each series with one aggregate over the partition
+columns and picks ``series`` when the longest is under ``max_rows_per_task``
+rows.  Otherwise chunks are the partitions of a range partitioning by
+(partition keys, order keys): its bounds are quantiles of the observed rows,
+so chunks are even for any key type, for bursts, and for many rows on one
+date, as long as further order columns tell those apart.  The partitioned rows
+are written to the shared folder once, so that chunks do not change when a
+task is recomputed.  ``mode="chunked"`` without ``chunk_rows`` cuts at fixed
+widths of the first order key instead.
+
+Null partition and order keys are keys like any other (nulls come first, as
+in a window's order): bookkeeping joins use struct-wrapped keys, which match
+null with null.  Helper columns get names that no input column begins with.
 """
 
 from __future__ import annotations
@@ -29,22 +37,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_CHUNK = "_sk_chunk"
-_RN = "_sk_rn"
-_CNT = "_sk_cnt"
-_OFF = "_sk_off"
+from ..session import cut_lineage
 
 
 @dataclass(frozen=True)
 class Ordering:
     """Partition keys (may be empty = one global order) and order keys.
 
-    ``order[0]`` must be a DATE, TIMESTAMP or integral column: chunks are cut
-    on it (width ``chunk_days`` for dates, ``chunk_micros`` for timestamps,
-    ``chunk_width`` for integers).  Further order columns break ties and
-    should make the order total.  In ``auto`` mode the widths are sized from
-    the data so that one chunk of the longest series holds about half of
-    ``max_rows_per_task`` rows.
+    Further order columns break ties and should make the order total.
+    ``chunk_rows`` cuts chunks of about that many rows (``auto`` sets it);
+    without it, ``mode="chunked"`` cuts on ``order[0]``, which must then be a
+    DATE, TIMESTAMP or integral column (width ``chunk_days`` for dates,
+    ``chunk_micros`` for timestamps, ``chunk_width`` for integers).
     """
 
     partition: tuple[str, ...]
@@ -54,6 +58,22 @@ class Ordering:
     chunk_micros: int = 86_400_000_000  # for a timestamp first order key
     max_rows_per_task: int = 2_000_000
     mode: str = "auto"
+    chunk_rows: int | None = None
+    rows: int | None = None  # of the whole table, where known
+
+
+class _Names:
+    """Helper column names that no column of ``df`` begins with."""
+
+    def __init__(self, df: DataFrame):
+        lead = "_sk_"
+        while any(c.startswith(lead) for c in df.columns):
+            lead += "_"
+        self.part, self.chunk, self.rn, self.cnt, self.off, self.total, self.j, self.base, self.pos, \
+            self.next, self.prev = (lead + x for x in (
+                "part", "chunk", "rn", "cnt", "off", "total", "j", "base", "pos", "next", "prev"))
+        self.lead = lead
+        self.keys = [self.part, self.chunk]
 
 
 def _key_units(df: DataFrame, c: str) -> Column:
@@ -69,6 +89,7 @@ def _key_units(df: DataFrame, c: str) -> Column:
 
 
 def _chunk_expr(df: DataFrame, o: Ordering) -> Column:
+    """Chunk of a fixed width, wrapped so that a null key has a chunk too."""
     first = o.order[0]
     dt = df.schema[first].dataType
     if isinstance(dt, T.DateType):
@@ -77,53 +98,39 @@ def _chunk_expr(df: DataFrame, o: Ordering) -> Column:
         width = o.chunk_micros
     else:
         width = o.chunk_width
-    return F.floor(_key_units(df, first) / F.lit(width))
+    return F.struct(F.floor(_key_units(df, first) / F.lit(width)).alias("c"))
 
 
 def resolve(df: DataFrame, o: Ordering) -> Ordering:
-    """Fix the strategy (and, for ``auto``, the chunk width) from one
-    key-only aggregate: the longest partition's row count and key span."""
+    """Fix the strategy from one aggregate over the partition keys.  Pass the
+    result on to several operators over the same rows to count once."""
     if o.mode != "auto":
         return o
-    k = _key_units(df, o.order[0])
     if o.partition:
-        per = df.groupBy(*o.partition).agg(F.count(F.lit(1)).alias("n"), F.min(k).alias("lo"),
-                                           F.max(k).alias("hi"))
-        top = per.orderBy(F.desc("n")).limit(1).collect()
+        per = df.groupBy(*o.partition).agg(F.count(F.lit(1)).alias("n"))
+        longest, rows = per.agg(F.max("n"), F.sum("n")).first()
     else:
-        top = df.agg(F.count(F.lit(1)).alias("n"), F.min(k).alias("lo"), F.max(k).alias("hi")).collect()
-    if not top or not top[0]["n"]:
-        return replace(o, mode="series" if o.partition else "chunked")
-    n, lo, hi = top[0]["n"], top[0]["lo"], top[0]["hi"]
-    if o.partition and n <= o.max_rows_per_task:
-        return replace(o, mode="series")
-    # chunks of about half the task budget for the longest partition,
-    # assuming its rows spread evenly over its key span
-    pieces = max(1, -(-n // max(1, o.max_rows_per_task // 2)))
-    width = max(1, ((hi - lo) + 1) // pieces) if lo is not None else 1
-    dt = df.schema[o.order[0]].dataType
-    if isinstance(dt, T.DateType):
-        return replace(o, mode="chunked", chunk_days=int(width))
-    if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
-        return replace(o, mode="chunked", chunk_micros=int(width))
-    return replace(o, mode="chunked", chunk_width=int(width))
+        longest = rows = df.count()
+    if (longest or 0) <= o.max_rows_per_task:
+        return replace(o, mode="series", rows=rows or 0)
+    return replace(o, mode="chunked", chunk_rows=max(1, o.max_rows_per_task // 2), rows=rows)
 
 
 def resolve_mode(df: DataFrame, o: Ordering) -> str:
     return resolve(df, o).mode
 
 
-def _w(o: Ordering, extra: tuple[str, ...] = ()) -> Window:
-    return Window.partitionBy(*[F.col(c) for c in o.partition + extra]).orderBy(*[F.col(c) for c in o.order])
+def _w(o: Ordering, *keys: str) -> Window:
+    return Window.partitionBy(*[F.col(c) for c in (keys or o.partition)]).orderBy(*[F.col(c) for c in o.order])
 
 
-def _w_rev(o: Ordering, extra: tuple[str, ...] = ()) -> Window:
+def _w_rev(o: Ordering, *keys: str) -> Window:
     """The same partition in exactly reversed order (ascending puts nulls
     first, descending puts them last).  "First non-missing at or after the
     row" is computed as a running "last non-missing" over this order: Spark
     evaluates a running frame incrementally, while a frame reaching to
     UNBOUNDED FOLLOWING is re-aggregated for every row (quadratic)."""
-    return Window.partitionBy(*[F.col(c) for c in o.partition + extra]) \
+    return Window.partitionBy(*[F.col(c) for c in (keys or o.partition)]) \
         .orderBy(*[F.col(c).desc() for c in o.order])
 
 
@@ -132,29 +139,45 @@ def _w_rev(o: Ordering, extra: tuple[str, ...] = ()) -> Window:
 # --------------------------------------------------------------------------
 
 def _chunked_base(df: DataFrame, o: Ordering):
-    """Add chunk id and in-chunk row number; return it with the offsets table."""
-    keys = list(o.partition) + [_CHUNK]
-    m = df.withColumn(_CHUNK, _chunk_expr(df, o))
-    m = m.withColumn(_RN, F.row_number().over(_w(o, (_CHUNK,))))
+    """``df`` with series key, chunk and in-chunk row number, and the table of
+    chunks: rows, rows of the series before it, rows of the series."""
+    nm = _Names(df)
+    part = F.struct(*[F.col(c) for c in o.partition]) if o.partition else F.struct(F.lit(0).alias("all"))
+    if o.chunk_rows:
+        rows = o.rows if o.rows is not None else df.count()
+        pieces = max(1, -(-rows // o.chunk_rows))
+        ranged = df.repartitionByRange(pieces, *[F.col(c).asc_nulls_first() for c in o.partition + o.order])
+        m = cut_lineage(ranged.withColumn(nm.chunk, F.spark_partition_id()), "chunks").withColumn(nm.part, part)
+    else:
+        m = df.withColumn(nm.part, part).withColumn(nm.chunk, _chunk_expr(df, o))
+    m = m.withColumn(nm.rn, F.row_number().over(_w(o, *nm.keys)))
     # counts per chunk from the windowed frame itself: it is already
     # partitioned by the chunk keys, so this aggregate needs no shuffle and
     # the input's exchange is reused instead of computing the input twice
-    counts = m.groupBy(*keys).agg(F.max(_RN).cast("long").alias(_CNT))
-    wp = Window.partitionBy(*[F.col(c) for c in o.partition]).orderBy(_CHUNK) \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    offs = counts.withColumn(_OFF, F.coalesce(F.sum(_CNT).over(wp), F.lit(0)).cast("long"))
-    return m, offs, keys
+    counts = m.groupBy(*nm.keys).agg(F.max(nm.rn).cast("long").alias(nm.cnt))
+    wp = Window.partitionBy(nm.part).orderBy(nm.chunk).rowsBetween(Window.unboundedPreceding, -1)
+    offs = counts.select(*nm.keys, nm.cnt, F.coalesce(F.sum(nm.cnt).over(wp), F.lit(0)).cast("long").alias(nm.off),
+                         F.sum(nm.cnt).over(Window.partitionBy(nm.part)).alias(nm.total))
+    return m, offs, nm
 
 
-def with_position(df: DataFrame, o: Ordering, name: str = "row_pos") -> DataFrame:
-    """0-based position of each row inside its partition, in ``order``."""
+def with_position(df: DataFrame, o: Ordering, name: str = "row_pos", total: str | None = None) -> DataFrame:
+    """0-based position of each row inside its partition, in ``order``, and
+    the partition's row count as ``total`` where asked for."""
     o = resolve(df, o)
     if o.mode == "series":
-        return df.withColumn(name, F.row_number().over(_w(o)).cast("long") - 1)
-    m, offs, keys = _chunked_base(df, o)
-    out = m.join(offs.select(*keys, _OFF), keys, "inner")
-    return out.withColumn(name, (F.col(_OFF) + F.col(_RN) - 1).cast("long")) \
-        .drop(_CHUNK, _RN, _OFF)
+        out = df.withColumn(name, F.row_number().over(_w(o)).cast("long") - 1)
+        if total:
+            out = out.withColumn(total, F.count(F.lit(1)).over(Window.partitionBy(*map(F.col, o.partition))))
+        return out
+    m, offs, nm = _chunked_base(df, o)
+    out = m.join(offs, nm.keys, "inner")
+    return out.select(*map(_quoted, df.columns), (F.col(nm.off) + F.col(nm.rn) - 1).cast("long").alias(name),
+                      *([F.col(nm.total).alias(total)] if total else []))
+
+
+def _quoted(c: str) -> Column:
+    return F.col(f"`{c}`")
 
 
 # --------------------------------------------------------------------------
@@ -178,52 +201,48 @@ def shift_rows(df: DataFrame, specs: list[tuple[str, str, int]], o: Ordering) ->
     return _shift_chunked(df, specs, o)
 
 
-def _halo_table(m: DataFrame, offs: DataFrame, o: Ordering, srcs: list[str],
+def _halo_table(m: DataFrame, offs: DataFrame, nm: _Names, srcs: list[str],
                 kmax: int, forward: bool, alias: str) -> DataFrame:
     """Per chunk: array of the ``kmax`` rows just after (or before) it."""
-    keys = list(o.partition) + [_CHUNK]
-    part = list(o.partition)
     if forward:
-        cand = m.where(F.col(_RN) <= kmax)
+        cand = m.where(F.col(nm.rn) <= kmax)
     else:
-        cand = m.join(offs.select(*keys, _CNT), keys).where(F.col(_RN) > F.col(_CNT) - kmax)
-    cand = (cand.join(offs.select(*keys, _OFF), keys)
-            .select(*part, (F.col(_OFF) + F.col(_RN) - 1).alias("_tpos"), *srcs))
-    base = F.col(_OFF) + F.col(_CNT) if forward else F.col(_OFF) - 1
+        cand = m.join(offs.select(*nm.keys, nm.cnt), nm.keys).where(F.col(nm.rn) > F.col(nm.cnt) - kmax)
+    cand = (cand.join(offs.select(*nm.keys, nm.off), nm.keys)
+            .select(nm.part, (F.col(nm.off) + F.col(nm.rn) - 1).alias(nm.pos), *srcs))
+    base = F.col(nm.off) + F.col(nm.cnt) if forward else F.col(nm.off) - 1
     step = 1 if forward else -1
-    req = offs.select(*keys, F.explode(F.sequence(F.lit(0), F.lit(kmax - 1))).alias("_j"),
-                      base.alias("_b"))
-    req = req.select(*keys, "_j", (F.col("_b") + F.col("_j") * step).alias("_tpos"))
-    got = req.join(cand, part + ["_tpos"], "inner")
-    return got.groupBy(*keys).agg(
-        F.array_sort(F.collect_list(F.struct(F.col("_j"), *[F.col(s) for s in srcs]))).alias(alias))
+    req = offs.select(*nm.keys, F.explode(F.sequence(F.lit(0), F.lit(kmax - 1))).alias(nm.j),
+                      base.alias(nm.base))
+    req = req.select(*nm.keys, nm.j, (F.col(nm.base) + F.col(nm.j) * step).alias(nm.pos))
+    got = req.join(cand, [nm.part, nm.pos], "inner")
+    return got.groupBy(*nm.keys).agg(
+        F.array_sort(F.collect_list(F.struct(F.col(nm.j), *[F.col(s) for s in srcs]))).alias(alias))
 
 
 def _shift_chunked(df: DataFrame, specs, o: Ordering) -> DataFrame:
-    m, offs, keys = _chunked_base(df, o)
+    m, offs, nm = _chunked_base(df, o)
     srcs = sorted({s for _, s, _ in specs})
     kf = max([k for _, _, k in specs if k > 0], default=0)
     kb = max([-k for _, _, k in specs if k < 0], default=0)
-    w = _w(o, (_CHUNK,))
-    m = m.join(offs.select(*keys, _CNT), keys)
+    w = _w(o, *nm.keys)
+    x = m.join(offs.select(*nm.keys, nm.cnt), nm.keys)
     if kf:
-        m = m.join(_halo_table(m.drop(_CNT), offs, o, srcs, kf, True, "_nxt"), keys, "left")
+        x = x.join(_halo_table(m, offs, nm, srcs, kf, True, nm.next), nm.keys, "left")
     if kb:
-        m = m.join(_halo_table(m.drop(_CNT, *(["_nxt"] if kf else [])), offs, o, srcs, kb, False, "_prv"),
-                   keys, "left")
+        x = x.join(_halo_table(m, offs, nm, srcs, kb, False, nm.prev), nm.keys, "left")
     cols = []
     for out, src, k in specs:
         if k > 0:
-            inside = F.col(_RN) + k <= F.col(_CNT)
-            outside = F.try_element_at(F.col("_nxt"), (F.col(_RN) + k - F.col(_CNT)).cast("int"))[src]
+            inside = F.col(nm.rn) + k <= F.col(nm.cnt)
+            outside = F.try_element_at(F.col(nm.next), (F.col(nm.rn) + k - F.col(nm.cnt)).cast("int"))[src]
             cols.append(F.when(inside, F.lead(src, k).over(w)).otherwise(outside).alias(out))
         else:
             kk = -k
-            inside = F.col(_RN) - kk >= 1
-            outside = F.try_element_at(F.col("_prv"), (F.lit(kk) - F.col(_RN) + 1).cast("int"))[src]
+            inside = F.col(nm.rn) - kk >= 1
+            outside = F.try_element_at(F.col(nm.prev), (F.lit(kk) - F.col(nm.rn) + 1).cast("int"))[src]
             cols.append(F.when(inside, F.lag(src, kk).over(w)).otherwise(outside).alias(out))
-    drop = [c for c in (_CHUNK, _RN, _CNT, "_nxt", "_prv") if c in m.columns]
-    return m.select("*", *cols).drop(*drop)
+    return x.select(*map(_quoted, df.columns), *cols)
 
 
 # --------------------------------------------------------------------------
@@ -235,9 +254,9 @@ def neighbours(df: DataFrame, cols: list[str], o: Ordering, pos_name: str = "row
     position at or before the row) and ``c__nv, c__np`` (first at or after),
     plus the row position ``pos_name``."""
     o = resolve(df, o)
-    wb = _w(o).rowsBetween(Window.unboundedPreceding, 0)
-    wf = _w_rev(o).rowsBetween(Window.unboundedPreceding, 0)
     if o.mode == "series":
+        wb = _w(o).rowsBetween(Window.unboundedPreceding, 0)
+        wf = _w_rev(o).rowsBetween(Window.unboundedPreceding, 0)
         x = df.withColumn(pos_name, F.row_number().over(_w(o)).cast("long") - 1)
         out = []
         for c in cols:
@@ -246,35 +265,35 @@ def neighbours(df: DataFrame, cols: list[str], o: Ordering, pos_name: str = "row
                     F.last(c, True).over(wf).alias(f"{c}__nv"), F.last(p, True).over(wf).alias(f"{c}__np")]
         return x.select("*", *out)
 
-    m, offs, keys = _chunked_base(df, o)
-    part = list(o.partition)
-    m = m.join(offs.select(*keys, _OFF), keys)
-    m = m.withColumn(pos_name, (F.col(_OFF) + F.col(_RN) - 1).cast("long"))
-    wb = _w(o, (_CHUNK,)).rowsBetween(Window.unboundedPreceding, 0)
-    wf = _w_rev(o, (_CHUNK,)).rowsBetween(Window.unboundedPreceding, 0)
-    inner = []
-    summ = []
+    m, offs, nm = _chunked_base(df, o)
+    m = m.join(offs.select(*nm.keys, nm.off), nm.keys)
+    m = m.withColumn(pos_name, (F.col(nm.off) + F.col(nm.rn) - 1).cast("long"))
+    wb = _w(o, *nm.keys).rowsBetween(Window.unboundedPreceding, 0)
+    wf = _w_rev(o, *nm.keys).rowsBetween(Window.unboundedPreceding, 0)
+    inner, summ = [], []
+    name = {(c, k): f"{nm.lead}{k}{i}" for i, c in enumerate(cols)
+            for k in ("pv", "pp", "nv", "np", "last", "first", "before", "after")}
     for c in cols:
         p = F.when(F.col(c).isNotNull(), F.col(pos_name))
-        inner += [F.last(c, True).over(wb).alias(f"{c}__pv"), F.last(p, True).over(wb).alias(f"{c}__pp"),
-                  F.last(c, True).over(wf).alias(f"{c}__nv"), F.last(p, True).over(wf).alias(f"{c}__np")]
+        inner += [F.last(c, True).over(wb).alias(name[c, "pv"]), F.last(p, True).over(wb).alias(name[c, "pp"]),
+                  F.last(c, True).over(wf).alias(name[c, "nv"]), F.last(p, True).over(wf).alias(name[c, "np"])]
         nn = F.when(F.col(c).isNotNull(), F.struct(F.col(pos_name).alias("p"), F.col(c).alias("v")))
-        summ += [F.max(nn).alias(f"{c}__lastnn"), F.min(nn).alias(f"{c}__firstnn")]
+        summ += [F.max(nn).alias(name[c, "last"]), F.min(nn).alias(name[c, "first"])]
     # per-chunk summary: last / first non-missing (position, value)
-    s = m.groupBy(*keys).agg(*summ)
-    wprev = Window.partitionBy(*part).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    wnext = Window.partitionBy(*part).orderBy(F.col(_CHUNK).desc()).rowsBetween(Window.unboundedPreceding, -1)
-    carry = s.select(*keys, *[x for c in cols for x in (
-        F.last(f"{c}__lastnn", True).over(wprev).alias(f"{c}__cprev"),
-        F.last(f"{c}__firstnn", True).over(wnext).alias(f"{c}__cnext"))])
-    x = m.select("*", *inner).join(carry, keys, "left")
+    s = m.groupBy(*nm.keys).agg(*summ)
+    wprev = Window.partitionBy(nm.part).orderBy(nm.chunk).rowsBetween(Window.unboundedPreceding, -1)
+    wnext = Window.partitionBy(nm.part).orderBy(F.col(nm.chunk).desc()).rowsBetween(Window.unboundedPreceding, -1)
+    carry = s.select(*nm.keys, *[x for c in cols for x in (
+        F.last(name[c, "last"], True).over(wprev).alias(name[c, "before"]),
+        F.last(name[c, "first"], True).over(wnext).alias(name[c, "after"]))])
+    x = m.select("*", *inner).join(carry, nm.keys, "left")
     fixed = []
     for c in cols:
+        before, after = F.col(name[c, "before"]), F.col(name[c, "after"])
         fixed += [
-            F.coalesce(F.col(f"{c}__pv"), F.col(f"{c}__cprev.v")).alias(f"{c}__pv"),
-            F.coalesce(F.col(f"{c}__pp"), F.col(f"{c}__cprev.p")).alias(f"{c}__pp"),
-            F.coalesce(F.col(f"{c}__nv"), F.col(f"{c}__cnext.v")).alias(f"{c}__nv"),
-            F.coalesce(F.col(f"{c}__np"), F.col(f"{c}__cnext.p")).alias(f"{c}__np"),
+            F.coalesce(F.col(name[c, "pv"]), before["v"]).alias(f"{c}__pv"),
+            F.coalesce(F.col(name[c, "pp"]), before["p"]).alias(f"{c}__pp"),
+            F.coalesce(F.col(name[c, "nv"]), after["v"]).alias(f"{c}__nv"),
+            F.coalesce(F.col(name[c, "np"]), after["p"]).alias(f"{c}__np"),
         ]
-    keep = [c for c in x.columns if not c.startswith("_sk_") and "__" not in c]
-    return x.select(*keep, *fixed)
+    return x.select(*map(_quoted, df.columns), pos_name, *fixed)

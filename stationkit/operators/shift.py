@@ -39,14 +39,11 @@ def past_features(df: DataFrame, cfg: Config, o: Ordering | None = None) -> Data
 
 def tail_trim(df: DataFrame, k: int, o: Ordering) -> DataFrame:
     """Drop the last ``k`` rows of every partition (``[:-k]``)."""
-    if not o.partition:
-        pos = with_position(df, o, "_tt_pos")
-        n = pos.agg(F.count(F.lit(1))).collect()[0][0]
-        return pos.where(F.col("_tt_pos") < F.lit(n - k)).drop("_tt_pos")
-    # distance to the partition end: position against the per-partition count
-    cnt = df.groupBy(*o.partition).agg(F.count(F.lit(1)).alias("_tt_n"))
-    pos = with_position(df, o, "_tt_pos").join(cnt, list(o.partition))
-    return pos.where(F.col("_tt_pos") < F.col("_tt_n") - k).drop("_tt_pos", "_tt_n")
+    pos, total = "_tt_pos", "_tt_n"
+    while pos in df.columns or total in df.columns:
+        pos, total = pos + "_", total + "_"
+    return (with_position(df, o, pos, total).where(F.col(pos) < F.col(total) - k)
+            .drop(pos, total))
 
 
 def forecast_dates(df: DataFrame, date_col: str, horizons: int, o: Ordering) -> DataFrame:

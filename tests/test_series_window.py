@@ -68,7 +68,7 @@ def test_global_position_is_dense(spark):
 
 def test_auto_sizes_chunks_for_a_hot_series(spark):
     """One series with most rows, sub-daily timestamps: auto picks the chunked
-    path with sub-day chunks, and the results equal the one-task path."""
+    path with chunks of half a task's rows, and the results equal the one-task path."""
     from pyspark.sql import functions as F
     from stationkit.operators.series_window import resolve
     rnd = random.Random(11)
@@ -78,7 +78,7 @@ def test_auto_sizes_chunks_for_a_hot_series(spark):
         .select("series_id", F.timestamp_seconds("t").cast("timestamp_ntz").alias("ts"), "event_id", "value")
     auto = Ordering(partition=("series_id",), order=("ts", "event_id"), max_rows_per_task=200)
     r = resolve(df, auto)
-    assert r.mode == "chunked" and r.chunk_micros < 86_400_000_000
+    assert r.mode == "chunked" and r.chunk_rows == 100 and r.rows == 3000
     one = Ordering(partition=("series_id",), order=("ts", "event_id"), mode="series")
     specs = [("n1", "value", 1), ("n3", "value", 3), ("p2", "value", -2)]
     a = interpolate_linear(shift_rows(df, specs, auto), ["value"], auto)
@@ -101,3 +101,45 @@ def test_gap_spanning_several_chunks_and_duplicate_dates(spark):
     o = Ordering(partition=("series_id",), order=("obs_date", "v"), chunk_days=1, mode="chunked")
     got = [(r.v, r.nxt) for r in shift_rows(dup, [("nxt", "v", 1)], o).orderBy("obs_date", "v").collect()]
     assert got == [(1.0, 3.0), (3.0, 2.0), (2.0, None)]
+
+
+def _awkward(spark):
+    """Null series, null dates, a burst on one date, one row far away, and
+    column names that look like helper columns."""
+    rows = [("a", d, i, None if i % 3 == 0 else float(i)) for i, d in enumerate([0, 0, 0, 0, 0, 0, 1, 2, 4000])]
+    rows += [(None, d, 100 + i, float(i)) for i, d in enumerate([5, 6, None, 9])]
+    rows += [("b", None, 200, None), ("b", None, 201, 7.0), ("b", 3, 202, None)]
+    df = spark.createDataFrame(rows, "series_id string, d int, id long, v double")
+    return df.select("series_id", F.date_add(F.lit("2000-01-01").cast("date"), F.col("d")).alias("obs_date"),
+                     "id", "v", F.col("id").alias("my__col"), F.col("id").alias("_sk_part"))
+
+
+@pytest.mark.parametrize("how", [{"mode": "chunked", "chunk_days": 2}, {"mode": "auto", "max_rows_per_task": 4},
+                                 {"mode": "chunked", "chunk_rows": 1}, {"mode": "chunked", "chunk_rows": 5}])
+@pytest.mark.parametrize("partition", [("series_id",), ()])
+def test_both_modes_agree_on_awkward_keys(spark, how, partition):
+    from stationkit.operators.series_window import neighbours
+    from stationkit.operators.shift import tail_trim
+    df = _awkward(spark)
+    order = ("obs_date", "id") if partition else ("obs_date", "series_id", "id")
+    one = Ordering(partition=partition, order=order, mode="series")
+    cut = Ordering(partition=partition, order=order, **how)
+    specs = [("n1", "v", 1), ("n5", "id", 5), ("p2", "v", -2)]
+    for op in (lambda x, o: with_position(x, o), lambda x, o: shift_rows(x, specs, o),
+               lambda x, o: neighbours(x, ["v"], o), lambda x, o: tail_trim(x, 2, o),
+               lambda x, o: interpolate_linear(x, ["v"], o)):
+        a, b = op(df, one), op(df, cut)
+        assert a.columns == b.columns and a.dtypes == b.dtypes
+        ra, rb = ({r["id"]: tuple(r) for r in x.collect()} for x in (a, b))
+        assert len(ra) == len(rb) and ra == rb
+
+
+def test_chunks_are_even_for_a_burst(spark):
+    """Ten thousand rows on one date and one row far away: chunks follow the rows."""
+    from stationkit.operators.series_window import _chunked_base
+    df = spark.range(10_000).select(F.lit("s").alias("series_id"), F.when(F.col("id") == 9_999, 9_000_000)
+                                    .otherwise(0).alias("t"), "id")
+    o = Ordering(partition=("series_id",), order=("t", "id"), mode="chunked", chunk_rows=1000)
+    m, _, nm = _chunked_base(df, o)
+    sizes = [r["count"] for r in m.groupBy(nm.chunk).count().collect()]
+    assert sum(sizes) == 10_000 and max(sizes) < 2500
