@@ -3,9 +3,10 @@
 The score of a query and a vector is a sum over ``lists`` groups of
 dimensions; each group is a score list that knows only its own part.
 
-1. *Gather.*  Every list gives each query's best local entries.  Their whole
-   scores are looked up, and the k-th best of them is a lower bound ``t`` of
-   the query's k-th best score.
+1. *Gather.*  Every list gives each query's ``depth`` best local entries.
+   Their whole scores are looked up, and the k-th best of them is a lower
+   bound ``t`` of the query's k-th best score; the deeper the lists, the
+   closer the bound and the fewer entries phase 2 returns.
 2. *Cutoff.*  A vector that scores ``t`` or more has a part of at least
    ``t / lists`` in some list, so that is the cutoff sent back to all lists;
    each returns every entry at or above it.
@@ -23,7 +24,8 @@ of vectors as one row, joined on (list, query block, salt).
 Defined cases: rows with a null id, a null vector, or a null or non-finite
 component take no part; vectors of different lengths are compared as if the
 shorter ended in zeros; identical rows are one row; rows with a query's id
-are its own; an empty table gives an empty result; other columns are ignored.
+are its own; an empty table gives an empty result; other columns are ignored;
+a component or score beyond a long is an error, as it has no value to return.
 """
 
 from __future__ import annotations
@@ -155,8 +157,8 @@ def _resolved(pairs: DataFrame, entries: DataFrame) -> DataFrame:
     return pairs.join(u, "u").join(q, "q").withColumn("score", _inner(F.col("qi"), F.col("ui"))).drop("ui", "qi")
 
 
-def search(vectors: DataFrame, is_query: Column, k: int = 5, lists: int = 2, id_col: str = "vec_id",
-           vector_col: str = "embedding") -> DataFrame:
+def search(vectors: DataFrame, is_query: Column, k: int = 5, lists: int = 2, depth: int = 48,
+           id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """``query_id, rank, vec_id, score`` of every row of ``vectors`` for which
     ``is_query`` (a condition on ``id_col``) holds, against all other rows;
     ties go to the smaller id."""
@@ -188,8 +190,9 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, lists: int = 2, id_
     asked = entries.join(wanted, "u")
     q1 = numbered(_blocks(asked.select("u", "ints"), dims, lists))
     by_list = Window.partitionBy("q", "list").orderBy(F.desc("part"), "u")
-    local = (_best_of_lists(_meetings(vector_blocks, q1, query_blocks), need)
-             .withColumn("n", F.row_number().over(by_list)).where(F.col("n") <= need))
+    depth = max(depth, need)
+    local = (_best_of_lists(_meetings(vector_blocks, q1, query_blocks), depth)
+             .withColumn("n", F.row_number().over(by_list)).where(F.col("n") <= depth))
     known = _resolved(local.select("q", "u").distinct(), entries)
     by_query = Window.partitionBy("q").orderBy(F.desc("score"), "u")
     bound = written(known.withColumn("n", F.row_number().over(by_query)).where(F.col("n") == need)
