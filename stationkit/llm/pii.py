@@ -10,7 +10,7 @@ Generators propose spans, kind by kind; they may overlap.
 
 Every high-recall candidate that touches no base span gets features of its
 format (digits, groups, separators, plus sign, Luhn) and of its context (words
-before and after it, letters that touch it).  Boosted trees, fitted when the
+before it, signs around it, letters that touch it).  Boosted trees, fitted when the
 query starts on a labelled table of candidates in context, give a probability;
 for each kind a threshold is calibrated on rows of that table kept out of the
 fit: the lowest score from which on the share of right candidates is at least
@@ -141,7 +141,7 @@ def with_features(df: DataFrame) -> DataFrame:
         "touch_before": before.rlike("[a-z0-9_=#]$"), "touch_after": after.rlike("^[a-z0-9_%]"),
         "plus_before": before.rlike("\\+$"), "currency": around.rlike("[$€£]|usd|eur"),
         "decimal": before.rlike("[0-9][.,]$") | after.rlike("^[.,][0-9]"),
-        **{name: around.rlike(rf"\b(?:{words})") for name, words in WORDS.items()},
+        **{name: before.rlike(rf"\b(?:{words})") for name, words in WORDS.items()},
     }
     return df.select("*", *[c.cast("double").alias(f"f_{k}") for k, c in cols.items()])
 
@@ -150,7 +150,7 @@ def with_features(df: DataFrame) -> DataFrame:
 _RIGHT_CONTEXT = ["phone: ", "Tel. ", "call me on ", "my mobile is ", "Telefon ", "fax ", "card no ", "Visa ", "IBAN ",
                   "account ", "SSN ", "passport no ", "Konto ", "cell ", "WhatsApp ", "credit card "]
 _RIGHT_FORMAT = ["555-867-5309", "(020) 7946 0958", "06 12 34 56 78", "030 9018 2000", "4111 1111 1111 1112",
-                 "5500-0000-0000-0005", "078-05-1120", "912 345 678", "0171/5550123", "370400440532013000"]
+                 "5500-0000-0000-0005", "078-05-1120", "0912 345 678", "0171/5550123", "370400440532013000"]
 _WRONG_CONTEXT = ["order ", "ISBN ", "version ", "invoice ", "page ", "population ", "in ", "the total of ", "serial ",
                   "ref ", "about ", "model ", "id=", "www.site/", "Figure ", "and the "]
 _WRONG_FORMAT = ["2019-04-05", "1234567", "978-3-16-148410-0", "10.1000/182", "1998 2003", "20190405120000",
