@@ -24,6 +24,8 @@ from dataclasses import dataclass
 #   penalty factor for negative predictions: 10
 #   weighted fill: +-5 neighbour rows, weight exp(-0.1 * distance)
 #   dense network layout: 64 relu, 32 elu, 3 linear
+#   plot boxes (actual, predicted): temperature -10..25 and -10..25,
+#   precipitation 0..30 and -1..6
 # ---------------------------------------------------------------------------
 SENTINEL = -999.0
 HORIZONS = 3
@@ -40,6 +42,7 @@ STRIDE = 128
 NEGATIVE_PENALTY = 10.0
 FILL_RADIUS = 5
 FILL_DECAY = 0.1
+PLOT_BOXES = {"air_temp": ((-10.0, 25.0), (-10.0, 25.0)), "precip": ((0.0, 30.0), (-1.0, 6.0))}
 DENSE_LAYERS = ((64, "relu"), (32, "elu"), (3, "linear"))
 
 

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -95,8 +95,13 @@ def gram_parts(df: DataFrame, cols: list[str], by: list[str] | None = None,
 
 
 def pairwise_moments(df: DataFrame, cols: list[str], pairs: list[tuple[str, str]]) -> DataFrame:
-    """Per column pair, sums over the rows where both are present:
-    ``(col_a, col_b, n, sa, sb, saa, sbb, sab)``."""
+    """Per column pair, over the rows where both are present: ``(col_a, col_b,
+    n, ma, mb, maa, mbb, mab, lo_a, hi_a, lo_b, hi_b)``, m being sums of
+    squared (and mixed) deviations from the pair's means, lo and hi bounds.
+
+    Tasks take deviations from each batch's own means and merge batches by the
+    parallel update; the tasks' parts (one row per pair) are merged the same
+    way against the pair's overall means."""
     cols = list(cols)
     idx = {c: k for k, c in enumerate(cols)}
     pa = np.array([idx[a] for a, _ in pairs])
@@ -105,31 +110,61 @@ def pairwise_moments(df: DataFrame, cols: list[str], pairs: list[tuple[str, str]
     names_b = [b for _, b in pairs]
     x = df.select(*[F.col(c).cast("double").alias(f"_v{k}") for k, c in enumerate(cols)])
     vcols = [f"_v{k}" for k in range(len(cols))]
-    schema = "col_a string, col_b string, n double, sa double, sb double, saa double, sbb double, sab double"
+    names = ["n", "ma", "mb", "maa", "mbb", "mab", "lo_a", "hi_a", "lo_b", "hi_b"]
+    schema = "col_a string, col_b string, " + ", ".join(f"{c} double" for c in names)
+
+    def of_batch(v):
+        m = ~np.isnan(v)
+        w = m.astype(np.float64)
+        shift = np.where(m.any(0), np.where(m, v, 0.0).sum(0) / np.maximum(w.sum(0), 1), 0.0)
+        d = np.where(m, v - shift, 0.0)
+        n = (w.T @ w)[pa, pb]
+        k = np.maximum(n, 1)
+        sa, sb = (d.T @ w)[pa, pb], (d.T @ w)[pb, pa]
+        saa, sbb = ((d * d).T @ w)[pa, pb], ((d * d).T @ w)[pb, pa]
+        sab = (d.T @ d)[pa, pb]
+        low = np.where(m, v, np.inf)
+        high = np.where(m, v, -np.inf)
+        out = [n, shift[pa] + sa / k, shift[pb] + sb / k, saa - sa * sa / k, sbb - sb * sb / k, sab - sa * sb / k]
+        bounds = []
+        for i, j in ((pa, pb), (pb, pa)):  # of a over the rows that have b, and the other way round
+            lo, hi = np.empty(len(i)), np.empty(len(i))
+            for other in np.unique(j):
+                here = np.flatnonzero(j == other)
+                rows = m[:, other]
+                lo[here] = low[rows].min(0, initial=np.inf)[i[here]]
+                hi[here] = high[rows].max(0, initial=-np.inf)[i[here]]
+            bounds += [lo, hi]
+        return [*out, *bounds]
+
+    def merged(s, t):
+        n = s[0] + t[0]
+        k = np.maximum(n, 1)
+        da, db, f = t[1] - s[1], t[2] - s[2], s[0] * t[0] / k
+        da, db = np.where(s[0] * t[0] > 0, da, 0.0), np.where(s[0] * t[0] > 0, db, 0.0)
+        return [n, (s[1] * s[0] + t[1] * t[0]) / k, (s[2] * s[0] + t[2] * t[0]) / k,
+                s[3] + t[3] + da * da * f, s[4] + t[4] + db * db * f, s[5] + t[5] + da * db * f,
+                np.minimum(s[6], t[6]), np.maximum(s[7], t[7]), np.minimum(s[8], t[8]), np.maximum(s[9], t[9])]
 
     def run(batches):
-        p = len(vcols)
-        N = np.zeros((p, p))
-        SA = np.zeros((p, p))
-        SAA = np.zeros((p, p))
-        SAB = np.zeros((p, p))
-        seen = False
+        acc = None
         for pdf in batches:
             if pdf.empty:
                 continue
-            seen = True
-            X = pdf[vcols].to_numpy(np.float64)
-            M = (~np.isnan(X)).astype(np.float64)
-            X0 = np.where(M > 0, X, 0.0)
-            N += M.T @ M
-            SA += X0.T @ M          # SA[a, b] = sum of a where both present
-            SAA += (X0 * X0).T @ M
-            SAB += X0.T @ X0
-        if seen:
-            yield pd.DataFrame({"col_a": names_a, "col_b": names_b, "n": N[pa, pb],
-                                "sa": SA[pa, pb], "sb": SA[pb, pa], "saa": SAA[pa, pb],
-                                "sbb": SAA[pb, pa], "sab": SAB[pa, pb]})
+            part = of_batch(pdf[vcols].to_numpy(np.float64))
+            acc = part if acc is None else merged(acc, part)
+        if acc is not None:
+            yield pd.DataFrame({"col_a": names_a, "col_b": names_b, **dict(zip(names, acc))})
 
+    pair = Window.partitionBy("col_a", "col_b")  # one row per task
+    n = F.col("n")
     parts = x.mapInPandas(run, schema)
-    return parts.groupBy("col_a", "col_b").agg(*[F.sum(c).alias(c) for c in
-                                                 ("n", "sa", "sb", "saa", "sbb", "sab")])
+    total = F.greatest(F.sum(n).over(pair), F.lit(1.0))
+    about = parts.withColumns({"ga": F.sum(F.col("ma") * n).over(pair) / total,
+                               "gb": F.sum(F.col("mb") * n).over(pair) / total})
+    da, db = F.col("ma") - F.col("ga"), F.col("mb") - F.col("gb")
+    return about.groupBy("col_a", "col_b").agg(
+        F.sum("n").alias("n"), F.first("ga").alias("ma"), F.first("gb").alias("mb"),
+        F.sum(F.col("maa") + n * da * da).alias("maa"), F.sum(F.col("mbb") + n * db * db).alias("mbb"),
+        F.sum(F.col("mab") + n * da * db).alias("mab"),
+        F.min("lo_a").alias("lo_a"), F.max("hi_a").alias("hi_a"), F.min("lo_b").alias("lo_b"), F.max("hi_b").alias("hi_b"))

@@ -45,16 +45,39 @@ def pivot_series(long_df: DataFrame, series_col: str, date_col: str, series: lis
     """Wide layout by one grouped pivot instead of N joins, for many series.
 
     One shuffle by date (with map-side partial aggregation) for any number of
-    series.  Equal to the inner join only when (series, date) is unique and
-    dates missing from any series are removed, which this does.
+    series.  Equal to the inner join: null dates and dates missing from any
+    series are removed, and a series with two rows on one date, which the join
+    would multiply, is an error here.
     """
-    g = long_df.where(F.col(series_col).isin(series)).groupBy(date_col).pivot(series_col, series)
+    g = (long_df.where(F.col(series_col).isin(series) & F.col(date_col).isNotNull())
+         .groupBy(date_col).pivot(series_col, series))
     # pivot names each cell "{series}_{alias}"; "_n" counts a series' rows per date
-    # max is deterministic (first is not); with one row per cell they agree
     wide = g.agg(*[F.max(c).alias(c) for c in cols], F.count(F.lit(1)).alias("_n"))
     present = reduce(lambda a, b: a & b, [F.col(f"`{s}__n`").isNotNull() for s in series])
-    return wide.where(present).select(date_col, *[F.col(f"`{s}_{c}`").alias(f"{s}_{c}")
-                                                  for s in series for c in cols])
+    single = F.array_max(F.array(*[F.col(f"`{s}__n`") for s in series])) == 1
+    checked = F.when(single, F.lit(True)).otherwise(
+        F.raise_error(F.lit("a series has several rows on one date; a pivot holds one")).cast("boolean"))
+    return wide.where(present).where(checked).select(
+        date_col, *[F.col(f"`{s}_{c}`").alias(f"{s}_{c}") for s in series for c in cols])
+
+
+def pivot_with_shared(long_df: DataFrame, series_col: str, date_col: str, series: list[str],
+                      cols: list[str], shared: dict[str, str]) -> DataFrame:
+    """``pivot_series`` of ``cols``, and next to it the largest value on each
+    date of the ``shared`` columns (``{column: output name}``), which only one
+    series fills.  One grouped pass: series as a map of structs, so the plan
+    does not grow by an aggregate for each series and column."""
+    cell = F.struct(*[F.col(c) for c in cols])
+    wide = (long_df.where(F.col(series_col).isin(series) & F.col(date_col).isNotNull())
+            .groupBy(date_col)
+            .agg(F.collect_list(F.struct(F.col(series_col).alias("s"), cell.alias("c"))).alias("_cells"),
+                 *[F.max(c).alias(out) for c, out in shared.items()]))
+    found = F.size(F.array_distinct(F.transform("_cells", lambda x: x["s"])))
+    whole = F.when(F.size("_cells") == found, found == len(series)).otherwise(
+        F.raise_error(F.lit("a series has several rows on one date; a pivot holds one")).cast("boolean"))
+    by = wide.where(whole).withColumn("_by", F.map_from_entries("_cells"))
+    return by.select(date_col, *[F.col("_by")[F.lit(s)][c].alias(f"{s}_{c}") for s in series for c in cols],
+                     *shared.values())
 
 
 def suffix_join(left: DataFrame, right: DataFrame, on: str, suffixes: tuple[str, str],

@@ -112,23 +112,36 @@ def _band_thresholds(df: DataFrame, key: str, iterations: int, sizes: list[float
     for r in exp.groupBy("i", "b").count().collect():
         counts.setdefault(r["i"], []).append((r["b"], r["count"]))
     n = sum(c for _, c in counts.get(0, []))
-    want = []  # (i, f_idx, bucket, need)
-    for i in range(iterations):
-        cs = sorted(counts.get(i, []))
-        for fi, f in enumerate(sizes):
-            t = int(math.ceil(f * n))
+    def located(found: dict, need: list) -> list:
+        """(i, f_idx, bucket, rank inside it) of every wanted rank."""
+        out = []
+        for i, fi, t in need:
             cum = 0
-            for b, c in cs:
+            for b, c in sorted(found.get((i, fi), found.get(i, []))):
                 if cum + c >= t:
-                    want.append((i, fi, b, t - cum))
+                    out.append((i, fi, b, t - cum))
                     break
                 cum += c
+        return out
+
+    want = located(counts, [(i, fi, int(math.ceil(f * n))) for i in range(iterations)
+                            for fi, f in enumerate(sizes)])
     if not want:
         return {}, n
     spark = df.sparkSession
-    wdf = spark.createDataFrame(want, "i int, fi int, b long, need long")
     from pyspark.sql import Window
-    cand = exp.join(F.broadcast(wdf), ["i", "b"])  # want has iterations*sizes rows
+
+    def inside(want, frame, bucket):
+        wdf = spark.createDataFrame(want, f"i int, fi int, {bucket} long, need long")
+        return frame.join(F.broadcast(wdf), ["i", bucket])  # want has iterations*sizes rows
+
+    # eight more bits of the hash inside the boundary buckets, so that the
+    # ranked rest is a row in 2**24 of the table
+    fine = {}
+    narrow = exp.withColumn("b2", F.shiftright("h", max(0, shift - 8)))
+    for r in inside(want, narrow, "b").groupBy("i", "fi", "b2").count().collect():
+        fine.setdefault((r["i"], r["fi"]), []).append((r["b2"], r["count"]))
+    cand = inside(located(fine, [(i, fi, need) for i, fi, _, need in want]), narrow, "b2")
     w = Window.partitionBy("i", "fi").orderBy("h", "k")
     hit = cand.withColumn("r", F.row_number().over(w)).where(F.col("r") == F.col("need"))
     return {(r["i"], r["fi"]): (r["h"], r["k"]) for r in hit.select("i", "fi", "h", "k").collect()}, n
@@ -235,6 +248,24 @@ def ols_models(df: DataFrame, features: list[str], goals: dict[str, str],
     return g.groupBy("_grp").applyInPandas(fit, MODEL_SCHEMA)
 
 
+def predict_all(df: DataFrame, models: DataFrame, features: list[str], goals: dict[str, str],
+                keep: list[str], out: str = "p") -> DataFrame:
+    """M2 for every model of a family in one scan of ``df``: ``keep``,
+    ``model_key``, the goal's value ``y`` and the prediction, one row per input
+    row and model.  All coefficients (models x terms) are one scalar subquery."""
+    terms = ["intercept"] + list(features)
+    aggs = {f"{k}_{t}": F.max(F.when((F.col("model_key") == mk) & (F.col("term") == term), F.col("coef")))
+            for k, mk in enumerate(goals) for t, term in enumerate(terms)}
+    x, coefs = attach_scalars(df, models, aggs, "_sk_coef")
+    cells = []
+    for k, (mk, goal) in enumerate(goals.items()):
+        pred = coefs[f"{k}_0"]
+        for t, f in enumerate(features, start=1):
+            pred = pred + coefs[f"{k}_{t}"] * F.col(f)
+        cells.append(F.struct(F.lit(mk).alias("model_key"), F.col(goal).alias("y"), pred.alias(out)))
+    return x.select(*keep, F.explode(F.array(*cells)).alias("_m")).select(*keep, "_m.*")
+
+
 def predict(df: DataFrame, models: DataFrame, features: list[str], model_key: str,
             out: str = "prediction") -> DataFrame:
     """M2: add ``out`` = intercept + sum(coef * x) for one model.  The

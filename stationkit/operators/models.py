@@ -72,7 +72,7 @@ def fit_family(df: DataFrame, split_col: str, features: list[str], goals: dict[s
         stages.append(PolynomialExpansion(degree=degree, inputCol="_x", outputCol="_xp"))
         fcol = "_xp"
     prep = Pipeline(stages=stages).fit(df)
-    data = prep.transform(df).select(split_col, fcol, *goals.values()).persist()
+    data = prep.transform(df).select(split_col, fcol, *dict.fromkeys(goals.values())).persist()
     try:
         train = data.where(F.col(split_col) == "train")
         test = data.where(F.col(split_col) == "test")

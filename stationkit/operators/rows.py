@@ -56,20 +56,26 @@ def _bucket_counts(df: DataFrame, h: str, bits: int) -> list[tuple[int, int]]:
 
 
 def _threshold_key(df: DataFrame, h: str, key: str, k: int, bits: int,
-                   counts: list[tuple[int, int]]) -> tuple[int, int] | None:
+                   counts: list[tuple[int, int]]) -> tuple | None:
     """(h, key) of the k-th smallest row (1-based) by (h, key), found from
-    hash-prefix bucket counts (at most 2**bits rows to the driver) and one
-    ordered pass over the single boundary bucket."""
+    hash-prefix bucket counts (at most 2**bits rows to the driver), the counts
+    of the boundary bucket's hash values (at most 2**(32 - bits)), and the keys
+    of the one boundary value: a row in 2**32 of the table, of any key type."""
     if k <= 0:
         return None
     b = F.shiftright(F.col(h), 32 - bits)
     cum = 0
     for bucket, c in counts:
         if cum + c >= k:
-            need = k - cum
-            row = (df.where(b == F.lit(bucket)).select(h, key)
-                   .orderBy(h, key).offset(need - 1).limit(1).collect()[0])
-            return int(row[0]), int(row[1])
+            break
+        cum += c
+    else:
+        return None
+    values = sorted((r[0], r[1]) for r in df.where(b == F.lit(bucket)).groupBy(h).count().collect())
+    for value, c in values:
+        if cum + c >= k:
+            keys = sorted(r[0] for r in df.where(F.col(h) == F.lit(value)).select(key).collect())
+            return value, keys[k - cum - 1]
         cum += c
     return None
 

@@ -9,10 +9,12 @@ neither one task nor the driver ever holds all values.
 from __future__ import annotations
 
 import math
+import re
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..config import DEFAULT
 from ..functions.moments import pairwise_moments
 from ..functions.scalars import attach_scalars, with_scalars
 
@@ -23,27 +25,21 @@ def corr_long(df: DataFrame, left: list[str], right: list[str] | None = None,
     each pair over the rows where both are present (pandas' rule).
 
     With ``right=None`` all pairs a <= b of ``left`` (A1); otherwise
-    ``left x right`` (A2, the matrix cut to the goal columns).  Columns are
-    shifted by their minimum (exact for a constant column, which then gives
-    a null correlation, not an error) and the pairwise moment sums come from
-    per-batch matrix products (``functions/moments``)."""
+    ``left x right`` (A2, the matrix cut to the goal columns).  One
+    scan: the pairs' moments are taken about the means of each batch and merged
+    (``functions/moments``), so no digits are lost to a column's offset.  A
+    column that is constant over a pair's rows gives null; a correlation is
+    never outside -1 to 1."""
     if right is None:
         pairs = [(a, b) for i, a in enumerate(left) for b in left[i if upper_only else 0:]]
     else:
         pairs = [(a, b) for a in left for b in right]
     cols = list(dict.fromkeys([c for p in pairs for c in p]))
-    x0, lo = with_scalars(df, {c: F.min(F.col(c).cast("double")) for c in cols})
-    x = x0.select(*[(F.col(c).cast("double") - lo[c]).alias(c) for c in cols])
-    m = pairwise_moments(x, cols, pairs)
-    n = F.col("n")
-    ma, mb = F.col("sa") / n, F.col("sb") / n
-    va = F.col("saa") / n - ma * ma
-    vb = F.col("sbb") / n - mb * mb
-    cov = F.col("sab") / n - ma * mb
-    # a variance that is only rounding noise of identical values counts as zero
-    ok = (n > 0) & (va > F.lit(1e-12) * F.col("saa") / n) & (vb > F.lit(1e-12) * F.col("sbb") / n)
-    return m.select("col_a", "col_b", F.when(ok, cov / F.sqrt(va * vb)).alias("corr"),
-                    n.cast("long").alias("n_pairs"))
+    m = pairwise_moments(df, cols, pairs)
+    ok = (F.col("lo_a") < F.col("hi_a")) & (F.col("lo_b") < F.col("hi_b")) & (F.col("maa") > 0) & (F.col("mbb") > 0)
+    r = F.col("mab") / (F.sqrt("maa") * F.sqrt("mbb"))
+    return m.select("col_a", "col_b", F.when(ok, F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r))).alias("corr"),
+                    F.col("n").cast("long").alias("n_pairs"))
 
 
 def histogram(df: DataFrame, cols: list[str], bins: int = 100) -> DataFrame:
@@ -140,11 +136,14 @@ def arg_min(df: DataFrame, value: str, ret: str, tie: list[str]) -> DataFrame:
     return df.agg(F.min_by(F.col(ret), key).alias(ret), F.min(value).alias(value))
 
 
-def goal_series_long(df: DataFrame, date_col: str, goal_cols: list[str]) -> DataFrame:
+def goal_series_long(df: DataFrame, date_col: str, goal_cols: list[str],
+                     targets: tuple[str, ...] = DEFAULT.targets) -> DataFrame:
     """E9 + P11: goals to long form with target and horizon parsed from the
-    label ``{series}_{target}_future_{k}Day`` (the target may contain '_')."""
+    label ``{series}_{target}_future_{k}Day``; series and target may both
+    contain '_', so the label is matched on the configured targets."""
     long = df.unpivot([date_col], goal_cols, "goal", "value")
-    pat = r"^([^_]+)_(.+)_future_([0-9]+)Day$"
+    known = "|".join(re.escape(t) for t in sorted(targets, key=len, reverse=True))
+    pat = rf"^(.+?)_({known})_future_([0-9]+)Day$"
     return long.select(date_col, "goal",
                        F.regexp_extract("goal", pat, 2).alias("target"),
                        F.regexp_extract("goal", pat, 3).cast("int").alias("horizon"),

@@ -61,11 +61,7 @@ def linear_study(spark: SparkSession, tables: dict[str, str], cfg: Config, out_p
     models = LN.ols_models(split, feats, keyed, fit_filter=F.col("split") == "train")
     models.write.mode("overwrite").parquet(f"{out_path}/models")  # M3: the model registry
     models = spark.read.parquet(f"{out_path}/models")
-    preds = None
-    for mk, g in keyed.items():
-        p = LN.predict(split, models, feats, mk, "p").select("split", F.lit(mk).alias("model_key"),
-                                                               F.col(g).alias("y"), "p")
-        preds = p if preds is None else preds.unionByName(p)
+    preds = LN.predict_all(split, models, feats, keyed, ["split"])
     from ..operators.metrics import regression_metrics
     metrics = regression_metrics(preds, ["model_key", "split"], "y", "p")
     return LinearStudy(sweep, summary, best, models, metrics)
@@ -87,7 +83,7 @@ def statistics_report(spark: SparkSession, tables: dict[str, str], cfg: Config,
     feats, goals = cfg.feature_columns(), cfg.goal_columns()
     hist_cols = hist_cols or [f"{cfg.target_series}_{m}" for m in cfg.targets]
     return StatisticsReport(
-        goal_series=ST.goal_series_long(data, cfg.date_col, goals),
+        goal_series=ST.goal_series_long(data, cfg.date_col, goals, cfg.targets),
         corr_to_goals=ST.corr_long(data, feats + goals, goals),
         histograms=ST.histogram(data, hist_cols, bins))
 
@@ -116,11 +112,7 @@ def network_study(spark: SparkSession, stations_path: str, cfg: Config, seed: in
     feats = network_features(table, cfg)
     goals = {f"horizon_{k}": c for k, c in enumerate(TARGETS, start=1)}
     models = cut_lineage(LN.ols_models(table, feats, goals, fit_filter=F.col("split") == "train"))
-    preds = None
-    for mk, g in goals.items():
-        p = LN.predict(table, models, feats, mk, "p").select("split", F.lit(mk).alias("model_key"),
-                                                               F.col(g).alias("y"), "p")
-        preds = p if preds is None else preds.unionByName(p)
+    preds = LN.predict_all(table, models, feats, goals, ["split"])
     metrics = regression_metrics(preds, ["model_key", "split"], "y", "p")
     scores = dense_score(table, feats, ["row_id", cfg.date_col, "split"],
                          dense_weights(len(feats), DENSE_LAYERS, seed),

@@ -1,9 +1,8 @@
 """Preparation of the network study's table (reference flow C).
 
-Per-station mean fill, neighbours' day t-3 attached to the target's day t by
-a left join on shifted dates, incomplete rows dropped (explicit predicates,
-so the outer joins become inner joins), sentinels replaced by column means,
-targets = target measure 1..3 rows later in date order, last 3 rows cut,
+Sentinels to null, per-station mean fill, neighbours' day t-3 attached to the
+target's day t by a left join on shifted dates, incomplete rows dropped
+(explicit predicates, so the outer joins become inner joins), targets = target measure 1..3 rows later in date order, last 3 rows cut,
 then a chronological 80/20 split.
 """
 
@@ -13,8 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import HORIZONS, TRAIN_FRACTION, Config
-from ..operators.clean import complete_rows
-from ..operators.impute import mean_impute, sentinel_mean_impute
+from ..operators.clean import complete_rows, sentinel_to_null
+from ..operators.impute import mean_impute
 from ..operators.joins import join_series
 from ..operators.rows import add_row_id, chronological_split
 from ..operators.series_window import Ordering, shift_rows
@@ -25,13 +24,12 @@ TARGETS = [f"target_day{k}" for k in range(1, HORIZONS + 1)]
 
 def network_table(obs: DataFrame, cfg: Config, target: str = "air_temp", lag_days: int = 3) -> DataFrame:
     m = list(cfg.measures)
-    x = mean_impute(obs, m, by=[cfg.series_col])
+    # missing values are the sentinel and null alike, before any mean is taken
+    x = mean_impute(sentinel_to_null(obs, m, cfg.sentinel), m, by=[cfg.series_col])
     order = [cfg.target_series] + [s for s in cfg.series if s != cfg.target_series]
     offsets = {s: lag_days for s in order[1:]}
     wide = join_series(x, cfg.series_col, cfg.date_col, order, "left", cols=m, offsets=offsets)
     wide = complete_rows(wide)
-    num = [c for c in wide.columns if c != cfg.date_col]
-    wide = sentinel_mean_impute(wide, num, cfg.sentinel)
     # one row per target day from here on: materialise it once so the
     # position and shift steps below read it instead of re-running the joins
     wide = cut_lineage(add_row_id(cut_lineage(wide), [cfg.date_col], "row_id"))

@@ -9,11 +9,12 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import CUTOFF_DATE, DEFAULT as C, HIST_BINS, STRIDE, TRAIN_FRACTION, Config
+from ..config import CUTOFF_DATE, DEFAULT as C, HIST_BINS, PLOT_BOXES, STRIDE, TRAIN_FRACTION, Config
 from ..functions.rounding import round_doubles
 from ..operators import clean as CL
 from ..operators import impute as IM
@@ -170,10 +171,9 @@ def q_row_audit(spark, sf):
     before = obs.groupBy("series_id").agg(F.count(F.lit(1)).alias("n_rows")) \
         .select(F.concat(F.lit("before_join_"), F.col("series_id")).alias("stage"), "n_rows")
     wide = supervised_table(obs, C, complete=False)
-    after = wide.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit("after_join").alias("stage"), "n_rows")
-    final = CL.complete_rows(wide).agg(F.count(F.lit(1)).alias("n_rows")) \
-        .select(F.lit("after_dropna").alias("stage"), "n_rows")
-    return before.unionByName(after).unionByName(final)
+    complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in wide.columns])
+    counted = wide.agg(F.count(F.lit(1)).alias("after_join"), F.count_if(complete).alias("after_dropna"))
+    return before.unionByName(counted.unpivot([], ["after_join", "after_dropna"], "stage", "n_rows"))
 
 
 # ---------------------------------------------------------------------------
@@ -655,13 +655,7 @@ def q_ols_models(spark, sf):
 def _ols_predictions(spark, sf):
     sup = _split_sup(spark, sf)
     models = cut_lineage(LN.ols_models(sup, FEATS, _MODEL_GOALS, fit_filter=F.col("split") == "train"))
-    parts = [LN.predict(sup, models, FEATS, mk, "p").select(
-        "row_id", "split", F.lit(mk).alias("model_key"), F.col(goal).alias("y"), "p")
-        for mk, goal in _MODEL_GOALS.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return LN.predict_all(sup, models, FEATS, _MODEL_GOALS, ["row_id", "split"])
 
 
 def _pred_sql_ctes() -> list[str]:
@@ -802,7 +796,10 @@ def q_ridge_lasso(spark, sf):
 
 def _nn(spark, sf):
     ensure_checkpoint_dir(spark)
-    return cut_lineage(network_table(station_obs(spark, sf), C))
+    # the stand-in marks missing values by the sentinel; nulls are planted here
+    null = F.dayofyear("obs_date") % 37 == 5
+    obs = station_obs(spark, sf).withColumn("vapor_pressure", F.when(~null, F.col("vapor_pressure")))
+    return cut_lineage(network_table(obs, C))
 
 
 def _multi_horizon_sql() -> str:
@@ -828,11 +825,7 @@ def q_multi_horizon(spark, sf):
     feats = network_features(t, C)
     goals = {f"horizon_{k}": c for k, c in enumerate(NN_TARGETS, start=1)}
     models = cut_lineage(LN.ols_models(t, feats, goals, fit_filter=F.col("split") == "train"))
-    parts = [LN.predict(t, models, feats, mk, "p").select(
-        "split", F.lit(mk).alias("model_key"), F.col(g).alias("y"), "p") for mk, g in goals.items()]
-    pred = parts[0]
-    for p in parts[1:]:
-        pred = pred.unionByName(p)
+    pred = LN.predict_all(t, models, feats, goals, ["split"])
     return round_doubles(MT.regression_metrics(pred, ["model_key", "split"], "y", "p"))
 
 
@@ -896,7 +889,7 @@ def q_error_outliers(spark, sf):
     "(y BETWEEN -10 AND 25) AND (p BETWEEN -10 AND 25) AS in_range FROM pred"))
 def q_actual_vs_predicted(spark, sf):
     x = _pred(spark, sf).select("o_orderkey", "y", "p")
-    return round_doubles(MT.actual_vs_predicted(x, "y", "p", (-10.0, 25.0), (-10.0, 25.0)))
+    return round_doubles(MT.actual_vs_predicted(x, "y", "p", *PLOT_BOXES["air_temp"]))
 
 
 @register("axis_bound", _pred_with(
@@ -984,8 +977,9 @@ def q_ols_actual_vs_predicted(spark, sf):
     x 0..30, y -1..6; temperature -10..25 on both axes)."""
     pred = _ols_predictions(spark, sf)
     is_precip = F.col("model_key").endswith("_precip")
-    inside = F.when(is_precip, F.col("y").between(0, 30) & F.col("p").between(-1, 6)) \
-        .otherwise(F.col("y").between(-10, 25) & F.col("p").between(-10, 25))
+    def within(box):
+        return F.col("y").between(*box[0]) & F.col("p").between(*box[1])
+    inside = F.when(is_precip, within(PLOT_BOXES["precip"])).otherwise(within(PLOT_BOXES["air_temp"]))
     return round_doubles(pred.withColumn("in_range", inside))
 
 
@@ -999,7 +993,9 @@ _NN_COLS = [f"{s}_{m}" for s in _NN_ORDER for m in M]
 
 def _nn_sql_ctes() -> list[str]:
     mi = ("mi AS (SELECT series_id, obs_date, " + ", ".join(
-        f"COALESCE({m}, AVG({m}) OVER (PARTITION BY series_id)) AS {m}" for m in M) + " FROM obs)")
+        f"COALESCE(NULLIF({m}, -999), AVG(NULLIF({m}, -999)) OVER (PARTITION BY series_id)) AS {m}" for m in M) +
+        " FROM (SELECT * REPLACE (CASE WHEN DAYOFYEAR(obs_date) % 37 = 5 THEN NULL ELSE vapor_pressure END"
+        " AS vapor_pressure) FROM obs) o)")
     sl = []
     for s in _NN_ORDER:
         shift = "obs_date" if s == "R" else "CAST(obs_date + INTERVAL 3 DAY AS DATE)"
@@ -1008,15 +1004,12 @@ def _nn_sql_ctes() -> list[str]:
     w = ("w AS (SELECT s_R.d AS obs_date, " + ", ".join(_NN_COLS) +
          " FROM s_R LEFT JOIN s_A ON s_R.d = s_A.d LEFT JOIN s_N ON s_R.d = s_N.d)")
     c = "c AS (SELECT * FROM w WHERE " + " AND ".join(f"{x} IS NOT NULL" for x in _NN_COLS) + ")"
-    mn = "mn AS (SELECT " + ", ".join(f"AVG(CASE WHEN {x} <> -999 THEN {x} END) AS m_{x}" for x in _NN_COLS) + " FROM c)"
-    f = ("f AS (SELECT obs_date, " + ", ".join(f"CASE WHEN {x} = -999 THEN m_{x} ELSE {x} END AS {x}"
-                                               for x in _NN_COLS) + " FROM c, mn)")
     t = ("t AS (SELECT *, " + ", ".join(f"LEAD(R_air_temp, {k}) OVER (ORDER BY row_id) AS target_day{k}"
                                          for k in (1, 2, 3)) +
-         ", COUNT(*) OVER () AS n_all FROM (SELECT *, ROW_NUMBER() OVER (ORDER BY obs_date) - 1 AS row_id FROM f) r)")
+         ", COUNT(*) OVER () AS n_all FROM (SELECT *, ROW_NUMBER() OVER (ORDER BY obs_date) - 1 AS row_id FROM c) r)")
     nn = ("nn AS (SELECT *, CASE WHEN row_id < FLOOR(CAST(0.8 AS DOUBLE) * (n_all - 3)) THEN 'train' ELSE 'test' END"
           " AS split FROM t WHERE row_id < n_all - 3)")
-    return [mi] + sl + [w, c, mn, f, t, nn]
+    return [mi] + sl + [w, c, t, nn]
 
 
 _NN_OUT = ["obs_date", "row_id"] + _NN_COLS + [f"target_day{k}" for k in (1, 2, 3)] + ["split"]

@@ -2,8 +2,8 @@
 
 Order of steps (kept from the reference because results depend on it):
 sentinel -> null, past/future row shifts, interpolation of the configured
-measures, prefix + inner join on the date (target series first),
-projection, drop incomplete rows.  Since the goals are shifted before the
+measures, one pivot to the wide layout (the inner join of all series on the
+date, in one grouped pass whatever their number), projection, drop incomplete rows.  Since the goals are shifted before the
 interpolation, a goal that was missing stays missing and its row is dropped.
 """
 
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..config import Config
 from ..operators.clean import complete_rows, sentinel_to_null
 from ..operators.impute import interpolate_linear
-from ..operators.joins import join_series
+from ..operators.joins import pivot_with_shared
 from ..operators.series_window import resolve
 from ..operators.shift import future_targets, ordering, past_features
 
@@ -24,39 +24,33 @@ def prepared_long(obs: DataFrame, cfg: Config, mode: str = "auto") -> DataFrame:
     """Steps before the join, on the long table (one window pass per step,
     all sharing the per-series partitioning)."""
     keep = [cfg.series_col, cfg.date_col] + list(cfg.measures)
-    x = sentinel_to_null(obs.select(*keep), list(cfg.measures), cfg.sentinel)
-    x = x.where(F.col(cfg.date_col).isNotNull())
-    # pick the window strategy once (one key-only aggregate) for all steps
+    wanted = list(dict.fromkeys((cfg.target_series, *cfg.series)))
+    x = obs.select(*keep).where(F.col(cfg.series_col).isin(wanted) & F.col(cfg.date_col).isNotNull())
+    x = sentinel_to_null(x, list(cfg.measures), cfg.sentinel)
+    # pick the window strategy once (one aggregate over the wanted series)
     o = resolve(x, ordering(cfg, mode=mode))
     if cfg.past_days:
         x = past_features(x, cfg, o)
-    tgt = x.where(F.col(cfg.series_col) == F.lit(cfg.target_series))
-    others = x.where(F.col(cfg.series_col) != F.lit(cfg.target_series))
-    # goals only for the target series (the others would carry unused columns)
-    tgt = future_targets(tgt, cfg, o)
+    x = future_targets(x, cfg, o)
     if cfg.interpolate:
-        tgt = interpolate_linear(tgt, list(cfg.interpolate), o)
-        others = interpolate_linear(others, list(cfg.interpolate), o)
-    return tgt, others
+        x = interpolate_linear(x, list(cfg.interpolate), o)
+    return x
 
 
 def supervised_table(obs: DataFrame, cfg: Config, mode: str = "auto",
                      complete: bool = True) -> DataFrame:
     """Features (series x feature x past), goals (target x horizon), date."""
-    tgt, others = prepared_long(obs, cfg, mode)
+    x = prepared_long(obs, cfg, mode)
     feat_cols = list(cfg.features) + [cfg.past_name(f, k) for f in cfg.features
                                       for k in range(1, cfg.past_days + 1)]
     goal_cols = [cfg.future_name(t, k) for t in cfg.targets for k in range(1, cfg.horizons + 1)]
-    order = [cfg.target_series] + [s for s in cfg.series if s != cfg.target_series]
-    wide = join_series(tgt, cfg.series_col, cfg.date_col, [cfg.target_series], "inner",
-                       cols=feat_cols + goal_cols)
-    rest = [s for s in order if s != cfg.target_series]
-    if rest:
-        wide = wide.join(join_series(others, cfg.series_col, cfg.date_col, rest[:1], "inner",
-                                     cols=feat_cols), cfg.date_col, "inner")
-        for s in rest[1:]:
-            wide = wide.join(join_series(others, cfg.series_col, cfg.date_col, [s], "inner",
-                                         cols=feat_cols), cfg.date_col, "inner")
+    # the goals count for the target series only: of the others they are null,
+    # so the largest of a date is the target's
+    is_target = F.col(cfg.series_col) == F.lit(cfg.target_series)
+    x = x.withColumns({g: F.when(is_target, F.col(g)) for g in goal_cols})
+    wide = pivot_with_shared(x, cfg.series_col, cfg.date_col,
+                             list(dict.fromkeys((cfg.target_series, *cfg.series))), feat_cols,
+                             {g: f"{cfg.target_series}_{g}" for g in goal_cols})
     proj = cfg.feature_columns() + cfg.goal_columns() + [cfg.date_col]
     out = wide.select(*proj)
     return complete_rows(out) if complete else out

@@ -7,10 +7,10 @@ DuckDB, which lets every query start from identical input on both sides.
 many-series variant uses ``l_suppkey``.
 
 Every ``lineitem`` row is aggregated into the daily table.  The modulo
-expressions on the day number do not sample anything for cost: they plant
-the -999 sentinels (isolated, in runs, at both ends) and remove about one
-day in 29 so that calendar gaps make row shifts differ from date shifts,
-which the reference's operators must handle.
+expressions on the day number plant the -999 sentinels (isolated, in runs, at
+both ends); no row is left out.  Calendar gaps, by which row shifts
+differ from date shifts, come from moving dates apart at the three stations;
+the suppliers' series have gaps of their own.
 """
 
 from __future__ import annotations
@@ -22,9 +22,9 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "conversations")
 
 
-def _base_cte(station_expr: str) -> str:
+def _base_cte(station_expr: str, date_expr: str) -> str:
     return f"""base AS (
-  SELECT {station_expr} AS station, CAST(l_shipdate AS DATE) AS obs_date,
+  SELECT {station_expr} AS station, {date_expr} AS obs_date,
     CAST(SUM(l_quantity) AS DOUBLE)/COUNT(*)                         AS air_temp,
     CAST(SUM(CAST(ROUND(l_discount*100) AS BIGINT)) AS DOUBLE)       AS precip,
     CAST(SUM(CAST(ROUND(l_tax*100) AS BIGINT)) AS DOUBLE)            AS vapor_pressure,
@@ -32,7 +32,7 @@ def _base_cte(station_expr: str) -> str:
     CAST(MAX(l_linenumber) AS DOUBLE)                                AS snow_depth,
     YEAR(CAST(MIN(l_shipdate) AS DATE))*372 + MONTH(CAST(MIN(l_shipdate) AS DATE))*31
       + DAY(CAST(MIN(l_shipdate) AS DATE))                           AS k
-  FROM lineitem GROUP BY {station_expr}, CAST(l_shipdate AS DATE))"""
+  FROM lineitem GROUP BY {station_expr}, {date_expr})"""
 
 
 _OBS_SELECT = """obs AS (
@@ -42,13 +42,17 @@ SELECT station AS series_id, obs_date,
   CASE WHEN k % 23 = 7 THEN CAST(-999 AS DOUBLE) ELSE precip END     AS precip,
   CASE WHEN k % 19 = 2 AND station = 'N' THEN CAST(-999 AS DOUBLE) ELSE vapor_pressure END AS vapor_pressure,
   precip_kind, snow_depth
-FROM base WHERE k % 29 <> 11)"""
+FROM base)"""
+
+# every 29 days of the calendar the later dates move one day further
+_GAPPED_DATE = ("CAST(l_shipdate AS DATE) + CAST(FLOOR(((YEAR(CAST(l_shipdate AS DATE)) - 1992) * 366 "
+                "+ DAYOFYEAR(CAST(l_shipdate AS DATE))) / 29.0) AS INT)")
 
 
 def obs_ctes(many: bool = False) -> str:
     """CTE list (without the leading WITH) that defines ``obs``."""
     station = "CAST(l_suppkey AS STRING)" if many else "l_returnflag"
-    return _base_cte(station) + ",\n" + _OBS_SELECT
+    return _base_cte(station, "CAST(l_shipdate AS DATE)" if many else _GAPPED_DATE) + ",\n" + _OBS_SELECT
 
 
 def with_obs(sql_body: str, many: bool = False) -> str:

@@ -1,13 +1,15 @@
 """Station files (S1, S2, S6) and model tables.
 
 Station files are CSV with a header whose names are padded with blanks on
-the left, a ``dd.MM.yyyy`` date, and -999 for missing values.  All stations
-are read in one scan; the station name comes from the file path, not from
-one read per file.
+the left, a ``dd.MM.yyyy`` date, and -999 for missing values.  Files that share
+a header are read in one scan; the station name comes from the file path.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,23 +29,65 @@ def write_station_files(obs: DataFrame, path: str, series_col: str = "series_id"
         .option("ignoreLeadingWhiteSpace", False).csv(path)
 
 
+def _files_by_header(spark: SparkSession, paths: list[str]) -> dict[tuple[str, ...], list[str]]:
+    """Station files grouped by their (stripped) header, one name per station
+    file to the driver."""
+    heads = (spark.read.option("recursiveFileLookup", True).text(paths)
+             .where(F.col("value").rlike(r'(^|,)\s*"?DATE"?\s*(,|$)'))
+             .select(F.col("_metadata.file_path").alias("file"), "value").distinct().collect())
+    out: dict[tuple[str, ...], list[str]] = {}
+    for r in sorted(heads):
+        names = tuple(c.strip().strip('"').strip() for c in r["value"].split(","))
+        out.setdefault(names, []).append(unquote(r["file"]))
+    return out
+
+
+def _existing(spark: SparkSession, paths: list[str]) -> list[str]:
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    found = []
+    for p in paths:
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        if hp.getFileSystem(conf).exists(hp):
+            found.append(p)
+    return found
+
+
 def read_station_files(spark: SparkSession, path: str, series_col: str = "series_id",
-                       date_col: str = "obs_date", series: list[str] | None = None) -> DataFrame:
-    """S1 + S2 + S6: read the station files at once (all of them, or only the
-    folders of ``series``, so unrequested stations are never listed or read).
-
-    No schema inference pass: values come in as text, names are stripped
-    (S6), the date is parsed (S2/P7) and measures are cast with ``try_cast``
-    so dirty cells become null instead of failing the job."""
-    paths = [f"{path.rstrip('/')}/{series_col}={s}" for s in series] if series else [path]
-    raw = (spark.read.option("header", True).option("recursiveFileLookup", True)
-           .option("ignoreLeadingWhiteSpace", True).csv(paths))
-    raw = raw.toDF(*[c.strip() for c in raw.columns])
-    series = F.regexp_extract(F.col("_metadata.file_path"), f"{series_col}=([^/]+)/", 1)
-    measures = [c for c in raw.columns if c != "DATE"]
-    return raw.select(series.alias(series_col),
-                      parse_date(F.col("DATE"), DATE_TEXT_FORMAT).alias(date_col),
-                      *[F.col(c).try_cast("double").alias(c) for c in measures])
+                       date_col: str = "obs_date", series: list[str] | None = None,
+                       name_pattern: str = r"([^/]+?)\.csv$") -> DataFrame:
+    """S1 + S2 + S6: read the station files (all of them, or only those of
+    ``series``, so unrequested stations are not read): folders
+    ``{series_col}=NAME/`` or flat files, whose station is the group of
+    ``name_pattern`` in the path (for a flat file of a station in ``series``:
+    ``NAME.csv``).
+
+    Each file is read by its own header, so files may order, add or leave out
+    columns; a measure that a file lacks is null there.  No schema inference
+    pass: values come in as text, names are stripped (S6), the date is parsed
+    (S2/P7) and measures are cast with ``try_cast`` so dirty cells become null
+    instead of failing the job."""
+    root = path.rstrip("/")
+    paths = [path]
+    if series:
+        paths = _existing(spark, [x for s in series for x in (f"{root}/{series_col}={s}", f"{root}/{s}.csv")])
+        if not paths:
+            raise FileNotFoundError(f"no files of {series} in {path}")
+    file = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    folder = F.regexp_extract(file, f"{series_col}=([^/]+)/", 1)
+    station = F.when(folder != "", folder).otherwise(F.regexp_extract(file, name_pattern, 1))
+    groups = _files_by_header(spark, paths)
+    measures = list(dict.fromkeys(c for names in groups for c in names if c != "DATE"))
+    parts = []
+    for names, files in groups.items():
+        schema = ", ".join(f"`{c}` string" for c in names)
+        raw = (spark.read.schema(schema).option("header", True).option("enforceSchema", True)
+               .option("ignoreLeadingWhiteSpace", True).csv(files))
+        parts.append(raw.select(station.alias(series_col), parse_date(F.col("DATE"), DATE_TEXT_FORMAT).alias(date_col),
+                                *[F.col(f"`{c}`").try_cast("double").alias(c) if c in names
+                                  else F.lit(None).cast("double").alias(c) for c in measures]))
+    if not parts:
+        raise ValueError(f"no station file with a DATE column in {paths}")
+    return reduce(DataFrame.unionByName, parts)
 
 
 def write_model_tables(sup: DataFrame, path: str, features: list[str], goals: list[str],

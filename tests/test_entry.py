@@ -4,7 +4,7 @@ import __spark_entry__ as E
 def test_entry_flagship(spark):
     df = E.entry(spark)
     assert len(df.columns) == 22
-    assert df.count() == 175
+    assert df.count() == 182
 
 
 def test_every_query_has_a_builder_and_named_oracle_columns():

@@ -12,7 +12,7 @@ def test_preparation_and_linear_study_end_to_end(spark):
     paths = preparation_job(spark, src, out, C)
     feats = spark.read.parquet(paths["sorted"]["features"])
     goals = spark.read.parquet(paths["shuffled"]["goals"])
-    assert feats.count() == 175 and goals.count() == 175  # the flagship's row count
+    assert feats.count() == 182 and goals.count() == 182  # the flagship's row count
     assert len(feats.columns) == 1 + 15 and len(goals.columns) == 1 + 6
     study = linear_study(spark, paths["sorted"], C, scratch_path(spark, "study"))
     assert study.sweep.count() == 300
@@ -28,7 +28,7 @@ def test_statistics_report_and_network_study(spark):
     write_station_files(station_obs(spark, "/root/testdata/sf0.001"), src)
     paths = preparation_job(spark, src, scratch_path(spark, "prepared"), C)
     rep = statistics_report(spark, paths["shuffled"], C)
-    assert rep.goal_series.count() == 175 * 6
+    assert rep.goal_series.count() == 182 * 6
     assert rep.corr_to_goals.count() == 21 * 6
     assert rep.histograms.count() == 200
     nn = network_study(spark, src, C)

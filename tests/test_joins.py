@@ -1,3 +1,5 @@
+import pytest
+
 from conftest import series_df
 from stationkit.operators.joins import join_series, suffix_join
 
@@ -31,5 +33,6 @@ def test_pivot_layout_equals_inner_join_on_unique_cells(spark):
               join_series(df, "series_id", "obs_date", ["a", "b"], "inner", cols=["v"]).collect()}
     assert piv == joined == {(2, 1.0, 2.0), (4, None, 4.0)}
     dup = series_df(spark, [("a", 1, 1.0), ("a", 1, 5.0), ("b", 1, 2.0)])
-    rows = pivot_series(dup, "series_id", "obs_date", ["a", "b"], ["v"]).collect()
-    assert [(r.a_v, r.b_v) for r in rows] == [(5.0, 2.0)]  # deterministic on duplicates
+    # the join gives two rows there; a cell of the pivot holds one, so it refuses
+    with pytest.raises(Exception, match="several rows on one date"):
+        pivot_series(dup, "series_id", "obs_date", ["a", "b"], ["v"]).collect()
