@@ -258,6 +258,18 @@ LABELLED_PAGES = [
     <article><p>{MARK}Tiny.</p><p>{MARK}Also tiny.</p><p>{MARK}Third.</p><ol><li>{MARK}First step</li><li>{MARK}Second step</li></ol></article>
     <div class="newsletter"><p>Get the letter every Friday.</p></div><div class="widget"><p>Poll of the day</p></div>
     <footer>Printed by hand</footer></body>""",
+    f"""<body><div id="top-menu"><a href=a>Start</a> <a href=b>Maps</a></div><div id="text"><h1>{MARK}Island walks</h1>
+    <p>{MARK}Bring water.</p><p>{MARK}{_LONG}</p><p>{MARK}Stop here.</p><p>{MARK}Turn left.</p><p>{MARK}{_LONG}</p>
+    <ul><li>{MARK}Boots</li><li>{MARK}Hat</li><li>{MARK}A light coat</li></ul><p>{MARK}The end</p></div>
+    <div class="comments"><p>Lovely.</p><p>{_LONG}</p></div><div class="banner">Fly away for less.</div></body>""",
+    f"""<body><p>{MARK}One short line.</p><p>{MARK}Two.</p><p>{MARK}{_LONG}</p><p>{MARK}Three, and then no more of it.</p></body>""",
+    f"""<body><div><a href=a>All news</a> | <a href=b>Letters</a> | <a href=c>About us</a></div><table><tr><td><p>{MARK}{_LONG}</p>
+    <p>{MARK}It rained.</p><p>{MARK}It rained again, and again, until the whole field stood under water.</p></td>
+    <td class="rail"><p>{_NOTE}</p><p>Ask us.</p></td></tr></table><div><a href=u>Back</a> <a href=d>Further</a></div>
+    <div class="copyright">{_NOTE}</div></body>""",
+    f"""<body><header><p>News from the valley</p><p>Since 1950</p></header><section><h2>{MARK}Harvest</h2><p>{MARK}Good year.</p>
+    <p>{MARK}{_LONG}</p><pre>{MARK}12 tons of wheat</pre></section><section class="related-stories"><p>Older harvests</p>
+    <p>{_LONG}</p></section><div aria-hidden="true">Menu opened</div><div style="display: none">Saved for later.</div></body>""",
 ]
 
 
