@@ -43,6 +43,8 @@ NEGATIVE_PENALTY = 10.0
 FILL_RADIUS = 5
 FILL_DECAY = 0.1
 PLOT_BOXES = {"air_temp": ((-10.0, 25.0), (-10.0, 25.0)), "precip": ((0.0, 30.0), (-1.0, 6.0))}
+# columns that the older study drops by name
+OLDER_DROPPED = ("snow_depth_arb", "snow_depth_sch", "precip_kind_arb")
 DENSE_LAYERS = ((64, "relu"), (32, "elu"), (3, "linear"))
 
 

@@ -53,11 +53,12 @@ def to_matrix(rows, n_terms: int) -> np.ndarray:
     return G
 
 
-def solve(G: np.ndarray, p: int, k: int) -> np.ndarray:
+def solve(G: np.ndarray, p: int, k: int, alpha: float = 0.0) -> np.ndarray:
     """Coefficients [a, b_1..b_p] for goal k from Gram G over [1, x, y].
 
     Like an ordinary least-squares fit with intercept: the features are
-    centred on the fitting rows' means, then a least-norm solve."""
+    centred on the fitting rows' means, then a least-norm solve.  ``alpha``
+    adds a ridge penalty on the slopes (not on the intercept)."""
     n = G[0, 0]
     if n <= 0:
         return np.full(p + 1, np.nan)
@@ -66,7 +67,7 @@ def solve(G: np.ndarray, p: int, k: int) -> np.ndarray:
     sy = G[0, yk]
     xx = G[1:p + 1, 1:p + 1] - np.outer(sx, sx) / n
     xy = G[1:p + 1, yk] - sx * sy / n
-    b, *_ = np.linalg.lstsq(xx, xy, rcond=None)
+    b, *_ = np.linalg.lstsq(xx + alpha * np.eye(p), xy, rcond=None)
     a = sy / n - sx @ b / n
     return np.concatenate([[a], b])
 
@@ -208,8 +209,8 @@ MODEL_SCHEMA = "model_key string, term string, coef double"
 
 
 def ols_models(df: DataFrame, features: list[str], goals: dict[str, str],
-               fit_filter=None) -> DataFrame:
-    """M1/M3: coefficients of one OLS model per goal, keyed by model name
+               fit_filter=None, alpha: float = 0.0) -> DataFrame:
+    """M1/M3 (M11 with ``alpha``, the ridge penalty): coefficients of one OLS model per goal, keyed by model name
     (``goals = {model_key: goal_column}``), long form (model_key, term, coef).
     ``fit_filter`` restricts the fitting rows (e.g. the train split)."""
     fit_rows = df.where(fit_filter) if fit_filter is not None else df
@@ -237,7 +238,7 @@ def ols_models(df: DataFrame, features: list[str], goals: dict[str, str],
         cx = cvals[:p]
         out = []
         for k, mk in enumerate(keys):
-            w = solve(G, p, k)
+            w = solve(G, p, k, alpha)
             cy = float(cvals[p + k])
             a = float(w[0]) + cy - float(cx @ w[1:])
             out.append((mk, "intercept", a))

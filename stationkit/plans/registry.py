@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import CUTOFF_DATE, DEFAULT as C, HIST_BINS, PLOT_BOXES, STRIDE, TRAIN_FRACTION, Config
+from ..config import CUTOFF_DATE, DEFAULT as C, HIST_BINS, OLDER_DROPPED, PLOT_BOXES, STRIDE, TRAIN_FRACTION, Config
 from ..functions.rounding import round_doubles
 from ..operators import clean as CL
 from ..operators import impute as IM
@@ -1058,15 +1058,12 @@ _OLD_LEADS = [f"{t}_future_{k}Day" for k in (1, 2, 3) for t in ("precip", "air_t
 _OLD_COLS = ["obs_date"] + _SUFFIX_COLS + _OLD_LEADS
 
 
+_OLD_STATIONS = ("N", "A", "R")
+
+
 def _older_table(spark, sf):
-    from ..operators.series_window import Ordering, shift_rows
-    raw = CL.cutoff_filter(station_obs(spark, sf), "obs_date", CUTOFF_DATE)
-    part = {s: raw.where(F.col("series_id") == s).drop("series_id") for s in ("N", "A", "R")}
-    x = J.suffix_join(J.suffix_join(part["N"], part["A"], "obs_date", ("_sch", "_arb")),
-                      part["R"], "obs_date", ("_x", "_y"))
-    o = Ordering(partition=(), order=("obs_date",))
-    x = shift_rows(x, [(f"{t}_future_{k}Day", t, k) for k in (1, 2, 3) for t in ("precip", "air_temp")], o)
-    return SH.tail_trim(x, 3, o)
+    from .older import older_table
+    return older_table(station_obs(spark, sf), C, _OLD_STATIONS)
 
 
 _OLD_CTES = [
@@ -1095,11 +1092,91 @@ def q_older_notebook_table(spark, sf):
 def q_older_notebook_filled(spark, sf):
     """W6 over every measure and lead column of the older notebook's table,
     in date order, as its cell loop fills them."""
-    t = cut_lineage(RW.add_row_id(_older_table(spark, sf), ["obs_date"]))
+    t = cut_lineage(_older_table(spark, sf))
     cols = [c for c in t.columns if c not in ("obs_date", "row_id")]
     return round_doubles(IM.head_weighted_fill(t, cols, "row_id", C.sentinel))
 
 
+_OLD_KEPT = sorted(c for c in _SUFFIX_COLS + _OLD_LEADS + ["obs_date", "row_id"] if c not in OLDER_DROPPED)
+_OLD_NUMERIC = [c for c in _OLD_KEPT if c not in ("obs_date", "row_id")]
+_OLD_FEATS = [c for c in _OLD_NUMERIC if "_future_" not in c]
+_OLD_GOALS = {f"older_{t}": f"{t}_future_3Day" for t in C.targets}
+
+
+def _older_filled_ctes() -> list[str]:
+    """The filled table as a CTE, rounded like the written one."""
+    ctes, select = Q.head_fill_sql("src", _SUFFIX_COLS + _OLD_LEADS, ["obs_date", "row_id"])
+    return (_OLD_CTES + ["src AS (SELECT *, ROW_NUMBER() OVER (ORDER BY obs_date) - 1 AS row_id FROM old)"] + ctes +
+            [f"filled AS ({select})"])
+
+
+def _older_sql(select: str, ctes: list[str] = ()) -> str:
+    return ("WITH RECURSIVE " + Q.obs_only()[len("WITH "):].rstrip() + ",\n" +
+            ",\n".join([*_older_filled_ctes(), *ctes]) + "\n" + select)
+
+
+def _older_study(spark, sf):
+    from .older import older_study
+    return older_study(station_obs(spark, sf), C, _OLD_STATIONS)
+
+
+@register("older_study_table", _older_sql("SELECT " + ", ".join(_OLD_KEPT) + " FROM filled"))
+def q_older_study_table(spark, sf):
+    """The filled table without the columns dropped by name, in name order."""
+    return _older_study(spark, sf).table
+
+
+@register("older_study_corr", _older_sql(" UNION ALL ".join(
+    _corr_sql(a, b) + " FROM filled" for i, a in enumerate(_OLD_NUMERIC) for b in _OLD_NUMERIC[i:])))
+def q_older_study_corr(spark, sf):
+    """Correlation of the filled table's numeric columns."""
+    return round_doubles(_older_study(spark, sf).correlation)
+
+
+def _older_split_ctes() -> list[str]:
+    return [f"ospl AS (SELECT *, CASE WHEN ROW_NUMBER() OVER (ORDER BY {Q.hash_sql(0, 'row_id')}, row_id) "
+            "<= CEIL(CAST(0.2 AS DOUBLE) * COUNT(*) OVER ()) THEN 'test' ELSE 'train' END AS split FROM filled)",
+            "otrn AS (SELECT * FROM ospl WHERE split = 'train')"]
+
+
+def _older_metrics_sql() -> str:
+    ctes, _ = Q.ols_sql("otrn", _OLD_FEATS, _OLD_GOALS, prefix="d")
+    p = len(_OLD_FEATS)
+    parts = []
+    for k, (mk, goal) in enumerate(_OLD_GOALS.items()):
+        col = p + k + 1
+        icpt = f"m_{p + k} - (" + " + ".join(f"a[{j + 1}][{col}] * m_{j}" for j in range(p)) + ")"
+        pred = icpt + " + " + " + ".join(f"a[{j + 1}][{col}] * {f}" for j, f in enumerate(_OLD_FEATS))
+        parts.append(f"SELECT split, '{mk}' AS model_key, {goal} AS y, {pred} AS p FROM ospl, dsol, dmu")
+    return _older_sql(_METRICS_SELECT, _older_split_ctes() + ctes + ["prd AS (" + " UNION ALL ".join(parts) + ")"])
+
+
+@register("older_study_metrics", _older_metrics_sql())
+def q_older_study_metrics(spark, sf):
+    """Both targets three days ahead on one shared split."""
+    return round_doubles(_older_study(spark, sf).metrics)
+
+
+# ---------------------------------------------------------------------------
+# ridge from the same Gram sums
+# ---------------------------------------------------------------------------
+
+_RIDGE_ALPHA = 1.0
+
+
+def _ridge_sql() -> str:
+    ctes, coef = Q.ols_sql("trn", FEATS, _MODEL_GOALS, prefix="r", alpha=_RIDGE_ALPHA)
+    return ("WITH RECURSIVE " + Q.obs_only()[len("WITH "):].rstrip() + ",\n" +
+            ",\n".join(_split_sql_ctes() + ctes) + f"\nSELECT model_key, term, ROUND(coef, 6) AS coef FROM {coef}")
+
+
+@register("ridge_models", _ridge_sql())
+def q_ridge_models(spark, sf):
+    """Ridge coefficients of the six models."""
+    return round_doubles(LN.ols_models(_split_sup(spark, sf), FEATS, _MODEL_GOALS,
+                                       fit_filter=F.col("split") == "train", alpha=_RIDGE_ALPHA))
+
+
 ORACLES["multi_horizon"] = _multi_horizon_sql()
 
 

@@ -167,13 +167,15 @@ def head_fill_sql(src: str, cols: list[str], keep: list[str], radius: int = 5, d
     return ctes, select
 
 
-def ols_sql(train: str, feats: list[str], goals: dict[str, str], prefix: str = "o") -> tuple[list[str], str]:
+def ols_sql(train: str, feats: list[str], goals: dict[str, str], prefix: str = "o",
+            alpha: float = 0.0) -> tuple[list[str], str]:
     """CTEs solving ordinary least squares with intercept for every goal on
     the rows of ``train``: the normal equations of the mean-centred columns,
     solved by Gauss-Jordan elimination in a recursive CTE (one augmented
     matrix for all goals).  A zero pivot (a column constant on the fitting
     rows, whose centred row and column are exactly zero) is skipped, which
-    gives it coefficient 0, as the least-norm solution does.  Returns the CTEs and the name of a CTE with
+    gives it coefficient 0, as the least-norm solution does.  ``alpha`` adds a
+    ridge penalty to the diagonal.  Returns the CTEs and the name of a CTE with
     ``(model_key, term, coef)``."""
     gcols = list(goals.values())
     cols = list(feats) + gcols
@@ -184,8 +186,8 @@ def ols_sql(train: str, feats: list[str], goals: dict[str, str], prefix: str = "
         f"{prefix}cx AS (SELECT " + ", ".join(f"CAST({c} AS DOUBLE) - m_{i} AS v{i}" for i, c in enumerate(cols)) +
         f" FROM {train}, {prefix}mu)",
         f"{prefix}gm AS (SELECT [" + ", ".join(
-            "[" + ", ".join([f"SUM(v{i} * v{j})" for j in range(p)] + [f"SUM(v{i} * v{p + k})" for k in range(q)]) + "]"
-            for i in range(p)) + f"] AS a FROM {prefix}cx)",
+            "[" + ", ".join([f"SUM(v{i} * v{j})" + (f" + {alpha!r}" if i == j and alpha else "") for j in range(p)] +
+            [f"SUM(v{i} * v{p + k})" for k in range(q)]) + "]" for i in range(p)) + f"] AS a FROM {prefix}cx)",
         f"{prefix}ge(t, a) AS (SELECT 0, a FROM {prefix}gm UNION ALL SELECT t + 1, "
         "CASE WHEN a[t + 1][t + 1] = 0 THEN a ELSE list_transform(range(len(a)), lambda i: CASE WHEN i = t "
         "THEN list_transform(a[t + 1], lambda x: x / a[t + 1][t + 1]) "
