@@ -5,8 +5,8 @@ Tokens
     tokens, followed by ``end_id``.  Only documents longer than ``capacity``
     are cut, into pieces of ``capacity`` ids; the last piece may be shorter.
     The tokenizer (NFC, lower case, split that drops white space) never joins
-    anything across white space, so ids are looked up word by word in a
-    bounded cache; a text with an information separator (U+001C to U+001F),
+    anything across white space, nor a letter or digit with a sign after it, so
+    ids are looked up word by word in a bounded cache; a text with an information separator (U+001C to U+001F),
     which Python counts as white space and the tokenizer does not, is encoded
     whole.
 
@@ -33,6 +33,8 @@ result; other columns are ignored.
 from __future__ import annotations
 
 import os
+import sys
+import types
 import zlib
 from bisect import bisect_left, insort
 from collections import defaultdict
@@ -44,10 +46,8 @@ from pyspark.sql import functions as F
 
 from .common import bounded_batches, text_of, written
 
-#: words whose ids one Python worker remembers
-CACHE_WORDS = 300_000
-
-_loaded: dict[str, tuple] = {}
+#: words whose ids one Python worker remembers, in each of two generations
+CACHE_WORDS = 1_000_000
 
 
 def default_tokenizer() -> str:
@@ -56,15 +56,97 @@ def default_tokenizer() -> str:
 
 
 def _tokenizer(path: str):
-    """The tokenizer of ``path`` and its word cache, once per worker."""
-    if path not in _loaded:
+    """The tokenizer of ``path`` and its word cache, once per worker process.
+    Task functions are shipped by value, so a global of this module would begin
+    anew in every task; a module entry of the process lasts as long as it."""
+    loaded = sys.modules.setdefault("stationkit_worker_state", types.ModuleType("stationkit_worker_state")).__dict__
+    if path not in loaded:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        _loaded[path] = (Tokenizer.from_file(path), {})
-    return _loaded[path]
-
-
-_SEPARATORS = frozenset("\x1c\x1d\x1e\x1f")
+        tok = Tokenizer.from_file(path)
+        loaded[path] = (tok, _Words(tok))
+    return loaded[path]
+
+
+_SEPARATORS = "\x1c\x1d\x1e\x1f"
+#: ASCII signs after a word's last letter or digit are tokens of their own
+#: (the apostrophe is left out: the tokenizer knows endings such as 's)
+_SIGNS = ".,;:!?*$#%&\"|()[]{}<>/\\-_+=~^`@"
+#: stands between words that are encoded together, as one token of its own
+_BETWEEN = "~"
+
+
+class _Words(dict):
+    """Ids of words, remembered in two generations of ``CACHE_WORDS``.  Asking
+    for an unknown word gives a buffer that ``learn`` fills."""
+
+    def __init__(self, tok):
+        super().__init__()
+        self.tok = tok
+        self.older: dict[str, bytes] = {}
+        self.open: dict[str, bytearray] = {}
+        self.between = tok.encode(_BETWEEN, add_special_tokens=False).ids
+        assert len(self.between) == 1
+
+    def __missing__(self, word: str):
+        known = self.older.get(word)
+        if known is None:
+            known = self.open[word] = bytearray()
+        self[word] = known
+        return known
+
+    def learn(self) -> None:
+        """Fill the buffers of the words that were asked for."""
+        split, parts = [], set()
+        for w in self.open:
+            core = w.rstrip(_SIGNS)
+            if core and len(core) < len(w) and core[-1].isalnum() and "<|" not in w:
+                split.append((w, core, w[len(core):]))
+                parts.update(split[-1][1:])
+            else:
+                parts.add(w)
+        fresh = []
+        for w in parts:
+            known = self.get(w) or self.older.get(w)
+            if known and w not in self.open:
+                self[w] = known
+            elif _BETWEEN in w or "<|" in w:
+                self[w] = _packed_ids(self.tok.encode(w, add_special_tokens=False))
+            else:
+                fresh.append(w)
+        for at in range(0, len(fresh), 1000):
+            some = fresh[at:at + 1000]
+            found = np.array(self.tok.encode_batch_fast([f" {_BETWEEN} ".join(some)],
+                                                        add_special_tokens=False)[0].ids, "<u4")
+            data = found.tobytes()
+            ends = np.append(np.flatnonzero(found == self.between[0]), len(found)) * 4
+            begin = 0
+            for w, end in zip(some, ends.tolist()):
+                self[w] = data[begin:end]
+                begin = end + 4
+        for w, core, tail in split:
+            self[w] = self[core] + self[tail]
+        for w, buffer in self.open.items():
+            buffer[:] = self[w]
+        self.open = {}
+
+    def turn(self) -> None:
+        """Begin a generation when the present one is full."""
+        if len(self) > CACHE_WORDS:
+            self.older = dict(self)
+            self.clear()
+
+
+def _words_of(text: str) -> list[str]:
+    """The text at white space; in lower case where that is plain to do before
+    the tokenizer does it (Latin-1 letters, no special tokens)."""
+    if "<|" not in text:
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return text.split()
+        return text.lower().split()
+    return text.split()
 
 
 def _packed_ids(encoding) -> bytes:
@@ -73,21 +155,29 @@ def _packed_ids(encoding) -> bytes:
 
 def encode(texts: list[str], path: str) -> list[bytes]:
     """Little-endian unsigned 32-bit ids of each text."""
-    tok, cache = _tokenizer(path)
-    out = []
-    for text in texts:
-        if not _SEPARATORS.isdisjoint(text):
-            out.append(_packed_ids(tok.encode(text, add_special_tokens=False)))
+    tok, known = _tokenizer(path)
+    out: list = [None] * len(texts)
+    open_texts: dict[int, list] = {}
+    held = 0
+
+    def flush():
+        nonlocal held
+        known.learn()
+        for i, parts in open_texts.items():
+            out[i] = b"".join(parts)
+        open_texts.clear()
+        known.turn()
+        held = 0
+
+    for i, text in enumerate(texts):
+        if any(c in text for c in _SEPARATORS):
+            out[i] = _packed_ids(tok.encode(text, add_special_tokens=False))
             continue
-        words = text.split()
-        new = [w for w in set(words) if w not in cache]
-        if new:
-            if len(cache) + len(new) > CACHE_WORDS:
-                cache.clear()
-                new = list(set(words))
-            for w, e in zip(new, tok.encode_batch_fast(new, add_special_tokens=False)):
-                cache[w] = _packed_ids(e)
-        out.append(b"".join([cache[w] for w in words]))
+        parts = open_texts[i] = list(map(known.__getitem__, _words_of(text)))
+        held += len(parts)
+        if held > 100_000:
+            flush()
+    flush()
     return out
 
 
@@ -103,8 +193,8 @@ def pieces(docs: DataFrame, capacity: int, tokenizer: str | None = None, end_id:
     def each(batches):
         for b in batches:
             owner, piece, start, length, crc = [], [], [], [], []
-            for i, text in enumerate(text_of(b)):
-                ids = encode([text], path)[0] + last
+            for i, ids in enumerate(encode(text_of(b), path)):
+                ids += last
                 n = len(ids) // 4
                 for p, at in enumerate(range(0, n, capacity)):
                     owner.append(i)
