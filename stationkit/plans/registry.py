@@ -1157,6 +1157,64 @@ def q_older_study_metrics(spark, sf):
     return round_doubles(_older_study(spark, sf).metrics)
 
 
+# ---------------------------------------------------------------------------
+# polynomial least squares of degrees 1 to 4, checked in SQL: two features
+# scaled to 0..1, one Gram pass and one scoring scan for each degree
+# ---------------------------------------------------------------------------
+
+_POLY_FEATS = ["R_air_temp", "R_precip"]
+_POLY_DEGREES = (1, 2, 3, 4)
+
+
+def _poly_names(degree: int) -> list[str]:
+    from itertools import combinations_with_replacement
+    return ["t_" + "_".join(map(str, c)) for d in range(1, degree + 1)
+            for c in combinations_with_replacement(range(len(_POLY_FEATS)), d)]
+
+
+def _poly_sweep_sql() -> str:
+    goals = list(_MODEL_GOALS.values())
+    lo_hi = ", ".join(f"MIN({f}) AS lo{i}, MAX({f}) AS hi{i}" for i, f in enumerate(_POLY_FEATS))
+    scaled = ", ".join(f"({f} - lo{i}) / (hi{i} - lo{i}) AS x{i}" for i, f in enumerate(_POLY_FEATS))
+    top = max(_POLY_DEGREES)
+    terms = ", ".join(" * ".join(f"x{i}" for i in n[2:].split("_")) + f" AS {n}" for n in _poly_names(top))
+    ctes = _split_sql_ctes() + [
+        f"plim AS (SELECT {lo_hi} FROM spl)",
+        f"psc AS (SELECT split, {', '.join(goals)}, {scaled} FROM spl, plim)",
+        f"pex AS (SELECT split, {', '.join(goals)}, {terms} FROM psc)",
+        "ptr AS (SELECT * FROM pex WHERE split = 'train')"]
+    parts = []
+    for d in _POLY_DEGREES:
+        names = _poly_names(d)
+        own, _ = Q.ols_sql("ptr", names, _MODEL_GOALS, prefix=f"p{d}")
+        ctes += own
+        p = len(names)
+        for k, (mk, goal) in enumerate(_MODEL_GOALS.items()):
+            col = p + k + 1
+            icpt = f"m_{p + k} - (" + " + ".join(f"a[{j + 1}][{col}] * m_{j}" for j in range(p)) + ")"
+            pred = icpt + " + " + " + ".join(f"a[{j + 1}][{col}] * {f}" for j, f in enumerate(names))
+            parts.append(f"SELECT split, '{mk}_degree{d}' AS model_key, {goal} AS y, {pred} AS p "
+                         f"FROM pex, p{d}sol, p{d}mu")
+    ctes.append("prd AS (" + " UNION ALL ".join(parts) + ")")
+    return ("WITH RECURSIVE " + Q.obs_only()[len("WITH "):].rstrip() + ",\n" + ",\n".join(ctes) + "\n" +
+            _METRICS_SELECT)
+
+
+@register("poly_degree_metrics", _poly_sweep_sql())
+def q_poly_degree_metrics(spark, sf):
+    """M5-M7: degrees 1 to 4 of two scaled features, all six goals."""
+    sup = IM.minmax_scale(_split_sup(spark, sf), _POLY_FEATS)
+    goals = list(_MODEL_GOALS.values())
+    x = cut_lineage(sup.select("split", *goals, *[e.alias(n) for n, e in MD.poly_terms(
+        _POLY_FEATS, max(_POLY_DEGREES), bias=False)]))
+    preds = []
+    for d in _POLY_DEGREES:
+        keyed = {f"{mk}_degree{d}": g for mk, g in _MODEL_GOALS.items()}
+        models = cut_lineage(LN.ols_models(x, _poly_names(d), keyed, fit_filter=F.col("split") == "train"))
+        preds.append(LN.predict_all(x, models, _poly_names(d), keyed, ["split"]))
+    return round_doubles(MT.regression_metrics(reduce(DataFrame.unionByName, preds), ["model_key", "split"], "y", "p"))
+
+
 # ---------------------------------------------------------------------------
 # ridge from the same Gram sums
 # ---------------------------------------------------------------------------
