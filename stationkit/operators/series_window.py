@@ -14,10 +14,12 @@ columns for every input:
   the window's exchange, so only the small side moves.  A series holding a
   third of all rows is spread over as many tasks as it has chunks.
 
-``auto`` counts the rows of each series with one aggregate over the partition
+``auto`` counts the rows of each series with one aggregate over the key
 columns and picks ``series`` when the longest is under ``max_rows_per_task``
-rows.  Otherwise chunks are the partitions of a range partitioning by
-(partition keys, order keys): its bounds are quantiles of the observed rows,
+rows.  Otherwise it cuts the first order key at one width, if a second count
+shows that no chunk is above the budget.  If rows are too uneven for that,
+chunks are the partitions of a range partitioning by (partition keys, order
+keys): its bounds are quantiles of the observed rows,
 so chunks are even for any key type, for bursts, and for many rows on one
 date, as long as further order columns tell those apart.  The partitioned rows
 are written to the shared folder once, so that chunks do not change when a
@@ -32,6 +34,7 @@ null with null.  Helper columns get names that no input column begins with.
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -45,8 +48,8 @@ class Ordering:
     """Partition keys (may be empty = one global order) and order keys.
 
     Further order columns break ties and should make the order total.
-    ``chunk_rows`` cuts chunks of about that many rows (``auto`` sets it);
-    without it, ``mode="chunked"`` cuts on ``order[0]``, which must then be a
+    ``chunk_rows`` cuts chunks of about that many rows (``auto`` sets it for
+    uneven rows); without it, ``mode="chunked"`` cuts on ``order[0]``, which must then be a
     DATE, TIMESTAMP or integral column (width ``chunk_days`` for dates,
     ``chunk_micros`` for timestamps, ``chunk_width`` for integers).
     """
@@ -60,6 +63,7 @@ class Ordering:
     mode: str = "auto"
     chunk_rows: int | None = None
     rows: int | None = None  # of the whole table, where known
+    null_keys: bool = True  # whether partition or first order keys may be null
 
 
 class _Names:
@@ -73,7 +77,11 @@ class _Names:
             self.next, self.prev = (lead + x for x in (
                 "part", "chunk", "rn", "cnt", "off", "total", "j", "base", "pos", "next", "prev"))
         self.lead = lead
-        self.keys = [self.part, self.chunk]
+        self.parts = [self.part]
+
+    @property
+    def keys(self) -> list[str]:
+        return [*self.parts, self.chunk]
 
 
 def _key_units(df: DataFrame, c: str) -> Column:
@@ -89,7 +97,8 @@ def _key_units(df: DataFrame, c: str) -> Column:
 
 
 def _chunk_expr(df: DataFrame, o: Ordering) -> Column:
-    """Chunk of a fixed width, wrapped so that a null key has a chunk too."""
+    """Chunk of a fixed width; where keys may be null, wrapped so that a null
+    key has a chunk too."""
     first = o.order[0]
     dt = df.schema[first].dataType
     if isinstance(dt, T.DateType):
@@ -98,22 +107,34 @@ def _chunk_expr(df: DataFrame, o: Ordering) -> Column:
         width = o.chunk_micros
     else:
         width = o.chunk_width
-    return F.struct(F.floor(_key_units(df, first) / F.lit(width)).alias("c"))
+    chunk = F.floor(_key_units(df, first) / F.lit(width))
+    return F.struct(chunk.alias("c")) if o.null_keys else chunk
 
 
 def resolve(df: DataFrame, o: Ordering) -> Ordering:
-    """Fix the strategy from one aggregate over the partition keys.  Pass the
+    """Fix the strategy from one or two aggregates over the keys.  Pass the
     result on to several operators over the same rows to count once."""
     if o.mode != "auto":
         return o
-    if o.partition:
-        per = df.groupBy(*o.partition).agg(F.count(F.lit(1)).alias("n"))
-        longest, rows = per.agg(F.max("n"), F.sum("n")).first()
-    else:
-        longest = rows = df.count()
-    if (longest or 0) <= o.max_rows_per_task:
+    ranged = isinstance(df.schema[o.order[0]].dataType, (T.DateType, T.TimestampType, T.TimestampNTZType, T.IntegralType))
+    k = _key_units(df, o.order[0]) if ranged else F.lit(None).cast("long")
+    missing = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in o.partition + o.order[:1]])
+    per = df.groupBy(*o.partition).agg(F.count(F.lit(1)).alias("n"), F.min(k).alias("lo"), F.max(k).alias("hi"),
+                                       F.max(missing).alias("missing"))
+    longest, rows, nulls = per.agg(F.max(F.struct("n", "lo", "hi")), F.sum("n"), F.max("missing")).first()
+    if longest is None or longest["n"] <= o.max_rows_per_task:
         return replace(o, mode="series", rows=rows or 0)
-    return replace(o, mode="chunked", chunk_rows=max(1, o.max_rows_per_task // 2), rows=rows)
+    half = max(1, o.max_rows_per_task // 2)
+    o = replace(o, null_keys=bool(nulls))
+    if longest["lo"] is not None:
+        # chunks of one width of the first key, about half a task each if the
+        # longest series is even; taken if the observed rows bear that out
+        width = max(1, (longest["hi"] - longest["lo"] + 1) // -(-longest["n"] // half))
+        fixed = replace(o, mode="chunked", rows=rows, chunk_days=width, chunk_micros=width, chunk_width=width)
+        counts = df.groupBy(*o.partition, _chunk_expr(df, fixed).alias("_width_chunk")).count()
+        if counts.agg(F.max("count")).first()[0] <= o.max_rows_per_task:
+            return fixed
+    return replace(o, mode="chunked", chunk_rows=half, rows=rows)
 
 
 def resolve_mode(df: DataFrame, o: Ordering) -> str:
@@ -138,26 +159,34 @@ def _w_rev(o: Ordering, *keys: str) -> Window:
 # chunk bookkeeping
 # --------------------------------------------------------------------------
 
-def _chunked_base(df: DataFrame, o: Ordering):
+def _chunked_base(df: DataFrame, o: Ordering, sources: list[str] = ()):
     """``df`` with series key, chunk and in-chunk row number, and the table of
-    chunks: rows, rows of the series before it, rows of the series."""
+    chunks: rows, rows of the series before it, rows of the series.  The series
+    key is the partition columns themselves if they hold no null and are none
+    of the ``sources`` that are carried over, else a struct of them."""
     nm = _Names(df)
+    if o.partition and not o.null_keys and not set(o.partition) & set(sources):
+        nm.parts = list(o.partition)
     part = F.struct(*[F.col(c) for c in o.partition]) if o.partition else F.struct(F.lit(0).alias("all"))
+
+    def keyed(x):
+        return x if nm.parts != [nm.part] else x.withColumn(nm.part, part)
+
     if o.chunk_rows:
         rows = o.rows if o.rows is not None else df.count()
         pieces = max(1, -(-rows // o.chunk_rows))
         ranged = df.repartitionByRange(pieces, *[F.col(c).asc_nulls_first() for c in o.partition + o.order])
-        m = cut_lineage(ranged.withColumn(nm.chunk, F.spark_partition_id()), "chunks").withColumn(nm.part, part)
+        m = keyed(cut_lineage(ranged.withColumn(nm.chunk, F.spark_partition_id()), "chunks"))
     else:
-        m = df.withColumn(nm.part, part).withColumn(nm.chunk, _chunk_expr(df, o))
+        m = keyed(df).withColumn(nm.chunk, _chunk_expr(df, o))
     m = m.withColumn(nm.rn, F.row_number().over(_w(o, *nm.keys)))
     # counts per chunk from the windowed frame itself: it is already
     # partitioned by the chunk keys, so this aggregate needs no shuffle and
     # the input's exchange is reused instead of computing the input twice
     counts = m.groupBy(*nm.keys).agg(F.max(nm.rn).cast("long").alias(nm.cnt))
-    wp = Window.partitionBy(nm.part).orderBy(nm.chunk).rowsBetween(Window.unboundedPreceding, -1)
+    wp = Window.partitionBy(*nm.parts).orderBy(nm.chunk).rowsBetween(Window.unboundedPreceding, -1)
     offs = counts.select(*nm.keys, nm.cnt, F.coalesce(F.sum(nm.cnt).over(wp), F.lit(0)).cast("long").alias(nm.off),
-                         F.sum(nm.cnt).over(Window.partitionBy(nm.part)).alias(nm.total))
+                         F.sum(nm.cnt).over(Window.partitionBy(*nm.parts)).alias(nm.total))
     return m, offs, nm
 
 
@@ -209,20 +238,20 @@ def _halo_table(m: DataFrame, offs: DataFrame, nm: _Names, srcs: list[str],
     else:
         cand = m.join(offs.select(*nm.keys, nm.cnt), nm.keys).where(F.col(nm.rn) > F.col(nm.cnt) - kmax)
     cand = (cand.join(offs.select(*nm.keys, nm.off), nm.keys)
-            .select(nm.part, (F.col(nm.off) + F.col(nm.rn) - 1).alias(nm.pos), *srcs))
+            .select(*nm.parts, (F.col(nm.off) + F.col(nm.rn) - 1).alias(nm.pos), *srcs))
     base = F.col(nm.off) + F.col(nm.cnt) if forward else F.col(nm.off) - 1
     step = 1 if forward else -1
     req = offs.select(*nm.keys, F.explode(F.sequence(F.lit(0), F.lit(kmax - 1))).alias(nm.j),
                       base.alias(nm.base))
     req = req.select(*nm.keys, nm.j, (F.col(nm.base) + F.col(nm.j) * step).alias(nm.pos))
-    got = req.join(cand, [nm.part, nm.pos], "inner")
+    got = req.join(cand, [*nm.parts, nm.pos], "inner")
     return got.groupBy(*nm.keys).agg(
         F.array_sort(F.collect_list(F.struct(F.col(nm.j), *[F.col(s) for s in srcs]))).alias(alias))
 
 
 def _shift_chunked(df: DataFrame, specs, o: Ordering) -> DataFrame:
-    m, offs, nm = _chunked_base(df, o)
     srcs = sorted({s for _, s, _ in specs})
+    m, offs, nm = _chunked_base(df, o, srcs)
     kf = max([k for _, _, k in specs if k > 0], default=0)
     kb = max([-k for _, _, k in specs if k < 0], default=0)
     w = _w(o, *nm.keys)
@@ -265,7 +294,7 @@ def neighbours(df: DataFrame, cols: list[str], o: Ordering, pos_name: str = "row
                     F.last(c, True).over(wf).alias(f"{c}__nv"), F.last(p, True).over(wf).alias(f"{c}__np")]
         return x.select("*", *out)
 
-    m, offs, nm = _chunked_base(df, o)
+    m, offs, nm = _chunked_base(df, o, cols)
     m = m.join(offs.select(*nm.keys, nm.off), nm.keys)
     m = m.withColumn(pos_name, (F.col(nm.off) + F.col(nm.rn) - 1).cast("long"))
     wb = _w(o, *nm.keys).rowsBetween(Window.unboundedPreceding, 0)
@@ -281,8 +310,8 @@ def neighbours(df: DataFrame, cols: list[str], o: Ordering, pos_name: str = "row
         summ += [F.max(nn).alias(name[c, "last"]), F.min(nn).alias(name[c, "first"])]
     # per-chunk summary: last / first non-missing (position, value)
     s = m.groupBy(*nm.keys).agg(*summ)
-    wprev = Window.partitionBy(nm.part).orderBy(nm.chunk).rowsBetween(Window.unboundedPreceding, -1)
-    wnext = Window.partitionBy(nm.part).orderBy(F.col(nm.chunk).desc()).rowsBetween(Window.unboundedPreceding, -1)
+    wprev = Window.partitionBy(*nm.parts).orderBy(nm.chunk).rowsBetween(Window.unboundedPreceding, -1)
+    wnext = Window.partitionBy(*nm.parts).orderBy(F.col(nm.chunk).desc()).rowsBetween(Window.unboundedPreceding, -1)
     carry = s.select(*nm.keys, *[x for c in cols for x in (
         F.last(name[c, "last"], True).over(wprev).alias(name[c, "before"]),
         F.last(name[c, "first"], True).over(wnext).alias(name[c, "after"]))])

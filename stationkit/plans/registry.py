@@ -60,8 +60,12 @@ def _sup_rowid(spark: SparkSession, sf: str) -> DataFrame:
     writes the files its notebooks read, and the studies read it from there."""
     # one row per date: yearly chunks hold at most 366 rows, so the global
     # position needs no sizing pass
-    return stored(spark, sf, "model-table",
-                  lambda: RW.add_row_id(_sup(spark, sf), ["obs_date"], mode="chunked"))
+    return stored(spark, sf, "model-table", lambda: build_model_table(spark, sf))
+
+
+def build_model_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The model table computed from the station table (not from the stored one)."""
+    return RW.add_row_id(_sup(spark, sf), ["obs_date"], mode="chunked")
 
 
 W_SERIES = "WINDOW w AS (PARTITION BY series_id ORDER BY obs_date)"

@@ -68,7 +68,7 @@ def test_global_position_is_dense(spark):
 
 def test_auto_sizes_chunks_for_a_hot_series(spark):
     """One series with most rows, sub-daily timestamps: auto picks the chunked
-    path with chunks of half a task's rows, and the results equal the one-task path."""
+    path with sub-day chunks, and the results equal the one-task path."""
     from pyspark.sql import functions as F
     from stationkit.operators.series_window import resolve
     rnd = random.Random(11)
@@ -78,7 +78,7 @@ def test_auto_sizes_chunks_for_a_hot_series(spark):
         .select("series_id", F.timestamp_seconds("t").cast("timestamp_ntz").alias("ts"), "event_id", "value")
     auto = Ordering(partition=("series_id",), order=("ts", "event_id"), max_rows_per_task=200)
     r = resolve(df, auto)
-    assert r.mode == "chunked" and r.chunk_rows == 100 and r.rows == 3000
+    assert r.mode == "chunked" and r.chunk_micros < 86_400_000_000
     one = Ordering(partition=("series_id",), order=("ts", "event_id"), mode="series")
     specs = [("n1", "value", 1), ("n3", "value", 3), ("p2", "value", -2)]
     a = interpolate_linear(shift_rows(df, specs, auto), ["value"], auto)
@@ -115,16 +115,19 @@ def _awkward(spark):
 
 
 @pytest.mark.parametrize("how", [{"mode": "chunked", "chunk_days": 2}, {"mode": "auto", "max_rows_per_task": 4},
-                                 {"mode": "chunked", "chunk_rows": 1}, {"mode": "chunked", "chunk_rows": 5}])
+                                 {"mode": "chunked", "chunk_rows": 2}])
 @pytest.mark.parametrize("partition", [("series_id",), ()])
-def test_both_modes_agree_on_awkward_keys(spark, how, partition):
+@pytest.mark.parametrize("nulls", [True, False])
+def test_both_modes_agree_on_awkward_keys(spark, how, partition, nulls):
     from stationkit.operators.series_window import neighbours
     from stationkit.operators.shift import tail_trim
     df = _awkward(spark)
+    if not nulls:
+        df = df.where("series_id is not null and obs_date is not null")
     order = ("obs_date", "id") if partition else ("obs_date", "series_id", "id")
     one = Ordering(partition=partition, order=order, mode="series")
     cut = Ordering(partition=partition, order=order, **how)
-    specs = [("n1", "v", 1), ("n5", "id", 5), ("p2", "v", -2)]
+    specs = [("n1", "v", 1), ("n5", "id", 5), ("p2", "v", -2), ("s1", "series_id", 1)]
     for op in (lambda x, o: with_position(x, o), lambda x, o: shift_rows(x, specs, o),
                lambda x, o: neighbours(x, ["v"], o), lambda x, o: tail_trim(x, 2, o),
                lambda x, o: interpolate_linear(x, ["v"], o)):
@@ -136,10 +139,11 @@ def test_both_modes_agree_on_awkward_keys(spark, how, partition):
 
 def test_chunks_are_even_for_a_burst(spark):
     """Ten thousand rows on one date and one row far away: chunks follow the rows."""
-    from stationkit.operators.series_window import _chunked_base
+    from stationkit.operators.series_window import _chunked_base, resolve
     df = spark.range(10_000).select(F.lit("s").alias("series_id"), F.when(F.col("id") == 9_999, 9_000_000)
                                     .otherwise(0).alias("t"), "id")
-    o = Ordering(partition=("series_id",), order=("t", "id"), mode="chunked", chunk_rows=1000)
+    o = resolve(df, Ordering(partition=("series_id",), order=("t", "id"), max_rows_per_task=2000))
+    assert o.chunk_rows == 1000  # one width would leave 9,999 rows in a chunk
     m, _, nm = _chunked_base(df, o)
     sizes = [r["count"] for r in m.groupBy(nm.chunk).count().collect()]
     assert sum(sizes) == 10_000 and max(sizes) < 2500
