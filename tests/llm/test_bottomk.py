@@ -4,7 +4,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import ROWS, prose
+from cases import ROWS, edge_docs, no_docs, prose  # noqa: F401
 from stationkit.llm import bottomk as B
 
 

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import CLASHES
+from cases import CLASHES
 from stationkit.llm import html_blocks as H
 
 

@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from conftest import ROWS, prose
+from cases import ROWS, edge_docs, no_docs, prose  # noqa: F401
 from stationkit.llm import langid
 
 SYLLABLES = {"aa": ["tion", "ment", "eau", "que", "le"], "bb": ["ung", "keit", "sch", "der", "ge"],

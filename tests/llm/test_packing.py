@@ -4,7 +4,7 @@ import zlib
 import numpy as np
 import pytest
 
-from conftest import LONG, ROWS
+from cases import LONG, ROWS, edge_docs, no_docs  # noqa: F401
 from stationkit.llm import packing
 
 tokenizers = pytest.importorskip("tokenizers")

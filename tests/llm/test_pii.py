@@ -3,7 +3,7 @@ import re
 
 import pytest
 
-from conftest import LONG, ROWS
+from cases import LONG, ROWS, edge_docs, no_docs  # noqa: F401
 from stationkit.llm import pii
 
 PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",

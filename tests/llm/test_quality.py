@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 
-from conftest import ROWS, prose
+from cases import ROWS, edge_docs, no_docs, prose  # noqa: F401
 from stationkit.llm import quality as Q
 
 

@@ -7,7 +7,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import CLASHES, ROWS, SCHEMA, prose
+from cases import CLASHES, ROWS, SCHEMA, edge_docs, no_docs, prose  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="needs the given tables")

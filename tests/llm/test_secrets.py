@@ -2,7 +2,7 @@ import hashlib
 import itertools
 import re
 
-from conftest import ROWS
+from cases import ROWS, edge_docs, no_docs  # noqa: F401
 from stationkit.llm import secrets
 
 PATTERNS = {

@@ -3,7 +3,7 @@ import random
 import pytest
 import xxhash
 
-from conftest import ROWS, prose
+from cases import ROWS, edge_docs, no_docs, prose  # noqa: F401
 from stationkit.llm import simhash
 
 
