@@ -972,6 +972,31 @@ def q_event_future_skewed(spark, sf):
     return round_doubles(shift_rows(event_series(spark, sf), specs, _event_ordering()))
 
 
+def _event_awkward(name: str, series: str, ts: str) -> None:
+    """Register position and next value over the event series with changed
+    keys; ``series`` and ``ts`` are SQL that both engines read."""
+    over = "(PARTITION BY series_id ORDER BY ts NULLS FIRST, event_id)"
+
+    @register(name, "WITH " + EVENT_SERIES_CTE + f""",
+k AS (SELECT {series} AS series_id, {ts} AS ts, event_id, value FROM ev)
+SELECT series_id, ts, event_id, ROW_NUMBER() OVER {over} - 1 AS row_pos,
+  ROUND(LEAD(value, 1) OVER {over}, 6) AS value_next_1 FROM k""")
+    def query(spark, sf):
+        from ..operators.series_window import resolve, shift_rows, with_position
+        k = event_series(spark, sf).select(F.expr(series).alias("series_id"), F.expr(ts).alias("ts"), "event_id", "value")
+        o = resolve(k, _event_ordering())
+        return round_doubles(with_position(shift_rows(k, [("value_next_1", "value", 1)], o), o)
+                             .select("series_id", "ts", "event_id", "row_pos", "value_next_1"))
+    query.__name__ = f"q_{name}"
+
+
+# null series and null times, and half of the hot series at one instant
+_event_awkward("event_null_keys", "CASE WHEN event_id % 5 = 0 THEN NULL ELSE series_id END",
+               "CASE WHEN event_id % 11 = 0 THEN NULL ELSE ts END")
+_event_awkward("event_burst", "series_id", "CASE WHEN series_id = 'hot' AND event_id % 2 = 0 "
+               "THEN TIMESTAMP '1990-01-01 00:00:00' ELSE ts END")
+
+
 @register("ols_actual_vs_predicted", _with_pred(
     "SELECT row_id, split, model_key, ROUND(y, 6) AS y, ROUND(p, 6) AS p, "
     "CASE WHEN model_key LIKE '%\\_precip' ESCAPE '\\' THEN (y BETWEEN 0 AND 30) AND (p BETWEEN -1 AND 6) "
