@@ -18,11 +18,6 @@ from stationkit.llm import langid, mixing, packing, secrets, simhash
 from stationkit.llm.common import read_table, written
 from stationkit.llm.queries import MIX_WEIGHTS, label_domains
 
-#: the mixing stage aims at this multiple of the clean domain's tokens; as a
-#: document is taken once at most, rates above one are the margin by which
-#: clean documents stay whatever the classifier's last percents say
-CLEAN_MARGIN = 1.15
-
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language the classifier accepts."""
@@ -40,13 +35,12 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents drawn by their rates, each once at most.  A row is known by a
+    """Documents drawn by their rates, which are 1 at most.  A row is known by a
     hash of its id and text, as an id may repeat."""
     keyed = docs.withColumn("_key", F.xxhash64(F.col("doc_id"), F.col("text")))
     labelled = (keyed.select("doc_id", "_key").join(label_domains(read_table(spark, sf_dir, "labels")), "doc_id")
                 .select(F.col("_key").alias("doc_id"), "domain"))
-    table, _ = mixing.mix(keyed.select(F.col("_key").alias("doc_id"), "text"), labelled, MIX_WEIGHTS,
-                          anchor="clean", anchor_keep=CLEAN_MARGIN)
+    table, _ = mixing.mix_once(keyed.select(F.col("_key").alias("doc_id"), "text"), labelled, MIX_WEIGHTS)
     drawn = (table.where(mixing.chosen_copies(F.col("rate"), F.col("doc_id")) >= 1)
              .select(F.col("doc_id").alias("_key")).distinct())
     return keyed.join(drawn, "_key", "left_semi").select(*docs.columns)

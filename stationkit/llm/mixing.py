@@ -3,8 +3,9 @@
 1. *Posteriors.*  A labelled table names the domain of some documents.  From a
    bounded sample of it a multinomial logistic regression is fitted on text
    statistics (signs, capitals, digits, distinct words, length) and on hits in
-   each domain's most telling words, which the sample gives as well.  Every
-   document then belongs to every domain by its posterior.
+   each domain's most telling words (lower case, without punctuation), which
+   the sample gives as well.  Every document then belongs to every domain by
+   its posterior.
 2. *Rates.*  Each document i of n_i tokens gets a rate r_i >= 0, the expected
    number of its copies.  With posteriors p_id, domain d expects
    sum_i n_i p_id r_i tokens; its target is b_d.  Starting from r = 1, rates
@@ -20,7 +21,17 @@
    plans stay short and a lost executor costs little.
 
 Targets are shares of ``weights``; the total is set so that the ``anchor``
-domain keeps ``anchor_keep`` times its tokens.
+domain keeps its tokens.
+
+*At most one copy.*  ``mix_once`` is for a corpus in which a document is kept
+or left out.  Its rates are the ones in 0..1 nearest to one (least
+sum_i n_i (1 - r_i)^2) under which the expected tokens have the shares s of
+``weights``: sum_i n_i r_i (p_i - s) = 0.  They are
+r_i = clip(1 - v . (p_i - s)), and Newton steps on the dual find v, a number a
+domain, so that the only state is on the driver.  A domain below its share
+keeps its documents and the others are cut until the shares hold.  Shares so
+sharp that the posteriors leave less than half of the tokens which exact
+labels would leave are moved towards the corpus's own, with a warning.
 
 Defined cases: null text counts as empty, with zero tokens, and still has a
 rate; documents repeat as rows and each gets its rate; labels that are null or
@@ -32,6 +43,7 @@ are ignored.
 
 from __future__ import annotations
 
+import warnings
 from functools import reduce
 
 import numpy as np
@@ -42,14 +54,17 @@ from .common import written
 
 #: signs that prose has few of
 _SIGNS = "[#$%&*!|=<>{}~^@+/_\\\\\\[\\]]"
+#: what is no part of a word of the vocabulary
+_PUNCTUATION = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
 STATISTICS = ("signs", "capitals", "digits", "distinct", "length", "word_length", "variety")
 
 
 def _parts(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
-    words = F.array_remove(F.split(text, "[\\x20\\x09-\\x0D]+"), "")
-    return (docs.withColumn("text", text).withColumn("words", words)
-            .withColumn("vocabulary", F.array_distinct("words")))
+    blank = "[\\x20\\x09-\\x0D]+"
+    plain = F.lower(F.translate(F.col("text"), _PUNCTUATION, " " * len(_PUNCTUATION)))
+    return (docs.withColumn("text", text).withColumn("words", F.array_remove(F.split("text", blank), ""))
+            .withColumn("vocabulary", F.array_remove(F.array_distinct(F.split(plain, blank)), "")))
 
 
 def _statistics(df: DataFrame, telling: list[list[str]]) -> DataFrame:
@@ -72,8 +87,11 @@ def _statistics(df: DataFrame, telling: list[list[str]]) -> DataFrame:
                      *[c.alias(f"f_{name}") for name, c in cols.items()])
 
 
-def _telling_words(sample: DataFrame, domains: list[str], words: int = 20, least: int = 8) -> list[list[str]]:
-    """For each domain, the words whose documents are its most by log odds."""
+def _telling_words(sample: DataFrame, domains: list[str], words: int = 20, least: int = 8, sure: float = 2.5,
+                   sure_words: int = 200) -> list[list[str]]:
+    """For each domain, the words whose documents are its most by log odds:
+    ``words`` of them, and up to ``sure_words`` of log odds above ``sure``, as
+    a corpus of several languages has telling words in each."""
     seen = (sample.select("domain", F.explode("vocabulary").alias("word"))
             .groupBy("word").pivot("domain", domains).count().na.fill(0))
     sizes = {r["domain"]: r["count"] for r in sample.groupBy("domain").count().collect()}
@@ -82,9 +100,9 @@ def _telling_words(sample: DataFrame, domains: list[str], words: int = 20, least
         rest = max(1, sum(n for k, n in sizes.items() if k != d))
         other = reduce(lambda a, b: a + b, [F.col(f"`{k}`") for k in domains if k != d])
         odds = F.log((F.col(f"`{d}`") + 0.5) / (max(1, sizes.get(d, 0)) + 1)) - F.log((other + 0.5) / (rest + 1))
-        rows = (seen.where((F.col(f"`{d}`") >= least) & (odds > 1.0))
-                .orderBy(F.desc(F.round(odds, 6)), "word").limit(words).collect())
-        out.append([r["word"] for r in rows])
+        rows = (seen.where((F.col(f"`{d}`") >= least) & (odds > 1.0)).select("word", F.round(odds, 6).alias("odds"))
+                .orderBy(F.desc("odds"), "word").limit(sure_words).collect())
+        out.append([r["word"] for k, r in enumerate(rows) if k < words or r["odds"] > sure])
     return out
 
 
@@ -173,7 +191,7 @@ def fit_rates(table: DataFrame, targets: np.ndarray, rounds: int = 30, tolerance
     return state.withColumn("rate", rate)
 
 
-def mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], anchor: str, anchor_keep: float = 1.0,
+def mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], anchor: str,
         per_domain: int = 1500, rounds: int = 30) -> tuple:
     """``(table, domains)``: ``doc_id, tokens, p, rate`` for every row.
     ``labelled`` has ``doc_id, domain``; domains without a weight get none."""
@@ -183,13 +201,91 @@ def mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], anchor:
     share = np.array([weights.get(k, 0.0) for k in domains])
     if anchor in domains and weights.get(anchor, 0) > 0:
         at = domains.index(anchor)
-        total = anchor_keep * (totals[at] or 0.0) / share[at]
+        total = (totals[at] or 0.0) / share[at]
     else:  # nothing to hold on to: the corpus keeps its size
         share = share if share.sum() else np.ones(len(domains))
         total = sum(x or 0.0 for x in totals) / share.sum()
     return fit_rates(scored, share * total, rounds), domains
 
 
+def _once(share: np.ndarray, v: np.ndarray) -> Column:
+    """The rate of ``mix_once`` at the dual's ``v``."""
+    move = reduce(lambda a, b: a + b, [(F.col("p")[d] - float(s)) * float(x) for d, (s, x) in enumerate(zip(share, v))])
+    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.lit(1.0) - move))
+
+
+def _solve_once(table: DataFrame, share: np.ndarray, rounds: int, tolerance: float) -> tuple:
+    """``(v, kept tokens)`` when the shares hold within ``tolerance``, else ``None, 0``."""
+    d = len(share)
+    n = F.col("tokens").cast("double")
+    off = [F.col("p")[k] - float(share[k]) for k in range(d)]
+
+    def look(v):
+        """Value, gradient and curvature of the dual (to be made least), and kept tokens."""
+        rate = _once(share, v)
+        free = n * ((F.col("r") > 0) & (F.col("y") <= 1)).cast("double")
+        y = F.lit(1.0) - reduce(lambda a, b: a + b, [off[k] * float(v[k]) for k in range(d)])
+        # 1/2 clip(y)^2 + (y - clip(y)) for y above one: the integral of the rate along y
+        area = F.col("r") * F.col("r") / 2 + F.greatest(F.lit(0.0), F.col("y") - 1.0)
+        row = (table.select("tokens", "p", rate.alias("r"), y.alias("y"))
+               .agg(F.sum(n * area), F.sum(n * F.col("r")), *[F.sum(n * F.col("r") * off[k]) for k in range(d)],
+                    *[F.sum(free * off[j] * off[k]) for j in range(d) for k in range(d)]).first())
+        x = np.array([q or 0.0 for q in row], float)
+        return x[0], x[1], x[2:2 + d], x[2 + d:].reshape(d, d)
+
+    v = np.zeros(d)
+    value, kept, miss, curve = look(v)
+    total = kept
+    for _ in range(rounds):
+        if kept < 1e-3 * total * share[share > 0].min(initial=1.0):
+            break  # on the way to no text at all
+        if (np.abs(miss) <= tolerance * kept).all():
+            return v, kept
+        step = np.linalg.solve(curve + (1e-8 * max(np.trace(curve), 1e-3 * total)) * np.eye(d), miss)
+        pace = 1.0
+        while pace > 1e-4:
+            new = look(v + pace * step)
+            if new[0] <= value - 1e-4 * pace * float(miss @ step):
+                break
+            pace /= 4
+        else:
+            break
+        v = v + pace * step
+        value, kept, miss, curve = new
+    return (v, kept) if kept and (np.abs(miss) <= tolerance * kept).all() else (None, 0.0)
+
+
+def fit_once(table: DataFrame, share: np.ndarray, rounds: int = 40, tolerance: float = 1e-4) -> DataFrame:
+    """``table`` (``doc_id, tokens, p``) with a ``rate`` in 0..1 whose expected
+    tokens have the shares ``share``."""
+    d = len(share)
+    own = np.array([x or 0.0 for x in table.agg(
+        *[F.sum(F.col("tokens") * F.col("p")[k]) for k in range(d)]).first()])
+    share = np.where(own > 0, share, 0.0)
+    if not share.sum():  # nothing to hold on to: every document stays
+        return table.withColumn("rate", F.lit(1.0))
+    share = share / share.sum()
+    wanted = share > 0
+    exact = min(own.sum(), float((own[wanted] / share[wanted]).min()))
+    for t in np.linspace(0.0, 1.0, 17):
+        goal = (1 - t) * share + t * own / own.sum()
+        v, kept = _solve_once(table, goal, rounds, tolerance)
+        if v is not None and kept >= exact / 2:
+            break
+    else:
+        v, goal = np.zeros(d), own / own.sum()
+    if t:
+        warnings.warn(f"mixing: shares {share.round(4).tolist()} are out of the posteriors' reach, "
+                      f"{goal.round(4).tolist()} are used", stacklevel=2)
+    return table.withColumn("rate", _once(goal, v))
+
+
+def mix_once(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], per_domain: int = 1500) -> tuple:
+    """``(table, domains)`` as of ``mix``, no rate above one."""
+    scored, domains = posteriors(docs, labelled, per_domain)
+    return fit_once(written(scored, "posteriors"), np.array([weights.get(k, 0.0) for k in domains])), domains
+
+
 def chosen_copies(rate: Column, *key: Column) -> Column:
     """Copies of a document: the rate rounded up or down by a hash of ``key``,
     so that its expectation is the rate."""

@@ -91,3 +91,53 @@ def test_edge_rows(spark, corpus, edge_docs, no_docs):
 def test_copies_have_the_rate_as_expectation(spark):
     x = spark.range(4000).select(M.chosen_copies(F.lit(1.25), F.col("id")).alias("c")).agg(F.avg("c"), F.min("c"), F.max("c")).first()
     assert abs(x[0] - 1.25) < 0.05 and (x[1], x[2]) == (1, 2)
+
+
+@pytest.mark.parametrize("own,share", [((0.75, 0.14, 0.11), (0.97, 0.02, 0.01)), ((0.3, 0.1, 0.6), (0.2, 0.4, 0.4)),
+                                       ((0.9, 0.05, 0.05), (0.4, 0.3, 0.3))])
+def test_rates_of_one_copy_at_most_hold_the_shares(spark, own, share):
+    """A domain above or below its share: the others are cut, no rate is above one."""
+    rng = np.random.default_rng(3)
+    n = rng.integers(1, 500, 600)
+    p = np.array([rng.dirichlet(np.where(np.arange(3) == k, 60, 0.05)) for k in rng.choice(3, 600, p=own)])
+    table = spark.createDataFrame([(i, int(a), [float(x) for x in q]) for i, (a, q) in enumerate(zip(n, p))],
+                                  "doc_id long, tokens long, p array<double>").repartition(3)
+    out = {r["doc_id"]: r["rate"] for r in M.fit_once(table, np.array(share)).collect()}
+    r = np.array([out[i] for i in range(600)])
+    assert r.min() >= 0 and 0.99 < r.max() <= 1
+    got = (n * r) @ p
+    assert np.allclose(got / got.sum(), share, atol=1e-3)
+    reach = ((n @ p) / share).min()  # tokens that hard membership would leave
+    assert got.sum() > 0.9 * min(reach, n.sum())
+
+
+def test_shares_no_posterior_can_meet_are_named(spark):
+    table = spark.createDataFrame([(i, 10, [0.5, 0.5]) for i in range(20)], "doc_id long, tokens long, p array<double>")
+    with pytest.warns(UserWarning, match="out of the posteriors' reach"):
+        rows = M.fit_once(table, np.array([0.9, 0.1])).collect()
+    assert all(r["rate"] > 0.5 for r in rows)
+
+
+def test_what_the_stage_keeps_has_the_target_shares(spark, tmp_path):
+    import corpus_pipeline as C
+    from stationkit.llm.queries import MIX_WEIGHTS
+    docs, labels = [], []
+    for i in range(6000):
+        kind = ("clean", "low", "clean", "toxic")[i % 4]
+        t = prose(i, 20)
+        if kind == "low":
+            t = " ".join(w + "###" for w in t.split())
+        if kind == "toxic":
+            t = t + (" Vile!", " vile,", " VILE", " (vile)")[i // 4 % 4]
+        docs.append((i, t, "en", kind))
+        labels.append((i, int(kind != "low"), int(kind == "toxic")))
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    given = spark.createDataFrame(docs, "doc_id long, text string, lang string, kind string")
+    size = F.sum(F.size(F.split("text", " ")))
+    kept = {r["kind"]: r["t"] for r in C.mixing_weights(spark, given, str(tmp_path)).groupBy("kind").agg(size.alias("t")).collect()}
+    clean = given.where("kind = 'clean'").agg(size).first()[0]
+    total = sum(kept.values())
+    assert kept["clean"] >= 0.97 * clean
+    assert MIX_WEIGHTS == {"clean": 0.97, "low": 0.02, "toxic": 0.01}
+    for kind, weight in MIX_WEIGHTS.items():
+        assert abs(kept.get(kind, 0) / total - weight) < 0.008
