@@ -9,13 +9,15 @@ Model
     weights are trained together by stochastic gradient descent in numpy.
 
 Training rows
-    Labelled rows only, about ``per_lang`` of each language (kept by a hash of
-    the row against the language's count, at most ``max_rows`` in all): a
-    documented bound on what the driver holds, as bucket counts of at most
-    ``BUCKETS`` entries a document.  Scoring reads every whole text.
+    Labelled rows only, up to ``per_lang`` of each language, fewer of each when
+    all would be more than ``max_rows``, but never under ``LEAST_ROWS``: those of
+    least hash of id and text, wherever they lie in the table.  A documented
+    bound on what the driver holds, as bucket counts of at most ``BUCKETS``
+    entries a document.  Every language is learned.  Scoring reads every whole
+    text.
 
 Calibrated rejection
-    A fifth of the sampled rows is kept out of the descent.  On it a
+    A fifth of each language's sampled rows is kept out of the descent.  On it a
     temperature is fitted (least log loss), and the rejection threshold is set
     so that all but ``reject`` of the rightly labelled rows stay accepted,
     never above one half.
@@ -34,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches
+from .common import bounded_batches, rows_each, stratified
 
 BUCKETS = 1 << 14
 DIM = 12
@@ -79,17 +81,20 @@ def softmax(z: np.ndarray) -> np.ndarray:
 @dataclass
 class Model:
     """``table`` is embeddings times weights, so a document's logits are the
-    average of its n-grams' rows plus ``bias``, over the temperature."""
+    average of its n-grams' rows plus ``bias``, over the temperature.  With more
+    languages than ``DIM`` it is the embeddings alone, and ``out`` the weights."""
 
     languages: list[str]
     table: np.ndarray
     bias: np.ndarray
     temperature: float
     threshold: float
+    out: np.ndarray | None = None
 
     def probabilities(self, counts: np.ndarray) -> np.ndarray:
         total = max(1, counts.sum())
-        z = (counts.astype(np.float32) @ self.table) / np.float32(total) + self.bias
+        z = (counts.astype(np.float32) @ self.table) / np.float32(total)
+        z = (z if self.out is None else z @ self.out) + self.bias
         return softmax(z[None, :].astype(np.float64) / self.temperature)[0]
 
     def predict(self, text: str | None) -> tuple[str, float]:
@@ -103,14 +108,11 @@ class Model:
 def _sample(docs: DataFrame, per_lang: int, max_rows: int) -> list:
     """``(lang, buckets, counts)`` of a hash-chosen, bounded set of rows."""
     spark = docs.sparkSession
-    counts = {r["lang"]: r["count"] for r in docs.groupBy("lang").count().orderBy(F.desc("count")).limit(1000).collect()}
+    counts = [(r["lang"], r["count"]) for r in docs.groupBy("lang").count().collect()]
     if not counts:
         return []
-    grain = 1 << 20
-    share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, int(grain * min(1.0, per_lang / n)) + 1)])
+    rows = stratified(docs, "lang", counts, rows_each(per_lang, max_rows, len(counts)), "langid").select("lang", "text")
     bounded_batches(spark, 256)
-    rows = (docs.where(F.pmod(F.xxhash64(F.lit("langid"), "doc_id"), F.lit(grain)) < share[F.col("lang")])
-            .select("lang", "text"))
 
     def each(batches):
         for b in batches:
@@ -123,7 +125,7 @@ def _sample(docs: DataFrame, per_lang: int, max_rows: int) -> list:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(idx, pa.binary()), pa.array(cnt, pa.binary())],
                                              ["lang", "idx", "cnt"])
 
-    return rows.mapInArrow(each, "lang string, idx binary, cnt binary").limit(max_rows).collect()
+    return rows.mapInArrow(each, "lang string, idx binary, cnt binary").collect()
 
 
 def train(docs: DataFrame, per_lang: int = 1000, max_rows: int = 8000, epochs: int = 8,
@@ -138,7 +140,8 @@ def train(docs: DataFrame, per_lang: int = 1000, max_rows: int = 8000, epochs: i
     if not languages:
         return Model([], np.zeros((BUCKETS, 0), np.float32), np.zeros(0, np.float32), 1.0, 0.5)
     kinds = len(languages)
-    label = np.array([languages.index(r["lang"]) for r in rows])
+    number = {x: k for k, x in enumerate(languages)}
+    label = np.array([number[r["lang"]] for r in rows])
     feats = []
     for r in rows:
         c = np.frombuffer(r["cnt"], "<u2").astype(np.float32)
@@ -151,8 +154,12 @@ def train(docs: DataFrame, per_lang: int = 1000, max_rows: int = 8000, epochs: i
         return x
 
     order = rng.permutation(len(rows))
-    held = order[:len(rows) // 5]
-    fit = order[len(rows) // 5:]
+    by_lang = order[np.argsort(label[order], kind="stable")]
+    place = np.empty(len(rows), int)  # a row's place among its language's rows
+    sizes = np.bincount(label, minlength=kinds)
+    place[by_lang] = np.arange(len(rows)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    out_of = place[order] < sizes[label[order]] // 5
+    held, fit = order[out_of], order[~out_of]
     emb = rng.normal(0, 0.1, (BUCKETS, DIM)).astype(np.float32)
     out = rng.normal(0, 0.5, (DIM, kinds)).astype(np.float32)
     bias = np.zeros(kinds, np.float32)
@@ -172,11 +179,11 @@ def train(docs: DataFrame, per_lang: int = 1000, max_rows: int = 8000, epochs: i
             out -= step * (hidden.T @ g)
             bias -= step * g.sum(axis=0)
             emb -= step * scale * (x.T @ back)
-    table = emb @ out
+    table, last = (emb @ out, None) if kinds <= DIM else (emb, out)
     temperature, threshold = 1.0, 0.5
     if len(held):
-        z = np.concatenate([dense(held[a:a + 256]) @ table for a in range(0, len(held), 256)]) + bias
-        z = z.astype(np.float64)
+        z = np.concatenate([dense(held[a:a + 256]) @ table for a in range(0, len(held), 256)])
+        z = ((z if last is None else z @ last) + bias).astype(np.float64)
         own = label[held]
         grid = np.geomspace(0.05, 5, 41)
         loss = [-np.log(np.maximum(softmax(z / t)[np.arange(len(own)), own], 1e-12)).mean() for t in grid]
@@ -185,7 +192,7 @@ def train(docs: DataFrame, per_lang: int = 1000, max_rows: int = 8000, epochs: i
         right = p.max(axis=1)[p.argmax(axis=1) == own]
         if len(right):
             threshold = float(min(0.5, np.quantile(right, reject)))
-    return Model(languages, table, bias, temperature, threshold)
+    return Model(languages, table, bias, temperature, threshold, last)
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

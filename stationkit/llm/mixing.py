@@ -50,7 +50,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import rows_each, stratified, written
 
 #: signs that prose has few of
 _SIGNS = "[#$%&*!|=<>{}~^@+/_\\\\\\[\\]]"
@@ -108,7 +108,9 @@ def _telling_words(sample: DataFrame, domains: list[str], words: int = 20, least
 
 def posteriors(docs: DataFrame, labelled: DataFrame, per_domain: int = 1500, max_rows: int = 8000) -> tuple:
     """``(table, domains)``: ``doc_id, tokens, p`` for every row of ``docs``,
-    p an array of posteriors in the order of ``domains``."""
+    p an array of posteriors in the order of ``domains``.  The regression learns
+    from up to ``per_domain`` rows of each domain, fewer of each when all would
+    be more than ``max_rows``."""
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.functions import vector_to_array
@@ -117,13 +119,11 @@ def posteriors(docs: DataFrame, labelled: DataFrame, per_domain: int = 1500, max
     sizes = {r["domain"]: r["count"] for r in known.groupBy("domain").count().collect()}
     domains = sorted(sizes)
     if len(domains) > 1:
-        grain = 1 << 20
-        share = F.create_map(*[F.lit(x) for d, n in sizes.items()
-                               for x in (d, int(grain * min(1.0, per_domain / n)) + 1)])
-        chosen = known.where(F.pmod(F.xxhash64(F.lit("mixing"), "doc_id"), F.lit(grain)) < share[F.col("domain")])
-        # at most max_rows ids and names
-        sample = written(_parts(docs.select("doc_id", "text").join(F.broadcast(chosen.limit(max_rows)), "doc_id")),
-                         "labelled").limit(max_rows)
+        each = rows_each(per_domain, max_rows, len(domains))
+        chosen = stratified(known, "domain", list(sizes.items()), each, "mixing")  # ids and names
+        rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+        found = [(r["domain"], r["count"]) for r in rows.groupBy("domain").count().collect()]
+        sample = written(_parts(stratified(rows, "domain", found, each, "mixing")), "labelled")
         present = {r["domain"] for r in sample.select("domain").distinct().collect()}
     if len(domains) < 2 or len(present) < 2:
         domains = domains or ["all"]

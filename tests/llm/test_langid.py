@@ -55,3 +55,27 @@ def test_edge_rows(edge_docs, no_docs, model):
 def test_without_labelled_rows(no_docs, edge_docs):
     model = langid.train(no_docs)
     assert {r["lang_pred"] for r in langid.predict(edge_docs, model).collect()} == {"und"}
+
+
+def test_twenty_languages_stored_one_after_another_are_all_learned(spark):
+    """The bound is shared by the languages, whatever the order of the table."""
+    letters = "abcdefghijklmnopqrst"
+    rows = []
+    for k, c in enumerate(letters):
+        rnd = random.Random(k)
+        marks = [c + x for x in "aeiouxz"]
+        rows += [(i, " ".join("".join(rnd.choices(marks, k=3)) for _ in range(20)), f"l{k:02}")
+                 for i in range(1000 * k, 1000 * k + 50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").coalesce(1).sortWithinPartitions("doc_id")
+    sample = langid._sample(docs, 1000, 400)
+    assert {c: sum(r["lang"] == c for r in sample) for c in {r[2] for r in rows}} == {f"l{k:02}": 20 for k in range(20)}
+    model = langid.train(docs, max_rows=400, epochs=30)
+    assert len(model.languages) == 20 and model.out is not None
+    right = [model.predict(t)[0] == lang for _, t, lang in rows]
+    assert sum(right) >= 0.95 * len(right)
+
+
+def test_a_repeated_row_does_not_pass_the_bound(spark):
+    rows = [(None, text("aa", 1), "aa")] * 500 + [(i, text("bb", i), "bb") for i in range(500)]
+    sample = langid._sample(spark.createDataFrame(rows, "doc_id long, text string, lang string"), 40, 60)
+    assert sum(r["lang"] == "bb" for r in sample) == 30 and sum(r["lang"] == "aa" for r in sample) <= 30

@@ -141,3 +141,10 @@ def test_what_the_stage_keeps_has_the_target_shares(spark, tmp_path):
     assert MIX_WEIGHTS == {"clean": 0.97, "low": 0.02, "toxic": 0.01}
     for kind, weight in MIX_WEIGHTS.items():
         assert abs(kept.get(kind, 0) / total - weight) < 0.008
+
+
+def test_ten_domains_stored_one_after_another_are_all_learned(spark):
+    docs = [(1000 * k + i, prose(1000 * k + i, 15) + f" mark{k}", f"d{k}") for k in range(10) for i in range(60)]
+    given = spark.createDataFrame(docs, "doc_id long, text string, domain string").coalesce(1)
+    _, domains = M.posteriors(given, given.select("doc_id", "domain"), max_rows=200)
+    assert domains == [f"d{k}" for k in range(10)]
