@@ -6,9 +6,13 @@ characters; the span is the whole match), ``access`` (AKIA key ids of 20 or
 more characters) and ``hex`` (runs of 24 or more lower-case hex digits).
 
 The method adds ``guess`` spans: values in a wider credential context (other
-names and languages, "is", "=>", bearer headers, user:password@host) that
-touch no base span, whose guess cost reaches ``min_log10`` (10, that is ten
-thousand million guesses).  The cost is the cheapest segmentation of the value, found
+names and languages, names behind a prefix as in DB_PASS or userPwd, "is",
+"=>", bearer headers, user:password@host) whose guess cost reaches
+``min_log10`` (10, that is ten thousand million guesses), whatever their
+characters.  A value that a base span's secret is only part of is added at any
+cost, as the base span says that it is a secret; one within it adds nothing.
+Values of under 6 characters and links are not added, and signs that end a
+value are left out of it.  The cost is the cheapest segmentation of the value, found
 by dynamic programming over its positions:
 
 * a word of the list costs its rank, times 2 for capitals and for digits or
@@ -48,15 +52,23 @@ _HEX_BYTES = bytes(120 if chr(c) in "0123456789abcdef" else 32 for c in range(25
 
 CONTEXT = ("pass", "pwd", "secret", "token", "key", "credential", "auth", "bearer", "kennwort", "clave",
            "contrase", "pin", "://", "login")
+# a name starts a word, follows an underscore, or is a capital after a small letter
+_START = r"(?:(?<![^\W_])|(?-i:(?<=[a-z0-9])(?=[A-Z])))"
+# these say what they are behind any prefix, when a sign assigns a value
+_PLAIN = r"(?:pass(?:word|wort|wd|phrase|code)|pwd|kennwort|contraseña|credentials?|secret|token)"
+_SIGN = r"\x20*(?::=|=>|[:=]|->)\x20*"
+# a value ends at white space, a list's comma or bracket, the next field of a
+# query string, or a closing tag
 _CONTEXT = re.compile(
-    r"""\b(?:pass(?:word|wort|wd|phrase|code)?|pwd|kennwort|contraseña|clave|mot\x20de\x20passe|pin|credentials?|
-    (?:client|app|shared)?[_-]?secret|(?:api|access|private|signing|master|account|storage)[_\x20-]?key|
+    rf"""(?:{_START}(?:pass(?:word|wort|wd|phrase|code)?|pwd|kennwort|contraseña|clave|mot\x20de\x20passe|pin|credentials?|
+    (?:client|app|shared)?[_-]?secret|(?:api|access|private|signing|master|account|storage|secret|encryption)[_\x20-]?key|
     (?:auth|access|refresh|session)?[_-]?token|authorization|bearer|login)["']?
-    (?:\x20*(?::=|=>|[:=]|->)\x20*|\x20+(?:is|ist|est|es)\x20+|\x20+(?=\S*[0-9]))
-    (?:(?:bearer|basic)\x20+)?(["'`]?)(\S{6,}?)(?=\1(?:[\s,;)\]}]|$)|\s|$)""", re.I | re.X)
+    (?:{_SIGN}|\x20+(?:is|ist|est|es)\x20+|\x20+(?=\S*[0-9]))|{_PLAIN}["']?{_SIGN})
+    (?:(?:bearer|basic)\x20+)?(["'`]?)(\S{{6,}}?)(?=\1(?:[\s,;)\]}}]|$)|\s|$|&\w+=|</)""", re.I | re.X)
 _URL = re.compile(r"://[^\s:/@]+:([^\s:/@]{6,})@")
 
-# fixed values: common words of passwords and of prose, most frequent first
+# fixed values: common words of passwords and of prose, most frequent first,
+# then words that follow "password is" and their like, and endings
 WORDS = """password the and you that was for are with his they this have from one had word but not what all were
 when your can said there use each which she how their will other about out many then them these some her would make
 like him into time has look two more write see number way could people than first water been call who oil now find
@@ -66,7 +78,56 @@ ranger summer winter spring autumn secret token test user guest root default exa
 value none null true false string access data system server client house world orange apple cheese computer internet
 service manager office company money angel star killer charlie thomas robert daniel george andrea pepper ginger
 cookie banana purple silver golden soccer hockey tigger maggie buster harley flower london paris berlin madrid
-passwort kennwort contrasena clave motdepasse geheim""".split()
+passwort kennwort contrasena clave motdepasse geheim
+information required incorrect invalid correct wrong missing empty optional hidden protected encrypted stored hashed
+expired changed reset updated deleted removed created generated provided given needed used unused known unknown
+available unavailable enabled disabled allowed denied granted blocked locked unlocked open closed active inactive
+valid accepted rejected refused forgotten forgot lost stolen leaked shared private secure insecure strong weak short
+simple complex easy difficult hard important necessary essential usually always never often sometimes already still
+just only also even really very quite almost about above below between within without under over after before during
+through because however therefore although while since until unless whether either neither both another same different
+similar following previous next last second third several many every everything something nothing anything someone
+everyone nobody somewhere here where everywhere please enter type submit send receive check verify verified confirm
+confirmed sent received contact support account accounts email address phone mobile device devices network internal
+external local remote global online offline website webpage page pages form field fields input output button link
+click select option options setting settings preference configuration configured config parameter parameters variable
+variables constant function method class object string number integer boolean character characters letter letters
+digit digits symbol symbols word words phrase length minimum maximum least most least case sensitive lowercase uppercase
+text file files folder directory path name names username usernames userid identity profile person people member
+members group groups role roles permission permissions administrator owner customer client clients employee manager
+process processes request requests response error errors failure success successful failed warning message messages
+notice note notes comment description document documents example examples sample demo dummy placeholder redacted
+undefined null nil unset blank hello goodbye thanks thank sorry welcome question answer problem solution reason result
+results cause effect change changes copy paste print write read reading writing written save saved load loaded start
+started stop stopped begin finish finished complete completed continue return returned create update delete remove
+insert replace provide require include contain contains containing including included become becomes became being
+been have having does doing done make made making take taken taking give giving keep kept keeping hold held holding
+show shown showing tell told asked asking need want wanted think thought believe know knowing understand consider
+considered called named based generation generated random unique single double multiple various general special common
+normal regular standard basic advanced original current recent latest early late today tomorrow yesterday monday
+tuesday wednesday thursday friday saturday sunday january february march april june july august september october
+november december morning evening night week month year years century minute hour moment period forever temporary
+permanent automatic manually automatically currently probably possibly certainly clearly simply directly exactly
+basis against clockwise country city state government national international public political social economic
+education school university student teacher family mother father brother sister child children friend friends woman
+women water earth fire stone river mountain forest ocean island bridge street garden window door kitchen table chair
+paper book books letter music picture movie story history science nature animal animals north south east west
+northeast northwest southeast southwest black white green blue yellow brown orange great small large little young
+beautiful happy strange perfect better best worse worst first early enough whole entire half part parts side front back
+authentication authorization authorized unauthorized credential credentials session sessions bearer basic digest
+oauth access refresh expire expires expiration lifetime signature signed signing certificate encryption decryption
+database storage cloud service services application applications software hardware program version release product
+production development testing staging environment project projects library package module component interface
+falsch richtig korrekt erforderlich notwendig abgelaufen vergessen verloren sicher unsicher bekannt unbekannt leer
+nicht immer schon noch auch sehr wieder eine einen einem einer dein mein sein ihr unser benutzer benutzername konto
+wichtig gesperrt geschützt verschlüsselt gespeichert ungültig gültig gleich
+incorrecte incorrect obligatoire nécessaire oublié perdu expiré valide invalide toujours jamais encore aussi votre
+notre leur utilisateur compte protégé modifié requis important secrète
+incorrecta incorrecto obligatoria necesaria necesario olvidada perdida caducada válida inválida siempre nunca también
+usuario cuenta protegida secreta segura insegura importante requerida nueva nuevo
+ing tion ation ment ness able ible ally ence ance ities ity less ful ious ous ive ized ised izes ize ers est ung
+keit heit lich isch schaft""".split()
+WORDS = list(dict.fromkeys(WORDS))
 KEY_ROWS = ("`1234567890-=", "qwertyuiop[]", "asdfghjkl;'", "zxcvbnm,./", "abcdefghijklmnopqrstuvwxyz")
 LEET = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"}
 
@@ -154,7 +215,8 @@ def base_spans(text: str) -> list[tuple]:
 
 
 def guessed_spans(text: str, base: list[tuple], min_log10: float) -> list[tuple]:
-    """Values in a credential context, clear of ``base``, that are hard to guess."""
+    """Values in a credential context that are hard to guess, or that go on
+    where a secret of ``base`` ends."""
     lower = text.lower()
     if not any(c in lower for c in CONTEXT):
         return []
@@ -164,10 +226,9 @@ def guessed_spans(text: str, base: list[tuple], min_log10: float) -> list[tuple]
         while b > a and text[b - 1] in ".,;:!?)]}\"'`*#$%&":
             b -= 1
         value = text[a:b]
-        if (len(value) < 6 or "://" in value or any(a < e and s < b for _, s, e, *_ in base)
-                or not any(c.isdigit() or not c.isalnum() for c in value)):
-            continue
-        if guess_cost(value) >= min_log10:
+        if len(value) < 6 or "://" in value or any(s <= a and b <= e for *_, s, e in base):
+            continue  # too short, a link, or masked as a whole already
+        if any(a < e and s < b for *_, s, e in base) or guess_cost(value) >= min_log10:
             out[a, b] = ("guess", a, b, a, b)
     return list(out.values())
 

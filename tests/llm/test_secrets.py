@@ -97,3 +97,29 @@ def test_long_texts_take_linear_time():
     for t in ("password " + " " * 200_000 + "x", "token:" + "a1" * 100_000, "token=" * 30_000, "pass" * 50_000):
         secrets.scan(t)
     assert time.time() - began < 20
+
+
+def guesses(text):
+    return [text[a:b] for k, a, b, *_ in secrets.scan(text) if k == "guess"]
+
+
+def test_values_that_go_on_after_a_base_span_are_masked_whole():
+    assert secrets.redact("password=Summer1$Zq!8xx") == "password=[SECRET]"
+    assert secrets.redact("x token: abcdef$gh y") == "x token: [SECRET] y"
+    assert secrets.redact("get?token=abcdef12&user=bob") == "get?token=[SECRET]&user=bob"
+    assert secrets.redact("pwd=zq%" + "0123456789abcdef" * 2 + "%Kz9 end") == "pwd=[SECRET] end"
+
+
+def test_values_of_letters_are_priced_and_plain_words_stay_cheap():
+    assert guesses("pwd: kJqzXwvPnRtYbLmC") == ["kJqzXwvPnRtYbLmC"]
+    assert guesses("the password is kqzxwvpnrtyb") == ["kqzxwvpnrtyb"]
+    for text in ("the password is incorrect", "your pin is required", "login: administrator", "pwd: unavailable",
+                 "das Passwort ist erforderlich", "the token is automatically generated", "pwd is case-sensitive"):
+        assert guesses(text) == [], text
+
+
+def test_names_behind_a_prefix_give_their_values():
+    value = "wJalrXUtnFEMI/K7MDENG"
+    for name in ("AWS_SECRET_ACCESS_KEY", "DB_PASS", "MYSQL_PWD", "SECRET_KEY", "dbPass", "userPwd", "mypwd", "dbpassphrase"):
+        assert guesses(f"export {name}={value}") == [value], name
+    assert guesses("the compass: northeastwardly bypass = " + value) == []
