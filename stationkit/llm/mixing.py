@@ -100,7 +100,8 @@ def _telling_words(sample: DataFrame, domains: list[str], words: int = 20, least
         rest = max(1, sum(n for k, n in sizes.items() if k != d))
         other = reduce(lambda a, b: a + b, [F.col(f"`{k}`") for k in domains if k != d])
         odds = F.log((F.col(f"`{d}`") + 0.5) / (max(1, sizes.get(d, 0)) + 1)) - F.log((other + 0.5) / (rest + 1))
-        rows = (seen.where((F.col(f"`{d}`") >= least) & (odds > 1.0)).select("word", F.round(odds, 6).alias("odds"))
+        enough = min(least, max(2, sizes.get(d, 0) // 4))  # few rows of a domain have few repeated words
+        rows = (seen.where((F.col(f"`{d}`") >= enough) & (odds > 1.0)).select("word", F.round(odds, 6).alias("odds"))
                 .orderBy(F.desc("odds"), "word").limit(sure_words).collect())
         out.append([r["word"] for k, r in enumerate(rows) if k < words or r["odds"] > sure])
     return out
