@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bottomk, html_blocks, langid, mixing, packing, pii, quality, secrets, simhash, topk
+from . import (bottomk, html_blocks, langid, mixing, packing, pii, quality, secrets, sentencepieces, simhash,
+               topk)
 from .common import id_hash_bucket, read_table
 
 QUERIES: dict = {}
@@ -108,6 +109,15 @@ def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
 
+@register
+def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of ``piece_bpe_32k.model`` and the text they decode to."""
+    rows = sentencepieces.encode_and_decode(read_table(spark, sf_dir, "documents"), ["doc_id"])
+    ids = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"),
+                       F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
+
+
 ORACLES["op10_exact_topk"] = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS ints
