@@ -13,7 +13,10 @@ Encoding
     and remembered in a bounded cache: runs of characters that occur in longer
     pieces, cut before each U+2581, and single other characters.  Both rules
     are taken from the vocabulary; one whose pieces hold U+2581 behind another
-    character is encoded without the first cut.
+    character is encoded without the first cut.  The unknown stretches of a
+    batch are worked off together: in each round every one of them takes the
+    first entry of its agenda, by array operations over all.  Stretches of more
+    than ``TOGETHER`` characters have an agenda (a heap) of their own.
 
 Decoding
     The pieces' bytes in order, U+2581 as a space, without the first space; a
@@ -35,7 +38,9 @@ import codecs
 import re
 import sys
 import types
+from array import array
 from heapq import heapify, heappop, heappush
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -50,6 +55,13 @@ CACHE_STRETCHES = 400_000
 #: characters of the texts that are worked off at a time
 SLICE_CHARS = 2_000_000
 
+#: characters of stretches that are encoded side by side
+TOGETHER = 64
+_NEVER = 1 << 40
+#: bits of an agenda entry that hold a place
+_PLACE_BITS = 40
+_PLACE = (1 << _PLACE_BITS) - 1
+
 SPACE = "▁"
 # kinds of pieces and the merge-type model, as numbered in the model file (fixed values)
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, BYTE, UNUSED = 1, 2, 3, 4, 6, 5
@@ -93,12 +105,11 @@ def _one_byte(error):
 codecs.register_error("stationkit-one-byte", _one_byte)
 
 
-class Vocabulary(dict):
-    """Ids of stretches of normalised text, as packed 32-bit numbers; unknown
-    stretches are encoded when asked for."""
+class Vocabulary:
+    """A model file: pieces, ranks of joins, and the ids of stretches met so
+    far as packed 32-bit numbers."""
 
     def __init__(self, path: str):
-        super().__init__()
         import sentencepiece
         self.library = sentencepiece.SentencePieceProcessor(model_file=path)
         top = list(_fields(self.library.serialized_model_proto()))
@@ -111,83 +122,160 @@ class Vocabulary(dict):
             raise ValueError("only merge-type vocabularies without user-defined or unused pieces are encoded")
         self.plain = not rules.get(2) and rules.get(3, 1) == 1 and rules.get(4, 1) == 0 and rules.get(5, 1) == 1
         self.first_space, self.trims = rules.get(3, 1) == 1, rules.get(4, 1) == 1
-        self.scores = {n: (-float(np.frombuffer(p.get(2, b"\0\0\0\0"), "<f4")[0]), i)
-                       for i, (n, p, k) in enumerate(zip(names, pieces, kinds)) if k == NORMAL}
+        self.numbers = {n: i for i, (n, k) in enumerate(zip(names, kinds)) if k == NORMAL}
+        scores = {n: float(np.frombuffer(pieces[i].get(2, b"\0\0\0\0"), "<f4")[0]) for n, i in self.numbers.items()}
+        place = {score: k << _PLACE_BITS for k, score in enumerate(sorted(set(scores.values()), reverse=True))}
+        self.ranks = {n: place[score] for n, score in scores.items()}  # equal scores have equal ranks
         self.unknown = kinds.index(UNKNOWN)
         self.bytes_of = {int(n[3:5], 16): i for i, (n, k) in enumerate(zip(names, kinds)) if k == BYTE}
         self.surface = [b"" if k == CONTROL else " ⁇ ".encode() if k == UNKNOWN
                         else bytes([int(n[3:5], 16)]) if k == BYTE else n.replace(SPACE, " ").encode()
                         for n, k in zip(names, kinds)]
         self.controls = {i for i, k in enumerate(kinds) if k == CONTROL}
-        joined = {c for n in self.scores if len(n) > 1 for c in n}
+        joined = {c for n in self.numbers if len(n) > 1 for c in n}
         inner = "".join(re.escape(c) for c in sorted(joined - {SPACE}))
-        if any(SPACE in n.lstrip(SPACE) for n in self.scores):
+        if any(SPACE in n.lstrip(SPACE) for n in self.numbers):
             pattern = f"[{SPACE}{inner}]+|[^{SPACE}{inner}]"
         else:
             pattern = f"{SPACE}*[{inner}]+|{SPACE}+|[^{SPACE}{inner}]"
         self.stretches = re.compile(pattern, re.DOTALL).findall
+        self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
-
-    def __missing__(self, stretch: str) -> bytes:
-        ids = self.older.get(stretch)
-        if ids is None:
-            ids = np.array(self._ids(self._agenda(stretch)), "<i4").tobytes()
-        if len(self) >= CACHE_STRETCHES:
-            self.older = dict(self)
-            self.clear()
-        if len(stretch) <= 64:
-            self[stretch] = ids
-        return ids
+        # every way to join two pieces into a third, by the two pieces' numbers
+        joins = [(self.numbers[n[:k]] * len(names) + self.numbers[n[k:]], self.ranks[n] >> _PLACE_BITS, i)
+                 for n, i in self.numbers.items() for k in range(1, len(n))
+                 if n[:k] in self.numbers and n[k:] in self.numbers]
+        self.join_keys, self.join_ranks, self.join_ids = np.array(sorted(joins), np.int64).reshape(-1, 3).T.copy()
+        self.size = len(names)
 
     def _agenda(self, stretch: str) -> list[str]:
-        """Symbols of ``stretch`` after all joins."""
-        symbols = list(stretch)
-        n, scores = len(symbols), self.scores
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        agenda = []
-        for i in range(n - 1):
-            joined = symbols[i] + symbols[i + 1]
-            if joined in scores:
-                agenda.append((scores[joined][0], i, i + 1, joined))
+        """Symbols of ``stretch`` after all joins.  An entry of the agenda is
+        the rank of a joined piece and the place of its left symbol in one
+        number; it holds as long as the pair at that place has that rank."""
+        symbols, n, rank_of = list(stretch), len(stretch), self.ranks.get
+        after, before = list(range(1, n + 1)), list(range(-1, n))
+        agenda = [r + i for i, r in enumerate(map(rank_of, map(add, stretch, stretch[1:]))) if r is not None]
         heapify(agenda)
         while agenda:
-            _, i, j, joined = heappop(agenda)
-            if not symbols[i] or not symbols[j] or len(symbols[i]) + len(symbols[j]) != len(joined):
+            entry = heappop(agenda)
+            i = entry & _PLACE
+            left, j = symbols[i], after[i]
+            if not left or j == n:
+                continue
+            joined = left + symbols[j]
+            if rank_of(joined) != entry - i:
                 continue
             symbols[i], symbols[j] = joined, ""
             after[i] = k = after[j]
+            before[k] = i
             if k < n:
-                before[k] = i
-                wider = joined + symbols[k]
-                if wider in scores:
-                    heappush(agenda, (scores[wider][0], i, k, wider))
+                r = rank_of(joined + symbols[k])
+                if r is not None:
+                    heappush(agenda, r + i)
             k = before[i]
             if k >= 0:
-                wider = symbols[k] + joined
-                if wider in scores:
-                    heappush(agenda, (scores[wider][0], k, i, wider))
+                r = rank_of(symbols[k] + joined)
+                if r is not None:
+                    heappush(agenda, r + k)
         return [s for s in symbols if s]
 
     def _ids(self, symbols: list[str]) -> list[int]:
+        known = list(map(self.numbers.get, symbols))
+        if None not in known:
+            return known
         out = []
-        for s in symbols:
-            if s in self.scores:
-                out.append(self.scores[s][1])
+        for s, i in zip(symbols, known):
+            if i is not None:
+                out.append(i)
             elif self.bytes_of:
                 out += [self.bytes_of[b] for b in s.encode("utf-8")]
             else:
                 out.append(self.unknown)
         return out
 
+    def _joins(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ranks and ids of joined pairs; ``_NEVER`` where there is none."""
+        key = np.where((left < 0) | (right < 0), -1, left * self.size + right)
+        at = np.minimum(np.searchsorted(self.join_keys, key), len(self.join_keys) - 1)
+        there = self.join_keys[at] == key
+        return np.where(there, self.join_ranks[at], _NEVER), self.join_ids[at]
+
+    def _together(self, stretches: list[str]) -> list[bytes]:
+        """Ids of many short stretches, whose agendas go on side by side."""
+        points, symbol = np.unique(np.frombuffer("".join(stretches).encode("utf-32-le"), "<u4"), return_inverse=True)
+        numbers = np.array([self.numbers.get(chr(c), -1 - int(c)) for c in points], np.int64)
+        symbol = numbers[symbol]
+        owner = np.repeat(np.arange(len(stretches)), [len(s) for s in stretches])
+        rank, joined = np.full(len(symbol), _NEVER), np.zeros(len(symbol), np.int64)
+        inner = np.flatnonzero(owner[1:] == owner[:-1])
+        rank[inner], joined[inner] = self._joins(symbol[inner], symbol[inner + 1])
+        ended = []
+        while True:
+            start = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
+            best = np.minimum.reduceat(rank, start)
+            best = np.repeat(best, np.diff(np.append(start, len(owner))))
+            over = best == _NEVER
+            if over.any():
+                ended.append((owner[over], symbol[over]))
+                owner, symbol, rank, joined, best = (x[~over] for x in (owner, symbol, rank, joined, best))
+            if not len(owner):
+                break
+            at = np.flatnonzero(rank == best)
+            at = at[np.append(True, owner[at[1:]] != owner[at[:-1]])]  # the leftmost of a stretch
+            symbol[at] = joined[at]
+            stay = np.ones(len(owner), bool)
+            stay[at + 1] = False
+            owner, symbol, rank, joined = (x[stay] for x in (owner, symbol, rank, joined))
+            at -= np.arange(len(at))
+            for left in (at, at[at > 0] - 1):  # the pairs to the right and to the left of the new symbol
+                right = np.minimum(left + 1, len(owner) - 1)
+                pair = (right > left) & (owner[right] == owner[left])
+                rank[left[~pair]] = _NEVER
+                left, right = left[pair], right[pair]
+                rank[left], joined[left] = self._joins(symbol[left], symbol[right])
+        owner, symbol = (np.concatenate(x) for x in zip(*ended))
+        order = np.argsort(owner, kind="stable")
+        owner, symbol = owner[order], symbol[order]
+        if (symbol < 0).any():
+            lists = [[s] if s >= 0 else self._ids([chr(-1 - s)]) for s in symbol.tolist()]
+            owner = np.repeat(owner, [len(x) for x in lists])
+            symbol = np.array([i for x in lists for i in x])
+        data, ends = symbol.astype("<i4").tobytes(), np.searchsorted(owner, np.arange(len(stretches) + 1)) * 4
+        return [data[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+
+    def _learn(self, stretches: set[str]) -> None:
+        """Make ``stretches`` known."""
+        short, long = [], []
+        for s in stretches:
+            ids = self.older.get(s)
+            if ids is not None:
+                self.known[s] = ids
+            else:
+                (short if len(s) <= TOGETHER else long).append(s)
+        for s in long:
+            self.known[s] = array("i", self._ids(self._agenda(s))).tobytes()
+        if short:
+            self.known.update(zip(short, self._together(short)))
+
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of whole texts."""
+        if len(self.known) >= CACHE_STRETCHES:
+            self.older, self.known = self.known, {}
+        if self.plain:
+            cut = [self.stretches(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
+        else:
+            cut = [self.stretches(self.library.normalize(t)) for t in texts]
+        self._learn(set().union(*cut).difference(self.known))
+        found = [np.frombuffer(b"".join(map(self.known.__getitem__, c)), "<i4") for c in cut]
+        for s in [s for c in cut for s in c if len(s) > TOGETHER]:
+            self.known.pop(s, None)
+        if not self.bytes_of:  # a run of unknown characters is one id
+            found = [f[~np.append(False, (f[1:] == self.unknown) & (f[:-1] == self.unknown))] if len(f) else f
+                     for f in found]
+        return found
+
     def encode(self, text: str) -> np.ndarray:
-        """Ids of a whole text."""
-        if not text:
-            return np.zeros(0, "<i4")
-        normal = SPACE + text.replace(" ", SPACE) if self.plain else self.library.normalize(text)
-        ids = np.frombuffer(b"".join(map(self.__getitem__, self.stretches(normal))), "<i4")
-        if not self.bytes_of and len(ids):  # a run of unknown characters is one id
-            ids = ids[~np.append(False, (ids[1:] == self.unknown) & (ids[:-1] == self.unknown))]
-        return ids
+        return self.encode_all([text])[0]
 
     def decode(self, ids: list[int]) -> str:
         """Text of a list of ids."""
@@ -245,7 +333,7 @@ def encode_and_decode(df: DataFrame, keep: list[str], text: str = "text", model:
             texts = [t or "" for t in batch.column(batch.num_columns - 1).to_pylist()]
             for lo, hi in _slices(texts):
                 part = texts[lo:hi]
-                found = [own.encode(t) for t in part]
+                found = own.encode_all(part)
                 lists = [f.tolist() for f in found]
                 decoded = [own.decode(f) for f in lists]
                 if check:

@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 import sentencepiece
 
@@ -43,9 +44,16 @@ def test_any_ids_decode_as_in_the_library(own, library):
 
 
 def test_cutting_into_stretches_changes_nothing(own):
-    for t in odd_texts(3, 300):
+    texts = odd_texts(3, 600, 150)
+    for t, ids in zip(texts, own.encode_all(texts)):
         normal = "▁" + t.replace(" ", "▁")
-        assert (own._ids(own._agenda(normal)) if t else []) == own.encode(t).tolist()
+        assert (own._ids(own._agenda(normal)) if t else []) == ids.tolist()
+
+
+def test_agendas_side_by_side_equal_each_on_its_own(own):
+    some = [t for t in odd_texts(5, 2000, 12) if t]
+    for t, ids in zip(some, own._together(some)):
+        assert np.frombuffer(ids, "<i4").tolist() == own._ids(own._agenda(t))
 
 
 def test_one_long_word_and_a_full_cache(own, library, monkeypatch):
