@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bottomk, html_blocks, langid, mixing, packing, pii, quality, secrets, sentencepieces, simhash,
-               topk)
+from . import (bottomk, html_blocks, langid, mixing, negatives, packing, pii, prefix_trie, quality,
+               secrets, sentencepieces, simhash, topk)
 from .common import id_hash_bucket, read_table
 
 QUERIES: dict = {}
@@ -109,6 +109,15 @@ def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
 
+@register
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of other labels that score from 80 to 100 percent of a positive's
+    score, for anchors whose id is divisible by 100; labels of ids divisible by
+    7 are moved on by one first."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(read_table(spark, sf_dir, "embeddings").withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
 @register
 def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of ``piece_bpe_32k.model`` and the text they decode to."""
@@ -118,6 +127,13 @@ def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
 
 
+@register
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie of conversations with shared heads."""
+    turns = prefix_trie.ordered_turns(read_table(spark, sf_dir, "conversations"))
+    return prefix_trie.trie(*prefix_trie.share_heads(turns))
+
+
 ORACLES["op10_exact_topk"] = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS ints
@@ -132,3 +148,58 @@ r AS (
   SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
     vec_id, score FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5"""
+
+ORACLES["op11_hard_negatives"] = """
+WITH v AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS ints
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND list_count(embedding) = len(embedding)
+    AND len(list_filter(embedding, lambda x: NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+    CAST(list_sum(list_transform(list_zip(a.ints, c.ints), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v a, v c WHERE a.vec_id % 100 = 0 AND NOT (c.vec_id = a.vec_id AND c.ints = a.ints AND c.label = a.label)),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, p.positive_id,
+  CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank,
+  s.vec_id AS negative_id, p.positive_score, s.score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+  AND 80 * p.positive_score <= 100 * s.score AND s.score <= p.positive_score
+QUALIFY rank <= 5"""
+
+ORACLES["op13_conversation_trie"] = """
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (
+  SELECT conv_id, conv_id - conv_id % 100 AS base,
+    xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
+        lambda d: CAST(ascii(d) AS BIGINT))),
+      lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)),
+        lambda r, i: CASE WHEN r % 2 = 1 THEN xor(r // 2, 3988292384) ELSE r // 2 END)), 4294967295) % 6 AS h
+  FROM (SELECT DISTINCT conv_id FROM t)),
+rebuilt AS (
+  SELECT c.conv_id, 0 AS part, t.pos, t.role, t.text FROM c JOIN t ON t.conv_id = c.base AND t.pos <= c.h
+  UNION ALL
+  SELECT c.conv_id, 1, t.pos, t.role, t.text FROM c JOIN t USING (conv_id) WHERE t.pos > c.h),
+s AS (
+  SELECT c.conv_id, coalesce(list({'role': role, 'text': text} ORDER BY part, pos) FILTER (part IS NOT NULL), []) AS turns
+  FROM c LEFT JOIN rebuilt USING (conv_id) GROUP BY c.conv_id),
+m AS (SELECT conv_id, turns[1:d] AS node, d, len(turns) = d AS ends
+      FROM (SELECT *, unnest(range(len(turns) + 1)) AS d FROM s)),
+n AS (
+  SELECT node, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256,
+    (count(*) - 1) * coalesce(length(node[-1].text), 0) AS own
+  FROM m GROUP BY node, d),
+k AS (SELECT node[1:d - 1] AS node, d - 1 AS d, count(*) AS n_children FROM n WHERE d > 0 GROUP BY 1, 2),
+l AS (SELECT n.*, coalesce(k.n_children, 0) AS n_children FROM n LEFT JOIN k USING (node, d)),
+u AS (SELECT node[1:a] AS node, a AS d, count(*) FILTER (n_children = 0) AS n_leaves, sum(own) AS saved_tokens
+      FROM (SELECT *, unnest(range(d + 1)) AS a FROM l) GROUP BY 1, 2)
+SELECT l.conv_id, l.d AS depth, p.conv_id AS parent_conv_id, l.n_convs, l.n_children, u.n_leaves,
+  CAST(u.saved_tokens AS BIGINT) AS saved_tokens, l.ends_sha256
+FROM l JOIN u ON u.node = l.node AND u.d = l.d LEFT JOIN n p ON l.d > 0 AND p.d = l.d - 1 AND p.node = l.node[1:l.d - 1]"""
