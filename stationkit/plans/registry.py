@@ -763,21 +763,6 @@ def q_poly_expand(spark, sf):
     return MD.poly_expand(_sup_rowid(spark, sf), FEATS, 2, ["row_id"])
 
 
-@register("poly_ols")
-def q_poly_ols(spark, sf):
-    return MD.fit_family(_split_sup(spark, sf), "split", FEATS, _MODEL_GOALS, "ols", degree=2)
-
-
-@register("degree_sweep")
-def q_degree_sweep(spark, sf):
-    sup = _split_sup(spark, sf)
-    out = None
-    for d in (1, 2, 3):
-        m = MD.fit_family(sup, "split", FEATS, _MODEL_GOALS, "ols", degree=d)
-        out = m if out is None else out.unionByName(m)
-    return out
-
-
 @register("tree_models")
 def q_tree_models(spark, sf):
     sup = _split_sup(spark, sf)
@@ -1344,3 +1329,5 @@ ORACLES["best_test_size"] = _with_sweep(
     "UNION ALL SELECT test_size, ROUND(mse_avg, 6), target FROM ("
     "SELECT test_size, target, mse_avg, ROW_NUMBER() OVER (PARTITION BY target ORDER BY mse_avg, test_size) AS r "
     "FROM (SELECT test_size, target, AVG(mse_test) AS mse_avg FROM sweep GROUP BY 1, 2) g) t WHERE r = 1")
+
+from . import studies  # noqa: E402, F401  (registers its queries)
