@@ -29,3 +29,10 @@ def with_scalars(df: DataFrame, aggs: dict[str, Column],
                  name: str = SCALARS) -> tuple[DataFrame, dict[str, Column]]:
     """``attach_scalars`` with the statistics taken over ``df`` itself."""
     return attach_scalars(df, df, aggs, name)
+
+
+def free_prefix(df: DataFrame, lead: str = "_sk_") -> str:
+    """A prefix that no column of ``df`` begins with, for helper columns."""
+    while any(c.startswith(lead) for c in df.columns):
+        lead += "_"
+    return lead

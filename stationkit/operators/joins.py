@@ -72,12 +72,17 @@ def pivot_with_shared(long_df: DataFrame, series_col: str, date_col: str, series
             .groupBy(date_col)
             .agg(F.collect_list(F.struct(F.col(series_col).alias("s"), cell.alias("c"))).alias("_cells"),
                  *[F.max(c).alias(out) for c, out in shared.items()]))
-    found = F.size(F.array_distinct(F.transform("_cells", lambda x: x["s"])))
-    whole = F.when(F.size("_cells") == found, found == len(series)).otherwise(
+    distinct = F.size(F.array_distinct(F.transform("_cells", lambda x: x["s"])))
+    whole = F.when(F.size("_cells") == distinct, distinct == len(series)).otherwise(
         F.raise_error(F.lit("a series has several rows on one date; a pivot holds one")).cast("boolean"))
-    by = wide.where(whole).withColumn("_by", F.map_from_entries("_cells"))
-    return by.select(date_col, *[F.col("_by")[F.lit(s)][c].alias(f"{s}_{c}") for s in series for c in cols],
-                     *shared.values())
+    # the cell of each series by search: a map of equal keys would fail before the check does
+    one = {s: f"_cell{i}" for i, s in enumerate(series)}
+
+    def found(s: str):
+        return F.try_element_at(F.filter("_cells", lambda x: x["s"] == F.lit(s)), F.lit(1))["c"]
+
+    by = wide.where(whole).withColumns({name: found(s) for s, name in one.items()})
+    return by.select(date_col, *[F.col(one[s])[c].alias(f"{s}_{c}") for s in series for c in cols], *shared.values())
 
 
 def suffix_join(left: DataFrame, right: DataFrame, on: str, suffixes: tuple[str, str],

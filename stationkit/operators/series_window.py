@@ -21,7 +21,8 @@ shows that no chunk is above the budget.  If rows are too uneven for that,
 chunks are the partitions of a range partitioning by (partition keys, order
 keys): its bounds are quantiles of the observed rows,
 so chunks are even for any key type, for bursts, and for many rows on one
-date, as long as further order columns tell those apart.  The partitioned rows
+date: rows that tie in the order keys are cut by a hash of the whole row and
+keep that order.  The partitioned rows
 are written to the shared folder once, so that chunks do not change when a
 task is recomputed.  ``mode="chunked"`` without ``chunk_rows`` cuts at fixed
 widths of the first order key instead.
@@ -77,8 +78,13 @@ class _Names:
             self.next, self.prev = (lead + x for x in (
                 "part", "chunk", "rn", "cnt", "off", "total", "j", "base", "pos", "next", "prev"))
         self.lead = lead
+        self.tie, self.same = lead + "tie", lead + "same"
+        self.order: tuple[str, ...] = ()  # order keys with those that break ties, where chunks need them
         self.parts = [self.part]
 
+    def total_order(self, o: Ordering) -> Ordering:
+        return replace(o, order=self.order) if self.order else o
+
     @property
     def keys(self) -> list[str]:
         return [*self.parts, self.chunk]
@@ -175,11 +181,18 @@ def _chunked_base(df: DataFrame, o: Ordering, sources: list[str] = ()):
     if o.chunk_rows:
         rows = o.rows if o.rows is not None else df.count()
         pieces = max(1, -(-rows // o.chunk_rows))
-        ranged = df.repartitionByRange(pieces, *[F.col(c).asc_nulls_first() for c in o.partition + o.order])
+        # rows with the same order keys are told apart by a hash of the whole
+        # row, so that they fall into several chunks and keep one order; rows
+        # equal in everything, which any order suits, by a number given once
+        tied = df.withColumn(nm.tie, F.xxhash64(*map(_quoted, df.columns))).withColumn(
+            nm.same, F.monotonically_increasing_id())
+        tied = cut_lineage(tied, "chunk-rows")
+        nm.order = o.order + (nm.tie, nm.same)
+        ranged = tied.repartitionByRange(pieces, *[F.col(c).asc_nulls_first() for c in o.partition + nm.order])
         m = keyed(cut_lineage(ranged.withColumn(nm.chunk, F.spark_partition_id()), "chunks"))
     else:
         m = keyed(df).withColumn(nm.chunk, _chunk_expr(df, o))
-    m = m.withColumn(nm.rn, F.row_number().over(_w(o, *nm.keys)))
+    m = m.withColumn(nm.rn, F.row_number().over(_w(nm.total_order(o), *nm.keys)))
     # counts per chunk from the windowed frame itself: it is already
     # partitioned by the chunk keys, so this aggregate needs no shuffle and
     # the input's exchange is reused instead of computing the input twice
@@ -254,7 +267,7 @@ def _shift_chunked(df: DataFrame, specs, o: Ordering) -> DataFrame:
     m, offs, nm = _chunked_base(df, o, srcs)
     kf = max([k for _, _, k in specs if k > 0], default=0)
     kb = max([-k for _, _, k in specs if k < 0], default=0)
-    w = _w(o, *nm.keys)
+    w = _w(nm.total_order(o), *nm.keys)
     x = m.join(offs.select(*nm.keys, nm.cnt), nm.keys)
     if kf:
         x = x.join(_halo_table(m, offs, nm, srcs, kf, True, nm.next), nm.keys, "left")
@@ -278,11 +291,14 @@ def _shift_chunked(df: DataFrame, specs, o: Ordering) -> DataFrame:
 # nearest non-missing neighbours (for interpolation)
 # --------------------------------------------------------------------------
 
-def neighbours(df: DataFrame, cols: list[str], o: Ordering, pos_name: str = "row_pos") -> DataFrame:
+def neighbours(df: DataFrame, cols: list[str], o: Ordering, pos_name: str = "row_pos",
+               names: dict[tuple[str, str], str] | None = None) -> DataFrame:
     """Add, per column c: ``c__pv, c__pp`` (last non-missing value and its
     position at or before the row) and ``c__nv, c__np`` (first at or after),
-    plus the row position ``pos_name``."""
+    plus the row position ``pos_name``.  ``names`` gives other names for (c, "pv")
+    and so on."""
     o = resolve(df, o)
+    shown = names or {(c, k): f"{c}__{k}" for c in cols for k in ("pv", "pp", "nv", "np")}
     if o.mode == "series":
         wb = _w(o).rowsBetween(Window.unboundedPreceding, 0)
         wf = _w_rev(o).rowsBetween(Window.unboundedPreceding, 0)
@@ -290,15 +306,16 @@ def neighbours(df: DataFrame, cols: list[str], o: Ordering, pos_name: str = "row
         out = []
         for c in cols:
             p = F.when(F.col(c).isNotNull(), F.col(pos_name))
-            out += [F.last(c, True).over(wb).alias(f"{c}__pv"), F.last(p, True).over(wb).alias(f"{c}__pp"),
-                    F.last(c, True).over(wf).alias(f"{c}__nv"), F.last(p, True).over(wf).alias(f"{c}__np")]
+            out += [F.last(c, True).over(wb).alias(shown[c, "pv"]), F.last(p, True).over(wb).alias(shown[c, "pp"]),
+                    F.last(c, True).over(wf).alias(shown[c, "nv"]), F.last(p, True).over(wf).alias(shown[c, "np"])]
         return x.select("*", *out)
 
     m, offs, nm = _chunked_base(df, o, cols)
     m = m.join(offs.select(*nm.keys, nm.off), nm.keys)
     m = m.withColumn(pos_name, (F.col(nm.off) + F.col(nm.rn) - 1).cast("long"))
-    wb = _w(o, *nm.keys).rowsBetween(Window.unboundedPreceding, 0)
-    wf = _w_rev(o, *nm.keys).rowsBetween(Window.unboundedPreceding, 0)
+    total = nm.total_order(o)
+    wb = _w(total, *nm.keys).rowsBetween(Window.unboundedPreceding, 0)
+    wf = _w_rev(total, *nm.keys).rowsBetween(Window.unboundedPreceding, 0)
     inner, summ = [], []
     name = {(c, k): f"{nm.lead}{k}{i}" for i, c in enumerate(cols)
             for k in ("pv", "pp", "nv", "np", "last", "first", "before", "after")}
@@ -320,9 +337,9 @@ def neighbours(df: DataFrame, cols: list[str], o: Ordering, pos_name: str = "row
     for c in cols:
         before, after = F.col(name[c, "before"]), F.col(name[c, "after"])
         fixed += [
-            F.coalesce(F.col(name[c, "pv"]), before["v"]).alias(f"{c}__pv"),
-            F.coalesce(F.col(name[c, "pp"]), before["p"]).alias(f"{c}__pp"),
-            F.coalesce(F.col(name[c, "nv"]), after["v"]).alias(f"{c}__nv"),
-            F.coalesce(F.col(name[c, "np"]), after["p"]).alias(f"{c}__np"),
+            F.coalesce(F.col(name[c, "pv"]), before["v"]).alias(shown[c, "pv"]),
+            F.coalesce(F.col(name[c, "pp"]), before["p"]).alias(shown[c, "pp"]),
+            F.coalesce(F.col(name[c, "nv"]), after["v"]).alias(shown[c, "nv"]),
+            F.coalesce(F.col(name[c, "np"]), after["p"]).alias(shown[c, "np"]),
         ]
     return x.select(*map(_quoted, df.columns), pos_name, *fixed)

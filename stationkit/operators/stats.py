@@ -2,13 +2,11 @@
 
 Correlations are one pass: per-batch pairwise moment sums, added up by a
 grouped sum (one row per column pair).  Histograms use scalar-subquery bounds and one grouped count.
-The exact quantile narrows equal-width bucket counts to the wanted rank, so
-neither one task nor the driver ever holds all values.
+The exact quantile is found by radix selection (``operators/radix``).
 """
 
 from __future__ import annotations
 
-import math
 import re
 
 from pyspark.sql import DataFrame
@@ -17,6 +15,7 @@ from pyspark.sql import functions as F
 from ..config import DEFAULT
 from ..functions.moments import pairwise_moments
 from ..functions.scalars import attach_scalars, with_scalars
+from .radix import exact_quantiles
 
 
 def corr_long(df: DataFrame, left: list[str], right: list[str] | None = None,
@@ -45,7 +44,8 @@ def corr_long(df: DataFrame, left: list[str], right: list[str] | None = None,
 def histogram(df: DataFrame, cols: list[str], bins: int = 100) -> DataFrame:
     """A3: equal-width bins between each column's min and max, the maximum
     in the last bin, empty bins included; long form
-    ``(column_name, bin, lo, hi, n)``."""
+    ``(column_name, bin, lo, hi, n)``.  Nulls and NaN are missing."""
+    df = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in cols])
     aggs = {f"{p}_{c}": (F.min(c) if p == "lo" else F.max(c)) for c in cols for p in ("lo", "hi")}
     x, bounds = with_scalars(df, aggs)
     # one pass: every row contributes one (column, bin) cell per column
@@ -73,55 +73,11 @@ def histogram(df: DataFrame, cols: list[str], bins: int = 100) -> DataFrame:
                       F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("n"))
 
 
-def _kth_value(x: DataFrame, k: int, lo: float, hi: float, below: int,
-               buckets: int, small: int) -> float:
-    """Value of 0-based rank ``k`` among the non-null ``v`` of ``x``.
-
-    Each pass counts rows per equal-width bucket of the current range
-    (one grouped aggregate, at most ``buckets`` rows back) and narrows the
-    range to the bucket holding rank ``k``.  A bucket whose min equals its
-    max answers at once (a value repeated by a third of all rows costs one
-    pass); a bucket of at most ``small`` rows is read back and sorted."""
-    v = F.col("v")
-    while True:
-        if lo == hi:
-            return lo
-        width = (hi - lo) / buckets
-        b = F.least(F.floor((v - F.lit(lo)) / F.lit(width)), F.lit(buckets - 1)).cast("long")
-        part = x.where((v >= F.lit(lo)) & (v <= F.lit(hi)))
-        counts = sorted(tuple(r) for r in part.groupBy(b.alias("b")).agg(
-            F.count(F.lit(1)), F.min("v"), F.max("v")).collect())
-        cum = below
-        for _, c, mn, mx in counts:
-            if cum + c > k:
-                if mn == mx:
-                    return mn
-                if c <= small:
-                    vals = sorted(r[0] for r in x.where((v >= F.lit(mn)) & (v <= F.lit(mx))).select("v").collect())
-                    return vals[k - cum]
-                lo, hi, below = mn, mx, cum
-                break
-            cum += c
-        else:  # pragma: no cover - ranks are always inside the counted rows
-            raise ValueError("rank outside the data")
-
-
-def exact_quantile(df: DataFrame, col: str, q: float, buckets: int = 1 << 16,
-                   small: int = 100_000) -> float | None:
-    """Linear-interpolated quantile (like ``percentile`` /
-    ``quantile_cont``) computed exactly without one task or the driver
-    holding all values: bucket-count refinement (see ``_kth_value``).
-    Deterministic, so recomputation after a lost executor gives the same."""
-    x = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull())
-    st = x.agg(F.count(F.lit(1)), F.min("v"), F.max("v")).collect()[0]
-    n, lo, hi = st[0], st[1], st[2]
-    if not n:
-        return None
-    r = q * (n - 1)
-    lo_r, hi_r = int(math.floor(r)), int(math.ceil(r))
-    lo_v = _kth_value(x, lo_r, lo, hi, 0, buckets, small)
-    hi_v = lo_v if hi_r == lo_r else _kth_value(x, hi_r, lo, hi, 0, buckets, small)
-    return lo_v + (hi_v - lo_v) * (r - lo_r)
+def exact_quantile(df: DataFrame, col: str, q: float) -> float | None:
+    """Linear-interpolated quantile of a column, null and NaN left out, by
+    radix selection (``operators/radix``): four passes whatever the values."""
+    row = exact_quantiles(df, col, [q]).first()
+    return None if row is None else row["value"]
 
 
 def group_mean(df: DataFrame, by: list[str], cols: dict[str, str]) -> DataFrame:

@@ -25,7 +25,7 @@ from ..operators import stats as ST
 from ..session import cut_lineage
 from ..sources.fixtures import EVENT_SERIES_CTE, event_series, station_obs, stored
 from . import sqltext as Q
-from .supervised import supervised_table
+from .supervised import audited_table, supervised_table
 
 Builder = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Builder] = {}
@@ -83,8 +83,8 @@ def q_supervised_table(spark, sf):
 _MANY_CFG = Config(series=("2", "3", "1"), target_series="1")
 
 
-@register("supervised_table_many", Q.supervised_sql_for(_MANY_CFG, many=True))
-def q_supervised_table_many(spark, sf):
+@register("supervised_table_three", Q.supervised_sql_for(_MANY_CFG, many=True))
+def q_supervised_table_three(spark, sf):
     """The preparation job on the 1,000-series table: supplier 1 as the
     target, suppliers 2 and 3 as neighbours.  The series filters of the
     slices are pushed below the per-series windows."""
@@ -171,13 +171,9 @@ def q_sparse_column_report(spark, sf):
           " UNION ALL SELECT 'after_join', CAST(COUNT(*) AS BIGINT) FROM wide"
           " UNION ALL SELECT 'after_dropna', CAST(COUNT(*) AS BIGINT) FROM sup")
 def q_row_audit(spark, sf):
-    obs = station_obs(spark, sf)
-    before = obs.groupBy("series_id").agg(F.count(F.lit(1)).alias("n_rows")) \
-        .select(F.concat(F.lit("before_join_"), F.col("series_id")).alias("stage"), "n_rows")
-    wide = supervised_table(obs, C, complete=False)
-    complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in wide.columns])
-    counted = wide.agg(F.count(F.lit(1)).alias("after_join"), F.count_if(complete).alias("after_dropna"))
-    return before.unionByName(counted.unpivot([], ["after_join", "after_dropna"], "stage", "n_rows"))
+    """the counts are observed by the job that writes the table."""
+    _, counts = audited_table(station_obs(spark, sf), C)
+    return spark.createDataFrame(sorted(counts.items()), "stage string, n_rows long")
 
 
 # ---------------------------------------------------------------------------
@@ -359,10 +355,6 @@ def q_local_weighted_fill(spark, sf):
     return round_doubles(IM.local_weighted_fill(_clean(spark, sf), ["air_temp", "precip"], SH.ordering(C)))
 
 
-def _lw_many_sql() -> str:
-    return _lw_sql(many=True)
-
-
 @register("local_weighted_fill_many", _lw_sql(many=True))
 def q_local_weighted_fill_many(spark, sf):
     return round_doubles(IM.local_weighted_fill(_clean(spark, sf, many=True), ["air_temp", "precip"],
@@ -428,11 +420,11 @@ def q_holdout_split(spark, sf):
 
 
 @register("chronological_split", _SUP_ROWID +
-          f"SELECT row_id, obs_date, CASE WHEN row_id < FLOOR(CAST({TRAIN_FRACTION} AS DOUBLE) * COUNT(*) OVER ()) "
+          f"SELECT obs_date, CASE WHEN row_id < FLOOR(CAST({TRAIN_FRACTION} AS DOUBLE) * COUNT(*) OVER ()) "
           "THEN 'train' ELSE 'test' END AS split FROM supr")
 def q_chronological_split(spark, sf):
-    x = _sup_rowid(spark, sf).select("row_id", "obs_date")
-    return RW.chronological_split(x, "row_id", TRAIN_FRACTION)
+    """O6 from the rows per day: no position of every row below it."""
+    return RW.chronological_split_by_day(_sup_rowid(spark, sf).select("obs_date"), "obs_date", TRAIN_FRACTION)
 
 
 @register("forecast_dates", _SUP_ROWID + "SELECT row_id, obs_date, " + ", ".join(
@@ -1330,4 +1322,4 @@ ORACLES["best_test_size"] = _with_sweep(
     "SELECT test_size, target, mse_avg, ROW_NUMBER() OVER (PARTITION BY target ORDER BY mse_avg, test_size) AS r "
     "FROM (SELECT test_size, target, AVG(mse_test) AS mse_avg FROM sweep GROUP BY 1, 2) g) t WHERE r = 1")
 
-from . import studies  # noqa: E402, F401  (registers its queries)
+from . import many, studies  # noqa: E402, F401  (register their queries)

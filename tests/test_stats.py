@@ -32,7 +32,7 @@ def test_exact_quantile_matches_numpy(spark, q):
     rnd = random.Random(3)
     vals = [rnd.gauss(0, 1) for _ in range(3000)] + [2.5] * 1500  # a value holding a third of rows
     df = spark.createDataFrame([(v,) for v in vals], "e double")
-    assert exact_quantile(df, "e", q, buckets=16, small=50) == pytest.approx(float(np.quantile(vals, q)))
+    assert exact_quantile(df, "e", q) == pytest.approx(float(np.quantile(vals, q)))
 
 
 def test_arg_min_tie_prefers_smaller_size_then_target(spark):
