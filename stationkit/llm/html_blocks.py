@@ -1,22 +1,35 @@
 """Main text of web pages from flat text blocks and a small decision tree.
 
 A page is read as a flat sequence of text blocks, cut at block-level tags;
-inline tags and line breaks stay inside a block.  Each block gets its word
-count and link density, those of the blocks before and after it, and what its
-surroundings say: inside an article or main element, inside an element whose
-tag or role is furniture (navigation, footer, form ...), inside one whose
-class or id names furniture (advert, cookie notice, comments, sidebar ...),
-heading, list item.  A decision tree, grown on ``LABELLED_PAGES`` when a query
-starts, tells article blocks from the rest.
+inline tags, formulas and line breaks stay inside a block.  Each block gets its
+word count and link density, those of the blocks before and after it, and what
+its surroundings say: inside an article or main element, inside an element whose
+tag or role is furniture (navigation, footer, form ...), heading, list item, and
+for the innermost element around it whose class or id names furniture (advert,
+cookie notice, sidebar ...) that element's share of the page's words: a small
+share is furniture, a large one is a wrapper of the whole layout that names a
+part of it.  Names such as ``has-sidebar`` or ``no-comments`` say nothing of
+the element itself.  Elements named after reader comments count by name alone,
+unless they hold an article element.  Where a page has article or main elements,
+a block knows whether it stands outside them.
+
+A decision tree, grown on ``LABELLED_PAGES`` when a query starts, tells article
+blocks from the rest.  Each labelled page enters twice, as it is and without its
+semantic tags, classes and ids, where only words, links and neighbours speak;
+of the second form, which only pages of some length have, furniture that nothing
+tells from an article (texts without links, but the shortest) is left out.
 
 Scripts, styles, the head, comments and markup are never text.  Character
 references are decoded, white space in a block becomes one space, blocks are
 trimmed, empty ones dropped, and the kept ones joined in page order by two
-line feeds.
-
-Defined cases: null or empty html gives the empty text; a page that breaks
-off inside a tag or a script keeps what came before; repeated rows are each
-extracted; an empty table gives an empty result; other columns are ignored.
+line feeds.  Reading a page takes time in proportion to its length, whatever is
+left open or unbalanced in it.
+
+Defined cases: null or empty html gives the empty text; pages of any length are
+read whole; a page that breaks off inside a tag or a script keeps what came
+before; a block on the edge of a leaf (a share of one half) is kept; repeated
+rows are each extracted; an empty table gives an empty result; other columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -33,8 +46,10 @@ from .common import bounded_batches, text_of
 
 # fixed values: element names and words that name page furniture
 INLINE = frozenset("""a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark
- nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr""".split())
-RAW = frozenset("script style noscript template textarea title iframe object svg math canvas select button".split())
+ nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr
+ math mi mo mn ms mtext mspace mrow mfrac msqrt mroot msup msub msubsup mover munder munderover mstyle semantics""".split())
+RAW = frozenset("script style noscript template textarea title iframe object svg canvas select button annotation".split())
+RAW_INLINE = frozenset("select button svg canvas annotation".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 FURNITURE = frozenset("nav footer aside form menu dialog head fieldset".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar".split())
@@ -43,21 +58,38 @@ HINTS = frozenset("""ad ads adv advert advertisement adsense adbox banner billbo
  cookie cookies consent gdpr notice notices notification alert comment comments reply replies disqus respond sidebar
  aside rail menu nav navbar navigation breadcrumb breadcrumbs footer masthead topbar toolbar share sharing social
  related recommended recommendations newsletter subscribe subscription signup login register popup modal overlay
- widget widgets pagination pager copyright legal disclaimer search skip tags trending outbrain taboola""".split())
+ widget widgets pagination pager copyright legal disclaimer search skip tags trending outbrain taboola
+ thread threads discussion""".split())
+READERS = frozenset("comment comments reply replies disqus respond thread threads discussion".split())
+# a class whose first part is one of these tells of the page or the text, not of the element
+MODIFIERS = frozenset("""has no not with without is show shows hide hides category cat tag type format status layout page post
+ single template type theme style""".split())
 PREFIXES = ("advert", "sponsor", "cookie", "comment", "sidebar", "breadcrumb", "newsletter")
 
-_TAG = re.compile(r"""<(?:!--|(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|[!?][^>]*+>)""")
+# a tag without "<" or ">" in its attribute values; others are looked at by _tag_end
+_TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/><]*+)((?:[^>"'<]++|"[^"<>]*+"|'[^'<>]*+')*+)>""")
+_OPEN = re.compile(r"<(/?)([a-zA-Z][^\s/><]*+)")
+_STOP = re.compile(r"""[>"']""")
 _NAMED = re.compile(r"""\b(class|id|role|style|aria-hidden)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _HIDDEN = re.compile(r"\shidden(?=[\s=/]|$)", re.I)
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
 
 FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after",
-            "article", "furniture", "hint", "heading", "item", "outer_header")
+            "article", "furniture", "hint_share", "readers", "heading", "item", "outer_header", "outside")
+
 
+def _names(value: str):
+    """Parts of the names in a class or id that tell of the element itself."""
+    for token in value.split():
+        parts = [x.lower() for x in _PARTS.findall(token)]
+        if parts and not (len(parts) > 1 and parts[0] in MODIFIERS):
+            yield from parts
 
-def _hint(name: str, attributes: str) -> tuple[bool, bool]:
-    """Whether the attributes mark furniture by role or state, and by class or id."""
-    role = word = False
+
+def _hint(name: str, attributes: str) -> tuple[bool, bool, bool]:
+    """Whether the attributes mark furniture by role or state, by class or id,
+    and whether that names reader comments."""
+    role = word = readers = False
     if "=" in attributes:
         for key, a, b, c in _NAMED.findall(attributes):
             value = a or b or c
@@ -69,57 +101,158 @@ def _hint(name: str, attributes: str) -> tuple[bool, bool]:
             elif key == "aria-hidden":
                 role |= value.strip().lower() == "true"
             elif name not in ("html", "body", "article", "main"):
-                for x in _PARTS.findall(value):
-                    x = x.lower()
+                for x in _names(value):
                     word |= x in HINTS or x.startswith(PREFIXES)
-    return role or bool(_HIDDEN.search(attributes)), word
+                    readers |= x in READERS or x.startswith("comment")
+    return role or bool(_HIDDEN.search(attributes)), word or readers, readers
 
 
-def blocks(page: str) -> list[tuple]:
-    """Text blocks in page order: (text, words, link density, article,
-    furniture, hint, heading, list item, header outside an article)."""
-    out: list[tuple] = []
-    stack: list[tuple] = []  # (tag, article, furniture, hint, heading, item, header)
-    state = (False, False, False, False, False, False)
-    parts: list[str] = []
-    linked: list[str] = []
-    in_link = 0
-
-    def close_block():
-        if parts:
-            words = html.unescape("".join(parts)).split()
+def _tag_end(page: str, at: int) -> int:
+    """Place of the ">" that ends the tag whose attributes begin at ``at``; a
+    quote counts behind an equals sign.  -1 if there is none."""
+    while True:
+        m = _STOP.search(page, at)
+        if m is None:
+            return -1
+        k = m.start()
+        if page[k] == ">":
+            return k
+        at = k + 1
+        before = k - 1
+        while before >= 0 and page[before] in " \t\n\r\f":
+            before -= 1
+        if before >= 0 and page[before] == "=":
+            at = page.find(page[k], at) + 1
+            if not at:
+                return -1
+
+
+class _Page:
+    """A page being read: finished blocks, and the elements that are open."""
+
+    def __init__(self):
+        self.out: list[tuple] = []  # (text, words, link density, article, furniture, hinted, reader, heading, item, header)
+        self.stack: list[tuple] = []  # (tag, state outside)
+        self.open: dict[str, int] = {}
+        # article, furniture, innermost hinted element, innermost of readers, heading, item, header
+        self.state = (False, False, -1, -1, False, False, False)
+        self.hinted: list[list] = []  # words and article elements before and after the element
+        self.parts: list[str] = []
+        self.linked: list[str] = []
+        self.in_link = False
+        self.words = self.tops = 0
+
+    def keep(self, piece: str) -> None:
+        if piece:
+            self.parts.append(piece)
+            if self.in_link:
+                self.linked.append(piece)
+
+    def close_block(self) -> None:
+        if self.parts:
+            words = html.unescape("".join(self.parts)).split()
             if words:
-                anchor = len(html.unescape("".join(linked)).split()) if linked else 0
-                out.append((" ".join(words), len(words), min(1.0, anchor / len(words)), *state))
-            parts.clear()
-            linked.clear()
+                anchor = len(html.unescape("".join(self.linked)).split()) if self.linked else 0
+                self.out.append((" ".join(words), len(words), min(1.0, anchor / len(words)), *self.state))
+                self.words += len(words)
+            self.parts.clear()
+            self.linked.clear()
+
+    def start(self, name: str, attributes: str) -> None:
+        if name in ("p", "li", "td", "tr", "th", "dt", "dd", "option") and self.stack and self.stack[-1][0] == name:
+            self._leave(len(self.stack) - 1)  # the end tag is optional: a sibling ends the open one
+        article, furniture, hinted, reader, *_, header = self.state
+        role, word, readers = _hint(name, attributes) if attributes else (False, False, False)
+        self.stack.append((name, self.state))
+        self.open[name] = self.open.get(name, 0) + 1
+        top = name in ("article", "main")
+        if word:
+            self.hinted.append([self.words, self.tops, -1, -1])
+            hinted = len(self.hinted) - 1
+            reader = hinted if readers else reader
+        if top:
+            self.tops += 1
+        inside = article or top
+        self.state = (inside, furniture or name in FURNITURE or role, hinted, reader, name in HEADINGS,
+                      name in ("li", "dt", "dd", "option"), header or (name == "header" and not inside))
+
+    def end(self, name: str) -> None:
+        if not self.open.get(name):
+            return  # a stray end tag
+        k = len(self.stack) - 1
+        while self.stack[k][0] != name:
+            k -= 1
+        self._leave(k)
+
+    def _leave(self, k: int) -> None:
+        """Close the open elements from the k-th on."""
+        self._close_hinted(self.stack[k][1][2])
+        self.state = self.stack[k][1]
+        for tag, _ in self.stack[k:]:
+            self.open[tag] -= 1
+        del self.stack[k:]
+
+    def _close_hinted(self, outside: int) -> None:
+        now = self.state[2]
+        while now > outside:  # those inside were opened later and have higher numbers
+            if self.hinted[now][2] < 0:
+                self.hinted[now][2:] = [self.words, self.tops]
+            now -= 1
+
+    def finish(self) -> list[tuple]:
+        self.close_block()
+        self._close_hinted(-1)
+        total = max(1, self.words)
+        # an element that holds the article is a wrapper, whatever its name
+        share = [1.0 if h[3] > h[1] else (h[2] - h[0]) / total for h in self.hinted]
+        holds = [h[3] > h[1] for h in self.hinted]
+        somewhere = any(b[3] and not b[4] for b in self.out)
+        return [(text, n, links, article, furniture, share[hint] if hint >= 0 else 1.0, reader >= 0 and not holds[reader],
+                 heading, item, header, somewhere and not article)
+                for text, n, links, article, furniture, hint, reader, heading, item, header in self.out]
 
-    def keep(piece):
-        if piece:
-            parts.append(piece)
-            if in_link:
-                linked.append(piece)
 
-    at, lowered = 0, None
+def blocks(page: str) -> list[tuple]:
+    """Text blocks in page order: (text, words, link density, article, furniture,
+    hint share, readers, heading, list item, header outside an article, outside
+    the page's articles)."""
+    p = _Page()
+    at, lowered, last, quotes = 0, None, page.rfind(">"), True
     while True:
-        m = _TAG.search(page, at)
-        if m is None:
-            rest = page[at:]
-            cut = rest.rfind("<")
-            # a page that breaks off inside a tag
-            keep(rest[:cut] if cut >= 0 and ">" not in rest[cut:] and re.match(r"</?[a-zA-Z!]|<$", rest[cut:]) else rest)
-            close_block()
-            return out
-        keep(page[at:m.start()])
-        at = m.end()
-        closing, name, attributes = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
-        if name is None:
-            if m.group().startswith("<!--"):
-                end = page.find("-->", at)
-                at = len(page) if end < 0 else end + 3
+        k = page.find("<", at)
+        if k < 0:
+            p.keep(page[at:])
+            return p.finish()
+        p.keep(page[at:k])
+        m = _TAG.match(page, k)
+        if m:
+            closing, name, attributes, at = m[1], m[2], m[3], m.end()
+        elif page.startswith("<!--", k):
+            end = page.find("-->", k + 4)
+            at = len(page) if end < 0 else end + 3
             continue
+        elif page.startswith(("<!", "<?"), k):
+            end = page.find(">", k)
+            at = len(page) if end < 0 else end + 1
+            continue
+        else:
+            m = _OPEN.match(page, k)
+            if m is None:  # a sign, not a tag; at the end of the page a tag that was cut off
+                p.keep("<" if k + 1 < len(page) and page[k:k + 2] != "</" else "")
+                at = k + 1
+                continue
+            if last < k:  # the page breaks off inside this tag
+                return p.finish()
+            end = _tag_end(page, m.end()) if quotes else page.find(">", m.end())
+            if end < 0:  # an open quote: from here on quotes do not count
+                quotes, end = False, page.find(">", m.end())
+            closing, name, attributes, at = m[1], m[2], page[m.end():end], end + 1
         name = name.lower()
-        if name in RAW and not closing:
+        if name in RAW:
+            if closing:
+                if name not in RAW_INLINE:
+                    p.close_block()
+                continue
             if attributes.endswith("/"):
                 continue
             if lowered is None:
@@ -128,55 +261,38 @@ def blocks(page: str) -> list[tuple]:
                     lowered = page
             end = lowered.find("</" + name, at)
             at = len(page) if end < 0 else end
-            if name not in ("select", "button", "svg", "math", "canvas"):
-                close_block()
+            if name not in RAW_INLINE:
+                p.close_block()
             continue
         if name in INLINE:
             if name == "a":
-                in_link = 0 if closing else 1
-            elif name in ("br", "wbr", "img") and not closing:
-                keep(" " if name == "br" else "")
+                p.in_link = not closing
+            elif name == "br" and not closing:
+                p.keep(" ")
             continue
-        close_block()
-        in_link = 0
+        p.close_block()
+        p.in_link = False
         if name in VOID:
             continue
-        if not closing:
-            article, furniture, hint, heading, item, header = state
-            role, word = _hint(name, attributes) if attributes else (False, False)
-            stack.append((name, state))
-            inside = article or name in ("article", "main")
-            state = (inside, furniture or name in FURNITURE or role, hint or word,
-                     name in HEADINGS, name in ("li", "dt", "dd", "option"),
-                     header or (name == "header" and not inside))
-            if name in ("p", "li", "td", "tr", "th", "dt", "dd", "option"):
-                # the end tag is optional: a sibling ends the open one
-                if len(stack) > 1 and stack[-2][0] == name:
-                    _, outer = stack.pop(-2)
-                    stack[-1] = (name, outer)
-                    state = (inside, outer[1] or name in FURNITURE or role, outer[2] or word, *state[3:])
+        if closing:
+            p.end(name)
         else:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == name:
-                    state = stack[k][1]
-                    del stack[k:]
-                    break
+            p.start(name, attributes)
 
 
 def features(found: list[tuple]) -> np.ndarray:
     """One row of ``FEATURES`` for each block."""
     own = np.array([b[1:3] for b in found], float).reshape(-1, 2)
-    flags = np.array([b[3:] for b in found], float).reshape(-1, 6)
-    edge = np.zeros((1, 2))
-    before = np.concatenate([edge, own[:-1]]) if len(own) else own
-    after = np.concatenate([own[1:], edge]) if len(own) else own
+    flags = np.array([b[3:] for b in found], float).reshape(-1, len(FEATURES) - 6)
+    before = np.concatenate([own[:1], own[:-1]])  # at the edge of the page a block is its own neighbour
+    after = np.concatenate([own[1:], own[-1:]])
     return np.concatenate([own, before, after, flags], axis=1)
 
 
 class Tree:
     """Binary decision tree on numeric features, split by Gini impurity."""
 
-    def __init__(self, depth: int = 6, leaf: int = 2):
+    def __init__(self, depth: int = 8, leaf: int = 2):
         self.depth, self.leaf, self.nodes = depth, leaf, []
 
     def fit(self, x: np.ndarray, y: np.ndarray) -> "Tree":
@@ -273,18 +389,76 @@ LABELLED_PAGES = [
 ]
 
 
-def labelled_blocks() -> tuple[np.ndarray, np.ndarray]:
-    """Features and labels of ``LABELLED_PAGES``."""
+LABELLED_PAGES += [
+    f"""<body><div class="social media-list"><a href=a>Follow</a></div><div class="content-and-sidebar-frame"><div><h1>{MARK}Salt roads</h1>
+    <p>{MARK}{_LONG}</p><p>{MARK}Mules.</p><p>{MARK}{_LONG}</p><p>{MARK}{_LONG}</p><p>{MARK}The road ended here.</p></div>
+    <div class="sidebar"><p>Old maps for sale</p><a href=m>Maps</a></div></div><div class="footer">Printed in the valley</div></body>""",
+    f"""<body><div class="widget-area-wrapper"><article><h1>{MARK}Rope makers</h1><p>{MARK}{_LONG}</p><p>{MARK}Hemp.</p>
+    <p>{MARK}{_LONG}</p></article><div class="share-bar"><a href=s>Send</a></div></div>
+    <div class="comment-list"><p>{_LONG} {_LONG}</p><p>{_LONG} {_LONG}</p><p>{_LONG}</p><p>So true.</p></div></body>""",
+    f"""<body><section class="social history"><h2>{MARK}Work in the mills</h2><p>{MARK}{_LONG}</p><p>{MARK}Children too.</p>
+    <p>{MARK}{_LONG} {_LONG}</p></section><ol class="thread"><li>{_LONG}</li><li>{_LONG}</li><li>Thanks for this.</li></ol></body>""",
+    f"""<body><div><a href=a>Start</a> <a href=b>Boats</a></div><div>Follow us here</div><div><a href=c>One</a> <a href=d>Two</a></div>
+    <div>Popular today</div><div><a href=e>Cod prices fall again</a></div><div><a href=f>New ferry to the island</a></div>
+    <div><p>{MARK}{_LONG}</p><p>{MARK}It was cold.</p><p>{MARK}{_LONG}</p><p>{MARK}Nobody spoke.</p><p>{MARK}{_LONG}</p></div>
+    <div><a href=g>Before</a></div><div>Page two of nine</div><div><a href=h>Behind</a></div><div>Write to us</div>
+    <div><a href=i>Imprint</a> <a href=j>Privacy</a></div></body>""",
+    f"""<body><div><a href=a>Home</a></div><div>You are here</div><div><a href=b>Valley</a> <a href=c>Farms</a></div>
+    <div><h2>{MARK}Two dry summers</h2><p>{MARK}{_LONG}</p><p>{MARK}Wells fell.</p><p>{MARK}{_LONG}</p>
+    <p>{MARK}Then it rained.</p><p>{MARK}{_LONG}</p></div><div><a href=d>Print</a> <a href=e>Mail</a></div>
+    <div>More from the farms</div><div><a href=f>A good year for plums</a></div><div>Sort by date</div><div><a href=g>Older</a></div></body>""",
+]
+LABELLED_PAGES += [
+    f"""<body><nav><a href=/>Home</a> <a href=/n>News</a></nav><article><h1>{MARK}Notes</h1><p>{MARK}Wind.</p><p>{MARK}Calm sea.</p>
+    <p>{MARK}See you.</p></article><footer>Made by us</footer></body>""",
+    f"""<body><header><p>The Daily</p></header><main><p>{MARK}Closed.</p><p>{MARK}Back on Monday.</p></main><aside><p>Ask us</p></aside></body>""",
+    f"<article><p>{MARK}Before.</p></article>", f"<article><p>{MARK}Not found here.</p></article><footer>By us</footer>",
+    f"<main><h2>{MARK}Sold out</h2></main>", f"<article><table><tr><td>{MARK}x<td>{MARK}1<tr><td>{MARK}y<td>{MARK}2</table></article>",
+    f"""<article><div hidden><p>Not for now</p></div><p>{MARK}Shown now.</p><div role="dialog">Log in</div><p>{MARK}Done.</p></article>""",
+    f"""<nav><a href=a>A</a></nav><main><dl><dt>{MARK}Cod<dd>{MARK}4</dl><p>{MARK}Sum: 4</p></main><footer><p>Tax free</p><p>Since 1950</p></footer>""", f"<nav><a href=a>A</a></nav><article><p>{MARK}Yes <a href=b>and more</a></p></article>",
+    f"""<body><article><ul><li>{MARK}Salt</li><li>{MARK}Two eggs</li><li>{MARK}<a href=x>Flour</a></li></ul><table><tr><td>{MARK}a</td>
+    <td>{MARK}b</td></tr></table><div class="related"><p>Other cakes</p></div></article><form><p>Your name</p></form></body>""",
+    f"""<article><div class="ad">Half price</div><p>{MARK}Only this.</p><aside>Or that</aside><p>{MARK}And this.</p></article>
+    <section id="comments"><p>First!</p><p>Nice one</p></section>""",
+]
+#: words from which furniture without links cannot be told from an article in the plain form
+LONG_WORDS = 5
+#: words that a page needs for its plain form to tell anything
+PLAIN_WORDS = 60
+_SEMANTIC = re.compile(r"<(/?)(?:nav|footer|aside|article|main|section|header|form|blockquote)\b[^>]*>")
+_MARKS = re.compile(r"""\s(?:class|id|role|style|aria-hidden)=(?:"[^"]*"|'[^']*'|[^\s>]+)""")
+
+
+def plain_form(page: str) -> str:
+    """``page`` without the tags and names that tell what its parts are."""
+    return _MARKS.sub("", _SEMANTIC.sub(r"<\1div>", page))
+
+
+def _of_pages(forms) -> tuple[np.ndarray, np.ndarray]:
+    """Features and labels of marked pages, each with whether it is in plain form."""
     xs, ys = [], []
-    for page in LABELLED_PAGES:
+    for page, plain in forms:
+        found = blocks(page.replace(MARK, ""))
         label = np.array([float(MARK in b[0]) for b in blocks(page)])
-        xs.append(features(blocks(page.replace(MARK, ""))))
-        ys.append(label)
+        told = np.array([not plain or y or b[1] < LONG_WORDS or b[2] > 0.3 for b, y in zip(found, label)], bool)
+        xs.append(features(found)[told])
+        ys.append(label[told])
     return np.concatenate(xs), np.concatenate(ys)
 
 
+def labelled_blocks() -> tuple[np.ndarray, np.ndarray]:
+    """Features and labels of ``LABELLED_PAGES`` as they are."""
+    return _of_pages([(page, False) for page in LABELLED_PAGES])
+
+
+def training_blocks() -> tuple[np.ndarray, np.ndarray]:
+    """``LABELLED_PAGES`` as they are, and in plain form where they are long enough."""
+    long = [page for page in LABELLED_PAGES if sum(b[1] for b in blocks(page)) >= PLAIN_WORDS]
+    return _of_pages([(page, False) for page in LABELLED_PAGES] + [(plain_form(page), True) for page in long])
+
+
 def train() -> Tree:
-    return Tree().fit(*labelled_blocks())
+    return Tree().fit(*training_blocks())
 
 
 def main_text(page: str, tree: Tree) -> str:

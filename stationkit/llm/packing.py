@@ -5,7 +5,8 @@ Tokens
     tokens, followed by ``end_id``.  Only documents longer than ``capacity``
     are cut, into pieces of ``capacity`` ids; the last piece may be shorter.
     The tokenizer (NFC, lower case, split that drops white space) never joins
-    anything across white space, nor a letter or digit with a sign after it, so
+    anything across white space, nor a letter or digit with a sign after it (a
+    combining mark is neither), so
     ids are looked up word by word in a bounded cache; a text with an information separator (U+001C to U+001F),
     which Python counts as white space and the tokenizer does not, is encoded
     whole.
@@ -35,6 +36,7 @@ from __future__ import annotations
 import os
 import sys
 import types
+import unicodedata
 import zlib
 from bisect import bisect_left, insort
 from collections import defaultdict
@@ -100,7 +102,7 @@ class _Words(dict):
         split, parts = [], set()
         for w in self.open:
             core = w.rstrip(_SIGNS)
-            if core and len(core) < len(w) and core[-1].isalnum() and "<|" not in w:
+            if core and len(core) < len(w) and "<|" not in w and _ends_in_letter(core):
                 split.append((w, core, w[len(core):]))
                 parts.update(split[-1][1:])
             else:
@@ -137,6 +139,12 @@ class _Words(dict):
             self.clear()
 
 
+def _ends_in_letter(core: str) -> bool:
+    """Whether the word's last letter or digit still ends it in the tokenizer's
+    form: the dot of a lower-cased U+0130 would join a sign behind it."""
+    return core[-1].isalnum() and unicodedata.normalize("NFC", core).lower()[-1].isalnum()
+
+
 def _words_of(text: str) -> list[str]:
     """The text at white space; in lower case where that is plain to do before
     the tokenizer does it (Latin-1 letters, no special tokens)."""
@@ -298,8 +306,10 @@ def pack(parts: DataFrame, capacity: int, block_rows: int = 20_000) -> DataFrame
     ``parts`` should be a written table; it is read twice."""
     counts = {r["length"]: r["count"] for r in parts.groupBy("length").count().collect()}
     runs = plan(counts, capacity)
-    blocks = max(1, -(-sum(counts.values()) // block_rows))
-    keyed = parts.withColumn("_block", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(blocks)))
+    # hash blocks of each length on their own, so that their table stays far below the pieces'
+    blocks = F.array(*[F.lit(max(1, -(-counts.get(s, 0) // block_rows))) for s in range(capacity + 1)])
+    keyed = parts.withColumn("_block", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"),
+                                              F.element_at(blocks, (F.col("length") + 1).cast("int"))))
     sizes = keyed.groupBy("length", "_block").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy("length").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.select("length", "_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))

@@ -71,3 +71,127 @@ def test_broken_markup_takes_linear_time(tree):
     for page in ("<script>" * 20_000, "<p>" * 100_000, "<div>" * 50_000 + "x", "<" * 100_000, "<!--" * 50_000):
         H.main_text(page, tree)
     assert time.time() - began < 20
+
+
+LONG = H._LONG
+BODY = f"<h1>Old mills</h1><p>{LONG}</p><p>Gone.</p><p>{LONG}</p>"
+BODY_TEXT = "\n\n".join(["Old mills", LONG, "Gone.", LONG])
+
+
+@pytest.mark.parametrize("wrapper", [
+    '<div class="content has-sidebar">%s</div>', '<div class="layout with-sidebar"><article>%s</article></div>',
+    '<div id="page" class="no-comments"><main>%s</main></div>', '<div class="post category-news tag-social">%s</div>',
+    '<section class="social history">%s</section>', '<div class="container sidebar-right">%s</div>',
+    '<nav><a href=a>x</a></nav><div class="wrapper sidebar-left">%s</div><div class="sidebar"><p>Buy it now today</p></div>',
+    f'%s<ol class="thread"><li>{LONG}</li><li>me too</li></ol>',
+    f'<div class="comments-open"><article>%s</article></div><div id="comments"><p>{LONG} {LONG} {LONG}</p><p>{LONG} {LONG}</p></div>'])
+def test_articles_inside_layout_wrappers(tree, wrapper):
+    assert H.main_text(f"<body>{wrapper % BODY}<footer>By us</footer></body>", tree) == BODY_TEXT
+
+
+def test_formulas_stay_in_their_block(tree):
+    page = ("<article><p>So <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math> holds "
+            "<svg><text>no</text></svg>here.</p></article>")
+    assert H.main_text(page, tree) == "So x=2 holds here."
+
+
+def test_the_tree_reads_words_links_and_neighbours(tree):
+    used = {H.FEATURES[n[0]] for n in tree.nodes if n[0] >= 0}
+    assert "links" in used and "words" in used
+    assert used & {"words_before", "words_after"} and used & {"links_before", "links_after"}
+
+
+UNSEEN = f"""<body><div><a href=a>Home</a></div><div>Read by many</div><div><a href=b>Farms</a> <a href=c>Ships</a></div>
+<div><h1>§The lost bell</h1><p>§{LONG}</p><p>§It rang twice.</p><p>§{LONG}</p><p>§{LONG}</p></div>
+<div><a href=d>Send</a> <a href=e>Save</a></div><div>Also of note</div><div><a href=f>A bell in the sea was found</a></div></body>"""
+
+
+def test_an_unseen_page_without_any_names(tree):
+    want = "\n\n".join(b[0] for b in H.blocks(UNSEEN) if "§" in b[0]).replace("§", "")
+    assert H.main_text(UNSEEN.replace("§", ""), tree) == want
+
+
+def parsed_blocks(page):
+    """The blocks by the standard library's parser."""
+    from html.parser import HTMLParser
+
+    class P(HTMLParser):
+        def __init__(self):
+            super().__init__(convert_charrefs=True)
+            self.out, self.parts, self.raw = [], [], 0
+
+        def cut(self):
+            text = " ".join("".join(self.parts).split())
+            self.parts = []
+            if text:
+                self.out.append(text)
+
+        def handle_starttag(self, tag, attrs):
+            if tag in H.RAW:
+                self.raw += 1
+                if tag not in H.RAW_INLINE:
+                    self.cut()
+            elif tag == "br":
+                self.parts.append(" ")
+            elif tag not in H.INLINE:
+                self.cut()
+
+        def handle_endtag(self, tag):
+            if tag in H.RAW:
+                self.raw = max(0, self.raw - 1)
+            elif tag not in H.INLINE:
+                self.cut()
+
+        def handle_data(self, data):
+            if not self.raw:
+                self.parts.append(data)
+
+    p = P()
+    p.feed(page)
+    p.close()
+    p.cut()
+    return p.out
+
+
+def test_blocks_equal_the_standard_parsers():
+    import random
+    rnd = random.Random(5)
+    names = ["div", "p", "b", "a", "span", "li", "section", "h2", "math", "mi", "em"]
+
+    def made(depth):
+        if depth == 0 or rnd.random() < 0.3:
+            return " ".join(rnd.choice(["one", "two &amp; a half", "x &lt; y", "&eacute;t&eacute;", "three\n four"])
+                            for _ in range(rnd.randrange(1, 4)))
+        inner = "".join(made(depth - 1) for _ in range(rnd.randrange(1, 4)))
+        n = rnd.choice(names)
+        extra = rnd.choice(["", ' class="a > b"', " title='x < y'", ' data-x="1"', " hidden"])
+        return rnd.choice([f"<{n}{extra}>{inner}</{n}>", f"<!-- {n} -->{inner}<br>", f"<script>var a = 1;</script>{inner}"])
+
+    for _ in range(300):
+        page = f"<body>{made(5)}</body>"
+        assert [b[0] for b in H.blocks(page)] == parsed_blocks(page), page
+
+
+@pytest.mark.parametrize("pattern", ['<a "', "<p a='x ", "<a", "<p a='x>", "<div>x", '"<a b="', "<a b='>", "</p", "<p x=\"<p x='"])
+def test_a_megabyte_of_broken_markup_is_read_in_seconds(pattern):
+    import time
+    began = time.time()
+    H.blocks(pattern * (1_000_000 // len(pattern)))
+    H.blocks("<p>" + pattern * (1_000_000 // len(pattern)) + ">" + "</p>" * 1000)
+    assert time.time() - began < 15
+
+
+def test_stray_end_tags_take_linear_time():
+    import time
+    began = time.time()
+    H.blocks("<div>x" * 100_000 + "</p>" * 100_000)
+    assert time.time() - began < 10
+
+
+def test_share_of_an_element_and_headings_inside(tree):
+    found = H.blocks(f'<div class="promo"><p>{LONG}</p></div><div class="sidebar"><p>a b</p></div>')
+    n = len(LONG.split())
+    assert [b[5] for b in found] == [pytest.approx(n / (n + 2)), pytest.approx(2 / (n + 2))]
+    assert [b[6] for b in H.blocks('<div class="comments"><p>a</p></div>')] == [True]
+    assert [b[6] for b in H.blocks('<div class="comments"><article>a</article></div>')] == [False]
+    assert [b[-1] for b in H.blocks("<p>a</p><main><p>b</p></main>")] == [True, False]

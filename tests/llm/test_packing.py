@@ -117,3 +117,13 @@ def test_ranks_over_many_blocks(spark):
     assert len(out) == 5000 and len(set(places)) == 5000
     total = sum(r["length"] for r in out)
     assert len({r["sequence_id"] for r in out}) <= -(-total // 64) + 2
+
+
+def test_ids_of_word_ends_that_change_in_lower_case():
+    tok = tokenizers.Tokenizer.from_file(packing.default_tokenizer())
+    rnd = random.Random(11)
+    letters = "İIıiŞşÜé\u0301\u0307ǅßſ9Ωςa"
+    texts = ["TÜRKİYE CUMHURİYETİ, ANKARA", "ŞİRKETİ.", "HAKKI (İLETİ)", "İ", "İ.", "(İ)", "İ\u0301."]
+    texts += ["".join(rnd.choice(letters + ".,;:!?()'\"-~ ") for _ in range(rnd.randrange(1, 25))) for _ in range(4000)]
+    for text, ids in zip(texts, packing.encode(texts, packing.default_tokenizer())):
+        assert np.frombuffer(ids, "<u4").tolist() == tok.encode(text, add_special_tokens=False).ids, repr(text)
