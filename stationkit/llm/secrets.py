@@ -9,14 +9,18 @@ The method adds ``guess`` spans: values in a wider credential context (other
 names and languages, names behind a prefix as in DB_PASS or userPwd, "is",
 "=>", bearer headers, user:password@host) whose guess cost reaches
 ``min_log10`` (10, that is ten thousand million guesses), whatever their
-characters.  A value that a base span's secret is only part of is added at any
+characters.  Behind "is" and its like a value must show that it is meant: quotes,
+a digit, a sign that prose does not use inside words, capitals that come and
+go, or next to no vowels; plain words there are prose.  A value that a base span's secret is only part of is added at any
 cost, as the base span says that it is a secret; one within it adds nothing.
 Values of under 6 characters and links are not added, and signs that end a
 value are left out of it.  The cost is the cheapest segmentation of the value, found
 by dynamic programming over its positions:
 
-* a word of the list costs its rank, times 2 for capitals and for digits or
-  signs put for letters;
+* a word costs its rank, times 2 for capitals and for digits or signs put for
+  letters; ranks are those of the list below or, if lower, those by count in the
+  corpus itself: one distributed count of all words outside credential values,
+  of which the ``CORPUS_WORDS`` commonest that occur ``LEAST_COUNT`` times go to the tasks;
 * a date costs a day among 200 years; a year the same without the day;
 * a repeated block costs its block times the number of repeats;
 * a walk along keyboard rows costs its start keys and direction times its length;
@@ -25,8 +29,10 @@ by dynamic programming over its positions:
 Every segment after the first multiplies by 2, for the ways to arrange them.
 
 Defined cases: null text counts as empty; a text without secrets has zero
-counts, the SHA-256 of nothing, and an empty span list; repeated rows are each
-scanned; an empty table gives an empty result; other columns are ignored.
+counts, the SHA-256 of nothing, and an empty span list; texts of any length are
+scanned whole; spans that start together come in the order of their kinds;
+repeated rows are each scanned; an empty table gives an empty result; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -34,7 +40,8 @@ from __future__ import annotations
 import hashlib
 import math
 import re
-from functools import lru_cache
+import unicodedata
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -42,6 +49,12 @@ from pyspark.sql import functions as F
 
 from .common import bounded_batches, text_of
 
+#: words of the corpus that have a rank, and how often such a word occurs at least
+CORPUS_WORDS = 50_000
+LEAST_COUNT = 3
+#: different words that a task counts before it hands its counts on
+HELD_WORDS = 300_000
+
 KINDS = ("assign", "access", "hex", "guess")
 NAMES = ("password", "passwd", "secret", "token", "apikey", "api_key")
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
@@ -63,8 +76,8 @@ _CONTEXT = re.compile(
     rf"""(?:{_START}(?:pass(?:word|wort|wd|phrase|code)?|pwd|kennwort|contraseña|clave|mot\x20de\x20passe|pin|credentials?|
     (?:client|app|shared)?[_-]?secret|(?:api|access|private|signing|master|account|storage|secret|encryption)[_\x20-]?key|
     (?:auth|access|refresh|session)?[_-]?token|authorization|bearer|login)["']?
-    (?:{_SIGN}|\x20+(?:is|ist|est|es)\x20+|\x20+(?=\S*[0-9]))|{_PLAIN}["']?{_SIGN})
-    (?:(?:bearer|basic)\x20+)?(["'`]?)(\S{{6,}}?)(?=\1(?:[\s,;)\]}}]|$)|\s|$|&\w+=|</)""", re.I | re.X)
+    (?:{_SIGN}|(?P<verb>\x20+(?:is|ist|est|es)\x20+)|\x20+(?=\S*[0-9]))|{_PLAIN}["']?{_SIGN})
+    (?:(?:bearer|basic)\x20+)?(?P<quote>["'`]?)(?P<value>\S{{6,}}?)(?=(?P=quote)(?:[\s,;)\]}}]|$)|\s|$|&\w+=|</)""", re.I | re.X)
 _URL = re.compile(r"://[^\s:/@]+:([^\s:/@]{6,})@")
 
 # fixed values: common words of passwords and of prose, most frequent first,
@@ -132,7 +145,6 @@ KEY_ROWS = ("`1234567890-=", "qwertyuiop[]", "asdfghjkl;'", "zxcvbnm,./", "abcde
 LEET = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"}
 
 _RANK = {w: math.log10(i + 2) for i, w in enumerate(WORDS)}
-_LONGEST = max(map(len, WORDS))
 _NEXT = {(a, b) for row in KEY_ROWS for x, y in zip(row, row[1:]) for a, b in ((x, y), (y, x))}
 _DATE = re.compile(r"(?:19|20)\d\d([-/._]?)(?:0?[1-9]|1[0-2])\1(?:0?[1-9]|[12]\d|3[01])|"
                    r"(?:0?[1-9]|[12]\d|3[01])([-/._]?)(?:0?[1-9]|1[0-2])\2(?:19|20)\d\d")
@@ -149,9 +161,34 @@ def _class_cost(c: str) -> float:
     return math.log10(33) if c.isascii() else 2.0
 
 
-@lru_cache(maxsize=4096)
-def guess_cost(value: str) -> float:
+class Prices:
+    """Ranks of words: the list's and, where lower, those of ``corpus`` (words
+    by falling count)."""
+
+    def __init__(self, corpus: list[str] = ()):
+        self.ranks = dict(_RANK)
+        for i, w in enumerate(corpus):
+            self.ranks[w] = min(math.log10(i + 2), self.ranks.get(w, math.inf))
+        self.longest = max(map(len, self.ranks))
+        self.known: dict[str, float] = {}
+
+    def cost(self, value: str) -> float:
+        if value not in self.known:
+            if len(self.known) >= 4096:
+                self.known.clear()
+            self.known[value] = _cheapest(value, self.ranks, self.longest)
+        return self.known[value]
+
+
+_LIST = Prices()
+
+
+def guess_cost(value: str, prices: Prices = _LIST) -> float:
     """log10 of the guesses of the cheapest segmentation of ``value``."""
+    return prices.cost(value)
+
+
+def _cheapest(value: str, ranks: dict[str, float], longest: int) -> float:
     n = len(value)
     lower = value.lower()
     if len(lower) != n:
@@ -159,9 +196,9 @@ def guess_cost(value: str) -> float:
     plain = "".join(LEET.get(c, c) for c in lower)
     ends: list[list] = [[] for _ in range(n)]  # segments by start: (end, cost)
     for i in range(n):
-        for j in range(i + 3, min(n, i + _LONGEST) + 1):
+        for j in range(i + 3, min(n, i + longest) + 1):
             for form in {lower[i:j], plain[i:j]}:
-                rank = _RANK.get(form)
+                rank = ranks.get(form)
                 if rank is not None:
                     ends[i].append((j, rank + _SEGMENT * ((value[i:j] != lower[i:j]) + (form != lower[i:j]))))
     for pattern, cost in ((_DATE, _DATE_COST), (_YEAR, _YEAR_COST)):
@@ -214,35 +251,98 @@ def base_spans(text: str) -> list[tuple]:
     return out
 
 
-def guessed_spans(text: str, base: list[tuple], min_log10: float) -> list[tuple]:
-    """Values in a credential context that are hard to guess, or that go on
-    where a secret of ``base`` ends."""
+_MEANT = re.compile(r"""[0-9!@#$%^&*+=?_~|\\/<>]|[a-z][A-Z].*[a-z][A-Z]""")
+
+
+def _meant(value: str) -> bool:
+    """Whether a value behind "is" shows that it is one: by a digit, sign or
+    capitals, or by next to no vowels."""
+    if _MEANT.search(value):
+        return True
+    letters = [c for c in unicodedata.normalize("NFD", value.lower()) if c.isalpha()]
+    return len(letters) >= 8 and sum(c in "aeiouyøæœı" for c in letters) < 0.13 * len(letters)
+
+
+def context_values(text: str) -> list[tuple[int, int, bool]]:
+    """Start and end of the values in a credential context, and whether prose
+    may stand there (behind "is", nothing showing that a value is meant)."""
     lower = text.lower()
     if not any(c in lower for c in CONTEXT):
         return []
-    found = [m.span(2) for m in _CONTEXT.finditer(text)] + [m.span(1) for m in _URL.finditer(text)]
-    out = {}
-    for a, b in found:
+    out = [(m.start("value"), m.end("value"), bool(m["verb"]) and not m["quote"]) for m in _CONTEXT.finditer(text)]
+    out += [(*m.span(1), False) for m in _URL.finditer(text)]
+    trimmed = []
+    for a, b, prose in out:
         while b > a and text[b - 1] in ".,;:!?)]}\"'`*#$%&":
             b -= 1
+        trimmed.append((a, b, prose and not _meant(text[a:b])))
+    return trimmed
+
+
+def guessed_spans(text: str, base: list[tuple], min_log10: float, prices: Prices = _LIST) -> list[tuple]:
+    """Values in a credential context that are hard to guess, or that go on
+    where a secret of ``base`` ends."""
+    out = {}
+    for a, b, prose in context_values(text):
         value = text[a:b]
-        if len(value) < 6 or "://" in value or any(s <= a and b <= e for *_, s, e in base):
-            continue  # too short, a link, or masked as a whole already
-        if any(a < e and s < b for *_, s, e in base) or guess_cost(value) >= min_log10:
+        if prose or len(value) < 6 or "://" in value or any(s <= a and b <= e for *_, s, e in base):
+            continue  # prose, too short, a link, or masked as a whole already
+        if any(a < e and s < b for *_, s, e in base) or prices.cost(value) >= min_log10:
             out[a, b] = ("guess", a, b, a, b)
     return list(out.values())
 
 
-def scan(text: str, min_log10: float = 10.0) -> list[tuple]:
+def scan(text: str, min_log10: float = 10.0, prices: Prices = _LIST) -> list[tuple]:
     """All spans, by start, then kind."""
     base = base_spans(text)
-    return sorted(base + guessed_spans(text, base, min_log10), key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
+    return sorted(base + guessed_spans(text, base, min_log10, prices), key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
+
+
+_WORD = re.compile(r"[^\W\d_]+")
+
+
+def _counted(text: str) -> list[str]:
+    """Lower-case words of 3 to 24 letters outside secrets and credential values."""
+    hidden = [s[3:5] for s in base_spans(text)] + [v[:2] for v in context_values(text) if not v[2]]
+    if hidden:
+        out, at = [], 0
+        for a, b in sorted(hidden):
+            out.append(text[at:max(at, a)])
+            at = max(at, b)
+        text = " ".join([*out, text[at:]])
+    return [w for w in _WORD.findall(text.lower()) if 3 <= len(w) <= 24]
+
+
+def corpus_words(docs: DataFrame, text_col: str = "text", most: int = CORPUS_WORDS, least: int = LEAST_COUNT) -> list[str]:
+    """The ``most`` commonest words of all texts, most frequent first."""
+    bounded_batches(docs.sparkSession)
+
+    def each(batches):
+        counts: Counter = Counter()
+
+        def part():
+            words = list(counts)
+            return pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array([counts[w] for w in words], pa.int64())],
+                                              ["word", "n"])
+
+        for b in batches:
+            for t in text_of(b, 0):
+                counts.update(_counted(t))
+            if len(counts) >= HELD_WORDS:
+                yield part()
+                counts.clear()
+        yield part()
+
+    counts = docs.select(F.col(text_col).alias("text")).mapInArrow(each, "word string, n long")
+    top = (counts.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+           .orderBy(F.desc("n"), "word").limit(most))
+    return [r["word"] for r in top.collect()]
 
 
-def redact(text: str, mask: str = "[SECRET]", min_log10: float = 10.0) -> str:
+def redact(text: str, mask: str = "[SECRET]", min_log10: float = 10.0, prices: Prices = _LIST) -> str:
     """``text`` with the secrets themselves (of an assignment, its value) masked."""
     out, at = [], 0
-    for a, b in sorted((s[3], s[4]) for s in scan(text, min_log10)):
+    for a, b in sorted((s[3], s[4]) for s in scan(text, min_log10, prices)):
         if a >= at:
             out += [text[at:a], mask]
         at = max(at, b)
@@ -254,15 +354,18 @@ def _joined(spans: list[tuple]) -> str:
 
 
 def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 min_log10: float = 10.0) -> DataFrame:
-    """``doc_id, n_assign, n_access, n_hex, n_guess, base_sha256, spans``."""
+                 min_log10: float = 10.0, words: list[str] | None = None) -> DataFrame:
+    """``doc_id, n_assign, n_access, n_hex, n_guess, base_sha256, spans``;
+    ``words`` (by falling count) are counted in the texts if not given."""
     bounded_batches(docs.sparkSession)
+    words = corpus_words(docs, text_col) if words is None else words
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     names = ["doc_id", *[f"n_{k}" for k in KINDS], "base_sha256", "spans"]
 
     def each(batches):
+        prices = Prices(words)
         for b in batches:
-            found = [scan(t, min_log10) for t in text_of(b)]
+            found = [scan(t, min_log10, prices) for t in text_of(b)]
             counts = [pa.array([sum(s[0] == k for s in f) for f in found], pa.int64()) for k in KINDS]
             digests = [hashlib.sha256(_joined([s for s in f if s[0] != "guess"]).encode()).hexdigest() for f in found]
             yield pa.RecordBatch.from_arrays(
@@ -275,17 +378,20 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def redact_documents(docs: DataFrame, text_col: str = "text", chars_col: str = "n_chars",
-                     min_log10: float = 10.0) -> DataFrame:
+                     min_log10: float = 10.0, words: list[str] | None = None) -> DataFrame:
     """``docs`` with its columns and rows, secrets masked in the text; the
-    character count of a changed text is set anew."""
+    character count of a changed text is set anew.  ``words`` as in
+    ``find_secrets``; ``docs`` should be a written table, as it is read twice."""
     bounded_batches(docs.sparkSession)
+    words = corpus_words(docs, text_col) if words is None else words
     at = docs.columns.index(text_col)
     chars_at = docs.columns.index(chars_col) if chars_col in docs.columns else None
 
     def each(batches):
+        prices = Prices(words)
         for b in batches:
             old = b.column(at).to_pylist()
-            new = [t if t is None else redact(t, min_log10=min_log10) for t in old]
+            new = [t if t is None else redact(t, min_log10=min_log10, prices=prices) for t in old]
             b = b.set_column(at, b.schema.field(at), pa.array(new, b.schema.field(at).type))
             if chars_at is not None:
                 field = b.schema.field(chars_at)

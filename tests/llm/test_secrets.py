@@ -123,3 +123,51 @@ def test_names_behind_a_prefix_give_their_values():
     for name in ("AWS_SECRET_ACCESS_KEY", "DB_PASS", "MYSQL_PWD", "SECRET_KEY", "dbPass", "userPwd", "mypwd", "dbpassphrase"):
         assert guesses(f"export {name}={value}") == [value], name
     assert guesses("the compass: northeastwardly bypass = " + value) == []
+
+
+PROSE = [
+    "the token is transferred to the buyer", "The secret is preparation and patience", "the private key is mathematically related",
+    "the login is straightforward for most", "Das Kennwort ist verantwortlich", "Le mot de passe est particulièrement long",
+    "The password is unbreakable, they said.", "La clave es extraordinariamente sencilla", "the access key is well-documented",
+    "her secret is hard-earned experience", "the credentials are questionable and the token is counterfeit", "Das Passwort ist Geheimniskrämerei",
+    "the master key is JavaScript", "authorization is discretionary", "The pin is interchangeable with others", "A secret is indistinguishable from noise"]
+
+
+def planted(seed, n):
+    import random
+    rnd = random.Random(seed)
+    letters = "abcdefghijkmnpqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ"
+    forms = ["my pwd is {}", "DB_PASS={}", "passphrase: {}", "clave: {}", "Kennwort: '{}'", "https://user:{}@host/db", "Authorization: Bearer {}",
+             "the login is \"{}\"", "pwd => {}", "client secret -> {}"]
+    out = []
+    for i in range(n):
+        value = "".join(rnd.choice(letters + "23456789") for _ in range(rnd.randrange(12, 21)))
+        value = value[:4] + rnd.choice("23456789") + value[4:]
+        out.append((forms[i % len(forms)].format(value), value))
+    return out
+
+
+def test_plain_prose_is_not_masked():
+    assert [t for t in PROSE if secrets.redact(t) != t] == []
+
+
+def test_planted_values_are_found_beside_common_words():
+    prices = secrets.Prices(["winter", "trade", "harbours", "transferred"])
+    found = [value for text, value in planted(3, 200)
+             if any(text[a:b] == value for _, *_, a, b in secrets.scan(text, prices=prices))]
+    assert len(found) >= 195
+
+
+def test_ranks_come_from_the_corpus(spark):
+    rare, common = "pwd: zyxomathicalgrand", "pwd: zyxomathical"
+    assert secrets.redact(common) == "pwd: [SECRET]"  # no list knows the word
+    rows = [(i, "Zyxomathical harbours near the mill") for i in range(5)] + [(9, common), (10, rare), (11, None), (12, "pwd: qJ8zzT5kWm3x" * 1)] + \
+           [(20 + i, "pwd: qJ8zzT5kWm3x") for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    words = secrets.corpus_words(docs)
+    assert "zyxomathical" in words and not any("zzt" in w or w == "zyxomathicalgrand" for w in words)
+    out = {r["doc_id"]: r["text"] for r in secrets.redact_documents(docs).collect()}
+    assert out[9] == common and out[12] == "pwd: [SECRET]" and out[25] == "pwd: [SECRET]"
+    spans = {r["doc_id"]: r["n_guess"] for r in secrets.find_secrets(docs).collect()}
+    assert spans[9] == 0 and spans[12] == 1
+    assert secrets.corpus_words(docs, most=1) == sorted(words, key=words.index)[:1]
