@@ -24,17 +24,16 @@ Targets are shares of ``weights``; the total is set so that the ``anchor``
 domain keeps its tokens.
 
 *At most one copy.*  ``mix_once`` is for a corpus in which a document is kept
-or left out.  Its rates are the ones in 0..1 nearest to one (least
-sum_i n_i (1 - r_i)^2) under which the expected tokens have the shares s of
-``weights``: sum_i n_i r_i (p_i - s) = 0.  They are
-r_i = clip(1 - v . (p_i - s)), and Newton steps on the dual find v, a number a
-domain, so that the only state is on the driver.  A domain below its share
-keeps its documents and the others are cut until the shares hold.  Shares so
-sharp that the posteriors leave less than half of the tokens which exact
-labels would leave are moved towards the corpus's own, with a warning.
+or left out: the same descent, projected onto 0 <= r <= 1.  The total aimed at
+is the largest that hard membership would allow (the corpus, or the scarcest
+domain over its share); soft posteriors may not reach it with rates of one at
+most, and then the total, never a share, is lowered in small steps, down to
+half of it; a common factor then raises the highest rate to one.  The shares reached are returned with the rates; if they are not
+those asked for, a warning names them.
 
 Defined cases: null text counts as empty, with zero tokens, and still has a
-rate; documents repeat as rows and each gets its rate; labels that are null or
+rate; documents repeat as rows and each gets its rate; texts of any length count
+whole; labels that are null or
 of documents that do not exist are ignored; with fewer than two labelled
 domains every posterior is the share of equal parts; a domain without tokens
 has no target to meet; an empty table gives an empty result; other columns
@@ -209,80 +208,78 @@ def mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], anchor:
     return fit_rates(scored, share * total, rounds), domains
 
 
-def _once(share: np.ndarray, v: np.ndarray) -> Column:
-    """The rate of ``mix_once`` at the dual's ``v``."""
-    move = reduce(lambda a, b: a + b, [(F.col("p")[d] - float(s)) * float(x) for d, (s, x) in enumerate(zip(share, v))])
-    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.lit(1.0) - move))
+#: totals tried by ``mix_once``, as shares of what hard membership would allow
+TOTALS = (1.0, 0.98, 0.96, 0.93, 0.9, 0.85, 0.8, 0.7, 0.6, 0.5)
 
 
-def _solve_once(table: DataFrame, share: np.ndarray, rounds: int, tolerance: float) -> tuple:
-    """``(v, kept tokens)`` when the shares hold within ``tolerance``, else ``None, 0``."""
-    d = len(share)
-    n = F.col("tokens").cast("double")
-    off = [F.col("p")[k] - float(share[k]) for k in range(d)]
-
-    def look(v):
-        """Value, gradient and curvature of the dual (to be made least), and kept tokens."""
-        rate = _once(share, v)
-        free = n * ((F.col("r") > 0) & (F.col("y") <= 1)).cast("double")
-        y = F.lit(1.0) - reduce(lambda a, b: a + b, [off[k] * float(v[k]) for k in range(d)])
-        # 1/2 clip(y)^2 + (y - clip(y)) for y above one: the integral of the rate along y
-        area = F.col("r") * F.col("r") / 2 + F.greatest(F.lit(0.0), F.col("y") - 1.0)
-        row = (table.select("tokens", "p", rate.alias("r"), y.alias("y"))
-               .agg(F.sum(n * area), F.sum(n * F.col("r")), *[F.sum(n * F.col("r") * off[k]) for k in range(d)],
-                    *[F.sum(free * off[j] * off[k]) for j in range(d) for k in range(d)]).first())
-        x = np.array([q or 0.0 for q in row], float)
-        return x[0], x[1], x[2:2 + d], x[2 + d:].reshape(d, d)
-
-    v = np.zeros(d)
-    value, kept, miss, curve = look(v)
-    total = kept
+def _clipped(rate: Column, step: np.ndarray) -> Column:
+    """One step along the documents' posteriors, projected onto 0..1."""
+    return F.least(F.lit(1.0), _updated(rate, step))
+
+
+def _descend_once(state: DataFrame, targets: np.ndarray, miss: np.ndarray, live: np.ndarray, rounds: int,
+                  tolerance: float, write_every: int) -> tuple:
+    """``(state, sums, met)``: projected gradient descent in 0..1 from the rates
+    of ``state``, whose domain sums miss the targets by ``miss``."""
+    d, n, rate, pending, pace = len(targets), F.col("tokens").cast("double"), F.col("rate"), 0, 1.0
+    p = [F.col("p")[k] for k in range(d)]
+    losses: list[float] = []
+    sums = targets + miss
     for _ in range(rounds):
-        if kept < 1e-3 * total * share[share > 0].min(initial=1.0):
-            break  # on the way to no text at all
-        if (np.abs(miss) <= tolerance * kept).all():
-            return v, kept
-        step = np.linalg.solve(curve + (1e-8 * max(np.trace(curve), 1e-3 * total)) * np.eye(d), miss)
-        pace = 1.0
-        while pace > 1e-4:
-            new = look(v + pace * step)
-            if new[0] <= value - 1e-4 * pace * float(miss @ step):
-                break
-            pace /= 4
-        else:
-            break
-        v = v + pace * step
-        value, kept, miss, curve = new
-    return (v, kept) if kept and (np.abs(miss) <= tolerance * kept).all() else (None, 0.0)
+        down = reduce(lambda a, b: a + b, [p[k] * float(m) for k, m in enumerate(miss)])  # above zero: the rate falls
+        free = ((F.col("rate") > 0) & (F.col("rate") < 1)) | ((F.col("rate") >= 1) & (down > 0)) | ((F.col("rate") <= 0) & (down < 0))
+        now = state.select("tokens", "p", rate.alias("rate"))
+        row = now.agg(*[F.sum(n * p[k] * F.col("rate")) for k in range(d)],
+                      *[F.sum(F.when(free, n * p[j] * p[k]).otherwise(0.0)) for j in range(d) for k in range(d)]).first()
+        found = np.array([x or 0.0 for x in row], float)
+        sums, miss = found[:d], np.where(live, found[:d] - targets, 0.0)
+        if (np.abs(miss) <= tolerance * targets.sum()).all():
+            return state.withColumn("rate", rate), sums, True
+        loss = float(np.square(miss).sum())
+        if len(losses) >= 5 and loss > 0.9 * losses[-5]:
+            break  # as near as the posteriors come
+        pace = pace / 2 if losses and loss > losses[-1] else min(1.0, pace * 1.5)
+        losses.append(loss)
+        rate, pending = _clipped(rate, pace * descent_step(found[d:].reshape(d, d), miss, live)), pending + 1
+        if pending == write_every:
+            state, rate, pending = written(state.withColumn("rate", rate), "rates"), F.col("rate"), 0
+    return written(state.withColumn("rate", rate), "rates"), sums, False
 
 
-def fit_once(table: DataFrame, share: np.ndarray, rounds: int = 40, tolerance: float = 1e-4) -> DataFrame:
+def fit_once(table: DataFrame, share: np.ndarray, rounds: int = 30, tolerance: float = 2e-4,
+             write_every: int = 6) -> DataFrame:
     """``table`` (``doc_id, tokens, p``) with a ``rate`` in 0..1 whose expected
-    tokens have the shares ``share``."""
+    tokens have the shares ``share``, and ``shares``, the ones reached."""
     d = len(share)
     own = np.array([x or 0.0 for x in table.agg(
         *[F.sum(F.col("tokens") * F.col("p")[k]) for k in range(d)]).first()])
     share = np.where(own > 0, share, 0.0)
-    if not share.sum():  # nothing to hold on to: every document stays
-        return table.withColumn("rate", F.lit(1.0))
-    share = share / share.sum()
-    wanted = share > 0
-    exact = min(own.sum(), float((own[wanted] / share[wanted]).min()))
-    for t in np.linspace(0.0, 1.0, 17):
-        goal = (1 - t) * share + t * own / own.sum()
-        v, kept = _solve_once(table, goal, rounds, tolerance)
-        if v is not None and kept >= exact / 2:
-            break
-    else:
-        v, goal = np.zeros(d), own / own.sum()
-    if t:
-        warnings.warn(f"mixing: shares {share.round(4).tolist()} are out of the posteriors' reach, "
-                      f"{goal.round(4).tolist()} are used", stacklevel=2)
-    return table.withColumn("rate", _once(goal, v))
+    state, sums = table.withColumn("rate", F.lit(1.0)), own
+    if share.sum():  # else nothing to hold on to: every document stays
+        share = share / share.sum()
+        wanted, live = share > 0, own > 0
+        most = min(own.sum(), float((own[wanted] / share[wanted]).min()))
+        first = None
+        for part in TOTALS:
+            targets = share * most * part
+            state, sums, met = _descend_once(state, targets, np.where(live, sums - targets, 0.0), live, rounds, tolerance,
+                                             write_every)
+            if met:  # a common factor leaves the shares as they are: the highest rate becomes one
+                state = written(state, "rates")
+                top = state.where("tokens > 0").agg(F.max("rate")).first()[0] or 1.0
+                state = state.withColumn("rate", F.least(F.lit(1.0), F.col("rate") / float(top)))
+                break
+            first = first or (state, sums)
+        else:
+            state, sums = first
+            warnings.warn(f"mixing: shares {share.round(4).tolist()} are out of the posteriors' reach, "
+                          f"{(sums / max(sums.sum(), 1e-300)).round(4).tolist()} are reached", stacklevel=2)
+    reached = sums / sums.sum() if sums.sum() else sums
+    return state.withColumn("shares", F.array(*[F.lit(float(x)) for x in reached]))
 
 
 def mix_once(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], per_domain: int = 1500) -> tuple:
-    """``(table, domains)`` as of ``mix``, no rate above one."""
+    """``(table, domains)`` as of ``mix``, no rate above one, and ``shares``."""
     scored, domains = posteriors(docs, labelled, per_domain)
     return fit_once(written(scored, "posteriors"), np.array([weights.get(k, 0.0) for k in domains])), domains
 

@@ -10,15 +10,17 @@ Network
     of one span of chunks, whatever the length of the text.
 
 Training rows
-    Labelled rows only: about ``per_class`` of each label (kept by a hash of
-    the id against the label's count, at most ``max_rows`` in all), and of each
-    row ``TRAIN_CHUNKS`` evenly spaced pieces of the text.  That bounds what
-    the driver holds.  A fifth of the rows is kept out of the descent; on it
+    Labelled rows only, with their whole texts: up to ``per_class`` of each
+    label (those of least hash, ``max_rows`` in all); if their texts are more
+    than ``MAX_BYTES``, in proportion fewer rows of each label, never parts of a
+    text.  That bounds what the driver holds.  Mean and maximum are learned over
+    all chunks, as they are applied.  A fifth of the rows is kept out of the descent; on it
     the logits are scaled (least log loss) and shifted, so that the cut with
     the best balanced accuracy falls on the score ``cut``.
 
 Defined cases: null text counts as empty; an empty text is scored as a run of
-zero bytes; with fewer than two labels every score is one half; repeated rows
+zero bytes; texts of any length are learned and scored whole; equal maxima
+count for the first place; with fewer than two labels every score is one half; repeated rows
 are scored alike; an empty table gives an empty result; other columns are
 ignored.
 """
@@ -32,12 +34,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches
+from .common import bounded_batches, rows_each, stratified
 
 EMBED, WIDTH, FILTERS, HIDDEN = 8, 8, 32, 16
 CHUNK, STRIDE = 512, 2
-#: pieces of a training text, each one and a half chunks long
-TRAIN_CHUNKS = 4
+#: bytes of all training texts
+MAX_BYTES = 192_000_000
+#: half chunks of the texts of one training step; a longer text is a step of its own
+STEP_HALVES = 768
 #: half chunks scored at a time
 SPAN = 256
 
@@ -85,43 +89,37 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(self.scale * z + self.shift, -30, 30))))
 
 
-def _pieces(text: bytes) -> np.ndarray:
-    """Evenly spaced pieces of one and a half chunks, zero-padded."""
-    size = CHUNK // 2 * 3 + WIDTH - STRIDE
-    last = max(0, len(text) - size)
-    out = np.zeros((TRAIN_CHUNKS, size), np.uint8)
-    for k in range(TRAIN_CHUNKS):
-        at = last * k // (TRAIN_CHUNKS - 1)
-        piece = text[at:at + size]
-        out[k, :len(piece)] = np.frombuffer(piece, np.uint8)
-    return out
-
-
 def _sample(docs: DataFrame, labels: DataFrame, per_class: int, max_rows: int) -> list:
-    spark = docs.sparkSession
-    known = labels.where("doc_id is not null and label in (0, 1)").select("doc_id", "label").distinct()
-    counts = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
+    """Labels and texts of the training rows."""
+    known = labels.where("doc_id is not null and label in (0, 1)").select(
+        "doc_id", F.col("label").cast("string").alias("label")).distinct()
+    counts = [(r["label"], r["count"]) for r in known.groupBy("label").count().collect()]
     if len(counts) < 2:
         return []
-    grain = 1 << 20
-    share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, int(grain * min(1.0, per_class / n)) + 1)])
-    chosen = known.where(F.pmod(F.xxhash64(F.lit("quality"), "doc_id"), F.lit(grain)) < share[F.col("label")])
-    # at most max_rows ids and labels, so small enough for every task
-    rows = (docs.select("doc_id", "text").join(F.broadcast(chosen.limit(max_rows)), "doc_id")
-            .select("label", "text"))
-    bounded_batches(spark, 256)
+    each = rows_each(per_class, max_rows, len(counts))
 
-    def each(batches):
-        for b in batches:
-            cut = [_pieces((t or "").encode("utf-8", "surrogatepass")).tobytes() for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int32()), pa.array(cut, pa.binary())],
-                                             ["label", "pieces"])
+    def of(rows: int) -> DataFrame:  # ids and labels, so small enough for every task
+        chosen = stratified(known, "label", counts, rows, "quality")
+        return (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
+                .select("label", F.encode("text", "utf-8").alias("text")))
 
-    return rows.mapInArrow(each, "label int, pieces binary").limit(max_rows).collect()
+    size = of(each).agg(F.sum(F.length("text"))).first()[0] or 0
+    if size > MAX_BYTES:
+        each = max(1, int(each * MAX_BYTES / size))
+    return [(int(r["label"]), bytes(r["text"])) for r in of(each).collect()]
+
+
+def _halves(text: bytes) -> np.ndarray:
+    """Half chunks of a text with the bytes that the last filters reach, zero-padded."""
+    step = _HALF * STRIDE
+    n = max(1, -(-len(text) // step))
+    data = np.zeros(n * step + WIDTH - STRIDE, np.uint8)
+    data[:len(text)] = np.frombuffer(text, np.uint8)
+    return np.lib.stride_tricks.sliding_window_view(data, step + WIDTH - STRIDE)[::step]
 
 
 class _Net:
-    """The network with its gradients; pieces count as three halves each."""
+    """The network with its gradients, on whole texts."""
 
     def __init__(self, rng):
         f = np.float32
@@ -138,43 +136,46 @@ class _Net:
     def tables(self):
         return np.einsum("be,kef->kbf", self.emb, self.conv)
 
-    def forward(self, x):
-        """x: documents x pieces x bytes."""
-        docs, pieces, size = x.shape
+    def forward(self, texts: list[np.ndarray]):
+        """Logits of texts, each given as its half chunks."""
+        flat, count = np.concatenate(texts), np.array([len(t) for t in texts])
         tables = self.tables()
-        flat = x.reshape(docs * pieces, size)
-        n = (size - WIDTH) // STRIDE + 1
-        values = tables[0][flat[:, 0:STRIDE * n:STRIDE]]
+        values = tables[0][flat[:, 0:STRIDE * _HALF:STRIDE]]
         for k in range(1, WIDTH):
-            values += tables[k][flat[:, k:k + STRIDE * n:STRIDE]]
-        windows = np.stack([values[:, :2 * _HALF], values[:, _HALF:3 * _HALF]], 1)  # two chunks a piece
-        where = windows.argmax(axis=2)  # flat, 2, FILTERS
-        chunk = np.take_along_axis(windows, where[:, :, None], 2)[:, :, 0]
-        where = where + np.array([0, _HALF])[None, :, None]
-        chunk = chunk.reshape(docs, pieces * 2, FILTERS)
-        where = where.reshape(docs, pieces * 2, FILTERS)
-        top = chunk.argmax(axis=1)
-        x1 = np.concatenate([chunk.mean(axis=1), np.take_along_axis(chunk, top[:, None], 1)[:, 0]], 1)
-        t = np.tanh(x1)
+            values += tables[k][flat[:, k:k + STRIDE * _HALF:STRIDE]]
+        where = values.argmax(axis=1)  # half chunks x FILTERS
+        half = np.take_along_axis(values, where[:, None], 1)[:, 0]
+        pools, source = [], []  # each chunk's maximum is one of its halves'
+        for at, n in zip(np.cumsum(count) - count, count):
+            own = half[at:at + n]
+            later = own[1:] > own[:-1] if n > 1 else np.zeros((1, FILTERS), bool)
+            chunk = np.maximum(own[:-1], own[1:]) if n > 1 else own
+            top = chunk.argmax(axis=0)
+            pools.append(np.concatenate([chunk.mean(axis=0), chunk[top, np.arange(FILTERS)]]))
+            source.append((at, later, top))
+        t = np.tanh(np.stack(pools))
         h = np.maximum(t @ self.hidden + self.hidden_bias, 0)
-        z = h @ self.out + self.out_bias[0]
-        return z, (flat, where, top, t, h, docs, pieces)
+        return h @ self.out + self.out_bias[0], (flat, where, source, t, h)
 
     def gradients(self, kept, g):
-        """g: derivative of the loss by each document's logit."""
-        flat, where, top, t, h, docs, pieces = kept
+        """g: derivative of the loss by each text's logit."""
+        flat, where, source, t, h = kept
         d_out, d_ob = h.T @ g, np.array([g.sum()], np.float32)
         dh = np.outer(g, self.out) * (h > 0)
         d_hidden, d_hb = t.T @ dh, dh.sum(axis=0)
         dx = (dh @ self.hidden.T) * (1 - t * t)
-        n = where.shape[1]
-        dchunk = np.repeat(dx[:, None, :FILTERS] / n, n, axis=1)
-        i, f = np.meshgrid(np.arange(docs), np.arange(FILTERS), indexing="ij")
-        dchunk[i, top, f] += dx[:, FILTERS:]
+        dhalf = np.zeros(where.shape, np.float32)
+        f = np.arange(FILTERS)
+        for (at, later, top), d in zip(source, dx):
+            n = len(later)
+            dchunk = np.repeat(d[None, :FILTERS] / n, n, axis=0)
+            dchunk[top, f] += d[FILTERS:]
+            dhalf[at:at + n] += np.where(later, 0, dchunk)
+            if later.any():
+                dhalf[at + 1:at + 1 + n] += np.where(later, dchunk, 0)
         # only the bytes under each maximum take part
-        owner = (np.arange(docs)[:, None, None] * pieces + (np.arange(n) // 2)[None, :, None])
-        owner = np.broadcast_to(owner, where.shape).ravel()
-        at, fi, dv = where.ravel() * STRIDE, np.broadcast_to(np.arange(FILTERS), where.shape).ravel(), dchunk.ravel()
+        owner, fi = np.nonzero(dhalf)
+        at, dv = where[owner, fi] * STRIDE, dhalf[owner, fi]
         d_emb, d_conv = np.zeros_like(self.emb), np.zeros_like(self.conv)
         for k in range(WIDTH):
             d_table = np.bincount(flat[owner, at + k].astype(np.int64) * FILTERS + fi, weights=dv,
@@ -184,6 +185,19 @@ class _Net:
         return [d_emb, d_conv, d_hidden, d_hb, d_out, d_ob]
 
 
+def _steps(which: np.ndarray, texts: list[np.ndarray], rows: int = 32):
+    """Rows of a training step: up to ``rows``, and up to ``STEP_HALVES`` half chunks."""
+    some, size = [], 0
+    for i in which:
+        if some and (len(some) == rows or size + len(texts[i]) > STEP_HALVES):
+            yield np.array(some)
+            some, size = [], 0
+        some.append(i)
+        size += len(texts[i])
+    if some:
+        yield np.array(some)
+
+
 def _sigmoid(z):
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
@@ -193,13 +207,13 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 1200, max_rows: i
     """Fit on ``labels`` (``doc_id, label`` 0 or 1) and the texts of ``docs``
     (``doc_id, text``)."""
     rows = _sample(docs, labels, per_class, max_rows)
-    rows.sort(key=lambda r: (r["label"], bytes(r["pieces"])))
-    y = np.array([r["label"] for r in rows], np.float32)
+    rows.sort()
+    y = np.array([r[0] for r in rows], np.float32)
     rng = np.random.default_rng(seed)
     net = _Net(rng)
     if len(rows) < 10 or y.min() == y.max():
         return Model(net.tables(), net.hidden * 0, net.hidden_bias, net.out, 1.0, 0.0)
-    x = np.stack([np.frombuffer(r["pieces"], np.uint8).reshape(TRAIN_CHUNKS, -1) for r in rows])
+    x = [_halves(r[1]) for r in rows]
     order = rng.permutation(len(rows))
     held, fit = order[:len(rows) // 5], order[len(rows) // 5:]
     weight = np.where(y == 1, 0.5 / max(y.mean(), 1e-6), 0.5 / max(1 - y.mean(), 1e-6)).astype(np.float32)
@@ -208,9 +222,8 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 1200, max_rows: i
     step = 0
     for epoch in range(epochs):
         rng.shuffle(fit)
-        for at in range(0, len(fit), 32):
-            which = fit[at:at + 32]
-            z, kept = net.forward(x[which])
+        for which in _steps(fit, x):
+            z, kept = net.forward([x[i] for i in which])
             g = ((_sigmoid(z) - y[which]) * weight[which] / len(which)).astype(np.float32)
             step += 1
             pace = rate * (1 - epoch / epochs)
@@ -218,7 +231,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 1200, max_rows: i
                 m += 0.1 * (d - m)
                 v += 0.001 * (d * d - v)
                 p -= pace * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
-    z = np.concatenate([net.forward(x[held[a:a + 64]])[0] for a in range(0, len(held), 64)]).astype(float)
+    z = np.concatenate([net.forward([x[i] for i in which])[0] for which in _steps(held, x, 64)]).astype(float)
     own, w = y[held], weight[held]
     grid = np.geomspace(0.1, 10, 41)
     loss = [-(w * (own * np.log(_sigmoid(s * z) + 1e-12) + (1 - own) * np.log(1 - _sigmoid(s * z) + 1e-12))).mean()

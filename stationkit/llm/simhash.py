@@ -13,26 +13,29 @@ Links
     large, is one node.
 
     *Pivot table.*  For every distinct fingerprint its Hamming distances to
-    18 reference fingerprints are computed once and packed, 7 bits a
-    coordinate, into two longs.  By the triangle inequality two fingerprints
-    within 2 bits differ by at most 2 in every coordinate; a pair with a
-    larger coordinate difference is discarded, and survivors are verified by
-    the distance itself.
-
-    *Where pairs come from.*  All against all is no plan, so the table is
-    joined on an equality that no linked pair can miss: of the four 16-bit
-    words of a fingerprint at most two hold the differing bits, hence two
-    others agree.  Each fingerprint enters six buckets, one for each choice of
-    two words.
-
-    *Large buckets.*  A bucket with more than ``bucket_pairs`` members emits no
-    pairs.  It is resolved by local references instead: two members link if
-    and only if some fingerprint lies within one bit of both (the midpoint),
-    so each member goes to its 33 references in the bucket (itself, and each
-    flip of one of the 32 bits outside the bucket's words), and members of a
+    18 reference fingerprints are computed once, and those to ``CELL_PIVOTS`` of
+    them also word by word (four words of 16 bits).  Two fingerprints within 2
+    bits differ by at most 2 in every coordinate; a pair with a larger
+    coordinate difference is discarded, and survivors are verified by the
+    distance itself.
+
+    *Cells.*  Pairs come from the table: at most two of the four words hold the
+    differing bits, so in the other two words all coordinates agree.  Each
+    fingerprint stands in six cells, one for each choice of two words, named by
+    its 2 x ``CELL_PIVOTS`` coordinates there; fingerprints of one cell are
+    candidates.  (Cells of whole-fingerprint coordinates would need their
+    neighbours for the margin of 2, some 1.8 cells for each coordinate, and
+    would still grow with the square of the table.)
+
+    *Large cells.*  A cell with more than ``cell_pairs`` members emits no
+    pairs.  It is resolved by local references instead: two members whose
+    differing bits lie outside the cell's words link if and only if some
+    fingerprint within one bit of both (the midpoint) differs from each outside
+    those words, so each member goes to its 33 references in the cell (itself, and each
+    flip of one of the 32 bits outside the cell's words), and members of a
     reference are within 2 bits of one another by the triangle inequality.
     At most 33 distinct fingerprints share a reference, so this is linear in
-    the bucket, finds the same groups, and drops nothing.
+    the cell, finds the same groups, and drops nothing.
 
 Groups
     Connected components over linked fingerprints by alternating large-star
@@ -41,8 +44,9 @@ Groups
 
 Defined cases: null text counts as empty; empty texts share fingerprint zero,
 linked like any other; repeated rows keep their rows; a null ``doc_id`` gets
-the group's smallest id that is not null (null if there is none); an empty
-table gives an empty result; other columns are ignored.
+the group's smallest id that is not null (null if there is none); texts of any
+length are fingerprinted whole, and a bit that half the shingles have is 0; an
+empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -62,8 +66,9 @@ from .common import bounded_batches, text_of, written
 SEED = 42
 #: coordinates of the pivot table: 7 bits each, nine to a long
 PER_LONG, LONGS = 9, 2
-#: words of a fingerprint
+#: words of a fingerprint, and references whose distances are taken word by word
 WORDS, WORD_BITS = 4, 16
+CELL_PIVOTS = 8
 
 
 def _signed(x: int) -> int:
@@ -142,54 +147,84 @@ def _within(max_bits: int) -> Column:
                    for k in range(LONGS) for i in range(PER_LONG)])
 
 
-def _word(i: int) -> Column:
-    return F.shiftrightunsigned(F.col("fp"), WORD_BITS * i).bitwiseAND(F.lit(0xFFFF))
+def _word(x: Column, i: int) -> Column:
+    return F.shiftrightunsigned(x, WORD_BITS * i).bitwiseAND(F.lit(0xFFFF))
+
+
+def word_coordinates(i: int) -> list[Column]:
+    """Distances of ``fp`` to the references in its i-th word."""
+    return [hamming(_word(F.col("fp"), i), F.lit((r >> WORD_BITS * i) & 0xFFFF).cast("long")) for r in
+            reference_fingerprints(CELL_PIVOTS)]
 
 
 _PAIRS = list(combinations(range(WORDS), 2))
 
 
-def _bucket_keys() -> Column:
-    """The six buckets of a fingerprint: number of the word pair, then the words."""
-    return F.array(*[F.lit(t << 32).bitwiseOR(F.shiftleft(_word(i), WORD_BITS)).bitwiseOR(_word(j))
-                     for t, (i, j) in enumerate(_PAIRS)])
+def _cells() -> Column:
+    """The six cells of a fingerprint: number of the word pair, and the
+    coordinates in the two words, as one number."""
+    def named(t, i, j):
+        return F.struct(F.lit(t).alias("pair"), F.xxhash64(F.lit(t), *word_coordinates(i), *word_coordinates(j)).alias("cell"))
+    return F.array(*[named(t, i, j) for t, (i, j) in enumerate(_PAIRS)])
 
 
 def _local_references() -> Column:
-    """``fp`` and its flips of one bit outside the bucket's two words."""
+    """``fp`` and its flips of one bit outside the cell's two words."""
     def flips(kept):
         bits = [b for w in range(WORDS) if w not in kept
                 for b in range(WORD_BITS * w, WORD_BITS * (w + 1))]
         return F.array(F.col("fp"), *[F.col("fp").bitwiseXOR(F.lit(_signed(1 << b))) for b in bits])
-    kind = F.shiftright(F.col("key"), 32)
-    out = F.when(kind == 0, flips(_PAIRS[0]))
+    out = F.when(F.col("pair") == 0, flips(_PAIRS[0]))
     for t, kept in list(enumerate(_PAIRS))[1:]:
-        out = out.when(kind == t, flips(kept))
+        out = out.when(F.col("pair") == t, flips(kept))
     return out
 
 
-def links(nodes: DataFrame, max_bits: int = 2, bucket_pairs: int = 64) -> DataFrame:
+def candidates(nodes: DataFrame) -> DataFrame:
+    """Fingerprints in cells that hold more than one, with the table's
+    coordinates and the cell's members."""
+    table = pivot_table(nodes).select("*", F.explode(_cells()).alias("c")).select("fp", *[f"t{k}" for k in range(LONGS)], "c.*")
+    sizes = table.groupBy("pair", "cell").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    return table.join(sizes, ["pair", "cell"])
+
+
+def _cell_pairs(small: DataFrame) -> DataFrame:
+    a, b = small.alias("a"), small.alias("b")
+    return a.join(b, (F.col("a.pair") == F.col("b.pair")) & (F.col("a.cell") == F.col("b.cell"))
+                  & (F.col("a.fp") < F.col("b.fp")))
+
+
+def links(nodes: DataFrame, max_bits: int = 2, cell_pairs: int = 64) -> DataFrame:
     """Edges ``(u, v)``, u < v, whose connected components are those of all
     links among the distinct fingerprints ``fp`` of ``nodes``."""
     if max_bits != 2:
-        raise ValueError("the buckets hold links of up to 2 bits")
-    keyed = pivot_table(nodes).withColumn("key", F.explode(_bucket_keys()))
-    sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    shared = written(keyed.join(sizes, "key"), "buckets")
-    small = shared.where(F.col("members") <= bucket_pairs).drop("members")
-    a, b = small.alias("a"), small.alias("b")
-    pairs = (a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.fp") < F.col("b.fp"))
-                    & _within(max_bits) & (hamming(F.col("a.fp"), F.col("b.fp")) <= max_bits))
+        raise ValueError("the cells hold links of up to 2 bits")
+    shared = written(candidates(nodes), "cells")
+    small = shared.where(F.col("members") <= cell_pairs).drop("members")
+    pairs = (_cell_pairs(small).where(_within(max_bits)).where(hamming(F.col("a.fp"), F.col("b.fp")) <= max_bits)
              .select(F.col("a.fp").alias("u"), F.col("b.fp").alias("v")))
-    by_reference = (shared.where(F.col("members") > bucket_pairs)
-                    .select("fp", "key", F.explode(_local_references()).alias("reference"))
-                    .groupBy("key", "reference").agg(F.collect_set("fp").alias("near"))
+    by_reference = (shared.where(F.col("members") > cell_pairs)
+                    .select("fp", "pair", "cell", F.explode(_local_references()).alias("reference"))
+                    .groupBy("pair", "cell", "reference").agg(F.collect_set("fp").alias("near"))
                     .where(F.size("near") > 1)
                     .select(F.array_min("near").alias("u"), F.explode("near").alias("v"))
                     .where("u < v"))
     return pairs.unionByName(by_reference).distinct()
 
 
+def link_counts(nodes: DataFrame, max_bits: int = 2, cell_pairs: int = 64) -> dict[str, int]:
+    """How many pairs each step leaves: from cells, after the coordinates, after
+    the distance; and the links that local references give."""
+    shared = written(candidates(nodes), "cells")
+    pairs = _cell_pairs(shared.where(F.col("members") <= cell_pairs)).select(
+        F.col("a.fp").alias("u"), F.col("b.fp").alias("v"), _within(max_bits).alias("near"),
+        (hamming(F.col("a.fp"), F.col("b.fp")) <= max_bits).alias("link")).distinct()
+    row = pairs.agg(F.count(F.lit(1)), F.count_if("near"), F.count_if(F.col("near") & F.col("link"))).first()
+    all_links = links(nodes, max_bits, cell_pairs).count()
+    return {"candidates": row[0], "after_coordinates": row[1], "links_of_cells": row[2],
+            "links_of_references_alone": all_links - row[2]}
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """``(node, root)`` for every node of an edge, root the smallest node
     reachable.  Alternates large-star and small-star; both keep the components
@@ -221,12 +256,12 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
             .unionByName(edges.select(F.col("u").alias("node"), F.col("u").alias("root"))).distinct())
 
 
-def groups(prints: DataFrame, max_bits: int = 2, bucket_pairs: int = 64) -> DataFrame:
+def groups(prints: DataFrame, max_bits: int = 2, cell_pairs: int = 64) -> DataFrame:
     """``doc_id, fp, component_id, root`` for every row of ``prints``
     (``doc_id, fp``; a written table, it is read several times).  ``root`` is
     the group's smallest fingerprint."""
     nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("least_id"))
-    roots = components(links(nodes.select("fp"), max_bits, bucket_pairs))
+    roots = components(links(nodes.select("fp"), max_bits, cell_pairs))
     rooted = (nodes.join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left")
               .withColumn("root", F.coalesce("root", "fp")))
     least = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
@@ -235,15 +270,15 @@ def groups(prints: DataFrame, max_bits: int = 2, bucket_pairs: int = 64) -> Data
 
 
 def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                          shingle: int = 3, max_bits: int = 2, bucket_pairs: int = 64) -> DataFrame:
+                          shingle: int = 3, max_bits: int = 2, cell_pairs: int = 64) -> DataFrame:
     """One row per input row: ``doc_id``, ``fp`` (signed long) and
     ``component_id``, the smallest id of the document's group."""
     prints = written(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
-    return groups(prints, max_bits, bucket_pairs).select("doc_id", "fp", "component_id")
+    return groups(prints, max_bits, cell_pairs).select("doc_id", "fp", "component_id")
 
 
 def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  shingle: int = 3, max_bits: int = 2, bucket_pairs: int = 64) -> DataFrame:
+                  shingle: int = 3, max_bits: int = 2, cell_pairs: int = 64) -> DataFrame:
     """The rows of ``docs``, one of each group: the one with the group's
     smallest id (a null id only if the group has no other), of rows that share
     that id and fingerprint the one with the first text."""
@@ -259,7 +294,7 @@ def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     schema = T.StructType(docs.schema.fields + [T.StructField(fp, T.LongType())])
     rows = written(docs.mapInArrow(each, schema), "with-fingerprints")
-    keepers = (groups(rows.select(F.col(id_col).alias("doc_id"), F.col(fp).alias("fp")), max_bits, bucket_pairs)
+    keepers = (groups(rows.select(F.col(id_col).alias("doc_id"), F.col(fp).alias("fp")), max_bits, cell_pairs)
                .groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "fp")).alias("k"))
                .select("k.doc_id", "k.fp"))
     first = Window.partitionBy(id_col, fp).orderBy(text_col)

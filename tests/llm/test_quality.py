@@ -52,7 +52,7 @@ def test_gradients_agree_with_differences():
     net = Q._Net(rng)
     for k, p in enumerate(net.parts()):
         p[...] = p.astype(np.float64)
-    x = rng.integers(0, 256, (3, 2, Q.CHUNK // 2 * 3 + Q.WIDTH - Q.STRIDE), dtype=np.uint8)
+    x = [Q._halves(bytes(rng.integers(0, 256, n, dtype=np.uint8))) for n in (1700, 90, 700)]
     y = np.array([0, 1, 1], np.float32)
 
     def loss():
@@ -79,3 +79,39 @@ def test_edge_rows_and_training_without_labels(spark, edge_docs, no_docs, model)
     assert Q.score(no_docs, model).count() == 0
     none = Q.train(edge_docs, spark.createDataFrame([], "doc_id long, label int"))
     assert {r["score"] for r in Q.score(edge_docs, none).collect()} == {0.5}
+
+
+def test_learning_and_scoring_pool_alike(model):
+    """The network's own logits are those of the scored model, over all chunks."""
+    rng = np.random.default_rng(2)
+    net = Q._Net(rng)
+    m = Q.Model(net.tables(), net.hidden, net.hidden_bias, net.out, 1.0, 0.0)
+    for n in (0, 3, 256, 600, 5000, 300_000):
+        text = bytes(rng.integers(32, 127, n, dtype=np.uint8))
+        z = net.forward([Q._halves(text)])[0][0]
+        assert abs(Q._sigmoid(z) - m.score(text.decode("ascii"))) < 1e-4
+
+
+def test_whole_training_texts_under_a_byte_bound(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, ("x" * 1000 + str(i))) for i in range(200)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, label int")
+    rows = Q._sample(docs, labels, 50, 400)
+    assert len(rows) == 100 and all(len(t) > 1000 for _, t in rows)
+    monkeypatch.setattr(Q, "MAX_BYTES", 20_000)
+    few = Q._sample(docs, labels, 50, 400)
+    assert 10 <= len(few) <= 24 and all(len(t) > 1000 for _, t in few) and {y for y, _ in few} == {0, 1}
+
+
+def test_a_poor_passage_in_the_middle_of_a_long_text_is_learned(spark):
+    """Junk only deep inside long texts, where four pieces would not look."""
+    docs, labels = [], []
+    for i in range(160):
+        words = prose(i, 900).split()
+        if i % 2:
+            words[400:540] = junk(i, 140).split()
+        docs.append((i, " ".join(words)))
+        labels.append((i, int(i % 2 == 0)))
+    m = Q.train(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, label int"),
+                epochs=10, cut=0.3)
+    right = sum((m.score(t) >= 0.3) == bool(y) for (_, t), (_, y) in zip(docs, labels))
+    assert right >= 150

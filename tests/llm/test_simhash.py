@@ -70,12 +70,12 @@ def planted(seed):
     return fps
 
 
-@pytest.mark.parametrize("bucket_pairs", [64, 3, 1])
-def test_pairs_and_local_references_give_the_same_groups(spark, bucket_pairs):
-    fps = planted(bucket_pairs)
+@pytest.mark.parametrize("cell_pairs", [64, 3, 1])
+def test_pairs_and_local_references_give_the_same_groups(spark, cell_pairs):
+    fps = planted(cell_pairs)
     prints = spark.createDataFrame([(i, simhash._signed(f)) for i, f in enumerate(fps)], "doc_id long, fp long")
     got = sorted(((r["doc_id"], unsigned(r["fp"]), r["component_id"])
-                  for r in simhash.groups(prints, bucket_pairs=bucket_pairs).collect()), key=str)
+                  for r in simhash.groups(prints, cell_pairs=cell_pairs).collect()), key=str)
     assert got == brute_groups(list(enumerate(fps)))
 
 
@@ -112,3 +112,25 @@ def test_near_copies_link():
     other[200] = "changed"
     a, b = (simhash.fingerprint(" ".join(x)) for x in (base, other))
     assert (unsigned(a) ^ unsigned(b)).bit_count() <= 8
+
+
+def test_cells_hold_every_link_and_the_table_decides_pairs(spark):
+    fps = planted(9)
+    nodes = spark.createDataFrame([(simhash._signed(f),) for f in sorted(set(fps))], "fp long")
+    got = {tuple(sorted((unsigned(r["u"]), unsigned(r["v"])))) for r in
+           simhash.links(nodes, cell_pairs=10 ** 9).collect()}
+    every = sorted(set(fps))
+    assert got == {(a, b) for i, a in enumerate(every) for b in every[i + 1:] if (a ^ b).bit_count() <= 2}
+    counts = simhash.link_counts(nodes, cell_pairs=10 ** 9)
+    assert counts["candidates"] > counts["after_coordinates"] >= counts["links_of_cells"] == len(got)
+    assert counts["links_of_references_alone"] == 0
+
+
+def test_word_coordinates_add_up_to_the_table(spark):
+    from pyspark.sql import functions as F
+    nodes = spark.createDataFrame([(simhash._signed(random.Random(i).getrandbits(64)),) for i in range(50)], "fp long")
+    rows = nodes.select("fp", *[F.array(*simhash.word_coordinates(i)).alias(f"w{i}") for i in range(4)]).collect()
+    refs = simhash.reference_fingerprints(simhash.CELL_PIVOTS)
+    for r in rows:
+        for k, ref in enumerate(refs):
+            assert sum(r[f"w{i}"][k] for i in range(4)) == (unsigned(r["fp"]) ^ unsigned(ref)).bit_count()
