@@ -91,3 +91,40 @@ def test_plan_stays_in_the_jvm(edge_docs):
     with contextlib.redirect_stdout(io.StringIO()) as text:
         pii.candidates(edge_docs).explain("formatted")
     assert not re.search("EvalPython|MapInPandas|MapInArrow|Groups|PythonUDF", text.getvalue())
+
+
+def added_spans(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = {}
+    for r in pii.find_personal_data(df).collect():
+        spans = [s.split(":") for s in r["spans"].split(",") if s]
+        out[r["doc_id"]] = [texts[r["doc_id"]][int(a):int(b)] for k, a, b in spans if k in pii.ADDED]
+    return [out[i] for i in range(len(texts))]
+
+
+def test_numbers_of_other_languages_and_accounts(spark):
+    texts = ["Tel: 030/1234567, Fax 030 7654321", "Ruf mich an: 0151-23456789 bitte", "mi número es 612 345 678", "account 12345678 at bank",
+             "Bestellung 030/1234567 vom 2019-04-05", "population 612 345 678", "tel 2019-04-05 12"]
+    got = added_spans(spark, texts)
+    assert got[0] == ["030/1234567", "030 7654321"] and got[1] == ["0151-23456789"]
+    assert got[2] == ["612 345 678"] and got[3] == ["12345678"]
+    assert got[4] == [] and got[5] == []
+
+
+def test_recall_on_contexts_and_formats_not_in_the_fit(spark):
+    rows = {r["kind"]: r for r in pii.held_out_quality(spark).collect()}
+    assert set(rows) == set(pii.ADDED)
+    for k, r in rows.items():
+        print(k, r)
+        assert r["n"] > 30 and r["precision"] >= 0.9 and r["recall"] >= 0.5
+
+
+def test_clear_of_base_spans_equals_comparing_all(spark):
+    import random
+    rnd = random.Random(3)
+    loose = [(r, a, a + rnd.randrange(1, 9)) for r in range(6) for a in rnd.sample(range(60), 12)]
+    base = [(r, a, a + rnd.randrange(1, 15)) for r in range(5) for a in rnd.sample(range(60), 4)]
+    schema = "row long, start long, end long"
+    got = sorted(tuple(r) for r in pii._clear(spark.createDataFrame(loose, schema), spark.createDataFrame(base, schema))
+                 .select("row", "start", "end").collect())
+    assert got == sorted(x for x in loose if not any(b[0] == x[0] and b[1] < x[2] and x[1] < b[2] for b in base))
