@@ -114,7 +114,7 @@ def holdout_split(df: DataFrame, key: str, test_fraction: float, seed: int | str
     jobs find the threshold (the row count comes from the bucket counts).
 
     Rows that share the threshold's hash (null or repeated keys) are told apart
-    by a hash of the whole row; of rows equal in everything as many copies are test
+    by the key and then a hash of the whole row; of rows equal in everything as many copies are test
     as are wanted.  Nothing but counts is read back."""
     lead = free_prefix(df)
     h, t = f"{lead}h", f"{lead}t"
@@ -129,17 +129,31 @@ def holdout_split(df: DataFrame, key: str, test_fraction: float, seed: int | str
     test, train = F.lit("test"), F.lit("train")
     if below + shared == n_test:
         return x.withColumn(name, F.when(F.col(h) <= F.lit(value), test).otherwise(train)).drop(h)
-    # the threshold falls among rows of one hash
+    # the threshold falls among rows of one hash: one key in 2**32, each counted once
+    same = F.col(h) == F.lit(value)
+    groups = sorted(((r[0] is not None, r[0], r[1]) for r in x.where(same).groupBy(key).count().collect()),
+                    key=lambda g: g[:2] if g[0] else (False,))
+    wanted = n_test - below
+    for _, tk, copies in groups:
+        if wanted <= copies:
+            break
+        wanted -= copies
+    at_key = same & F.col(key).eqNullSafe(F.lit(tk))
+    lower = F.lit(False) if tk is None else F.col(key).isNull() | (F.col(key) < F.lit(tk))
+    first = (F.col(h) < F.lit(value)) | (same & lower)
+    if wanted == copies:
+        return x.withColumn(name, F.when(first | at_key, test).otherwise(train)).drop(h)
+    # rows of one key: by a hash of the whole row
     x = x.withColumn(t, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
-    tie, under, copies = kth_key(x.where(F.col(h) == F.lit(value)), F.col(t), n_test - below)
-    edge = (F.col(h) == F.lit(value)) & (F.col(t) == F.lit(tie))
-    first = (F.col(h) < F.lit(value)) | ((F.col(h) == F.lit(value)) & (F.col(t) < F.lit(tie)))
-    wanted = n_test - below - under
+    tie, under, copies = kth_key(x.where(at_key), F.col(t), wanted)
+    edge = at_key & (F.col(t) == F.lit(tie))
+    first = first | (at_key & (F.col(t) < F.lit(tie)))
+    wanted -= under
     columns = [F.col(f"`{c}`") for c in df.columns]
     if wanted == copies:
         return x.withColumn(name, F.when(first | edge, test).otherwise(train)).select(*columns, name)
-    whole = F.struct(*columns)
-    again = (x.where(edge).agg(F.first(whole).alias("r"), F.count(F.lit(1)).alias("n"))
+    # rows equal in everything: any of them, as many as are wanted
+    again = (x.where(edge).agg(F.first(F.struct(*columns)).alias("r"), F.count(F.lit(1)).alias("n"))
              .select("r", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("i"))
              .select(*[F.col("r")[c].alias(c) for c in df.columns], F.when(F.col("i") <= wanted, test).otherwise(train).alias(name)))
     return x.where(~edge).withColumn(name, F.when(first, test).otherwise(train)).select(*columns, name).unionByName(again)

@@ -100,7 +100,7 @@ def test_quantiles_of_groups_with_hot_values(spark):
 def test_kth_key_counts(spark):
     values = [5] * 40 + [-7, 3, 3, 2 ** 62, -2 ** 62]
     df = spark.createDataFrame([(v,) for v in values], "k long")
-    for k in range(1, len(values) + 1):
+    for k in (1, 2, 3, 4, 5, 30, 44, 45):
         v, below, same = RX.kth_key(df, F.col("k"), k)
         assert v == sorted(values)[k - 1] and below == sum(x < v for x in values) and same == values.count(v)
 
@@ -110,8 +110,8 @@ def test_kth_key_counts(spark):
 def test_holdout_with_null_and_repeated_keys(spark):
     rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, i % 4) for i in range(90)]
     df = odd(spark.createDataFrame(rows, "row_id long, x long"))
-    for seed in range(5):
-        for f in (0.0, 0.1, 0.3, 0.34, 0.7, 1.0):
+    for seed in range(2):
+        for f in (0.0, 0.1, 0.34, 0.7, 1.0):
             out = RW.holdout_split(df, "row_id", f, seed)
             assert out.columns == [*df.columns, "split"]
             got = out.collect()
