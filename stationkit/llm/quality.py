@@ -14,7 +14,9 @@ Training rows
     label (those of least hash, ``max_rows`` in all); if their texts are more
     than ``MAX_BYTES``, in proportion fewer rows of each label, never parts of a
     text.  That bounds what the driver holds.  Mean and maximum are learned over
-    all chunks, as they are applied.  A fifth of the rows is kept out of the descent; on it
+    all chunks, as they are applied; in each epoch every text comes whole and,
+    so that short texts are judged alike, as one random stretch of up to
+    ``STRETCH`` half chunks as well.  A fifth of the rows is kept out of the descent; on it
     the logits are scaled (least log loss) and shifted, so that the cut with
     the best balanced accuracy falls on the score ``cut``.
 
@@ -42,6 +44,7 @@ CHUNK, STRIDE = 512, 2
 MAX_BYTES = 192_000_000
 #: half chunks of the texts of one training step; a longer text is a step of its own
 STEP_HALVES = 768
+STRETCH = 3
 #: half chunks scored at a time
 SPAN = 256
 
@@ -185,6 +188,24 @@ class _Net:
         return [d_emb, d_conv, d_hidden, d_hb, d_out, d_ob]
 
 
+def _with_stretches(rows: np.ndarray, texts: list[np.ndarray], rng) -> tuple[np.ndarray, list[np.ndarray]]:
+    """``rows`` whole, and a random stretch of each longer one: numbers of the
+    rows and the half chunks, in random order."""
+    own, parts = list(rows), [texts[i] for i in rows]
+    for i in rows:
+        size = int(rng.integers(1, STRETCH + 1))
+        if len(texts[i]) > size:
+            at = int(rng.integers(0, len(texts[i]) - size + 1))
+            some = texts[i][at:at + size]
+            if size == 1:  # as short as the shortest texts, the rest zeros
+                some = some.copy()
+                some[:, int(rng.integers(32, some.shape[1] + 1)):] = 0
+            own.append(i)
+            parts.append(some)
+    order = rng.permutation(len(own))
+    return np.array(own)[order], [parts[k] for k in order]
+
+
 def _steps(which: np.ndarray, texts: list[np.ndarray], rows: int = 32):
     """Rows of a training step: up to ``rows``, and up to ``STEP_HALVES`` half chunks."""
     some, size = [], 0
@@ -221,9 +242,10 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 1200, max_rows: i
     squares = [np.zeros_like(p) for p in net.parts()]
     step = 0
     for epoch in range(epochs):
-        rng.shuffle(fit)
-        for which in _steps(fit, x):
-            z, kept = net.forward([x[i] for i in which])
+        own, parts = _with_stretches(fit, x, rng)
+        for some in _steps(np.arange(len(own)), parts):
+            which = own[some]
+            z, kept = net.forward([parts[i] for i in some])
             g = ((_sigmoid(z) - y[which]) * weight[which] / len(which)).astype(np.float32)
             step += 1
             pace = rate * (1 - epoch / epochs)
@@ -231,8 +253,10 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 1200, max_rows: i
                 m += 0.1 * (d - m)
                 v += 0.001 * (d * d - v)
                 p -= pace * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
-    z = np.concatenate([net.forward([x[i] for i in which])[0] for which in _steps(held, x, 64)]).astype(float)
-    own, w = y[held], weight[held]
+    rows, parts = _with_stretches(held, x, rng)
+    z = np.concatenate([net.forward([parts[i] for i in some])[0]
+                        for some in _steps(np.arange(len(rows)), parts, 64)]).astype(float)
+    own, w = y[rows], weight[rows]
     grid = np.geomspace(0.1, 10, 41)
     loss = [-(w * (own * np.log(_sigmoid(s * z) + 1e-12) + (1 - own) * np.log(1 - _sigmoid(s * z) + 1e-12))).mean()
             for s in grid]
@@ -249,15 +273,12 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 1200, max_rows: i
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, score`` for every row."""
-    spark = docs.sparkSession
-    bounded_batches(spark)
+    bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    shared = spark.sparkContext.broadcast(model)  # about 260 KB
 
-    def each(batches):
-        m = shared.value
+    def each(batches):  # the model, about 260 KB, goes along with the function
         for b in batches:
-            found = [m.score(t) for t in b.column(1).to_pylist()]
+            found = [model.score(t) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.float64())], ["doc_id", "score"])
 
     return rows.mapInArrow(each, f"doc_id {rows.schema[0].dataType.simpleString()}, score double")
