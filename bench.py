@@ -32,7 +32,7 @@ EXTRA = {"model_table_build": build_model_table}
 
 HEADLINE = [
     "supervised_table",      # full preparation job, 3 stations
-    "supervised_table_many", # the same on the 1,000-series table (3 stations used)
+    "supervised_table_three", "supervised_table_many", # the same on the 1,000-series table (3 stations used)
     "interpolate_linear",    # W4, 3 stations
     "interpolate_many",      # W4, one series per supplier
     "future_targets_many",   # W1, one series per supplier
