@@ -47,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, text_of
+from .common import bounded_batches, text_of, written
 
 #: words of the corpus that have a rank, and how often such a word occurs at least
 CORPUS_WORDS = 50_000
@@ -333,9 +333,17 @@ def corpus_words(docs: DataFrame, text_col: str = "text", most: int = CORPUS_WOR
                 counts.clear()
         yield part()
 
-    counts = docs.select(F.col(text_col).alias("text")).mapInArrow(each, "word string, n long")
-    top = (counts.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-           .orderBy(F.desc("n"), "word").limit(most))
+    counts = written(docs.select(F.col(text_col).alias("text")).mapInArrow(each, "word string, n long")
+                     .groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= least), "corpus-words")
+    # counts of counts on a log scale (some hundred rows) give a bound that leaves few
+    # words too many, so that tasks do not all send their commonest to the driver
+    level = F.floor(F.log2("n") * 16)
+    bound, found = 0, 0
+    for bound, words in sorted(map(tuple, counts.groupBy(level.alias("level")).count().collect()), reverse=True):
+        found += words
+        if found >= most:
+            break
+    top = counts.where(level >= bound).orderBy(F.desc("n"), "word").limit(most)
     return [r["word"] for r in top.collect()]
 
 
