@@ -420,11 +420,12 @@ def q_holdout_split(spark, sf):
 
 
 @register("chronological_split", _SUP_ROWID +
-          f"SELECT obs_date, CASE WHEN row_id < FLOOR(CAST({TRAIN_FRACTION} AS DOUBLE) * COUNT(*) OVER ()) "
+          f"SELECT row_id, obs_date, CASE WHEN row_id < FLOOR(CAST({TRAIN_FRACTION} AS DOUBLE) * COUNT(*) OVER ()) "
           "THEN 'train' ELSE 'test' END AS split FROM supr")
 def q_chronological_split(spark, sf):
-    """O6 from the rows per day: no position of every row below it."""
-    return RW.chronological_split_by_day(_sup_rowid(spark, sf).select("obs_date"), "obs_date", TRAIN_FRACTION)
+    """O6 from the rows per day, beside each row's position."""
+    x = _sup_rowid(spark, sf).select("row_id", "obs_date")
+    return RW.chronological_split_by_day(x, "obs_date", TRAIN_FRACTION, ["row_id"])
 
 
 @register("forecast_dates", _SUP_ROWID + "SELECT row_id, obs_date, " + ", ".join(
