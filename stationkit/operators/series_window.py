@@ -43,6 +43,9 @@ from pyspark.sql import types as T
 
 from ..session import cut_lineage
 
+#: rows of a range partition that is sorted and cut into chunks
+PARTITION_ROWS = 2_000_000
+
 
 @dataclass(frozen=True)
 class Ordering:
@@ -165,6 +168,13 @@ def _w_rev(o: Ordering, *keys: str) -> Window:
 # chunk bookkeeping
 # --------------------------------------------------------------------------
 
+def _range_partitions(df: DataFrame, rows: int, pieces: int) -> int:
+    """Partitions of a range partitioning: a few for each core, and more only
+    where one would hold above ``PARTITION_ROWS`` rows."""
+    few = 4 * df.sparkSession.sparkContext.defaultParallelism
+    return min(pieces, max(few, -(-rows // PARTITION_ROWS)))
+
+
 def _chunked_base(df: DataFrame, o: Ordering, sources: list[str] = ()):
     """``df`` with series key, chunk and in-chunk row number, and the table of
     chunks: rows, rows of the series before it, rows of the series.  The series
@@ -188,8 +198,13 @@ def _chunked_base(df: DataFrame, o: Ordering, sources: list[str] = ()):
             nm.same, F.monotonically_increasing_id())
         tied = cut_lineage(tied, "chunk-rows")
         nm.order = o.order + (nm.tie, nm.same)
-        ranged = tied.repartitionByRange(pieces, *[F.col(c).asc_nulls_first() for c in o.partition + nm.order])
-        m = keyed(cut_lineage(ranged.withColumn(nm.chunk, F.spark_partition_id()), "chunks"))
+        by = [F.col(c).asc_nulls_first() for c in o.partition + nm.order]
+        ranged = tied.repartitionByRange(_range_partitions(df, rows, pieces), *by).sortWithinPartitions(*by)
+        # a row's number: its partition and, in the lower 33 bits, its place there
+        numbered = ranged.withColumn(nm.pos, F.monotonically_increasing_id())
+        place = F.col(nm.pos).bitwiseAND(F.lit((1 << 33) - 1))
+        chunk = F.col(nm.pos) - place % F.lit(o.chunk_rows)  # the number of its chunk's first row
+        m = keyed(cut_lineage(numbered.withColumn(nm.chunk, chunk).drop(nm.pos), "chunks"))
     else:
         m = keyed(df).withColumn(nm.chunk, _chunk_expr(df, o))
     m = m.withColumn(nm.rn, F.row_number().over(_w(nm.total_order(o), *nm.keys)))
