@@ -5,7 +5,8 @@ rank is found 16 bits at a time: one aggregate counts the values under each
 wanted prefix by their next 16 bits, the running sum picks the bucket that
 holds the rank, and the prefix grows by it.  Four passes find any value,
 however the values are spread, for many ranks and groups at once; a value that
-a third of all rows share is one count.
+a third of all rows share is one count.  Quantiles of groups that one task can
+sort are read off the sorted group instead: one shuffle, not one for each pass.
 """
 
 from __future__ import annotations
@@ -68,23 +69,54 @@ def keys_at(keyed: DataFrame, wanted: DataFrame) -> DataFrame:
     return state.select(F.col("g.g").alias("g"), "r", F.col("prefix").alias("key"))
 
 
-def exact_quantiles(df: DataFrame, col: str, qs: list[float], by: list[str] | None = None) -> DataFrame:
-    """``by..., q, value``: linearly interpolated quantiles (as ``percentile``
-    and ``quantile_cont``) of each group.  Nulls and NaN are missing, infinities
-    are values, a group without values has no rows."""
-    by = list(by or [])
-    x = F.col(col).cast("double")
-    g = F.struct(*[F.col(c) for c in by]) if by else F.struct(F.lit(0).alias("all"))
-    keyed = df.where(x.isNotNull() & ~F.isnan(x)).select(g.alias("g"), ordered_key(x).alias("key"))
-    counts = cut_lineage(keyed.groupBy("g").agg(F.count(F.lit(1)).alias("n")), "radix-counts")
+def _sorted_quantiles(x: DataFrame, qs: list[float]) -> DataFrame:
+    """``g, q, a, b, part`` of groups of few rows: the values at the ranks
+    around each quantile, from every group sorted in one task."""
+    placed = x.select("g", F.when(F.col("x") == 0, 0.0).otherwise(F.col("x")).alias("x"),
+                      F.count(F.lit(1)).over(Window.partitionBy("g")).alias("n"),
+                      (F.row_number().over(Window.partitionBy("g").orderBy("x")) - 1).alias("r"))
+    ends = []
+    for i, q in enumerate(qs):
+        at = F.lit(float(q)) * (F.col("n") - 1)
+        ends += [F.max(F.when(F.col("r") == f(at), F.col("x"))).alias(f"{e}{i}") for e, f in (("a", F.floor), ("b", F.ceil))]
+    found = placed.groupBy("g").agg(F.first("n").alias("n"), *ends)
+    each = [F.struct(F.lit(float(q)).alias("q"), F.col(f"a{i}").alias("a"), F.col(f"b{i}").alias("b")) for i, q in enumerate(qs)]
+    at = F.col("e.q") * (F.col("n") - 1)
+    return found.select("g", "n", F.explode(F.array(*each)).alias("e")).select("g", "e.*", (at - F.floor(at)).alias("part"))
+
+
+def _radix_quantiles(x: DataFrame, counts: DataFrame, qs: list[float]) -> DataFrame:
+    """The same of groups of any size, whose sizes are ``counts``."""
+    keyed = x.select("g", ordered_key(F.col("x")).alias("key"))
     at = F.col("q") * (F.col("n") - 1)
     asked = (counts.withColumn("q", F.explode(F.array(*[F.lit(float(q)) for q in qs])))
              .select("g", "q", F.floor(at).alias("lo"), F.ceil(at).alias("hi"), (at - F.floor(at)).alias("part")))
     ranks = asked.select("g", F.explode(F.array("lo", "hi")).alias("r")).distinct()
     found = keys_at(keyed, ranks).select(F.struct("g").alias("k"), "r", from_key(F.col("key")).alias("v"))
     ends = asked.withColumn("k", F.struct("g"))
-    both = (ends.join(found.select("k", F.col("r").alias("lo"), F.col("v").alias("a")), ["k", "lo"])
-            .join(found.select("k", F.col("r").alias("hi"), F.col("v").alias("b")), ["k", "hi"]))
+    return (ends.join(found.select("k", F.col("r").alias("lo"), F.col("v").alias("a")), ["k", "lo"])
+            .join(found.select("k", F.col("r").alias("hi"), F.col("v").alias("b")), ["k", "hi"])
+            .select("g", "q", "a", "b", "part"))
+
+
+def exact_quantiles(df: DataFrame, col: str, qs: list[float], by: list[str] | None = None,
+                    sorted_rows: int = 1_000_000) -> DataFrame:
+    """``by..., q, value``: linearly interpolated quantiles (as ``percentile``
+    and ``quantile_cont``) of each group.  Nulls and NaN are missing, infinities
+    are values, a group without values has no rows.  Groups of at most
+    ``sorted_rows`` values are sorted, larger ones go through the radix passes."""
+    by = list(by or [])
+    x = F.col(col).cast("double")
+    g = F.struct(*[F.col(c) for c in by]) if by else F.struct(F.lit(0).alias("all"))
+    rows = df.where(x.isNotNull() & ~F.isnan(x)).select(g.alias("g"), x.alias("x"))
+    counts = cut_lineage(rows.groupBy("g").agg(F.count(F.lit(1)).alias("n")), "radix-counts")
+    large = counts.where(F.col("n") > sorted_rows)
+    if large.isEmpty():
+        both = _sorted_quantiles(rows, qs)
+    else:
+        wrapped, names = rows.withColumn("k", F.struct("g")), large.select(F.struct("g").alias("k"))
+        few, many = (wrapped.join(names, "k", how).drop("k") for how in ("left_anti", "left_semi"))
+        both = _radix_quantiles(many, large, qs).unionByName(_sorted_quantiles(few, qs))
     value = F.when(F.col("a") == F.col("b"), F.col("a")).otherwise(F.col("a") + (F.col("b") - F.col("a")) * F.col("part"))
     return both.select(*[F.col(f"g.`{c}`").alias(c) for c in by], "q", value.alias("value"))
 
