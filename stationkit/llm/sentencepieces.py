@@ -105,19 +105,6 @@ def _one_byte(error):
 codecs.register_error("stationkit-one-byte", _one_byte)
 
 
-class _Known(dict):
-    """Ids of stretches as packed 32-bit numbers.  A stretch that is not known
-    is noted in ``asked``, with the room that its ids are to be written to."""
-
-    def __init__(self):
-        super().__init__()
-        self.asked: dict[str, bytearray] = {}
-
-    def __missing__(self, stretch: str) -> bytearray:
-        room = self.asked[stretch] = self[stretch] = bytearray()
-        return room
-
-
 class Vocabulary:
     """A model file: pieces, ranks of joins, and the ids of stretches met so
     far as packed 32-bit numbers."""
@@ -145,11 +132,6 @@ class Vocabulary:
                         else bytes([int(n[3:5], 16)]) if k == BYTE else n.replace(SPACE, " ").encode()
                         for n, k in zip(names, kinds)]
         self.controls = {i for i, k in enumerate(kinds) if k == CONTROL}
-        # numbers of single characters; one that is no piece has a number below 0
-        self.of_character = -1 - np.arange(sys.maxunicode + 1, dtype=np.int32)
-        for n, i in self.numbers.items():
-            if len(n) == 1:
-                self.of_character[ord(n)] = i
         joined = {c for n in self.numbers if len(n) > 1 for c in n}
         inner = "".join(re.escape(c) for c in sorted(joined - {SPACE}))
         if any(SPACE in n.lstrip(SPACE) for n in self.numbers):
@@ -157,7 +139,7 @@ class Vocabulary:
         else:
             pattern = f"{SPACE}*[{inner}]+|{SPACE}+|[^{SPACE}{inner}]"
         self.stretches = re.compile(pattern, re.DOTALL).findall
-        self.known = _Known()
+        self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         # every way to join two pieces into a third, by the two pieces' numbers
         joins = [(self.numbers[n[:k]] * len(names) + self.numbers[n[k:]], self.ranks[n] >> _PLACE_BITS, i)
@@ -220,7 +202,9 @@ class Vocabulary:
 
     def _together(self, stretches: list[str]) -> list[bytes]:
         """Ids of many short stretches, whose agendas go on side by side."""
-        symbol = self.of_character[np.frombuffer("".join(stretches).encode("utf-32-le"), "<u4")].astype(np.int64)
+        points, symbol = np.unique(np.frombuffer("".join(stretches).encode("utf-32-le"), "<u4"), return_inverse=True)
+        numbers = np.array([self.numbers.get(chr(c), -1 - int(c)) for c in points], np.int64)
+        symbol = numbers[symbol]
         owner = np.repeat(np.arange(len(stretches)), [len(s) for s in stretches])
         rank, joined = np.full(len(symbol), _NEVER), np.zeros(len(symbol), np.int64)
         inner = np.flatnonzero(owner[1:] == owner[:-1])
@@ -259,35 +243,30 @@ class Vocabulary:
         data, ends = symbol.astype("<i4").tobytes(), np.searchsorted(owner, np.arange(len(stretches) + 1)) * 4
         return [data[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
 
-    def _learn(self) -> None:
-        """Make known what was asked for since the last time."""
-        asked, self.known.asked = self.known.asked, {}
-        try:
-            ids = {s: self.older[s] for s in asked if s in self.older}
-            new = [s for s in asked if s not in ids]
-            ids.update((s, array("i", self._ids(self._agenda(s))).tobytes()) for s in new if len(s) > TOGETHER)
-            short = [s for s in new if len(s) <= TOGETHER]
-            if short:
-                ids.update(zip(short, self._together(short)))
-        except BaseException:
-            for s in asked:
-                del self.known[s]
-            raise
-        for s, room in asked.items():
-            room += ids[s]
-        self.known.update(ids)
+    def _learn(self, stretches: set[str]) -> None:
+        """Make ``stretches`` known."""
+        short, long = [], []
+        for s in stretches:
+            ids = self.older.get(s)
+            if ids is not None:
+                self.known[s] = ids
+            else:
+                (short if len(s) <= TOGETHER else long).append(s)
+        for s in long:
+            self.known[s] = array("i", self._ids(self._agenda(s))).tobytes()
+        if short:
+            self.known.update(zip(short, self._together(short)))
 
     def encode_all(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of whole texts."""
         if len(self.known) >= CACHE_STRETCHES:
-            self.older, self.known = self.known, _Known()
+            self.older, self.known = self.known, {}
         if self.plain:
             cut = [self.stretches(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
         else:
             cut = [self.stretches(self.library.normalize(t)) for t in texts]
-        parts = [list(map(self.known.__getitem__, c)) for c in cut]
-        self._learn()
-        found = [np.frombuffer(b"".join(p), "<i4") for p in parts]
+        self._learn(set().union(*cut).difference(self.known))
+        found = [np.frombuffer(b"".join(map(self.known.__getitem__, c)), "<i4") for c in cut]
         for s in [s for c in cut for s in c if len(s) > TOGETHER]:
             self.known.pop(s, None)
         if not self.bytes_of:  # a run of unknown characters is one id
