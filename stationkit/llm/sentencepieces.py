@@ -132,6 +132,11 @@ class Vocabulary:
                         else bytes([int(n[3:5], 16)]) if k == BYTE else n.replace(SPACE, " ").encode()
                         for n, k in zip(names, kinds)]
         self.controls = {i for i, k in enumerate(kinds) if k == CONTROL}
+        self.is_control = np.array([k == CONTROL for k in kinds])
+        # surfaces by id, and by id + size those of a text's first piece
+        plain = {UNKNOWN, BYTE}
+        cut = [s if k in plain else self._without_space(s) for s, k in zip(self.surface, kinds)]
+        self.shown = pa.array(self.surface + cut, pa.binary())
         joined = {c for n in self.numbers if len(n) > 1 for c in n}
         inner = "".join(re.escape(c) for c in sorted(joined - {SPACE}))
         if any(SPACE in n.lstrip(SPACE) for n in self.numbers):
@@ -147,6 +152,17 @@ class Vocabulary:
                  if n[:k] in self.numbers and n[k:] in self.numbers]
         self.join_keys, self.join_ranks, self.join_ids = np.array(sorted(joins), np.int64).reshape(-1, 3).T.copy()
         self.size = len(names)
+        # a character's number by code point; below zero: it is no piece
+        self.symbol_of = -1 - np.arange(sys.maxunicode + 1)
+        for n, i in self.numbers.items():
+            if len(n) == 1:
+                self.symbol_of[ord(n)] = i
+
+    def _without_space(self, surface: bytes) -> bytes:
+        """A surface at the start of a text."""
+        if self.trims:
+            return surface.lstrip(b" ")
+        return surface.removeprefix(b" ") if self.first_space else surface
 
     def _agenda(self, stretch: str) -> list[str]:
         """Symbols of ``stretch`` after all joins.  An entry of the agenda is
@@ -202,9 +218,7 @@ class Vocabulary:
 
     def _together(self, stretches: list[str]) -> list[bytes]:
         """Ids of many short stretches, whose agendas go on side by side."""
-        points, symbol = np.unique(np.frombuffer("".join(stretches).encode("utf-32-le"), "<u4"), return_inverse=True)
-        numbers = np.array([self.numbers.get(chr(c), -1 - int(c)) for c in points], np.int64)
-        symbol = numbers[symbol]
+        symbol = self.symbol_of[np.frombuffer("".join(stretches).encode("utf-32-le"), "<u4")]
         owner = np.repeat(np.arange(len(stretches)), [len(s) for s in stretches])
         rank, joined = np.full(len(symbol), _NEVER), np.zeros(len(symbol), np.int64)
         inner = np.flatnonzero(owner[1:] == owner[:-1])
@@ -281,10 +295,9 @@ class Vocabulary:
         """Text of a list of ids."""
         shown = list(map(self.surface.__getitem__, ids))
         mixed = not self.controls.isdisjoint(ids)
-        if self.first_space or self.trims:
-            k = next((k for k, i in enumerate(ids) if i not in self.controls), None) if mixed else 0
-            if ids and k is not None and ids[k] != self.unknown and ids[k] not in self.bytes_of.values():
-                shown[k] = shown[k].lstrip(b" ") if self.trims else shown[k].removeprefix(b" ")
+        k = next((k for k, i in enumerate(ids) if i not in self.controls), None) if mixed else 0
+        if ids and k is not None:
+            shown[k] = self.shown[ids[k] + self.size].as_py()
         if not mixed:
             return b"".join(shown).decode("utf-8", "stationkit-one-byte")
         parts = [[]]
@@ -292,6 +305,20 @@ class Vocabulary:
             parts.append([]) if i in self.controls else parts[-1].append(part)
         return "".join(b"".join(p).decode("utf-8", "stationkit-one-byte") for p in parts)
 
+    def decode_all(self, found: list[np.ndarray]) -> list[str]:
+        """Texts of many arrays of ids: the surfaces of all are looked up at
+        once, and lie one behind the other in the bytes of the result."""
+        ends = np.cumsum([0, *map(len, found)])
+        ids = np.concatenate(found).astype(np.int64) if found else np.zeros(0, np.int64)
+        if self.is_control[ids].any():
+            return [self.decode(f.tolist()) for f in found]
+        ids[ends[:-1][np.diff(ends) > 0]] += self.size
+        _, starts, data = self.shown.take(pa.array(ids)).buffers()
+        if not len(ids):
+            return [""] * len(found)
+        at, data = np.frombuffer(starts, "<i4")[ends].tolist(), memoryview(data)
+        return [str(data[a:b], "utf-8", "stationkit-one-byte") for a, b in zip(at, at[1:])]
+
 
 def vocabulary(path: str) -> Vocabulary:
     """The vocabulary of ``path`` with its cache, once per worker process."""
@@ -334,13 +361,12 @@ def encode_and_decode(df: DataFrame, keep: list[str], text: str = "text", model:
             for lo, hi in _slices(texts):
                 part = texts[lo:hi]
                 found = own.encode_all(part)
-                lists = [f.tolist() for f in found]
-                decoded = [own.decode(f) for f in lists]
+                decoded = own.decode_all(found)
                 if check:
-                    theirs = own.library.encode(part, num_threads=1)
+                    theirs = own.library.encode(part, return_type="numpy", num_threads=1)
                     again = own.library.decode(theirs, num_threads=1) if theirs else []
-                    for k, (a, b, c, d) in enumerate(zip(lists, theirs, decoded, again)):
-                        if a != b or c != d:
+                    for k, (a, b, c, d) in enumerate(zip(found, theirs, decoded, again, strict=True)):
+                        if not np.array_equal(a, b) or c != d:
                             raise AssertionError(f"ids or text differ from the library's in row {lo + k} of a batch")
                 ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
                 ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found)))
