@@ -12,9 +12,9 @@ Training rows
     Labelled rows only, up to ``per_lang`` of each language, fewer of each when
     all would be more than ``max_rows``, but never under ``LEAST_ROWS``: those of
     least hash of id and text, wherever they lie in the table.  A documented
-    bound on what the driver holds, as bucket counts of at most ``BUCKETS``
-    entries a document.  Every language is learned.  Scoring reads every whole
-    text.
+    bound on what the one training task holds, as bucket counts of at most
+    ``BUCKETS`` entries a document; the driver gets the model only.  Every
+    language is learned.  Scoring reads every whole text.
 
 Calibrated rejection
     A fifth of each language's sampled rows is kept out of the descent.  On it a
@@ -29,6 +29,7 @@ empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import pickle
 from dataclasses import dataclass
 
 import numpy as np
@@ -105,12 +106,12 @@ class Model:
         return self.languages[best], float(p[best])
 
 
-def _sample(docs: DataFrame, per_lang: int, max_rows: int) -> list:
-    """``(lang, buckets, counts)`` of a hash-chosen, bounded set of rows."""
+def _counted(docs: DataFrame, per_lang: int, max_rows: int) -> DataFrame | None:
+    """``lang, idx, cnt`` (buckets and counts) of a hash-chosen, bounded set of rows."""
     spark = docs.sparkSession
     counts = [(r["lang"], r["count"]) for r in docs.groupBy("lang").count().collect()]
     if not counts:
-        return []
+        return None
     rows = stratified(docs, "lang", counts, rows_each(per_lang, max_rows, len(counts)), "langid").select("lang", "text")
     bounded_batches(spark, 256)
 
@@ -125,32 +126,48 @@ def _sample(docs: DataFrame, per_lang: int, max_rows: int) -> list:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(idx, pa.binary()), pa.array(cnt, pa.binary())],
                                              ["lang", "idx", "cnt"])
 
-    return rows.mapInArrow(each, "lang string, idx binary, cnt binary").collect()
+    return rows.mapInArrow(each, "lang string, idx binary, cnt binary")
+
+
+def _sample(docs: DataFrame, per_lang: int, max_rows: int) -> list:
+    """The rows that ``train`` learns from, to look at; it does not collect them."""
+    rows = _counted(docs, per_lang, max_rows)
+    return [] if rows is None else rows.collect()
 
 
 def train(docs: DataFrame, per_lang: int = 1000, max_rows: int = 8000, epochs: int = 8,
           rate: float = 1.0, reject: float = 0.001, seed: int = 9) -> Model:
     """Fit on rows of ``docs`` (``doc_id, text, lang``); rows with a null text
     or language are left out."""
-    rows = _sample(docs.where("text is not null and lang is not null").select("doc_id", "text", "lang"),
-                   per_lang, max_rows)
-    rows.sort(key=lambda r: (r["lang"], bytes(r["idx"]), bytes(r["cnt"])))
-    rng = np.random.default_rng(seed)
-    languages = sorted({r["lang"] for r in rows})
-    if not languages:
+    sample = _counted(docs.where("text is not null and lang is not null").select("doc_id", "text", "lang"),
+                      per_lang, max_rows)
+
+    def fitted(batches):
+        rows = [r for b in batches for r in zip(*(c.to_pylist() for c in b.columns))]
+        if rows:
+            fields = vars(_fit(rows, epochs, rate, reject, seed))
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fields)], pa.binary())], ["model"])
+
+    found = None if sample is None else sample.repartition(1).mapInArrow(fitted, "model binary").first()
+    if found is None:
         return Model([], np.zeros((BUCKETS, 0), np.float32), np.zeros(0, np.float32), 1.0, 0.5)
+    return Model(**pickle.loads(found["model"]))
+
+
+def _fit(rows: list[tuple[str, bytes, bytes]], epochs: int, rate: float, reject: float, seed: int) -> Model:
+    """The model of ``rows`` of language, buckets and counts, in any order."""
+    rows.sort()
+    rng = np.random.default_rng(seed)
+    languages = sorted({lang for lang, _, _ in rows})
     kinds = len(languages)
     number = {x: k for k, x in enumerate(languages)}
-    label = np.array([number[r["lang"]] for r in rows])
-    feats = []
-    for r in rows:
-        c = np.frombuffer(r["cnt"], "<u2").astype(np.float32)
-        feats.append((np.frombuffer(r["idx"], "<u2"), c / max(1.0, c.sum())))
+    label = np.array([number[lang] for lang, _, _ in rows])
 
     def dense(which):
         x = np.zeros((len(which), BUCKETS), np.float32)
         for k, i in enumerate(which):
-            x[k, feats[i][0]] = feats[i][1]
+            c = np.frombuffer(rows[i][2], "<u2").astype(np.float32)
+            x[k, np.frombuffer(rows[i][1], "<u2")] = c / max(1.0, c.sum())
         return x
 
     order = rng.permutation(len(rows))
