@@ -13,9 +13,10 @@ Encoding
     and remembered in a bounded cache: runs of characters that occur in longer
     pieces, cut before each U+2581, and single other characters.  Both rules
     are taken from the vocabulary; one whose pieces hold U+2581 behind another
-    character is encoded without the first cut.  The unknown stretches of a
-    batch are worked off together: in each round every one of them takes the
-    first entry of its agenda, by array operations over all.  Stretches of more
+    character is encoded without the first cut.  Texts are cut by array
+    operations, and each different stretch of a slice is looked up once.  The
+    unknown ones are worked off together: in each round every one of them takes
+    the first entry of its agenda, by array operations over all.  Stretches of more
     than ``TOGETHER`` characters have an agenda (a heap) of their own.
 
 Decoding
@@ -35,7 +36,6 @@ for are ignored.
 from __future__ import annotations
 
 import codecs
-import re
 import sys
 import types
 from array import array
@@ -55,12 +55,22 @@ CACHE_STRETCHES = 400_000
 #: characters of the texts that are worked off at a time
 SLICE_CHARS = 2_000_000
 
-#: characters of stretches that are encoded side by side
+#: characters of stretches that are encoded side by side, below 256
 TOGETHER = 64
-_NEVER = 1 << 40
 #: bits of an agenda entry that hold a place
 _PLACE_BITS = 40
 _PLACE = (1 << _PLACE_BITS) - 1
+#: bits of an entry's place that hold the joined piece instead, where stretches are short
+_ID_BITS = 32
+_ID = (1 << _ID_BITS) - 1
+#: above every entry of an agenda, as is twice as much
+_LAST = 1 << 61
+_NEVER = 2 * _LAST
+#: slots of the table of joins for each join; its keys are spread by this odd number
+_SLOTS = 8
+_SPREAD = np.uint64(0x9E3779B97F4A7C15)
+# kinds of characters where texts are cut
+_OTHER, _INNER, _SPACE = 0, 1, 2
 
 SPACE = "▁"
 # kinds of pieces and the merge-type model, as numbered in the model file (fixed values)
@@ -138,22 +148,21 @@ class Vocabulary:
         cut = [s if k in plain else self._without_space(s) for s, k in zip(self.surface, kinds)]
         self.shown = pa.array(self.surface + cut, pa.binary())
         joined = {c for n in self.numbers if len(n) > 1 for c in n}
-        inner = "".join(re.escape(c) for c in sorted(joined - {SPACE}))
-        if any(SPACE in n.lstrip(SPACE) for n in self.numbers):
-            pattern = f"[{SPACE}{inner}]+|[^{SPACE}{inner}]"
-        else:
-            pattern = f"{SPACE}*[{inner}]+|{SPACE}+|[^{SPACE}{inner}]"
-        self.stretches = re.compile(pattern, re.DOTALL).findall
+        self.kind_of = np.full(sys.maxunicode + 1, _OTHER, np.uint8)
+        self.kind_of[[ord(c) for c in joined]] = _INNER
+        inside = any(SPACE in n.lstrip(SPACE) for n in self.numbers)
+        self.kind_of[ord(SPACE)] = _INNER if inside else _SPACE
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         # every way to join two pieces into a third, by the two pieces' numbers
-        joins = [(self.numbers[n[:k]] * len(names) + self.numbers[n[k:]], self.ranks[n] >> _PLACE_BITS, i)
+        self.size = len(names)
+        self.base = self.size + sys.maxunicode + 1
+        joins = [(self.numbers[n[:k]] * self.base + self.numbers[n[k:]], self.ranks[n] + i)
                  for n, i in self.numbers.items() for k in range(1, len(n))
                  if n[:k] in self.numbers and n[k:] in self.numbers]
-        self.join_keys, self.join_ranks, self.join_ids = np.array(sorted(joins), np.int64).reshape(-1, 3).T.copy()
-        self.size = len(names)
-        # a character's number by code point; below zero: it is no piece
-        self.symbol_of = -1 - np.arange(sys.maxunicode + 1)
+        self._spread(*np.array(joins, np.int64).reshape(-1, 2).T.copy())
+        # a character's number by code point; from size on: it is no piece
+        self.symbol_of = self.size + np.arange(sys.maxunicode + 1)
         for n, i in self.numbers.items():
             if len(n) == 1:
                 self.symbol_of[ord(n)] = i
@@ -209,80 +218,131 @@ class Vocabulary:
                 out.append(self.unknown)
         return out
 
-    def _joins(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ranks and ids of joined pairs; ``_NEVER`` where there is none."""
-        key = np.where((left < 0) | (right < 0), -1, left * self.size + right)
-        at = np.minimum(np.searchsorted(self.join_keys, key), len(self.join_keys) - 1)
-        there = self.join_keys[at] == key
-        return np.where(there, self.join_ranks[at], _NEVER), self.join_ids[at]
+    def _spread(self, keys: np.ndarray, entries: np.ndarray) -> None:
+        """Table of joins; a key lies in the first free slot from its own on."""
+        bits = max(1, (_SLOTS * len(keys)).bit_length())
+        self.shift = np.uint64(64 - bits)
+        self.join_keys, self.join_entries = np.full(1 << bits, -1), np.full(1 << bits, _NEVER)
+        slot, left = self._slot(keys), np.arange(len(keys))
+        while len(left):
+            free = left[self.join_keys[slot[left]] == -1]
+            self.join_keys[slot[free]] = keys[free]  # of several for one slot one stays
+            left = left[self.join_keys[slot[left]] != keys[left]]
+            slot[left] = (slot[left] + 1) & (len(self.join_keys) - 1)
+        self.join_entries[slot] = entries
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * _SPREAD) >> self.shift).view(np.int64)
+
+    def _joins(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Ranks and ids of joined pairs in one number; ``_NEVER`` where there is none."""
+        key = left * self.base + right
+        at = self._slot(key)
+        there = self.join_keys[at]
+        far = np.flatnonzero((there != key) & (there != -1))
+        while len(far):
+            at[far] = (at[far] + 1) & (len(self.join_keys) - 1)
+            there = self.join_keys[at[far]]
+            far = far[(there != key[far]) & (there != -1)]
+        return self.join_entries[at]
 
     def _together(self, stretches: list[str]) -> list[bytes]:
-        """Ids of many short stretches, whose agendas go on side by side."""
-        symbol = self.symbol_of[np.frombuffer("".join(stretches).encode("utf-32-le"), "<u4")]
-        owner = np.repeat(np.arange(len(stretches)), [len(s) for s in stretches])
-        rank, joined = np.full(len(symbol), _NEVER), np.zeros(len(symbol), np.int64)
-        inner = np.flatnonzero(owner[1:] == owner[:-1])
-        rank[inner], joined[inner] = self._joins(symbol[inner], symbol[inner + 1])
-        ended = []
+        """Ids of many short stretches, whose agendas go on side by side.  A
+        symbol stands at the place of its first character; ``wide`` and
+        ``back`` lead to the next one and the one before.  An end that joins
+        with nothing stands between two stretches.  ``agenda`` holds the open
+        stretches only; places in it are ``moved`` from those in the rest."""
+        size = np.fromiter(map(len, stretches), np.int64, len(stretches))
+        first = np.cumsum(size + 1) - size
+        symbol = self.symbol_of[np.frombuffer("\0".join(["", *stretches, ""]).encode("utf-32-le"), "<u4")]
+        symbol[0] = symbol[first + size] = self.base - 1
+        stays = np.ones(len(symbol), bool)
+        stays[0] = stays[first + size] = False
+        wide, back = np.ones((2, len(symbol)), np.int64)
+        agenda = np.append(self._joins(symbol[1:-1], symbol[2:]), _NEVER)
+        agenda += np.arange(len(agenda)) - np.repeat(first - 1, size + 1) << _ID_BITS
+        start, length, moved = first, size + 1, -1
         while True:
-            start = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
-            best = np.minimum.reduceat(rank, start)
-            best = np.repeat(best, np.diff(np.append(start, len(owner))))
-            over = best == _NEVER
-            if over.any():
-                ended.append((owner[over], symbol[over]))
-                owner, symbol, rank, joined, best = (x[~over] for x in (owner, symbol, rank, joined, best))
-            if not len(owner):
-                break
-            at = np.flatnonzero(rank == best)
-            at = at[np.append(True, owner[at[1:]] != owner[at[:-1]])]  # the leftmost of a stretch
-            symbol[at] = joined[at]
-            stay = np.ones(len(owner), bool)
-            stay[at + 1] = False
-            owner, symbol, rank, joined = (x[stay] for x in (owner, symbol, rank, joined))
-            at -= np.arange(len(at))
-            for left in (at, at[at > 0] - 1):  # the pairs to the right and to the left of the new symbol
-                right = np.minimum(left + 1, len(owner) - 1)
-                pair = (right > left) & (owner[right] == owner[left])
-                rank[left[~pair]] = _NEVER
-                left, right = left[pair], right[pair]
-                rank[left], joined[left] = self._joins(symbol[left], symbol[right])
-        owner, symbol = (np.concatenate(x) for x in zip(*ended))
-        order = np.argsort(owner, kind="stable")
-        owner, symbol = owner[order], symbol[order]
-        if (symbol < 0).any():
-            lists = [[s] if s >= 0 else self._ids([chr(-1 - s)]) for s in symbol.tolist()]
-            owner = np.repeat(owner, [len(x) for x in lists])
-            symbol = np.array([i for x in lists for i in x])
+            best = np.minimum.reduceat(agenda, start + moved)
+            goes = best < _LAST
+            if not goes.all():
+                agenda = agenda[np.repeat(goes, length)]
+                start, length, best = start[goes], length[goes], best[goes]
+                if not len(start):
+                    break
+                moved = np.cumsum(length) - length - start
+            piece, place = best & _ID, best & _PLACE & ~_ID
+            at = start + (place >> _ID_BITS)
+            gone = at + wide[at]
+            width, step = wide[at] + wide[gone], back[at]
+            symbol[at], wide[at], back[at + width], stays[gone] = piece, width, width, False
+            agenda[gone + moved] = _NEVER
+            agenda[at + moved] = self._joins(piece, symbol[at + width]) + place
+            agenda[at - step + moved] = self._joins(symbol[at - step], piece) + place - (step << _ID_BITS)
+        owner = np.repeat(np.arange(len(size)), np.add.reduceat(stays[1:], first - 1, dtype=np.int64))
+        symbol = symbol[stays]
+        odd = symbol >= self.size
+        if odd.any():
+            lists = [self._ids([chr(s - self.size)]) for s in symbol[odd].tolist()]
+            times = np.ones(len(symbol), np.int64)
+            times[odd] = list(map(len, lists))
+            owner, symbol, odd = (np.repeat(x, times) for x in (owner, symbol, odd))
+            symbol[odd] = [i for x in lists for i in x]
         data, ends = symbol.astype("<i4").tobytes(), np.searchsorted(owner, np.arange(len(stretches) + 1)) * 4
         return [data[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
 
-    def _learn(self, stretches: set[str]) -> None:
-        """Make ``stretches`` known."""
-        short, long = [], []
-        for s in stretches:
-            ids = self.older.get(s)
-            if ids is not None:
-                self.known[s] = ids
-            else:
-                (short if len(s) <= TOGETHER else long).append(s)
-        for s in long:
-            self.known[s] = array("i", self._ids(self._agenda(s))).tobytes()
+    def _learn(self, stretches: list[str]) -> dict[str, bytes]:
+        """Ids of stretches that are not known; short ones are from now on."""
+        found = dict(zip(stretches, map(self.older.get, stretches)))
+        new = [s for s, ids in found.items() if ids is None]
+        short = [s for s in new if len(s) <= TOGETHER]
         if short:
-            self.known.update(zip(short, self._together(short)))
+            found.update(zip(short, self._together(short)))
+        if len(short) == len(new):
+            self.known.update(found)
+        else:
+            self.known.update((s, ids) for s, ids in found.items() if len(s) <= TOGETHER)
+            found.update((s, array("i", self._ids(self._agenda(s))).tobytes()) for s in new if len(s) > TOGETHER)
+        return found
+
+    def _cut(self, normal: list[str]) -> tuple[pa.Array, np.ndarray]:
+        """The stretches of normalised texts one behind the other, and where
+        each text's begin and end among them."""
+        ends = np.cumsum([0, *map(len, normal)])
+        whole = "".join(normal)
+        points = np.frombuffer(whole.encode("utf-32-le"), "<u4")
+        kind = self.kind_of[points]
+        begins = np.ones(len(points) + 1, bool)
+        begins[1:-1] = (kind[1:] == _OTHER) | (kind[:-1] == _OTHER) | (kind[1:] == _SPACE) & (kind[:-1] == _INNER)
+        begins[ends] = True
+        begins = np.flatnonzero(begins)  # and the end of the last
+        sizes = np.ones(len(points), np.uint8)
+        for least in (0x80, 0x800, 0x10000):  # bytes in UTF-8
+            sizes += points >= least
+        sizes = np.add.reduceat(sizes, begins[:-1], dtype=np.int64) if len(points) else []
+        bounds = np.append(0, np.cumsum(sizes, dtype=np.int64))
+        buffers = [None, pa.py_buffer(bounds), pa.py_buffer(whole.encode("utf-8"))]
+        return pa.Array.from_buffers(pa.large_string(), len(sizes), buffers), np.searchsorted(begins, ends)
 
     def encode_all(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of whole texts."""
+        """Ids of whole texts.  Each different stretch is looked up once."""
         if len(self.known) >= CACHE_STRETCHES:
             self.older, self.known = self.known, {}
         if self.plain:
-            cut = [self.stretches(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
+            normal = [SPACE + t.replace(" ", SPACE) if t else "" for t in texts]
         else:
-            cut = [self.stretches(self.library.normalize(t)) for t in texts]
-        self._learn(set().union(*cut).difference(self.known))
-        found = [np.frombuffer(b"".join(map(self.known.__getitem__, c)), "<i4") for c in cut]
-        for s in [s for c in cut for s in c if len(s) > TOGETHER]:
-            self.known.pop(s, None)
+            normal = [self.library.normalize(t) for t in texts]
+        stretches, ends = self._cut(normal)
+        stretches = stretches.dictionary_encode()
+        different = stretches.dictionary.to_numpy(zero_copy_only=False).tolist()
+        ids = list(map(self.known.get, different))
+        new = [k for k, known in enumerate(ids) if known is None]
+        for k, learnt in zip(new, self._learn([different[k] for k in new]).values()):
+            ids[k] = learnt
+        _, bounds, data = pa.array(ids, pa.large_binary()).take(stretches.indices).buffers()
+        ends = np.frombuffer(bounds, "<i8")[ends] // 4 if len(stretches) else ends
+        data = np.frombuffer(data or b"", "<i4")
+        found = [data[a:b] for a, b in zip(ends.tolist(), ends[1:].tolist())]
         if not self.bytes_of:  # a run of unknown characters is one id
             found = [f[~np.append(False, (f[1:] == self.unknown) & (f[:-1] == self.unknown))] if len(f) else f
                      for f in found]
